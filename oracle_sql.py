@@ -271,6 +271,22 @@ def queries_sql() -> dict[str, str]:
         "histogram_lineitem_quantity": "SELECT CAST(floor(l_quantity / 5.0) * 5.0 AS DOUBLE) AS bucket_start, count(*) AS n_rows "
         "FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1",
     }
+    out["feature_frame"] = s + (
+        "SELECT [trip_distance, CAST(pickup_hour AS DOUBLE), CAST(pickup_month AS DOUBLE), Airport_fee, "
+        "CAST(pickup_day_week AS DOUBLE), CAST(RatecodeID AS DOUBLE), fare_amount] AS features, "
+        "duration_minutes, round(ln(1 + duration_minutes), 8) AS duration_log FROM silver"
+    )
+    out["train_test_split"] = (
+        "SELECT event_id, CASE WHEN ((event_id % 2147483647) * 2654435761) % 4294967296 * 100 // 4294967296 < 70 "
+        "THEN 'train' ELSE 'test' END AS split FROM events"
+    )
+    base = "(SELECT CAST(duration_minutes AS DOUBLE) AS y, trip_distance * 2.2 AS p FROM silver)"
+    out["eval_r2"] = s + (
+        f"SELECT count(y - p) AS n, round(1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(y - p)), 8) AS r2 FROM {base}"
+    )
+    out["eval_mae"] = s + (
+        f"SELECT count(y - p) AS n, round(avg(abs(y - p)), 8) AS mae, round(sqrt(sum((y - p) * (y - p)) / count(y - p)), 8) AS rmse FROM {base}"
+    )
     for c in CATEGORY_COLUMNS:
         out[f"avg_duration_by_{c}"] = s + f"SELECT {c}, round(avg(duration_minutes), 8) AS avg_duration FROM silver_enc GROUP BY {c}"
     return out

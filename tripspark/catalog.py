@@ -275,3 +275,147 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duration_histogram": q_duration_histogram,
     "histogram_lineitem_quantity": q_histogram_lineitem_quantity,
 }
+
+
+# ---------------------------------------------------------------- machine learning
+import threading  # noqa: E402
+import uuid  # noqa: E402
+
+from tripspark.operators import ml  # noqa: E402
+from tripspark.plans import scoring  # noqa: E402
+from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model  # noqa: E402
+from tripspark.schema import DURATION_COL, FEATURE_ORDER  # noqa: E402
+
+_MODELS: dict[tuple[str, str, str], TrainedModel] = {}
+_MODELS_LOCK = threading.Lock()
+
+# Fixed value: a plain distance-based baseline (minutes per distance unit) for the metric queries.
+BASELINE_MINUTES_PER_UNIT = 2.2
+
+
+def trained(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> TrainedModel:
+    """One fit per (session, scale, model kind); the ML queries share it."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    with _MODELS_LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = train_duration_model(silver(spark, sf_dir), kind)
+        return _MODELS[key]
+
+
+def model_path(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> str:
+    names = {"gbt": "gbt_duration_minutes_v1", "lr": "lr_duration_minutes_v1", "rf": "rf_duration_minutes_v1"}
+    return table_path(spark, "models", _sf_name(sf_dir), names[kind])
+
+
+def saved_model(spark: SparkSession, sf_dir: str, kind: str = "gbt"):
+    """S8 then S9: save the fitted model to its versioned folder and load it back once."""
+    path = model_path(spark, sf_dir, kind)
+    ml.save_model(trained(spark, sf_dir, kind).model, path)
+    return ml.load_model(path, kind), path
+
+
+def q_feature_frame(spark, sf_dir):
+    frame = model_frame(silver(spark, sf_dir))
+    return report(frame.select(ml.vector_as_array().alias("features"), DURATION_COL, LOG_LABEL))
+
+
+def q_train_test_split(spark, sf_dir):
+    events = _table(spark, sf_dir, "events")
+    return events.select("event_id", ml.key_split_label("event_id").alias("split"))
+
+
+def _baseline(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return s.withColumn("baseline_minutes", F.col("trip_distance") * F.lit(BASELINE_MINUTES_PER_UNIT))
+
+
+def q_eval_r2(spark, sf_dir):
+    m = ml.regression_metrics(_baseline(spark, sf_dir), DURATION_COL, "baseline_minutes")
+    return report(m.select("n", "r2"))
+
+
+def q_eval_mae(spark, sf_dir):
+    m = ml.regression_metrics(_baseline(spark, sf_dir), DURATION_COL, "baseline_minutes")
+    return report(m.select("n", "mae", "rmse"))
+
+
+def q_train_gbt_metrics(spark, sf_dir):
+    return trained(spark, sf_dir, "gbt").metrics()
+
+
+def q_train_lr_metrics(spark, sf_dir):
+    return trained(spark, sf_dir, "lr").metrics()
+
+
+def q_train_rf_metrics(spark, sf_dir):
+    return trained(spark, sf_dir, "rf").metrics()
+
+
+def q_model_roundtrip(spark, sf_dir):
+    tm = trained(spark, sf_dir, "gbt")
+    loaded, _ = saved_model(spark, sf_dir, "gbt")
+    both = loaded.transform(tm.predictions.withColumnRenamed("prediction", "prediction_original"))
+    return both.select(
+        DURATION_COL,
+        "prediction_original",
+        F.col("prediction").alias("prediction_loaded"),
+        (F.col("prediction") == F.col("prediction_original")).alias("same_prediction"),
+    )
+
+
+def q_prediction_sample(spark, sf_dir):
+    p = trained(spark, sf_dir, "gbt").predictions
+    return p.select(
+        F.col(DURATION_COL).alias("actual_minutes"),
+        F.col("predicted_minutes"),
+        F.col(LOG_LABEL).alias("actual_log"),
+        F.col("prediction").alias("predicted_log"),
+    )
+
+
+def q_score_batch(spark, sf_dir):
+    model, _ = saved_model(spark, sf_dir, "gbt")
+    return scoring.score_requests(scoring.requests_from_silver(silver(spark, sf_dir)), model)
+
+
+def q_prediction_log(spark, sf_dir):
+    model, path = saved_model(spark, sf_dir, "gbt")
+    scored = scoring.score_requests(scoring.requests_from_silver(silver(spark, sf_dir)), model)
+    log_path = table_path(spark, "prediction_log")
+    return scoring.append_prediction_log(scored, log_path, path, batch_id=f"silver-{_sf_name(sf_dir)}")
+
+
+def q_stream_score(spark, sf_dir):
+    from tripspark.operators.nulls import plan_null_policy
+    from tripspark.streaming.scoring import run_until_drained, scored_stream
+
+    landing = table_path(spark, "landing", _sf_name(sf_dir), "trips")
+    write_overwrite(trips(spark, sf_dir), landing)
+    bronze = read_table(spark, landing, TRIP_VIEW_SCHEMA)
+    plan = plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
+    model, _ = saved_model(spark, sf_dir, "gbt")
+    run = uuid.uuid4().hex[:12]
+    stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model)
+    return run_until_drained(
+        stream,
+        table_path(spark, "stream", _sf_name(sf_dir), run, "scored"),
+        table_path(spark, "stream", _sf_name(sf_dir), run, "checkpoint"),
+    )
+
+
+QUERIES.update(
+    {
+        "feature_frame": q_feature_frame,
+        "train_test_split": q_train_test_split,
+        "eval_r2": q_eval_r2,
+        "eval_mae": q_eval_mae,
+        "train_gbt_metrics": q_train_gbt_metrics,
+        "train_lr_metrics": q_train_lr_metrics,
+        "train_rf_metrics": q_train_rf_metrics,
+        "model_roundtrip": q_model_roundtrip,
+        "prediction_sample": q_prediction_sample,
+        "score_batch": q_score_batch,
+        "prediction_log": q_prediction_log,
+        "stream_score": q_stream_score,
+    }
+)
