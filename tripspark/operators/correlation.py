@@ -9,31 +9,58 @@ null. corr = covar_pop / sqrt(var_pop(x) * var_pop(y)), null when either side is
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.schema import numeric_columns
 
 
-def _pair_corr(x: str, y: str) -> Column:
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    xv = F.when(both, F.col(x).cast("double"))
-    yv = F.when(both, F.col(y).cast("double"))
-    denom = F.sqrt(F.var_pop(xv) * F.var_pop(yv))
-    return F.try_divide(F.covar_pop(xv, yv), F.when(denom != 0, denom))
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """feature1, feature2, corr_value for every ordered pair (diagonal included)."""
+    """feature1, feature2, corr_value for every ordered pair (diagonal included).
+
+    Long form: each row emits one (pair, x, y) entry per unordered pair, masked to the rows
+    where both sides are present; ``groupBy(pair)`` then keeps 3 moments per pair. The aggregate
+    has a handful of buffer fields, so it stays inside whole-stage codegen (one wide aggregate
+    with 3 x #pairs functions exceeds the codegen field limit and runs interpreted, ~100x slower
+    per row). Partial aggregation leaves #pairs rows per task, so the shuffle is tiny.
+    """
     cols = columns or numeric_columns(df)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    totals = df.agg(*[_pair_corr(cols[i], cols[j]).alias(f"_c{i}_{j}") for i, j in pairs])
     entries = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            key = f"_c{min(i, j)}_{max(i, j)}"
-            entries.append(F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"), F.col(key).alias("corr_value")))
-    return totals.select(F.inline(F.array(*entries)))
+    for i in range(len(cols)):
+        for j in range(i, len(cols)):
+            a, b = _q(cols[i]), _q(cols[j])
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            entries.append(
+                f"named_struct('i', {i}, 'j', {j}, "
+                f"'x', CASE WHEN {both} THEN CAST({a} AS DOUBLE) END, "
+                f"'y', CASE WHEN {both} THEN CAST({b} AS DOUBLE) END)"
+            )
+    pairs = df.selectExpr(f"inline(array({', '.join(entries)}))")
+    moments = pairs.groupBy("i", "j").agg(
+        F.covar_pop("x", "y").alias("cov"),
+        F.var_pop("x").alias("vx"),
+        F.var_pop("y").alias("vy"),
+    )
+    corr = F.try_divide(F.col("cov"), F.nullif(F.sqrt(F.col("vx") * F.col("vy")), F.lit(0.0)))
+    one = F.struct(F.col("i").alias("a"), F.col("j").alias("b"), corr.alias("c"))
+    mirror = F.struct(F.col("j").alias("a"), F.col("i").alias("b"), corr.alias("c"))
+    both_orders = moments.select(
+        F.explode(F.when(F.col("i") == F.col("j"), F.array(one)).otherwise(F.array(one, mirror))).alias("e")
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    return both_orders.select(
+        F.element_at(names, F.col("e.a") + 1).alias("feature1"),
+        F.element_at(names, F.col("e.b") + 1).alias("feature2"),
+        F.col("e.c").alias("corr_value"),
+    )
 
 
 def pivot_wide(long_df: DataFrame, index: str, columns: str, values: str, column_values: list[str]) -> DataFrame:
