@@ -287,6 +287,28 @@ def queries_sql() -> dict[str, str]:
     out["eval_mae"] = s + (
         f"SELECT count(y - p) AS n, round(avg(abs(y - p)), 8) AS mae, round(sqrt(sum((y - p) * (y - p)) / count(y - p)), 8) AS rmse FROM {base}"
     )
+    out["preview_trips"] = t + (
+        "SELECT * FROM trips ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance LIMIT 20"
+    )
+    plan_rows = []
+    for i, (c, typ) in enumerate(TRIP_COLUMNS):
+        if c == "store_and_fwd_flag":
+            fill = _mode(c)
+        elif typ == "bigint":
+            fill = f"CAST({_trunc_mean(c)} AS VARCHAR)"
+        elif typ in NUMERIC:
+            fill = f"CAST((SELECT avg({c}) FROM trips) AS VARCHAR)"
+        else:
+            fill = "NULL"
+        k = f"(SELECT count(*) FILTER (WHERE {c} IS NULL) FROM trips)"
+        pct = f"{k} * 100.0 / (SELECT count(*) FROM trips)"
+        action = f"CASE WHEN {k} = 0 THEN 'none' WHEN {pct} < 5 THEN 'drop' WHEN {'true' if typ in NUMERIC else 'false'} THEN 'fill_mean' ELSE 'fill_mode' END"
+        plan_rows.append(
+            f"SELECT '{c}' AS column_name, CAST({i + 1} AS INTEGER) AS position, '{typ}' AS data_type, {k} AS null_count, "
+            f"round(CAST({k} AS DOUBLE) / CAST((SELECT count(*) FROM trips) AS DOUBLE) * 100.0, 8) AS null_pct, {action} AS action, "
+            f"CASE WHEN {action} IN ('fill_mean', 'fill_mode') THEN {fill} END AS fill_value"
+        )
+    out["null_policy_plan"] = t + "\nUNION ALL\n".join(plan_rows)
     for c in CATEGORY_COLUMNS:
         out[f"avg_duration_by_{c}"] = s + f"SELECT {c}, round(avg(duration_minutes), 8) AS avg_duration FROM silver_enc GROUP BY {c}"
     return out

@@ -419,3 +419,37 @@ QUERIES.update(
         "stream_score": q_stream_score,
     }
 )
+
+
+# ---------------------------------------------------------------- previews, quantiles, plan report
+PREVIEW_ROWS = 20  # a preview is a top-k by pickup time: the limit is the feature
+
+
+def q_preview_trips(spark, sf_dir):
+    """O3: the first trips by pickup time (distributed top-k: TakeOrderedAndProject)."""
+    order = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance"]
+    return trips(spark, sf_dir).orderBy(*order).limit(PREVIEW_ROWS)
+
+
+def q_duration_quantiles(spark, sf_dir):
+    """Approximate quantiles of duration (bounded-memory sketch; no SQL twin)."""
+    from tripspark.operators.histogram import approx_quantiles
+
+    return approx_quantiles(silver(spark, sf_dir), "duration_minutes", [0.01, 0.25, 0.5, 0.75, 0.99])
+
+
+def q_null_policy_plan(spark, sf_dir):
+    """N2 decisions as a frame: per column null count, share, action and fill value."""
+    from tripspark.operators.nulls import plan_null_policy
+
+    plan = plan_null_policy(trips(spark, sf_dir))
+    return report(plan.report(spark))
+
+
+QUERIES.update(
+    {
+        "preview_trips": q_preview_trips,
+        "duration_quantiles": q_duration_quantiles,
+        "null_policy_plan": q_null_policy_plan,
+    }
+)

@@ -92,3 +92,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def table_path(spark: SparkSession, *parts: str) -> str:
     """Location of a written table under the shared folder, e.g. ``table_path(spark, 'silver', 'trips')``."""
     return "/".join([shared_dir(spark), "tripspark", *parts])
+
+
+def scale_conf(
+    shuffle_input_bytes: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    scan_partition_bytes: int = 256 * 1024 * 1024,
+) -> dict[str, str]:
+    """Session settings sized for a job whose largest shuffle carries ``shuffle_input_bytes``.
+
+    The widest shuffle here is the full-row distinct of silver (every surviving raw column).
+    Start with enough partitions that each holds ~``target_partition_bytes``; AQE coalesces
+    the small ones and splits skewed ones at runtime.
+    """
+    partitions = max(8, -(-shuffle_input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
