@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
-from tripspark.catalog import silver, silver_encoded, trips, SILVER_NUMERIC
+from tripspark.catalog import SILVER_NUMERIC, silver, silver_encoded, silver_plan, trips
 from tripspark.config import table_path
 from tripspark.operators.aggregates import avg_duration_for_hour
 from tripspark.operators.correlation import correlation_long
@@ -53,7 +53,7 @@ def test_jdbc_options_validated_before_work():
 
 
 def test_hour_filter_pushed_below_aggregates(spark):
-    plan = _plan(avg_duration_for_hour(silver(spark, SF001), 8))
+    plan = _plan(avg_duration_for_hour(silver_plan(spark, SF001), 8))
     # the equality on the group key is evaluated in the Filter over the scan, below both aggregates
     lines = plan.splitlines()
     filt = [i for i, line in enumerate(lines) if "Filter (" in line and "hour(ts" in line and "= 8)" in line]
@@ -61,8 +61,14 @@ def test_hour_filter_pushed_below_aggregates(spark):
     assert filt and aggs and filt[0] > max(aggs)
 
 
+def test_hour_filter_reaches_silver_table_scan(spark):
+    plan = _plan(avg_duration_for_hour(silver(spark, SF001), 8))
+    assert "PushedFilters: [IsNotNull(pickup_hour), EqualTo(pickup_hour,8)]" in plan
+    assert "ReadSchema: struct<duration_minutes:int,pickup_hour:int>" in plan
+
+
 def test_silver_has_one_shuffle_and_pushed_scan(spark):
-    plan = _plan(silver(spark, SF001))
+    plan = _plan(silver_plan(spark, SF001))
     assert plan.count("Exchange") == 1
     assert "PushedFilters: [IsNotNull(ts), IsNotNull(value)]" in plan
     assert "props" not in plan.split("ReadSchema:")[1].split("\n")[0]  # unused column pruned
@@ -70,6 +76,6 @@ def test_silver_has_one_shuffle_and_pushed_scan(spark):
 
 def test_correlation_is_one_aggregate(spark):
     plan = _plan(correlation_long(silver_encoded(spark, SF001), SILVER_NUMERIC))
-    # one distinct shuffle (silver) + one single-partition exchange for the global aggregate
-    assert plan.count("Exchange") == 2
+    # silver is a scanned table: the only exchange is the tiny one keyed by pair
+    assert plan.count("Exchange") == 1
     assert plan.count("SortAggregate") + plan.count("HashAggregate") + plan.count("ObjectHashAggregate") <= 4
