@@ -94,3 +94,18 @@ def test_stream_equals_batch(spark):
     batch_scored = model.transform(ml.assemble_features(batch)).select(F.expm1("prediction").alias("predicted_duration"), "trip_distance", "duration_minutes")
     cols = ["trip_distance", "duration_minutes", "predicted_duration"]
     assert sorted(streamed.select(*cols).collect()) == sorted(batch_scored.select(*cols).collect())
+
+
+def test_requests_frame_and_random_split(spark):
+    reqs = scoring.requests_frame(
+        spark,
+        [
+            {"trip_distance": 2.85, "pickup_hour": 17, "pickup_month": 1, "Airport_fee": 0.0, "pickup_day_week": 5, "RatecodeID": 1, "fare_amount": 15.6},
+            (0.0, 0, 0, 0.0, 0, 0, 0.0),
+        ],
+    )
+    assert reqs.count() == 2 and reqs.schema["RatecodeID"].dataType.simpleString() == "bigint"
+    df = spark.range(1000).toDF("k")
+    a, b = ml.train_test_split(df, 0.7, method="random", seed=3)
+    assert a.count() + b.count() == 1000
+    assert ml.versioned_model_path("/m/", "gbt_duration_minutes", 2) == "/m/gbt_duration_minutes_v2"

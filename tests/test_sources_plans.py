@@ -79,3 +79,12 @@ def test_correlation_is_one_aggregate(spark):
     # silver is a scanned table: the only exchange is the tiny one keyed by pair
     assert plan.count("Exchange") == 1
     assert plan.count("SortAggregate") + plan.count("HashAggregate") + plan.count("ObjectHashAggregate") <= 4
+
+
+def test_scale_conf_sizes_partitions():
+    from tripspark.config import scale_conf
+
+    conf = scale_conf(30 * 1024**4)  # a 30 TB shuffle
+    assert int(conf["spark.sql.shuffle.partitions"]) == 30 * 1024**4 // (256 * 1024**2)
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(scale_conf(1)["spark.sql.shuffle.partitions"]) == 8

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripspark.config import table_path
+from tripspark.config import app_key, table_path
 from tripspark.functions.trip import encode_flag
 from tripspark.operators import aggregates, dedup, nulls, profile
 from tripspark.operators.correlation import correlation_long, correlation_wide
@@ -84,7 +84,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     hand-off: analytics, training and scoring read the written table, never re-derive it), then
     scanned with column pruning and pushdown.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_key(spark), os.path.abspath(sf_dir))
     with _SILVER_LOCK:
         path = _SILVER.get(key)
         if path is None:
@@ -318,7 +318,7 @@ BASELINE_MINUTES_PER_UNIT = 2.2
 
 def trained(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> TrainedModel:
     """One fit per (session, scale, model kind); the ML queries share it."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), kind)
+    key = (app_key(spark), os.path.abspath(sf_dir), kind)
     with _MODELS_LOCK:
         if key not in _MODELS:
             _MODELS[key] = train_duration_model(silver(spark, sf_dir), kind)
@@ -326,8 +326,7 @@ def trained(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> TrainedModel
 
 
 def model_path(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> str:
-    names = {"gbt": "gbt_duration_minutes_v1", "lr": "lr_duration_minutes_v1", "rf": "rf_duration_minutes_v1"}
-    return table_path(spark, "models", _sf_name(sf_dir), names[kind])
+    return ml.versioned_model_path(table_path(spark, "models", _sf_name(sf_dir)), f"{kind}_duration_minutes", 1)
 
 
 def saved_model(spark: SparkSession, sf_dir: str, kind: str = "gbt"):

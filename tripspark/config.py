@@ -61,6 +61,14 @@ def _session_setting(spark: SparkSession, key: str) -> str | None:
         return None
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memoisation)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect)
+        return _session_setting(spark, "spark.app.id") or f"session-{id(spark)}"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
@@ -70,12 +78,15 @@ def shared_dir(spark: SparkSession) -> str:
     configured = _session_setting(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    key = spark.sparkContext.applicationId
+    key = app_key(spark)
     with _LOCK:
         root = _LOCAL_ROOTS.get(key)
         if root is None:
             root = tempfile.mkdtemp(prefix="tripspark-")
-            spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+            try:
+                spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
+            except Exception:  # noqa: BLE001 - no SparkContext handle
+                pass
             _LOCAL_ROOTS[key] = root
     return root
 
@@ -83,7 +94,10 @@ def shared_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure the SparkContext has a checkpoint dir (for GBT checkpointInterval, checkpoint())."""
     root = shared_dir(spark)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle
+        return root
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root + "/checkpoints")
     return root

@@ -79,7 +79,18 @@ def key_split_label(key: str | Column, train_fraction: float = 0.7, buckets: int
     return F.when(key_split_bucket(key, buckets) < int(round(train_fraction * buckets)), F.lit("train")).otherwise(F.lit("test"))
 
 
-def train_test_split(df: DataFrame, train_fraction: float = 0.7, columns: list[str] | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def train_test_split(
+    df: DataFrame,
+    train_fraction: float = 0.7,
+    columns: list[str] | None = None,
+    seed: int = 42,
+    method: str = "hash",
+) -> tuple[DataFrame, DataFrame]:
+    """R1. ``hash`` (default): row-hash split, stable under recomputation. ``random``: Spark's
+    seeded randomSplit, reproducible only while partitioning and row order stay the same."""
+    if method == "random":
+        train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
+        return train, test
     flag = hash_split_flag(columns or df.columns, train_fraction, seed)
     return df.filter(flag), df.filter(~flag)
 
@@ -120,6 +131,11 @@ def random_forest(label_col: str, features_col: str = FEATURES_COL, seed: int =
     return RandomForestRegressor(featuresCol=features_col, labelCol=label_col, seed=seed, checkpointInterval=10, **overrides)
 
 
+def versioned_model_path(root: str, name: str, version: int) -> str:
+    """``<root>/<name>_v<version>``; the last segment is the model_version in the prediction log."""
+    return f"{root.rstrip('/')}/{name}_v{int(version)}"
+
+
 def save_model(model, path: str) -> str:
     """Overwrite-save a fitted model; returns the path."""
     model.write().overwrite().save(path)

@@ -73,6 +73,12 @@ def append_prediction_log(scored: DataFrame, log_path: str, model_path: str, bat
     return log.filter((F.col("model_version") == version) & (F.col("batch_id") == batch_id))
 
 
+def requests_frame(spark, records: list[dict] | list[tuple]) -> DataFrame:
+    """In-memory request records -> a typed DataFrame (explicit schema, no inference)."""
+    rows = [tuple(r[f.name] for f in REQUEST_SCHEMA.fields) if isinstance(r, dict) else tuple(r) for r in records]
+    return spark.createDataFrame(rows, REQUEST_SCHEMA)
+
+
 def requests_from_silver(silver: DataFrame) -> DataFrame:
     """Scoring requests built from silver trips (their 7 inputs + the observed duration)."""
     return silver.select(*[F.col(f.name).cast(f.dataType) for f in REQUEST_SCHEMA.fields], "duration_minutes")
