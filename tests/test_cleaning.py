@@ -140,3 +140,41 @@ def test_profiles(fixture_frame):
     c = profile.profile_columns(fixture_frame).collect()
     assert [r.column_name for r in c] == ["id", "feature1", "feature2", "feature3"]
     assert c[0].data_type == "bigint" and c[0].n_rows == 8 and c[1].n_non_null == 6
+
+
+def test_profiles_long_form_equals_wide_form(spark):
+    rows = [(i, None if i % 3 == 0 else float(i), float("nan") if i == 4 else i * 0.5, "s" if i % 2 else None) for i in range(30)]
+    df = spark.createDataFrame(rows, "a long, b double, c double, d string")
+    wide = {
+        "null": sorted(profile.null_profile(df).collect()),
+        "desc": sorted(profile.describe_numeric(df).collect()),
+        "cols": sorted(profile.profile_columns(df).collect()),
+    }
+    spark.conf.set("spark.sql.codegen.maxFields", "2")  # force the long form
+    try:
+        long = {
+            "null": sorted(profile.null_profile(df).collect()),
+            "desc": sorted(profile.describe_numeric(df).collect()),
+            "cols": sorted(profile.profile_columns(df).collect()),
+        }
+    finally:
+        spark.conf.unset("spark.sql.codegen.maxFields")
+    assert wide["null"] == long["null"] and wide["cols"] == long["cols"]
+    for x, y in zip(wide["desc"], long["desc"]):
+        assert x.column_name == y.column_name and x.n == y.n
+        for k in ("mean", "stddev", "min", "max"):
+            assert (x[k] is None and y[k] is None) or math.isclose(x[k], y[k], rel_tol=1e-12) or (math.isnan(x[k]) and math.isnan(y[k]))
+
+
+def test_pattern_plan_with_several_mask_words(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(11)
+    rows = [tuple(None if rnd.random() < p else rnd.randint(0, 5) for p in (0.02, 0.3, 0.01, 0.2, 0.04)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
+    expected = nulls.plan_null_policy_sequential(df)
+    monkeypatch.setattr(nulls, "MASK_BITS", 2)  # three mask words for five columns
+    got = nulls.plan_null_policy(df)
+    assert [(d.column, d.action, d.null_count, d.fill_value) for d in got.decisions] == [
+        (d.column, d.action, d.null_count, d.fill_value) for d in expected.decisions
+    ]

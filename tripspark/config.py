@@ -72,12 +72,19 @@ def app_key(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
-    ``spark.checkpoint.dir`` when the session names one; otherwise (local mode, tests) a fresh
-    temporary folder, registered as the checkpoint dir so ``DataFrame.checkpoint()`` works.
+    ``spark.checkpoint.dir`` when the session names one; otherwise, in local mode only (tests,
+    laptop runs), a fresh temporary folder registered as the checkpoint dir. On a cluster a
+    missing setting is an error, never a machine-local folder.
     """
     configured = _session_setting(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    master = _session_setting(spark, "spark.master") or "local"
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster, written tables and checkpoints need a "
+            "shared folder every executor can reach (a machine-local temp dir would split them)"
+        )
     key = app_key(spark)
     with _LOCK:
         root = _LOCAL_ROOTS.get(key)

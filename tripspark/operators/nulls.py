@@ -154,6 +154,19 @@ def column_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[st
     return {c: row[f"_m{i}"] for i, c in enumerate(cols)}
 
 
+MASK_BITS = 62
+
+
+def _decode(row, chunks: list[range], m: int) -> dict:
+    """Pattern row -> {'_cnt', '_s<i>', '_k<i>' (is column i null)}."""
+    out = row.asDict()
+    masks = [out.pop(f"_k{j}") for j in range(len(chunks))]  # read every mask before decoding
+    for mask, c in zip(masks, chunks):
+        for i in c:
+            out[f"_k{i}"] = bool((mask >> (i - c.start)) & 1)
+    return out
+
+
 def plan_null_policy(
     df: DataFrame,
     threshold_pct: float = DEFAULT_THRESHOLD_PCT,
@@ -163,13 +176,24 @@ def plan_null_policy(
     prepared = nan_to_null(df) if nan_as_null else df
     fields = prepared.schema.fields
     numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
-    hist = prepared.groupBy(*[F.col(f.name).isNull().alias(f"_k{i}") for i, f in enumerate(fields)]).agg(
+    # The null pattern travels as bit masks (62 columns per bigint key): few key fields, so the
+    # aggregate stays under the codegen field limit and the shuffle key stays small.
+    chunks = [range(s, min(s + MASK_BITS, len(fields))) for s in range(0, len(fields), MASK_BITS)]
+    keys = [
+        reduce(
+            lambda a, b: a + b,
+            [F.when(F.col(fields[i].name).isNull(), F.lit(1 << (i - c.start)).cast("long")).otherwise(F.lit(0).cast("long")) for i in c],
+        ).alias(f"_k{j}")
+        for j, c in enumerate(chunks)
+    ]
+    hist = prepared.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.sum(F.col(fields[i].name).cast("double")).alias(f"_s{i}") for i in sorted(numeric)],
     )
-    patterns = hist.limit(max_patterns + 1).collect()  # bounded: at most max_patterns + 1 small rows
-    if len(patterns) > max_patterns:
+    rows = hist.limit(max_patterns + 1).collect()  # bounded: at most max_patterns + 1 small rows
+    if len(rows) > max_patterns:
         return plan_null_policy_sequential(df, threshold_pct, nan_as_null)
+    patterns = [_decode(r, chunks, len(fields)) for r in rows]
 
     n = sum(p["_cnt"] for p in patterns)
     alive = list(patterns)

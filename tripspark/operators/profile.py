@@ -1,8 +1,13 @@
 """Column profiles (P7, N1, A8): one aggregate job each, reshaped to one row per column.
 
-Each profile is a single global aggregate (partial per partition, one tiny final merge), then an
-``inline`` of an array of structs turns the one wide row into one row per column. No per-column
-jobs, no driver loop over columns.
+Shape is chosen from the session's whole-stage-codegen field limit
+(``spark.sql.codegen.maxFields``, 100 by default):
+  * wide: one global aggregate with the per-column functions side by side, then ``inline`` of
+    an array of structs turns the single row into one row per column;
+  * long: when the aggregate buffer would exceed the limit (which silently drops the stage to
+    interpreted evaluation, measured ~5x slower per row), each row emits one (column, value)
+    entry per column and a ``groupBy(column)`` keeps a handful of buffer fields.
+Either way: one scan, partial aggregation, no per-column jobs, nothing large on the driver.
 """
 
 from __future__ import annotations
@@ -13,16 +18,54 @@ from pyspark.sql import functions as F
 from tripspark.schema import FLOATING_TYPES, is_numeric
 
 
+def codegen_field_budget(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
+    except Exception:  # noqa: BLE001
+        return 100
+
+
 def _rows(totals: DataFrame, entries: list[Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
+def _names(columns: list[str]) -> Column:
+    return F.array(*[F.lit(c) for c in columns])
+
+
 def _pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole)
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """column_name, position, null_count, nan_count, null_pct (null share of the row count)."""
+    fields = df.schema.fields
+    floating = [isinstance(f.dataType, FLOATING_TYPES) for f in fields]
+    if 1 + len(fields) + sum(floating) <= codegen_field_budget(df):
+        return _null_profile_wide(df)
+    entries = [
+        F.struct(
+            F.lit(i).alias("pos"),
+            F.col(f.name).isNull().alias("is_null"),
+            (F.isnan(f.name) if fl else F.lit(False)).alias("is_nan"),
+        )
+        for i, (f, fl) in enumerate(zip(fields, floating))
+    ]
+    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if("is_null").alias("null_count"),
+        F.count_if("is_nan").alias("nan_count"),
+    )
+    return stats.select(
+        F.element_at(_names([f.name for f in fields]), F.col("pos") + 1).alias("column_name"),
+        (F.col("pos") + 1).alias("position"),
+        "null_count",
+        "nan_count",
+        _pct(F.col("null_count"), F.col("_rows")).alias("null_pct"),
+    )
+
+
+def _null_profile_wide(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(fields):
@@ -48,24 +91,59 @@ def null_profile(df: DataFrame) -> DataFrame:
 def profile_columns(df: DataFrame) -> DataFrame:
     """Schema and shape: column_name, position, data_type, n_rows, n_columns, n_non_null."""
     fields = df.schema.fields
-    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(f.name).alias(f"_v{i}") for i, f in enumerate(fields)])
-    entries = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(i + 1).alias("position"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.col("_rows").alias("n_rows"),
-            F.lit(len(fields)).alias("n_columns"),
-            F.col(f"_v{i}").alias("n_non_null"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    return _rows(totals, entries)
+    n = len(fields)
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
+    if 1 + n <= codegen_field_budget(df):
+        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(f.name).alias(f"_v{i}") for i, f in enumerate(fields)])
+        entries = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(i + 1).alias("position"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.col("_rows").alias("n_rows"),
+                F.lit(n).alias("n_columns"),
+                F.col(f"_v{i}").alias("n_non_null"),
+            )
+            for i, f in enumerate(fields)
+        ]
+        return _rows(totals, entries)
+    entries = [F.struct(F.lit(i).alias("pos"), F.col(f.name).isNotNull().alias("present")) for i, f in enumerate(fields)]
+    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("present").alias("n_non_null")
+    )
+    return stats.select(
+        F.element_at(_names([f.name for f in fields]), F.col("pos") + 1).alias("column_name"),
+        (F.col("pos") + 1).alias("position"),
+        F.element_at(types, F.col("pos") + 1).alias("data_type"),
+        "n_rows",
+        F.lit(n).alias("n_columns"),
+        "n_non_null",
+    )
+
+
+# buffer fields per described column: count 1, avg 2, stddev 3, min 1, max 1
+_DESCRIBE_FIELDS = 8
 
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed ``describe()``: column_name, n, mean, stddev (sample), min, max as doubles."""
     cols = columns or [f.name for f in df.schema.fields if is_numeric(f.dataType)]
+    if _DESCRIBE_FIELDS * len(cols) <= codegen_field_budget(df):
+        return _describe_wide(df, cols)
+    entries = [F.struct(F.lit(i).alias("pos"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)]
+    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
+        F.count("x").alias("n"),
+        F.avg("x").alias("mean"),
+        F.stddev_samp("x").alias("stddev"),
+        F.min("x").alias("min"),
+        F.max("x").alias("max"),
+    )
+    return stats.select(
+        F.element_at(_names(cols), F.col("pos") + 1).alias("column_name"), "n", "mean", "stddev", "min", "max"
+    )
+
+
+def _describe_wide(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
