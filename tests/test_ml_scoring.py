@@ -109,3 +109,20 @@ def test_requests_frame_and_random_split(spark):
     a, b = ml.train_test_split(df, 0.7, method="random", seed=3)
     assert a.count() + b.count() == 1000
     assert ml.versioned_model_path("/m/", "gbt_duration_minutes", 2) == "/m/gbt_duration_minutes_v2"
+
+
+def test_stream_dedups_like_batch_silver(spark, tmp_path):
+    from tripspark.catalog import silver_plan, trips
+    from tripspark.operators.nulls import plan_null_policy
+    from tripspark.schema import TRIP_VIEW_SCHEMA
+    from tripspark.streaming.scoring import run_until_drained, scored_stream
+
+    land = str(tmp_path / "land")
+    t = trips(spark, SF001)
+    t.unionAll(t).write.parquet(land)  # every trip lands twice
+    bronze = spark.read.schema(TRIP_VIEW_SCHEMA).parquet(land)
+    model, _ = saved_model(spark, SF001, "gbt")
+    stream = scored_stream(spark, land, TRIP_VIEW_SCHEMA, plan_null_policy(bronze), model, dedup_within="1 hour")
+    out = run_until_drained(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
+    cols = ["trip_distance", "duration_minutes", "pickup_hour", "fare_amount"]
+    assert sorted(out.select(*cols).collect()) == sorted(silver_plan(spark, SF001).select(*cols).collect())

@@ -407,6 +407,9 @@ def q_prediction_log(spark, sf_dir):
     return scoring.append_prediction_log(scored, log_path, path, batch_id=f"silver-{_sf_name(sf_dir)}")
 
 
+STREAM_DEDUP_WINDOW = "1 hour"  # duplicates of a trip arriving within an hour of event time are dropped
+
+
 def q_stream_score(spark, sf_dir):
     from tripspark.operators.nulls import plan_null_policy
     from tripspark.streaming.scoring import run_until_drained, scored_stream
@@ -417,7 +420,7 @@ def q_stream_score(spark, sf_dir):
     plan = plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
     model, _ = saved_model(spark, sf_dir, "gbt")
     run = uuid.uuid4().hex[:12]
-    stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model)
+    stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model, dedup_within=STREAM_DEDUP_WINDOW)
     return run_until_drained(
         stream,
         table_path(spark, "stream", _sf_name(sf_dir), run, "scored"),

@@ -22,6 +22,9 @@ from tripspark.plans.silver import add_time_features
 from tripspark.schema import DURATION_COL, FEATURE_ORDER, PICKUP_COL
 
 
+EVENT_TIME = "_event_time"
+
+
 def scored_stream(
     spark: SparkSession,
     source_dir: str,
@@ -38,7 +41,14 @@ def scored_stream(
     raw = reader.load(source_dir)
     cleaned = null_plan.apply(raw)
     if dedup_within:
-        cleaned = cleaned.withWatermark(PICKUP_COL, dedup_within).dropDuplicatesWithinWatermark(cleaned.columns)
+        # watermarks need TIMESTAMP; a timestamp copy of the pickup time drives state eviction only
+        key = list(cleaned.columns)
+        cleaned = (
+            cleaned.withColumn(EVENT_TIME, F.col(PICKUP_COL).cast("timestamp"))
+            .withWatermark(EVENT_TIME, dedup_within)
+            .dropDuplicatesWithinWatermark(key)
+            .drop(EVENT_TIME)
+        )
     silver = filter_outliers(add_time_features(cleaned), rules)
     assembled = ml.assemble_features(silver.select(*FEATURE_ORDER, DURATION_COL, "payment_type"))
     scored = model.transform(assembled)
