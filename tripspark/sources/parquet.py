@@ -23,21 +23,21 @@ def read_table(
 ) -> DataFrame:
     """Scan a parquet file or directory.
 
-    With ``schema``: the footer schema of the dataset is checked against it (metadata only, no
-    data read) and the scan uses the declared schema, so a drifted file fails here with one
-    clear message rather than deep inside a job.
+    With ``schema``: the dataset is listed once, its footer schema is checked against the
+    declaration (metadata only), and the declared columns are projected in declared order and
+    spelling. A drifted file fails here with one clear message rather than deep inside a job.
+    Without footer validation the declared schema is imposed on the scan directly.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return spark.read.parquet(*paths)
-    if validate_footer:
-        found = spark.read.parquet(*paths).schema
-        report = compare_schema(found, schema)
-        if not report.ok:
-            raise SchemaMismatch(
-                f"{paths}: missing {list(report.missing)}, mistyped {list(report.mistyped)}"
-            )
-    return validate(spark.read.schema(schema).parquet(*paths), schema)
+    if not validate_footer:
+        return validate(spark.read.schema(schema).parquet(*paths), schema)
+    found = spark.read.parquet(*paths)
+    report = compare_schema(found.schema, schema)
+    if not report.ok:
+        raise SchemaMismatch(f"{paths}: missing {list(report.missing)}, mistyped {list(report.mistyped)}")
+    return validate(found, schema).select(*[f.name for f in schema.fields])
 
 
 def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
