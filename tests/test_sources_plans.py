@@ -88,3 +88,38 @@ def test_scale_conf_sizes_partitions():
     assert int(conf["spark.sql.shuffle.partitions"]) == 30 * 1024**4 // (256 * 1024**2)
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert int(scale_conf(1)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_relational_view_casts_to_declared_types(spark):
+    from decimal import Decimal
+
+    s = silver(spark, SF001)
+    r = jdbc.relational_view(s)
+    types = {f.name: f.dataType.simpleString() for f in r.schema.fields}
+    assert types["trip_distance"] == "decimal(6,2)" and types["fare_amount"] == "decimal(10,2)"
+    assert types["VendorID"] == "smallint" and types["duration_minutes"] == "int"
+    assert types["payment_type"] == "string"  # text in the test data: not forced to the numeric declaration
+    rows = r.collect()  # every cast evaluated: nothing overflows the declaration
+    assert len(rows) == s.count() and isinstance(rows[0].trip_distance, Decimal)
+
+
+def _exchange_children(plan: str) -> list[str]:
+    """For every Exchange in a physical plan string, the operator line right below it."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line or "Exchange SinglePartition" in line:
+            out.append(lines[i + 1] if i + 1 < len(lines) else "")
+    return out
+
+
+def test_every_shuffle_is_fed_by_a_map_side_aggregate(spark):
+    # a hot key (one hour with a third of the rows) or a row repeated for a third of the table is
+    # collapsed inside each map task: the exchange carries at most one row per key per task
+    for df in (
+        silver_plan(spark, SF001),
+        avg_duration_for_hour(silver(spark, SF001), -1),
+        correlation_long(silver_encoded(spark, SF001), SILVER_NUMERIC),
+    ):
+        children = _exchange_children(df._jdf.queryExecution().executedPlan().toString())
+        assert children and all("HashAggregate" in c for c in children), children

@@ -12,6 +12,9 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripspark.schema import SILVER_SINK_TYPES, is_numeric
 
 
 class SinkConfigError(ValueError):
@@ -68,8 +71,22 @@ def jdbc_sink_from_env(table: str, prefix: str = "TRIPSPARK_DB_") -> JdbcSink:
     return jdbc_sink(env.get(prefix + "URL"), table, env.get(prefix + "USER"), env.get(prefix + "PASSWORD"))
 
 
-def write_jdbc(df: DataFrame, sink: JdbcSink, mode: str = "overwrite") -> None:
-    df.write.format("jdbc").options(**sink.options()).mode(mode).save()
+def relational_view(df: DataFrame, types: dict | None = None) -> DataFrame:
+    """Cast columns to the relational declaration of the table (smallint ids, decimal(6,2)
+    distance, decimal(10,2) money). A value that does not fit raises (ANSI cast) instead of
+    being silently nulled, so a bad batch never reaches the table."""
+    declared = types or SILVER_SINK_TYPES
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def applies(c: str) -> bool:  # numeric -> numeric only; e.g. a text payment_type stays text
+        return c in declared and is_numeric(have[c]) and is_numeric(declared[c])
+
+    return df.select(*[F.col(c).cast(declared[c]).alias(c) if applies(c) else F.col(c) for c in df.columns])
+
+
+def write_jdbc(df: DataFrame, sink: JdbcSink, mode: str = "overwrite", declared_types: bool = True) -> None:
+    out = relational_view(df) if declared_types else df
+    out.write.format("jdbc").options(**sink.options()).mode(mode).save()
 
 
 def read_jdbc(spark: SparkSession, sink: JdbcSink, partition_column: str, lower: int, upper: int) -> DataFrame:
