@@ -6,6 +6,7 @@ aggregates are reported at 8 decimals (``report``), the precision the DuckDB ora
 
 from __future__ import annotations
 
+import hashlib
 import os
 import threading
 from collections.abc import Callable
@@ -57,7 +58,9 @@ def report(df: DataFrame, decimals: int = REPORT_DECIMALS) -> DataFrame:
 
 
 def _sf_name(sf_dir: str) -> str:
-    return os.path.basename(sf_dir.rstrip("/")) or "root"
+    """Folder name for tables derived from one data dir: basename + short hash of the full path."""
+    full = os.path.abspath(sf_dir.rstrip("/"))
+    return f"{os.path.basename(full) or 'root'}-{hashlib.sha1(full.encode()).hexdigest()[:8]}"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
