@@ -22,6 +22,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # streaming dedup state lives off-heap in RocksDB (large state, no GC pressure)
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 _LOCK = threading.Lock()
@@ -134,4 +136,5 @@ def scale_conf(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": SESSION_DEFAULTS["spark.sql.streaming.stateStore.providerClass"],
     }
