@@ -36,9 +36,9 @@ def test_encode_flag(spark):
 
 
 def test_last_path_segment(spark):
-    df = spark.createDataFrame([("../ml/Model/gbt_duration_minutes_v1",), ("a/b/",)], "p string")
+    df = spark.createDataFrame([("/lake/models/gbt_duration_minutes_v1",), ("a/b/",)], "p string")
     assert [r.s for r in df.select(last_path_segment("p").alias("s")).collect()] == ["gbt_duration_minutes_v1", "b"]
-    assert last_path_segment_of("../ml/Model/gbt_duration_minutes_v1") == "gbt_duration_minutes_v1"
+    assert last_path_segment_of("/lake/models/gbt_duration_minutes_v1") == "gbt_duration_minutes_v1"
 
 
 def _trip(dist=1.0, pc=1, dur=10, fare=5.0, total=6.0, rc=1):
