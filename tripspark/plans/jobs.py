@@ -54,7 +54,10 @@ def train_job(spark: SparkSession, silver: str, model_path: str, kind: str = "gb
     tm = train_duration_model(read_table(spark, silver), kind)
     ml.save_model(tm.model, model_path)
     version = model_path.rstrip("/").split("/")[-1]
-    return tm.metrics(version)
+    metrics = tm.metrics(version)
+    rows = metrics.collect()  # two rows: r2 and mae
+    tm.release()
+    return spark.createDataFrame(rows, metrics.schema)
 
 
 def score_job(spark: SparkSession, requests: str, model_path: str, log_path: str, batch_id: str, kind: str = "gbt", user_id: int | None = None) -> DataFrame:

@@ -38,6 +38,12 @@ class TrainedModel:
     kind: str
     model: object
     scored: DataFrame  # every row: features, labels, is_train, prediction, predicted_minutes
+    frame: DataFrame | None = None  # the persisted model frame
+
+    def release(self) -> None:
+        """Drop the persisted model frame (after the last use of ``scored``)."""
+        if self.frame is not None:
+            self.frame.unpersist()
 
     @property
     def predictions(self) -> DataFrame:
@@ -94,4 +100,4 @@ def train_duration_model(silver: DataFrame, kind: str = "gbt", **params) -> Trai
     model = estimator.fit(train)
     scored = model.transform(frame)
     minutes = from_log_target("prediction") if is_log else F.col("prediction")
-    return TrainedModel(kind, model, scored.withColumn("predicted_minutes", minutes))
+    return TrainedModel(kind, model, scored.withColumn("predicted_minutes", minutes), frame)
