@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tripspark.functions.trip import duration_minutes, encode_flag, last_path_segment, last_path_segment_of
 from tripspark.operators import aggregates

@@ -1,7 +1,6 @@
 """Schema checks, sinks, JDBC option builder, and plan shapes (pushdown, one job, one shuffle)."""
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
@@ -9,7 +8,7 @@ from tripspark.catalog import SILVER_NUMERIC, silver, silver_encoded, silver_pla
 from tripspark.config import table_path
 from tripspark.operators.aggregates import avg_duration_for_hour
 from tripspark.operators.correlation import correlation_long
-from tripspark.schema import SchemaMismatch, TRIP_VIEW_SCHEMA, normalize_names, validate
+from tripspark.schema import SchemaMismatch, normalize_names, validate
 from tripspark.sources import jdbc
 from tripspark.sources.parquet import land_bronze, read_table, table_counts
 

@@ -310,7 +310,7 @@ import uuid  # noqa: E402
 from tripspark.operators import ml  # noqa: E402
 from tripspark.plans import scoring  # noqa: E402
 from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model  # noqa: E402
-from tripspark.schema import DURATION_COL, FEATURE_ORDER  # noqa: E402
+from tripspark.schema import DURATION_COL  # noqa: E402
 
 _MODELS: dict[tuple[str, str, str], TrainedModel] = {}
 _MODELS_LOCK = threading.Lock()
