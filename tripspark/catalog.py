@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +17,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripspark.config import app_key, table_path
-from tripspark.functions.trip import encode_flag
-from tripspark.operators import aggregates, dedup, nulls, profile
+from tripspark.functions.trip import encode_flag, from_log_target, to_log_target
+from tripspark.operators import aggregates, dedup, ml, nulls, profile
 from tripspark.operators.correlation import correlation_long, correlation_wide
 from tripspark.operators.filters import filter_outliers, reject_reasons
-from tripspark.operators.histogram import histogram
+from tripspark.operators.histogram import approx_quantiles, histogram
+from tripspark.plans import scoring
 from tripspark.plans import sql as sqlforms
 from tripspark.plans.silver import add_time_features, build_silver, write_silver
-from tripspark.schema import TRIP_VIEW_SCHEMA
+from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model
+from tripspark.schema import DURATION_COL, TRIP_VIEW_SCHEMA
 from tripspark.sources.parquet import land_bronze, read_table, table_counts, write_overwrite
 from tripspark.sources.trips_view import load_trips
+from tripspark.streaming.scoring import run_until_drained, scored_stream
 
 REPORT_DECIMALS = 8
 
@@ -193,8 +197,6 @@ def q_encode_flag(spark, sf_dir):
 
 
 def q_log_target(spark, sf_dir):
-    from tripspark.functions.trip import from_log_target, to_log_target
-
     s = silver(spark, sf_dir)
     return report(
         s.select(
@@ -267,50 +269,8 @@ def q_histogram_lineitem_quantity(spark, sf_dir):
     return histogram(_table(spark, sf_dir, "lineitem"), "l_quantity", 5.0)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "scan_trips": q_scan_trips,
-    "bronze_counts": q_bronze_counts,
-    "roundtrip_parquet": q_roundtrip_parquet,
-    "silver_trips": q_silver_trips,
-    "null_profile": q_null_profile,
-    "null_profile_lineitem": q_null_profile_lineitem,
-    "profile_columns": q_profile_columns,
-    "describe_numeric": q_describe_numeric,
-    "describe_lineitem": q_describe_lineitem,
-    "duplicate_report": q_duplicate_report,
-    "drop_sparse_nulls": q_drop_sparse_nulls,
-    "impute_mean": q_impute_mean,
-    "impute_mode": q_impute_mode,
-    "impute_policy": q_impute_policy,
-    "dedup_rows": q_dedup_rows,
-    "distinct_months": q_distinct_months,
-    "time_features": q_time_features,
-    "encode_flag": q_encode_flag,
-    "log_target": q_log_target,
-    "outlier_filter": q_outlier_filter,
-    "outlier_reject_reasons": q_outlier_reject_reasons,
-    "avg_duration_by_hour": q_avg_duration_by_hour,
-    "avg_duration_one_hour": q_avg_duration_one_hour,
-    "avg_duration_out_of_range_hour": q_avg_duration_out_of_range_hour,
-    "avg_duration_one_hour_sql": q_avg_duration_one_hour_sql,
-    "payment_analysis": q_payment_analysis,
-    "payment_analysis_sql": q_payment_analysis_sql,
-    "avg_duration_by_category": q_avg_duration_by_category,
-    **{f"avg_duration_by_{c}": _by_column(c) for c in aggregates.CATEGORY_COLUMNS},
-    "corr_matrix": q_corr_matrix,
-    "corr_matrix_wide": q_corr_matrix_wide,
-    "duration_histogram": q_duration_histogram,
-    "histogram_lineitem_quantity": q_histogram_lineitem_quantity,
-}
-
-
 # ---------------------------------------------------------------- machine learning
-import uuid  # noqa: E402
 
-from tripspark.operators import ml  # noqa: E402
-from tripspark.plans import scoring  # noqa: E402
-from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model  # noqa: E402
-from tripspark.schema import DURATION_COL  # noqa: E402
 
 _MODELS: dict[tuple[str, str, str], TrainedModel] = {}
 _MODELS_LOCK = threading.Lock()
@@ -414,13 +374,10 @@ STREAM_DEDUP_WINDOW = "1 hour"  # duplicates of a trip arriving within an hour o
 
 
 def q_stream_score(spark, sf_dir):
-    from tripspark.operators.nulls import plan_null_policy
-    from tripspark.streaming.scoring import run_until_drained, scored_stream
-
     landing = table_path(spark, "landing", _sf_name(sf_dir), "trips")
     write_overwrite(trips(spark, sf_dir), landing)
     bronze = read_table(spark, landing, TRIP_VIEW_SCHEMA)
-    plan = plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
+    plan = nulls.plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
     model, _ = saved_model(spark, sf_dir, "gbt")
     run = uuid.uuid4().hex[:12]
     stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model, dedup_within=STREAM_DEDUP_WINDOW)
@@ -431,24 +388,6 @@ def q_stream_score(spark, sf_dir):
     )
 
 
-QUERIES.update(
-    {
-        "feature_frame": q_feature_frame,
-        "train_test_split": q_train_test_split,
-        "eval_r2": q_eval_r2,
-        "eval_mae": q_eval_mae,
-        "train_gbt_metrics": q_train_gbt_metrics,
-        "train_lr_metrics": q_train_lr_metrics,
-        "train_rf_metrics": q_train_rf_metrics,
-        "model_roundtrip": q_model_roundtrip,
-        "prediction_sample": q_prediction_sample,
-        "score_batch": q_score_batch,
-        "prediction_log": q_prediction_log,
-        "stream_score": q_stream_score,
-    }
-)
-
-
 # ---------------------------------------------------------------- previews, quantiles, plan report
 PREVIEW_ROWS = 20  # a preview is a top-k by pickup time: the limit is the feature
 
@@ -461,23 +400,62 @@ def q_preview_trips(spark, sf_dir):
 
 def q_duration_quantiles(spark, sf_dir):
     """Approximate quantiles of duration (bounded-memory sketch; no SQL twin)."""
-    from tripspark.operators.histogram import approx_quantiles
-
     return approx_quantiles(silver(spark, sf_dir), "duration_minutes", [0.01, 0.25, 0.5, 0.75, 0.99])
 
 
 def q_null_policy_plan(spark, sf_dir):
     """N2 decisions as a frame: per column null count, share, action and fill value."""
-    from tripspark.operators.nulls import plan_null_policy
-
-    plan = plan_null_policy(trips(spark, sf_dir))
+    plan = nulls.plan_null_policy(trips(spark, sf_dir))
     return report(plan.report(spark))
 
 
-QUERIES.update(
-    {
-        "preview_trips": q_preview_trips,
-        "duration_quantiles": q_duration_quantiles,
-        "null_policy_plan": q_null_policy_plan,
-    }
-)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "scan_trips": q_scan_trips,
+    "bronze_counts": q_bronze_counts,
+    "roundtrip_parquet": q_roundtrip_parquet,
+    "silver_trips": q_silver_trips,
+    "null_profile": q_null_profile,
+    "null_profile_lineitem": q_null_profile_lineitem,
+    "profile_columns": q_profile_columns,
+    "describe_numeric": q_describe_numeric,
+    "describe_lineitem": q_describe_lineitem,
+    "duplicate_report": q_duplicate_report,
+    "drop_sparse_nulls": q_drop_sparse_nulls,
+    "impute_mean": q_impute_mean,
+    "impute_mode": q_impute_mode,
+    "impute_policy": q_impute_policy,
+    "dedup_rows": q_dedup_rows,
+    "distinct_months": q_distinct_months,
+    "time_features": q_time_features,
+    "encode_flag": q_encode_flag,
+    "log_target": q_log_target,
+    "outlier_filter": q_outlier_filter,
+    "outlier_reject_reasons": q_outlier_reject_reasons,
+    "avg_duration_by_hour": q_avg_duration_by_hour,
+    "avg_duration_one_hour": q_avg_duration_one_hour,
+    "avg_duration_out_of_range_hour": q_avg_duration_out_of_range_hour,
+    "avg_duration_one_hour_sql": q_avg_duration_one_hour_sql,
+    "payment_analysis": q_payment_analysis,
+    "payment_analysis_sql": q_payment_analysis_sql,
+    "avg_duration_by_category": q_avg_duration_by_category,
+    **{f"avg_duration_by_{c}": _by_column(c) for c in aggregates.CATEGORY_COLUMNS},
+    "corr_matrix": q_corr_matrix,
+    "corr_matrix_wide": q_corr_matrix_wide,
+    "duration_histogram": q_duration_histogram,
+    "histogram_lineitem_quantity": q_histogram_lineitem_quantity,
+    "feature_frame": q_feature_frame,
+    "train_test_split": q_train_test_split,
+    "eval_r2": q_eval_r2,
+    "eval_mae": q_eval_mae,
+    "train_gbt_metrics": q_train_gbt_metrics,
+    "train_lr_metrics": q_train_lr_metrics,
+    "train_rf_metrics": q_train_rf_metrics,
+    "model_roundtrip": q_model_roundtrip,
+    "prediction_sample": q_prediction_sample,
+    "score_batch": q_score_batch,
+    "prediction_log": q_prediction_log,
+    "stream_score": q_stream_score,
+    "preview_trips": q_preview_trips,
+    "duration_quantiles": q_duration_quantiles,
+    "null_policy_plan": q_null_policy_plan,
+}
