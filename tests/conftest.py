@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,13 +14,9 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    scratch = tempfile.mkdtemp(prefix="tripspark-tests-")
-    s = build_session(
-        "local[*]",
-        app_name="tripspark-tests",
-        shuffle_partitions=8,
-        extra={"spark.checkpoint.dir": os.path.join(scratch, "shared")},
-    )
+    # spark.checkpoint.dir comes from the environment when it names one; otherwise the library
+    # falls back to a private temporary folder (local mode only)
+    s = build_session("local[*]", app_name="tripspark-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

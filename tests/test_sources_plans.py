@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from conftest import SF001
 from tripspark.catalog import SILVER_NUMERIC, silver, silver_encoded, silver_plan, trips
-from tripspark.config import table_path
+from tripspark.config import run_path
 from tripspark.operators.aggregates import avg_duration_for_hour
 from tripspark.operators.correlation import correlation_long
 from tripspark.schema import SchemaMismatch, normalize_names, validate
@@ -36,7 +36,7 @@ def test_read_table_checks_footer(spark, tmp_path):
 
 def test_bronze_landing_preserves_rows_and_columns(spark):
     t = trips(spark, SF001)
-    landed = land_bronze(t, table_path(spark, "test-bronze"))
+    landed = land_bronze(t, run_path(spark, "test-bronze"))
     assert landed.columns == t.columns
     r = table_counts(landed, "trips").collect()[0]
     assert (r.n_rows, r.n_columns) == (t.count(), 12)

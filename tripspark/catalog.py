@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripspark.config import app_key, table_path
+from tripspark.config import app_key, run_path
 from tripspark.functions.trip import encode_flag, from_log_target, to_log_target
 from tripspark.operators import aggregates, dedup, ml, nulls, profile
 from tripspark.operators.correlation import correlation_long, correlation_wide
@@ -95,7 +95,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _SILVER_LOCK:
         path = _SILVER.get(key)
         if path is None:
-            path = table_path(spark, "silver", _sf_name(sf_dir), "trips")
+            path = run_path(spark, "silver", _sf_name(sf_dir), "trips")
             write_overwrite(silver_plan(spark, sf_dir), path)
             _SILVER[key] = path
     return read_table(spark, path)
@@ -113,19 +113,19 @@ def q_scan_trips(spark, sf_dir):
 
 
 def q_bronze_counts(spark, sf_dir):
-    landed = land_bronze(trips(spark, sf_dir), table_path(spark, "bronze", _sf_name(sf_dir), "trips"))
+    landed = land_bronze(trips(spark, sf_dir), run_path(spark, "bronze", _sf_name(sf_dir), "trips"))
     return table_counts(landed, "trips")
 
 
 def q_roundtrip_parquet(spark, sf_dir):
-    path = table_path(spark, "roundtrip", _sf_name(sf_dir), "trips")
+    path = run_path(spark, "roundtrip", _sf_name(sf_dir), "trips")
     write_overwrite(trips(spark, sf_dir), path)
     return read_table(spark, path, TRIP_VIEW_SCHEMA)
 
 
 def q_silver_trips(spark, sf_dir):
     """J1 end to end: plan the null policy, build silver, write it, read it back."""
-    return write_silver(silver_plan(spark, sf_dir), table_path(spark, "silver_job", _sf_name(sf_dir), "trips"))
+    return write_silver(silver_plan(spark, sf_dir), run_path(spark, "silver_job", _sf_name(sf_dir), "trips"))
 
 
 # ---------------------------------------------------------------- profiles
@@ -289,7 +289,7 @@ def trained(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> TrainedModel
 
 
 def model_path(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> str:
-    return ml.versioned_model_path(table_path(spark, "models", _sf_name(sf_dir)), f"{kind}_duration_minutes", 1)
+    return ml.versioned_model_path(run_path(spark, "models", _sf_name(sf_dir)), f"{kind}_duration_minutes", 1)
 
 
 def saved_model(spark: SparkSession, sf_dir: str, kind: str = "gbt"):
@@ -366,7 +366,7 @@ def q_score_batch(spark, sf_dir):
 def q_prediction_log(spark, sf_dir):
     model, path = saved_model(spark, sf_dir, "gbt")
     scored = scoring.score_requests(scoring.requests_from_silver(silver(spark, sf_dir)), model)
-    log_path = table_path(spark, "prediction_log")
+    log_path = run_path(spark, "prediction_log")
     return scoring.append_prediction_log(scored, log_path, path, batch_id=f"silver-{_sf_name(sf_dir)}")
 
 
@@ -374,7 +374,7 @@ STREAM_DEDUP_WINDOW = "1 hour"  # duplicates of a trip arriving within an hour o
 
 
 def q_stream_score(spark, sf_dir):
-    landing = table_path(spark, "landing", _sf_name(sf_dir), "trips")
+    landing = run_path(spark, "landing", _sf_name(sf_dir), "trips")
     write_overwrite(trips(spark, sf_dir), landing)
     bronze = read_table(spark, landing, TRIP_VIEW_SCHEMA)
     plan = nulls.plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
@@ -383,11 +383,19 @@ def q_stream_score(spark, sf_dir):
     stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model, dedup_within=STREAM_DEDUP_WINDOW)
     return run_until_drained(
         stream,
-        table_path(spark, "stream", _sf_name(sf_dir), run, "scored"),
-        table_path(spark, "stream", _sf_name(sf_dir), run, "checkpoint"),
+        run_path(spark, "stream", _sf_name(sf_dir), run, "scored"),
+        run_path(spark, "stream", _sf_name(sf_dir), run, "checkpoint"),
+        state_partitions=_parallelism(spark),
     )
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext handle
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # ---------------------------------------------------------------- previews, quantiles, plan report
 PREVIEW_ROWS = 20  # a preview is a top-k by pickup time: the limit is the feature
 

@@ -117,6 +117,13 @@ def table_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tripspark", *parts])
 
 
+def run_path(spark: SparkSession, *parts: str) -> str:
+    """Location scoped to this application run: concurrent applications sharing the folder
+    never overwrite each other's derived tables."""
+    safe = "".join(ch if ch.isalnum() or ch in "-_." else "_" for ch in app_key(spark))
+    return table_path(spark, "runs", safe, *parts)
+
+
 def scale_conf(
     shuffle_input_bytes: int,
     target_partition_bytes: int = 256 * 1024 * 1024,

@@ -67,18 +67,30 @@ def start_stream_scoring(
     checkpoint_dir: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
+    """Start the parquet sink. ``state_partitions``: partitions of the dedup state; Spark fixes
+    this number in the checkpoint when the query first starts (AQE does not resize streaming
+    state), so size it for the state, not for the session's batch default."""
     writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).outputMode("append")
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start(sink_dir)
+    if state_partitions is None:
+        return writer.start(sink_dir)
+    conf = stream.sparkSession.conf
+    previous = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return writer.start(sink_dir)
+    finally:
+        conf.set("spark.sql.shuffle.partitions", previous)
 
 
-def run_until_drained(stream: DataFrame, sink_dir: str, checkpoint_dir: str) -> DataFrame:
+def run_until_drained(stream: DataFrame, sink_dir: str, checkpoint_dir: str, state_partitions: int | None = None) -> DataFrame:
     """availableNow: process every file present, stop, and return the sink as a batch table."""
-    q = start_stream_scoring(stream, sink_dir, checkpoint_dir, available_now=True)
+    q = start_stream_scoring(stream, sink_dir, checkpoint_dir, available_now=True, state_partitions=state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
