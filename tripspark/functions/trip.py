@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tripspark.fixed import FLAG_NO, FLAG_YES
 from tripspark.schema import DROPOFF_COL, DURATION_COL, PICKUP_COL
 
 
@@ -37,7 +38,7 @@ def time_feature_columns(pickup: str | Column = PICKUP_COL, dropoff: str | Colum
     }
 
 
-def encode_flag(c: str | Column, no: str = "N", yes: str = "Y") -> Column:
+def encode_flag(c: str | Column, no: str = FLAG_NO, yes: str = FLAG_YES) -> Column:
     """N -> 0, Y -> 1, anything else (including null) -> null."""
     col = _c(c)
     return F.when(col == no, F.lit(0)).when(col == yes, F.lit(1))

@@ -10,19 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripspark.fixed import CATEGORY_COLUMNS
 from tripspark.schema import DURATION_COL
 
-# The category columns of the reference's per-category duration report.
-CATEGORY_COLUMNS = (
-    "pickup_month",
-    "pickup_hour",
-    "pickup_day_week",
-    "store_and_fwd_flag",
-    "payment_type",
-    "RatecodeID",
-    "VendorID",
-)
-
 HOURS = range(0, 24)
 
 

@@ -12,15 +12,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripspark.fixed import EXCLUDED_RATECODE, MAX_DURATION_MINUTES, MAX_TRIP_DISTANCE
 from tripspark.schema import DURATION_COL
 
 
 @dataclass(frozen=True)
 class OutlierRules:
-    # The reference's bounds.
-    max_distance: float = 200.0
-    max_duration_minutes: int = 240
-    excluded_ratecode: int = 99
+    max_distance: float = MAX_TRIP_DISTANCE
+    max_duration_minutes: int = MAX_DURATION_MINUTES
+    excluded_ratecode: int = EXCLUDED_RATECODE
     duration_col: str = DURATION_COL
 
     def rules(self) -> list[tuple[str, Column]]:

@@ -24,13 +24,10 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.schema import FEATURE_ORDER
+from tripspark.fixed import FEATURE_ORDER, GBT_PARAMS, TRAIN_FRACTION
 
 FEATURES_COL = "features"
 
-# The reference's GBT settings (Spark defaults it relied on, seed 42).
-GBT_PARAMS = dict(maxIter=20, maxDepth=5, maxBins=32, stepSize=0.1, subsamplingRate=1.0, lossType="squared", seed=42)
-
 MODEL_CLASSES = {
     "gbt": GBTRegressionModel,
     "lr": LinearRegressionModel,
@@ -52,13 +49,13 @@ def vector_as_array(col: str = FEATURES_COL) -> Column:
     return vector_to_array(F.col(col), "float64")
 
 
-def hash_split_flag(columns: list[str], train_fraction: float = 0.7, seed: int = 42, resolution: int = 10000) -> Column:
+def hash_split_flag(columns: list[str], train_fraction: float = TRAIN_FRACTION, seed: int = 42, resolution: int = 10000) -> Column:
     """True for the train side; a pure function of the listed columns."""
     h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(resolution))
     return h < F.lit(int(round(train_fraction * resolution)))
 
 
-# 32-bit Fibonacci hashing constants (2^32 / golden ratio, 2^32, 2^31 - 1).
+# Constants of 32-bit Fibonacci hashing (2^32 / golden ratio, 2^32, 2^31 - 1).
 FIB_MULTIPLIER = 2654435761
 TWO_POW_32 = 4294967296
 MERSENNE_31 = 2147483647
@@ -75,13 +72,13 @@ def key_split_bucket(key: str | Column, buckets: int = 100) -> Column:
     return F.floor(h * F.lit(buckets) / F.lit(TWO_POW_32)).cast("int")
 
 
-def key_split_label(key: str | Column, train_fraction: float = 0.7, buckets: int = 100) -> Column:
+def key_split_label(key: str | Column, train_fraction: float = TRAIN_FRACTION, buckets: int = 100) -> Column:
     return F.when(key_split_bucket(key, buckets) < int(round(train_fraction * buckets)), F.lit("train")).otherwise(F.lit("test"))
 
 
 def train_test_split(
     df: DataFrame,
-    train_fraction: float = 0.7,
+    train_fraction: float = TRAIN_FRACTION,
     columns: list[str] | None = None,
     seed: int = 42,
     method: str = "hash",

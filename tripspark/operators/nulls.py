@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripspark.fixed import NULL_DROP_THRESHOLD_PCT
 from tripspark.schema import FLOATING_TYPES, INTEGRAL_TYPES, is_numeric
 
-DEFAULT_THRESHOLD_PCT = 5.0
+DEFAULT_THRESHOLD_PCT = NULL_DROP_THRESHOLD_PCT
 DEFAULT_MAX_PATTERNS = 4096
 
 

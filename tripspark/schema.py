@@ -12,32 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# The raw trip file as recorded by Spark, in file order (the order matters for
-# the sequential null policy).
-RAW_TRIP_SCHEMA = T.StructType(
-    [
-        T.StructField("VendorID", T.IntegerType()),
-        T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
-        T.StructField("tpep_dropoff_datetime", T.TimestampNTZType()),
-        T.StructField("passenger_count", T.LongType()),
-        T.StructField("trip_distance", T.DoubleType()),
-        T.StructField("RatecodeID", T.LongType()),
-        T.StructField("store_and_fwd_flag", T.StringType()),
-        T.StructField("PULocationID", T.IntegerType()),
-        T.StructField("DOLocationID", T.IntegerType()),
-        T.StructField("payment_type", T.LongType()),
-        T.StructField("fare_amount", T.DoubleType()),
-        T.StructField("extra", T.DoubleType()),
-        T.StructField("mta_tax", T.DoubleType()),
-        T.StructField("tip_amount", T.DoubleType()),
-        T.StructField("tolls_amount", T.DoubleType()),
-        T.StructField("improvement_surcharge", T.DoubleType()),
-        T.StructField("total_amount", T.DoubleType()),
-        T.StructField("congestion_surcharge", T.DoubleType()),
-        T.StructField("Airport_fee", T.DoubleType()),
-        T.StructField("cbd_congestion_fee", T.DoubleType()),
-    ]
-)
+from tripspark.fixed import FEATURE_ORDER, RAW_TRIP_COLUMNS
+
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+# The raw trip file, declared from the fixed column list.
+RAW_TRIP_SCHEMA = T.StructType([T.StructField(name, _TYPES[type_name]) for name, type_name in RAW_TRIP_COLUMNS])
 
 # The trips view derived from the test tables: 12 of the 20 raw columns, payment_type a string.
 TRIP_VIEW_SCHEMA = T.StructType(
@@ -73,17 +59,6 @@ DROPOFF_COL = "tpep_dropoff_datetime"
 DURATION_COL = "duration_minutes"
 TIME_FEATURE_COLS = (DURATION_COL, "pickup_hour", "pickup_day_week", "pickup_month")
 
-# Model input vector order.
-FEATURE_ORDER = (
-    "trip_distance",
-    "pickup_hour",
-    "pickup_month",
-    "Airport_fee",
-    "pickup_day_week",
-    "RatecodeID",
-    "fare_amount",
-)
-
 # Scoring request: the seven model inputs.
 REQUEST_SCHEMA = T.StructType(
     [
