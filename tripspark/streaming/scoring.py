@@ -3,8 +3,14 @@
 file source (declared schema) -> frozen null plan (fill values and drop columns decided on a
 batch: the policy is a whole-table operator and cannot be computed on an unbounded stream) ->
 optional dedup within a watermark -> time features -> outlier rules -> model -> parquet sink.
-Stateless unless dedup is asked for; the checkpoint makes the sink exactly-once across
-restarts and lost executors.
+The checkpoint makes the sink exactly-once across restarts and lost executors: a restarted
+query resumes at the first unprocessed file.
+
+Dedup (``dedup_within``) is off by default. A global distinct needs unbounded state on a
+stream; the bounded form keeps each trip for ``dedup_within`` of event time. Spark drops rows
+that arrive later than the watermark (event time older than the newest pickup seen minus the
+window) from a deduplicating stream, so enable it only when arrival delay is bounded by the
+window; without it the stream is stateless and never discards a row.
 """
 
 from __future__ import annotations
