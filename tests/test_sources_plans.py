@@ -8,7 +8,7 @@ from tripspark.catalog import SILVER_NUMERIC, silver, silver_encoded, silver_pla
 from tripspark.config import run_path
 from tripspark.operators.aggregates import avg_duration_for_hour
 from tripspark.operators.correlation import correlation_long
-from tripspark.schema import SchemaMismatch, normalize_names, validate
+from tripspark.schema import TRIP_VIEW_SCHEMA, SchemaMismatch, normalize_names, validate
 from tripspark.sources import jdbc
 from tripspark.sources.parquet import land_bronze, read_table, table_counts
 
@@ -36,10 +36,13 @@ def test_read_table_checks_footer(spark, tmp_path):
 
 def test_bronze_landing_preserves_rows_and_columns(spark):
     t = trips(spark, SF001)
-    landed = land_bronze(t, run_path(spark, "test-bronze"))
-    assert landed.columns == t.columns
+    report = land_bronze(t, run_path(spark, "test-bronze"))
+    landed = read_table(spark, report.path, TRIP_VIEW_SCHEMA)
+    assert landed.columns == t.columns and landed.count() == t.count()
+    assert (report.n_rows, report.n_columns) == (t.count(), 12)
+    assert report.null_counts["passenger_count"] == t.filter("passenger_count IS NULL").count() > 0
     r = table_counts(landed, "trips").collect()[0]
-    assert (r.n_rows, r.n_columns) == (t.count(), 12)
+    assert r.n_rows == report.n_rows
 
 
 def test_jdbc_options_validated_before_work():

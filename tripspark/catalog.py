@@ -27,7 +27,7 @@ from tripspark.plans import sql as sqlforms
 from tripspark.plans.silver import add_time_features, build_silver, write_silver
 from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model
 from tripspark.schema import DURATION_COL, TRIP_VIEW_SCHEMA
-from tripspark.sources.parquet import land_bronze, read_table, table_counts, write_overwrite
+from tripspark.sources.parquet import land_bronze, read_table, write_overwrite
 from tripspark.sources.trips_view import load_trips
 from tripspark.streaming.scoring import run_until_drained, scored_stream
 
@@ -113,8 +113,8 @@ def q_scan_trips(spark, sf_dir):
 
 
 def q_bronze_counts(spark, sf_dir):
-    landed = land_bronze(trips(spark, sf_dir), run_path(spark, "bronze", _sf_name(sf_dir), "trips"))
-    return table_counts(landed, "trips")
+    report = land_bronze(trips(spark, sf_dir), run_path(spark, "bronze", _sf_name(sf_dir), "trips"))
+    return report.frame(spark, "trips")
 
 
 def q_roundtrip_parquet(spark, sf_dir):

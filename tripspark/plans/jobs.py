@@ -28,9 +28,9 @@ from tripspark.sources.parquet import land_bronze, read_table, table_counts
 
 
 def bronze_job(spark: SparkSession, source: str, bronze: str, validate_raw: bool = True) -> DataFrame:
-    """Land the raw file(s) as-is; returns (table_name, n_rows, n_columns)."""
+    """Land the raw file(s) as-is; returns (table_name, n_rows, n_columns), observed during the write."""
     raw = read_table(spark, source, RAW_TRIP_SCHEMA if validate_raw else None)
-    return table_counts(land_bronze(raw, bronze), "bronze")
+    return land_bronze(raw, bronze).frame(spark, "bronze")
 
 
 def silver_job(

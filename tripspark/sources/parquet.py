@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,15 +66,29 @@ class LandingReport:
     path: str
     n_rows: int
     n_columns: int
+    null_counts: dict
 
+    def frame(self, spark: SparkSession, name: str) -> DataFrame:
+        """One row: table_name, n_rows, n_columns."""
+        return spark.createDataFrame([(name, self.n_rows, self.n_columns)], "table_name string, n_rows long, n_columns int")
 
-def land_bronze(df: DataFrame, path: str) -> DataFrame:
-    """Copy a raw frame as-is to the bronze folder and return the landed table (re-read).
 
-    Raw data is not cleaned here; the columns and their order are preserved.
+def land_bronze(df: DataFrame, path: str) -> LandingReport:
+    """Copy a raw frame as-is to the bronze folder (columns and order preserved, nothing cleaned).
+
+    The row count and per-column null counts are observed while the files are written (Spark
+    ``Observation``): one pass over the data, no re-read of what was just landed. Metrics come
+    from the successful task attempts only, so retried tasks do not double count.
     """
-    write_overwrite(df, path)
-    return read_table(df.sparkSession, path, df.schema)
+    obs = Observation("bronze_landing")
+    observed = df.observe(
+        obs,
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)],
+    )
+    write_overwrite(observed, path)
+    m = obs.get
+    return LandingReport(path, int(m["_rows"]), len(df.columns), {c: int(m[f"_n{i}"]) for i, c in enumerate(df.columns)})
 
 
 def table_counts(df: DataFrame, name: str) -> DataFrame:
