@@ -54,3 +54,25 @@ def test_silver_job_fails_fast_on_jdbc_config(monkeypatch):
     monkeypatch.delenv("TRIPSPARK_DB_URL", raising=False)
     with pytest.raises(jdbc.SinkConfigError):
         jobs.main(["silver", "--bronze", "/nonexistent", "--silver", "/nonexistent", "--jdbc-table", "silver_data"])
+
+
+def test_jobs_cli_end_to_end(spark, tmp_path, capsys):
+    import json
+
+    src = str(tmp_path / "raw")
+    _raw_file(spark, src)
+    paths = {n: str(tmp_path / n) for n in ("bronze", "silver", "log", "requests")}
+    model = str(tmp_path / "models" / "rf_duration_minutes_v3")
+    assert jobs.main(["bronze", "--source", src, "--bronze", paths["bronze"]]) == 0
+    assert jobs.main(["silver", "--bronze", paths["bronze"], "--silver", paths["silver"], "--partition-by", "pickup_month"]) == 0
+    assert jobs.main(["train", "--silver", paths["silver"], "--model-dir", model, "--kind", "rf"]) == 0
+    spark.read.parquet(paths["silver"]).select(
+        "trip_distance", "pickup_hour", "pickup_month", "Airport_fee", "pickup_day_week", "RatecodeID", "fare_amount"
+    ).write.parquet(paths["requests"])
+    assert jobs.main(["score", "--requests", paths["requests"], "--model", model, "--log", paths["log"], "--batch-id", "7", "--kind", "rf"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    by_name = {d.get("table_name"): d for d in lines if "table_name" in d}
+    assert by_name["bronze"]["n_columns"] == 20
+    assert by_name["silver"]["n_rows"] == by_name["prediction_log"]["n_rows"] > 0
+    assert {d["metric"] for d in lines if "metric" in d} == {"r2", "mae_minutes"}
+    assert all(d["version"] == "rf_duration_minutes_v3" for d in lines if "metric" in d)
