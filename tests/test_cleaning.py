@@ -117,14 +117,35 @@ def test_pattern_plan_equals_sequential_loop(spark):
     assert sorted(fast.apply(df).collect()) == sorted(slow.apply(df).collect())
 
 
-def test_pattern_cap_falls_back_to_loop(spark):
+def test_pattern_cap_falls_back_to_fixed_point(spark):
     rows = [(None if i % 2 else 1, None if i % 3 else 2, None if i % 5 else 3) for i in range(60)]
     df = spark.createDataFrame(rows, "a int, b int, c int")
     plan = nulls.plan_null_policy(df, max_patterns=2)
-    assert plan.method == "sequential"
+    assert plan.method == "fixed-point"
     assert plan.apply(df).filter("a is null or b is null or c is null").count() == 0
 
 
+def test_fixed_point_equals_sequential_with_cascading_drops(spark):
+    # b is above the threshold until a's drop removes most of its nulls; then c falls below it
+    # only after b is dropped: three discovery rounds.
+    rows = []
+    for i in range(1000):
+        a = None if i < 40 else 1.0  # 4 %: dropped
+        b = None if i < 70 else float(i % 3)  # 7 %, 3 % once a's rows are gone: dropped
+        c = None if 30 <= i < 90 else i % 4  # 6 %, then 2 % after a and b: dropped
+        d = None if i % 10 == 0 else i % 5  # fill
+        s = None if i % 9 == 0 else ("x" if i % 2 else "y")
+        rows.append((a, b, c, d, s))
+    df = spark.createDataFrame(rows, "a double, b double, c long, d long, s string")
+    fixed = nulls.plan_null_policy_fixed_point(df)
+    seq = nulls.plan_null_policy_sequential(df)
+    assert fixed.extra["passes"] >= 3
+    assert [(d.column, d.action, d.null_count, d.fill_value) for d in fixed.decisions] == [
+        (d.column, d.action, d.null_count, d.fill_value) for d in seq.decisions
+    ]
+    assert [d.action for d in seq.decisions] == ["drop", "drop", "drop", "fill_mean", "fill_mode"]
+
+
 def test_drop_sparse_nulls(spark):
     rows = [(None if i == 0 else i, None if i < 30 else i) for i in range(100)]
     df = spark.createDataFrame(rows, "a int, b int")

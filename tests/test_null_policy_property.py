@@ -19,6 +19,8 @@ def test_pattern_plan_matches_sequential(spark, data, threshold):
     df = spark.createDataFrame(data, "a int, b double, c string, d int")
     fast = nulls.plan_null_policy(df, threshold)
     slow = nulls.plan_null_policy_sequential(df, threshold)
+    fixed = nulls.plan_null_policy_fixed_point(df, threshold)
+    assert [(d.action, d.null_count) for d in fixed.decisions] == [(d.action, d.null_count) for d in slow.decisions]
     for x, y in zip(fast.decisions, slow.decisions):
         assert (x.column, x.action, x.null_count) == (y.column, y.action, y.null_count)
         if isinstance(x.fill_value, float):

@@ -15,8 +15,9 @@ Plan, instead of 1 + m counts and one job per fill:
   3. one more job, only if some non-numeric column needs a mode (all such columns together,
      via GROUPING SETS, each counting only rows alive at its step).
   4. apply as one filter + one projection: a narrow stage, no shuffle.
-If the pattern count exceeds a cap, the plan falls back to the column-by-column loop (still
-distributed, one aggregate per column).
+If the pattern count exceeds a cap, the plan falls back to a fixed-point form (one aggregate
+pass per round of drop discoveries, typically one or two; see ``plan_null_policy_fixed_point``).
+The column-by-column loop (``plan_null_policy_sequential``) is the reference semantics for tests.
 """
 
 from __future__ import annotations
@@ -193,7 +194,7 @@ def plan_null_policy(
     )
     rows = hist.limit(max_patterns + 1).collect()  # bounded: at most max_patterns + 1 small rows
     if len(rows) > max_patterns:
-        return plan_null_policy_sequential(df, threshold_pct, nan_as_null)
+        return plan_null_policy_fixed_point(df, threshold_pct, nan_as_null)
     patterns = [_decode(r, chunks, len(fields)) for r in rows]
 
     n = sum(p["_cnt"] for p in patterns)
@@ -240,6 +241,62 @@ def _resolve_modes(df: DataFrame, decisions: list[ColumnDecision], targets: list
     return out
 
 
+def plan_null_policy_fixed_point(
+    df: DataFrame,
+    threshold_pct: float = DEFAULT_THRESHOLD_PCT,
+    nan_as_null: bool = True,
+) -> NullPlan:
+    """The same decisions without the pattern histogram, for frames with too many null patterns.
+
+    Drops only remove rows, so a column's current null count can only fall as more earlier
+    columns are dropped. Start with no drops; in one aggregate pass compute, for every column,
+    its null count, sum and non-null count over the rows alive under the drops decided so far
+    (for earlier columns only); add every column now below the threshold; repeat until the drop
+    set is stable. The set never exceeds the true one and its fixed point is exactly the
+    sequential rule's (each pass is one scan; typically one or two).
+    """
+    prepared = nan_to_null(df) if nan_as_null else df
+    fields = prepared.schema.fields
+    numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
+    drops: set[int] = set()
+    passes = 0
+    while True:
+        passes += 1
+        aggs = [F.count(F.lit(1)).alias("_n")]
+        for j, f in enumerate(fields):
+            alive = _alive([fields[d].name for d in sorted(drops) if d < j])
+            aggs.append(F.count_if(F.col(f.name).isNull() & alive).alias(f"_k{j}"))
+            if j in numeric:
+                aggs.append(F.sum(F.when(alive, F.col(f.name).cast("double"))).alias(f"_s{j}"))
+                aggs.append(F.count(F.when(alive, F.col(f.name))).alias(f"_c{j}"))
+        row = prepared.agg(*aggs).collect()[0]  # one row
+        n = row["_n"]
+        grown = drops | {j for j in range(len(fields)) if row[f"_k{j}"] > 0 and n and row[f"_k{j}"] / n * 100.0 < threshold_pct}
+        if grown == drops:
+            break
+        drops = grown
+    decisions: list[ColumnDecision] = []
+    mode_targets: list[tuple[str, list[str]]] = []
+    for j, f in enumerate(fields):
+        k = row[f"_k{j}"]
+        base = dict(column=f.name, position=j + 1, data_type=f.dataType.simpleString(), null_count=k, null_pct=(k / n * 100.0) if n else 0.0)
+        if k == 0:
+            decisions.append(ColumnDecision(action="none", **base))
+        elif j in drops:
+            decisions.append(ColumnDecision(action="drop", **base))
+        elif j in numeric:
+            cnt = row[f"_c{j}"]
+            if not cnt:
+                decisions.append(ColumnDecision(action="unfillable", **base))
+            else:
+                decisions.append(ColumnDecision(action="fill_mean", fill_value=_mean_fill(row[f"_s{j}"] / cnt, f.dataType), **base))
+        else:
+            decisions.append(ColumnDecision(action="fill_mode", **base))
+            mode_targets.append((f.name, [fields[d].name for d in sorted(drops) if d < j]))
+    decisions = _resolve_modes(prepared, decisions, mode_targets)
+    return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, method="fixed-point", extra={"passes": passes})
+
+
 def plan_null_policy_sequential(df: DataFrame, threshold_pct: float = DEFAULT_THRESHOLD_PCT, nan_as_null: bool = True) -> NullPlan:
     """The column-by-column form of the rule: one aggregate per column with nulls.
 
