@@ -80,7 +80,7 @@ def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(load_trips(spark, sf_dir)).frame
 
 
-_SILVER: dict[tuple[str, str], str] = {}
+_SILVER: dict[tuple[str, str], tuple[str, T.StructType]] = {}
 _SILVER_LOCK = threading.Lock()
 
 
@@ -93,12 +93,14 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (app_key(spark), os.path.abspath(sf_dir))
     with _SILVER_LOCK:
-        path = _SILVER.get(key)
-        if path is None:
+        entry = _SILVER.get(key)
+        if entry is None:
             path = run_path(spark, "silver", _sf_name(sf_dir), "trips")
-            write_overwrite(silver_plan(spark, sf_dir), path)
-            _SILVER[key] = path
-    return read_table(spark, path)
+            plan = silver_plan(spark, sf_dir)
+            write_overwrite(plan, path)
+            entry = _SILVER[key] = (path, plan.schema)
+    path, schema = entry
+    return spark.read.schema(schema).parquet(path)
 
 
 def silver_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,4 +48,6 @@ def build_silver(
 def write_silver(silver: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write silver (overwrite) and return the table read back from storage."""
     write_overwrite(silver, path, partition_by)
-    return read_table(silver.sparkSession, path)
+    if partition_by:  # partition columns come back last from a partitioned layout
+        return read_table(silver.sparkSession, path).select(*silver.columns)
+    return silver.sparkSession.read.schema(silver.schema).parquet(path)  # schema known: no footer job
