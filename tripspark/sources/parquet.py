@@ -1,7 +1,8 @@
-"""Parquet scan and sinks (bronze landing, overwrite, append).
+"""Parquet scan and sinks (bronze landing, overwrite, idempotent partition append).
 
-Scans declare their schema, so nothing is inferred per file and the read is validated once;
-Catalyst then prunes columns and pushes filters into the scan.
+A scan is validated once against its declared schema (footer metadata, one listing) and then
+projects the declared columns; Catalyst prunes columns and pushes filters into the scan.
+Landing observes its counts while writing, so nothing is read back to be counted.
 """
 
 from __future__ import annotations
