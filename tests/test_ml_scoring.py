@@ -152,3 +152,26 @@ def test_stream_is_incremental_and_exactly_once(spark, tmp_path):
     from tripspark.plans.silver import add_time_features
 
     assert total == filter_outliers(add_time_features(plan.apply(t))).count() and total > first
+
+
+def test_regression_metrics_by_hand(spark):
+    rows = [(3.0, 2.5), (5.0, 5.0), (7.0, 8.0), (None, 1.0), (4.0, None)]
+    m = ml.regression_metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").collect()[0]
+    ys, ps = [3.0, 5.0, 7.0], [2.5, 5.0, 8.0]
+    ss_res = sum((y - p) ** 2 for y, p in zip(ys, ps))
+    mean = sum(ys) / 3
+    ss_tot = sum((y - mean) ** 2 for y in ys)
+    assert m.n == 3
+    assert m.r2 == pytest.approx(1 - ss_res / ss_tot, rel=1e-12)
+    assert m.mae == pytest.approx(sum(abs(y - p) for y, p in zip(ys, ps)) / 3, rel=1e-12)
+    assert m.rmse == pytest.approx((ss_res / 3) ** 0.5, rel=1e-12)
+    const = ml.regression_metrics(spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, p double"), "y", "p").collect()[0]
+    assert const.r2 is None  # constant label: R2 undefined, not an error
+
+
+def test_key_split_bucket_matches_integer_arithmetic(spark):
+    ids = [0, 1, 2, 7, 12345, 2147483646, 2147483647, 9_000_000_000_000]
+    df = spark.createDataFrame([(i,) for i in ids], "k long")
+    got = [r.b for r in df.select(ml.key_split_bucket("k").alias("b")).collect()]
+    expected = [((i % 2147483647) * 2654435761 % 4294967296) * 100 // 4294967296 for i in ids]
+    assert got == expected
