@@ -43,7 +43,7 @@ def silver_job(
     """Bronze -> silver parquet (-> JDBC table, from the written parquet). Returns the silver table."""
     raw = read_table(spark, bronze)
     result = build_silver(raw)
-    written = write_silver(result.frame, silver, partition_by)
+    written = write_silver(result.frame, silver, partition_by, sort_within=["pickup_hour"])
     if jdbc_sink is not None:
         jdbc.write_jdbc(written, jdbc_sink, mode="overwrite")
     return written
