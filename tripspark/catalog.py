@@ -373,11 +373,6 @@ def q_prediction_log(spark, sf_dir):
     return scoring.append_prediction_log(scored, log_path, path, batch_id=f"silver-{_sf_name(sf_dir)}")
 
 
-# Duplicates of a trip within an hour of event time are dropped. The landed folder is drained
-# in one micro-batch here, so no row can be late for the watermark.
-STREAM_DEDUP_WINDOW = "1 hour"
-
-
 def q_stream_score(spark, sf_dir):
     landing = run_path(spark, "landing", _sf_name(sf_dir), "trips")
     write_overwrite(trips(spark, sf_dir), landing)
@@ -385,7 +380,7 @@ def q_stream_score(spark, sf_dir):
     plan = nulls.plan_null_policy(bronze)  # frozen on the landed batch, applied to the stream
     model, _ = saved_model(spark, sf_dir, "gbt")
     run = uuid.uuid4().hex[:12]
-    stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model, dedup_within=STREAM_DEDUP_WINDOW)
+    stream = scored_stream(spark, landing, TRIP_VIEW_SCHEMA, plan, model)  # stateless: no row is ever late
     return run_until_drained(
         stream,
         run_path(spark, "stream", _sf_name(sf_dir), run, "scored"),
