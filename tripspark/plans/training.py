@@ -1,7 +1,8 @@
 """Train and evaluate a duration model on silver trips.
 
 silver -> 7 features (fixed order) -> vector -> label (log1p minutes for GBT, minutes for the
-linear and forest models) -> hash split -> fit -> score the test side -> metrics frame.
+linear and forest models) -> hash split -> fit on the train side -> score every row -> metrics on
+the test side.
 The training frame is persisted MEMORY_AND_DISK (tree learners scan it once per level), and
 the boosting lineage is checkpointed to the shared checkpoint dir every 10 iterations.
 """
