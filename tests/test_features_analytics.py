@@ -114,3 +114,20 @@ def test_histogram_and_quantiles(spark):
     assert h == {0.0: 5, 5.0: 5, 10.0: 5, 15.0: 5}
     q = {r.probability: r.value for r in approx_quantiles(df, "d", [0.5, 1.0]).collect()}
     assert q[1.0] == 19.0 and 8.0 <= q[0.5] <= 10.0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF001
+    from tripspark.catalog import silver_plan
+
+    def run():
+        s = silver_plan(spark, SF001)
+        return sorted(aggregates.avg_duration_by_hour(s).collect()), s.count()
+
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
