@@ -131,3 +131,23 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    from conftest import SF001
+    from tripspark.catalog import SILVER_NUMERIC, silver_plan, trips
+    from tripspark.operators import nulls
+
+    def run():
+        s = silver_plan(spark, SF001).withColumn("store_and_fwd_flag", encode_flag("store_and_fwd_flag"))
+        corr = sorted(correlation_long(s, SILVER_NUMERIC).collect())
+        plan = nulls.plan_null_policy(trips(spark, SF001))
+        return corr, [(d.column, d.action, d.fill_value) for d in plan.decisions], s.count()
+
+    on = run()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        off = run()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert on == off
