@@ -26,9 +26,10 @@ def test_metrics_equal_evaluator(spark, silver001):
     assert m["mae_minutes"] == pytest.approx(mae, rel=1e-12)
 
 
-def test_seeded_training_is_reproducible(spark, silver001):
-    a = {r.metric: r.value for r in train_duration_model(silver001, "rf").metrics().collect()}
-    b = {r.metric: r.value for r in train_duration_model(silver001, "rf").metrics().collect()}
+@pytest.mark.parametrize("kind", ["rf", "gbt"])
+def test_seeded_training_is_reproducible(spark, silver001, kind):
+    a = {r.metric: r.value for r in train_duration_model(silver001, kind).metrics().collect()}
+    b = {r.metric: r.value for r in train_duration_model(silver001, kind).metrics().collect()}
     assert a == b
 
 
