@@ -176,3 +176,23 @@ def test_key_split_bucket_matches_integer_arithmetic(spark):
     got = [r.b for r in df.select(ml.key_split_bucket("k").alias("b")).collect()]
     expected = [((i % 2147483647) * 2654435761 % 4294967296) * 100 // 4294967296 for i in ids]
     assert got == expected
+
+
+def test_stream_drains_a_backlog_in_bounded_batches(spark, tmp_path):
+    from tripspark.catalog import trips
+    from tripspark.operators.nulls import plan_null_policy
+    from tripspark.schema import TRIP_VIEW_SCHEMA
+    from tripspark.streaming.scoring import run_until_drained, scored_stream
+
+    land = str(tmp_path / "land")
+    t = trips(spark, SF001)
+    t.repartition(6).write.parquet(land)  # six files
+    plan = plan_null_policy(t)
+    model, _ = saved_model(spark, SF001, "gbt")
+    small = run_until_drained(
+        scored_stream(spark, land, TRIP_VIEW_SCHEMA, plan, model, max_files_per_trigger=2), str(tmp_path / "a"), str(tmp_path / "ca")
+    )
+    one = run_until_drained(scored_stream(spark, land, TRIP_VIEW_SCHEMA, plan, model), str(tmp_path / "b"), str(tmp_path / "cb"))
+    cols = ["trip_distance", "duration_minutes", "predicted_duration"]
+    assert sorted(small.select(*cols).collect()) == sorted(one.select(*cols).collect())
+    assert len(spark.read.text(str(tmp_path / "ca" / "offsets")).inputFiles()) >= 3  # three or more micro-batches

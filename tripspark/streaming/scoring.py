@@ -29,6 +29,7 @@ from tripspark.schema import DURATION_COL, FEATURE_ORDER, PICKUP_COL
 
 
 EVENT_TIME = "_event_time"
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 def scored_stream(
@@ -39,8 +40,11 @@ def scored_stream(
     model,
     rules: OutlierRules | None = None,
     dedup_within: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
+    """The scored stream. ``max_files_per_trigger`` bounds each micro-batch, so a backlog of
+    landed files is drained in several bounded batches (availableNow honours it) rather than
+    one batch the size of the backlog."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
