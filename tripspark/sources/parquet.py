@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripspark.config import app_key
 from tripspark.schema import SchemaMismatch, compare_schema, validate
 
+_VALIDATED: set = set()
+
 
 def read_table(
     spark: SparkSession,
@@ -32,12 +35,14 @@ def read_table(
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return spark.read.parquet(*paths)
-    if not validate_footer:
+    key = (app_key(spark), tuple(paths), schema.json())
+    if not validate_footer or key in _VALIDATED:
         return validate(spark.read.schema(schema).parquet(*paths), schema)
     found = spark.read.parquet(*paths)
     report = compare_schema(found.schema, schema)
     if not report.ok:
         raise SchemaMismatch(f"{paths}: missing {list(report.missing)}, mistyped {list(report.mistyped)}")
+    _VALIDATED.add(key)  # checked once per session; later opens skip the footer read
     return validate(found, schema).select(*[f.name for f in schema.fields])
 
 
