@@ -67,8 +67,9 @@ def pivot_wide(long_df: DataFrame, index: str, columns: str, values: str, column
     """Long -> wide: one row per ``index``, one column per listed value of ``columns``.
 
     The column values are passed explicitly, so Spark does not run a distinct job to find them.
+    Each cell holds one value, so ``max`` picks it deterministically (``first`` is not).
     """
-    return long_df.groupBy(index).pivot(columns, column_values).agg(F.first(values))
+    return long_df.groupBy(index).pivot(columns, column_values).agg(F.max(values))
 
 
 def correlation_wide(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
