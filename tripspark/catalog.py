@@ -278,7 +278,7 @@ def q_histogram_lineitem_quantity(spark, sf_dir):
 _MODELS: dict[tuple[str, str, str], TrainedModel] = {}
 _MODELS_LOCK = threading.Lock()
 
-# Fixed value: a plain distance-based baseline (minutes per distance unit) for the metric queries.
+# Our own baseline predictor for the metric queries (not a reference value): minutes per distance unit.
 BASELINE_MINUTES_PER_UNIT = 2.2
 
 
