@@ -127,8 +127,16 @@ def q_roundtrip_parquet(spark, sf_dir):
 
 
 def q_silver_trips(spark, sf_dir):
-    """J1 end to end: plan the null policy, build silver, write it, read it back."""
-    return write_silver(silver_plan(spark, sf_dir), run_path(spark, "silver_job", _sf_name(sf_dir), "trips"), sort_within=SILVER_SORT)
+    """J1 end to end: plan the null policy, build silver, write it, read it back.
+
+    Each run writes a new, never-overwritten table; the first one written in a session is also
+    the silver that later consumers read (the hand-off of the medallion layout).
+    """
+    path = run_path(spark, "silver_job", _sf_name(sf_dir), uuid.uuid4().hex[:12])
+    out = write_silver(silver_plan(spark, sf_dir), path, sort_within=SILVER_SORT)
+    with _SILVER_LOCK:
+        _SILVER.setdefault((app_key(spark), os.path.abspath(sf_dir)), (path, out.schema))
+    return out
 
 
 # ---------------------------------------------------------------- profiles
