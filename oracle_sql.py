@@ -287,6 +287,17 @@ def queries_sql() -> dict[str, str]:
     out["eval_mae"] = s + (
         f"SELECT count(y - p) AS n, round(avg(abs(y - p)), 8) AS mae, round(sqrt(sum((y - p) * (y - p)) / count(y - p)), 8) AS rmse FROM {base}"
     )
+    # Spark casts a double to decimal by rounding its printed (shortest) form half up; DuckDB rounds
+    # the binary value. Going through the printed form states Spark's rule in DuckDB.
+    def money(c: str, p: int) -> str:
+        return f"CAST(CAST({c} AS VARCHAR) AS DECIMAL({p},2)) AS {c}"
+
+    out["silver_relational"] = s + (
+        "SELECT CAST(VendorID AS SMALLINT) AS VendorID, CAST(passenger_count AS SMALLINT) AS passenger_count, "
+        f"{money('trip_distance', 6)}, CAST(RatecodeID AS SMALLINT) AS RatecodeID, store_and_fwd_flag, payment_type, "
+        f"{money('fare_amount', 10)}, {money('total_amount', 10)}, {money('Airport_fee', 10)}, "
+        f"{money('cbd_congestion_fee', 10)}, duration_minutes, pickup_hour, pickup_day_week, pickup_month FROM silver"
+    )
     out["preview_trips"] = t + (
         "SELECT * FROM trips ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance LIMIT 20"
     )

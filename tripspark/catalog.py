@@ -27,6 +27,7 @@ from tripspark.plans import sql as sqlforms
 from tripspark.plans.silver import add_time_features, build_silver, write_silver
 from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model
 from tripspark.schema import DURATION_COL, TRIP_VIEW_SCHEMA
+from tripspark.sources.jdbc import relational_view
 from tripspark.sources.parquet import land_bronze, read_table, write_overwrite
 from tripspark.sources.trips_view import load_trips
 from tripspark.streaming.scoring import run_until_drained, scored_stream
@@ -139,6 +140,12 @@ def q_silver_trips(spark, sf_dir):
     return out
 
 
+def q_silver_relational(spark, sf_dir):
+    """The silver rows as the relational sink would receive them (declared smallint /
+    decimal types); the JDBC write itself needs a database, which this environment has not."""
+    return relational_view(silver(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- profiles
 def q_null_profile(spark, sf_dir):
     return report(profile.null_profile(trips(spark, sf_dir)))
@@ -430,6 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_counts": q_bronze_counts,
     "roundtrip_parquet": q_roundtrip_parquet,
     "silver_trips": q_silver_trips,
+    "silver_relational": q_silver_relational,
     "null_profile": q_null_profile,
     "null_profile_lineitem": q_null_profile_lineitem,
     "profile_columns": q_profile_columns,
