@@ -54,6 +54,15 @@ LINEITEM_COLUMNS = [
     ("l_shipdate", "timestamp_ntz"),
 ]
 
+ORDERS_COLUMNS = [
+    ("o_orderkey", "bigint"),
+    ("o_custkey", "bigint"),
+    ("o_orderstatus", "string"),
+    ("o_totalprice", "double"),
+    ("o_orderdate", "timestamp_ntz"),
+    ("o_orderpriority", "string"),
+]
+
 NUMERIC = {"int", "bigint", "double"}
 
 
@@ -200,6 +209,8 @@ def queries_sql() -> dict[str, str]:
         "silver_trips": s + "SELECT * FROM silver",
         "null_profile": _null_profile("trips", TRIP_COLUMNS, t),
         "null_profile_lineitem": _null_profile("lineitem", LINEITEM_COLUMNS),
+        "null_profile_orders": _null_profile("orders", ORDERS_COLUMNS),
+        "describe_orders": _describe("orders", ORDERS_COLUMNS),
         "profile_columns": _profile_columns(),
         "describe_numeric": _describe("trips", TRIP_COLUMNS, t),
         "describe_lineitem": _describe("lineitem", LINEITEM_COLUMNS),

@@ -155,6 +155,14 @@ def q_null_profile_lineitem(spark, sf_dir):
     return report(profile.null_profile(_table(spark, sf_dir, "lineitem")))
 
 
+def q_null_profile_orders(spark, sf_dir):
+    return report(profile.null_profile(_table(spark, sf_dir, "orders")))
+
+
+def q_describe_orders(spark, sf_dir):
+    return report(profile.describe_numeric(_table(spark, sf_dir, "orders")))
+
+
 def q_profile_columns(spark, sf_dir):
     return profile.profile_columns(trips(spark, sf_dir))
 
@@ -440,9 +448,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_relational": q_silver_relational,
     "null_profile": q_null_profile,
     "null_profile_lineitem": q_null_profile_lineitem,
+    "null_profile_orders": q_null_profile_orders,
     "profile_columns": q_profile_columns,
     "describe_numeric": q_describe_numeric,
     "describe_lineitem": q_describe_lineitem,
+    "describe_orders": q_describe_orders,
     "duplicate_report": q_duplicate_report,
     "drop_sparse_nulls": q_drop_sparse_nulls,
     "impute_mean": q_impute_mean,
