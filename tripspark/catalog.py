@@ -408,17 +408,9 @@ def q_stream_score(spark, sf_dir):
         stream,
         run_path(spark, "stream", _sf_name(sf_dir), run, "scored"),
         run_path(spark, "stream", _sf_name(sf_dir), run, "checkpoint"),
-        state_partitions=_parallelism(spark),
     )
 
 
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext handle
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 # ---------------------------------------------------------------- previews, quantiles, plan report
 PREVIEW_ROWS = 20  # a preview is a top-k by pickup time: the limit is the feature
 
