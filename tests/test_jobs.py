@@ -76,3 +76,27 @@ def test_jobs_cli_end_to_end(spark, tmp_path, capsys):
     assert by_name["silver"]["n_rows"] == by_name["prediction_log"]["n_rows"] > 0
     assert {d["metric"] for d in lines if "metric" in d} == {"r2", "mae_minutes"}
     assert all(d["version"] == "rf_duration_minutes_v3" for d in lines if "metric" in d)
+
+
+def test_silver_over_a_raw_file_pushes_drop_and_outlier_filters(spark, tmp_path):
+    import contextlib
+    import io
+
+    from tripspark.plans.silver import build_silver
+
+    src = str(tmp_path / "raw")
+    _raw_file(spark, src)
+    res = build_silver(spark.read.parquet(src))
+    assert res.null_plan.nan_columns == frozenset()  # no NaN: floating columns pass through untouched
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        res.frame.explain("formatted")
+    pushed = next(line for line in buf.getvalue().splitlines() if line.startswith("PushedFilters"))
+    for f in (
+        "IsNotNull(cbd_congestion_fee)",
+        "GreaterThan(trip_distance,0.0)",
+        "LessThanOrEqual(trip_distance,200.0)",
+        "GreaterThan(fare_amount,0.0)",
+        "GreaterThan(total_amount,0.0)",
+    ):
+        assert f in pushed, pushed

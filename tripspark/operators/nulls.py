@@ -56,6 +56,8 @@ class NullPlan:
     nan_as_null: bool = True
     method: str = "pattern-histogram"
     extra: dict = field(default_factory=dict)
+    # floating columns seen holding NaN when planned; None = unknown, map every floating column
+    nan_columns: frozenset | None = None
 
     @property
     def drop_columns(self) -> list[str]:
@@ -65,9 +67,16 @@ class NullPlan:
     def fills(self) -> dict[str, object]:
         return {d.column: d.fill_value for d in self.decisions if d.action in ("fill_mean", "fill_mode")}
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        """One filter and one projection; usable on a batch or on a stream with the same schema."""
-        out = nan_to_null(df) if self.nan_as_null else df
+    def apply(self, df: DataFrame, all_floating: bool = False) -> DataFrame:
+        """One filter and one projection; usable on a batch or on a stream with the same schema.
+
+        NaN -> null is applied only to the floating columns that held NaN when the plan was made,
+        so the others reach the filter as plain columns and their predicates push down to the
+        scan. ``all_floating=True`` maps every floating column (for a stream, whose future
+        files may hold NaN anywhere).
+        """
+        only = None if (all_floating or self.nan_columns is None) else self.nan_columns
+        out = nan_to_null(df, only) if self.nan_as_null else df
         drops = self.drop_columns
         if drops:
             out = out.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops]))
@@ -103,9 +112,10 @@ def _literal(value: object, dt: T.DataType) -> Column:
     return F.lit(str(value)).cast(dt)
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN -> null in floating columns (na.drop / fillna treat NaN as null, isNull does not)."""
-    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES)]
+def nan_to_null(df: DataFrame, only: frozenset | set | None = None) -> DataFrame:
+    """NaN -> null in floating columns (na.drop / fillna treat NaN as null, isNull does not).
+    ``only``: restrict to these columns."""
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES) and (only is None or f.name in only)]
     if not floating:
         return df
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
@@ -175,8 +185,10 @@ def plan_null_policy(
     nan_as_null: bool = True,
     max_patterns: int = DEFAULT_MAX_PATTERNS,
 ) -> NullPlan:
-    prepared = nan_to_null(df) if nan_as_null else df
-    fields = prepared.schema.fields
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES)] if nan_as_null else []
+    flagged = df.withColumns({f"_isnan_{i}": F.isnan(c) for i, c in enumerate(floating)}) if floating else df
+    prepared = nan_to_null(flagged) if nan_as_null else flagged
+    fields = [f for f in prepared.schema.fields if not f.name.startswith("_isnan_")]
     numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
     # The null pattern travels as bit masks (62 columns per bigint key): few key fields, so the
     # aggregate stays under the codegen field limit and the shuffle key stays small.
@@ -191,11 +203,13 @@ def plan_null_policy(
     hist = prepared.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.sum(F.col(fields[i].name).cast("double")).alias(f"_s{i}") for i in sorted(numeric)],
+        *[F.count_if(F.col(f"_isnan_{i}")).alias(f"_nan{i}") for i in range(len(floating))],
     )
     rows = hist.limit(max_patterns + 1).collect()  # bounded: at most max_patterns + 1 small rows
     if len(rows) > max_patterns:
         return plan_null_policy_fixed_point(df, threshold_pct, nan_as_null)
     patterns = [_decode(r, chunks, len(fields)) for r in rows]
+    nan_columns = frozenset(c for i, c in enumerate(floating) if sum(p[f"_nan{i}"] for p in patterns) > 0)
 
     n = sum(p["_cnt"] for p in patterns)
     alive = list(patterns)
@@ -225,7 +239,9 @@ def plan_null_policy(
             mode_targets.append((f.name, list(drops_so_far)))
 
     decisions = _resolve_modes(prepared, decisions, mode_targets)
-    return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, extra={"patterns": len(patterns)})
+    return NullPlan(
+        n_rows=n, decisions=decisions, nan_as_null=nan_as_null, extra={"patterns": len(patterns)}, nan_columns=nan_columns
+    )
 
 
 def _resolve_modes(df: DataFrame, decisions: list[ColumnDecision], targets: list[tuple[str, list[str]]]) -> list[ColumnDecision]:

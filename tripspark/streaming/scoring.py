@@ -49,7 +49,7 @@ def scored_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(source_dir)
-    cleaned = null_plan.apply(raw)
+    cleaned = null_plan.apply(raw, all_floating=True)  # future files may hold NaN in any column
     if dedup_within:
         # watermarks need TIMESTAMP; a timestamp copy of the pickup time drives state eviction only
         key = list(cleaned.columns)
