@@ -72,6 +72,9 @@ def test_jobs_cli_end_to_end(spark, tmp_path, capsys):
     assert jobs.main(["score", "--requests", paths["requests"], "--model", model, "--log", paths["log"], "--batch-id", "7", "--kind", "rf"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     by_name = {d.get("table_name"): d for d in lines if "table_name" in d}
+    actions = {d["column"]: d["action"] for d in lines if "action" in d}
+    assert actions["cbd_congestion_fee"] == "drop" and actions["store_and_fwd_flag"] == "fill_mode"
+    assert actions["passenger_count"] == "fill_mean"
     assert by_name["bronze"]["n_columns"] == 20
     assert by_name["silver"]["n_rows"] == by_name["prediction_log"]["n_rows"] > 0
     assert {d["metric"] for d in lines if "metric" in d} == {"r2", "mae_minutes"}

@@ -39,10 +39,15 @@ def silver_job(
     silver: str,
     jdbc_sink: jdbc.JdbcSink | None = None,
     partition_by: list[str] | None = None,
+    decisions: list | None = None,
 ) -> DataFrame:
-    """Bronze -> silver parquet (-> JDBC table, from the written parquet). Returns the silver table."""
+    """Bronze -> silver parquet (-> JDBC table, from the written parquet). Returns the silver table;
+    the null-policy decisions (per column: nulls, share, action, fill value) are appended to
+    ``decisions`` when a list is given."""
     raw = read_table(spark, bronze)
     result = build_silver(raw)
+    if decisions is not None:
+        decisions.extend(result.null_plan.decisions)
     written = write_silver(result.frame, silver, partition_by, sort_within=["pickup_hour"])
     if jdbc_sink is not None:
         jdbc.write_jdbc(written, jdbc_sink, mode="overwrite")
@@ -95,7 +100,11 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "bronze":
         out = bronze_job(spark, args.source, args.bronze)
     elif args.job == "silver":
-        out = table_counts(silver_job(spark, args.bronze, args.silver, sink, args.partition_by), "silver")
+        decisions: list = []
+        out = table_counts(silver_job(spark, args.bronze, args.silver, sink, args.partition_by, decisions), "silver")
+        for d in decisions:  # the null policy's report, one line per column with nulls
+            if d.action != "none":
+                print(json.dumps({"column": d.column, "nulls": d.null_count, "null_pct": round(d.null_pct, 4), "action": d.action, "fill_value": d.fill_value}, default=str))
     elif args.job == "train":
         out = train_job(spark, args.silver, args.model_dir, args.kind)
     else:
