@@ -18,6 +18,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripspark.config import scale_conf
 from tripspark.operators import ml
 from tripspark.plans import scoring
 from tripspark.plans.silver import build_silver, write_silver
@@ -93,10 +94,19 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--log", required=True)
     c.add_argument("--batch-id", required=True)
     c.add_argument("--kind", default="gbt", choices=sorted(ml.MODEL_CLASSES))
+    for sp in (b, s, t, c):
+        sp.add_argument(
+            "--expected-shuffle-gb",
+            type=float,
+            help="size the session for a shuffle of this many GB (see config.scale_conf)",
+        )
     args = p.parse_args(argv)
 
     sink = jdbc.jdbc_sink_from_env(args.jdbc_table) if getattr(args, "jdbc_table", None) else None  # fail fast
     spark = SparkSession.builder.appName(f"tripspark-{args.job}").getOrCreate()
+    if args.expected_shuffle_gb:
+        for key, value in scale_conf(int(args.expected_shuffle_gb * 1024**3)).items():
+            spark.conf.set(key, value)
     if args.job == "bronze":
         out = bronze_job(spark, args.source, args.bronze)
     elif args.job == "silver":
