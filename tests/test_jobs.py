@@ -63,10 +63,16 @@ def test_jobs_cli_end_to_end(spark, tmp_path, capsys):
     _raw_file(spark, src)
     paths = {n: str(tmp_path / n) for n in ("bronze", "silver", "log", "requests")}
     model = str(tmp_path / "models" / "rf_duration_minutes_v3")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    assert jobs.main(["bronze", "--source", src, "--bronze", paths["bronze"], "--expected-shuffle-gb", "4"]) == 0
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "16"  # 4 GB / 256 MB
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    from tripspark.config import scale_conf
+
+    touched = list(scale_conf(1))
+    before = {k: spark.conf.get(k, None) for k in touched}
+    try:
+        assert jobs.main(["bronze", "--source", src, "--bronze", paths["bronze"], "--expected-shuffle-gb", "4"]) == 0
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"  # 4 GB / 256 MB
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert jobs.main(["silver", "--bronze", paths["bronze"], "--silver", paths["silver"], "--partition-by", "pickup_month"]) == 0
     assert jobs.main(["train", "--silver", paths["silver"], "--model-dir", model, "--kind", "rf"]) == 0
     spark.read.parquet(paths["silver"]).select(
