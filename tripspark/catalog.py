@@ -318,11 +318,23 @@ def model_path(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> str:
     return ml.versioned_model_path(run_path(spark, "models", _sf_name(sf_dir)), f"{kind}_duration_minutes", 1)
 
 
+_SAVED: dict[tuple[str, str, str], tuple[object, str]] = {}
+
+
 def saved_model(spark: SparkSession, sf_dir: str, kind: str = "gbt"):
-    """S8 then S9: save the fitted model to its versioned folder and load it back once."""
-    path = model_path(spark, sf_dir, kind)
-    ml.save_model(trained(spark, sf_dir, kind).model, path)
-    return ml.load_model(path, kind), path
+    """S8 then S9: save the fitted model to its versioned folder and load it back, once per
+    session; scoring queries share the loaded model (the reference loaded it per request)."""
+    key = (app_key(spark), os.path.abspath(sf_dir), kind)
+    with _MODELS_LOCK:
+        if key in _SAVED:
+            return _SAVED[key]
+    tm = trained(spark, sf_dir, kind)
+    with _MODELS_LOCK:
+        if key not in _SAVED:
+            path = model_path(spark, sf_dir, kind)
+            ml.save_model(tm.model, path)
+            _SAVED[key] = (ml.load_model(path, kind), path)
+        return _SAVED[key]
 
 
 def q_feature_frame(spark, sf_dir):
