@@ -151,3 +151,15 @@ def test_results_do_not_depend_on_ansi_mode(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert on == off
+
+
+def test_correlation_block_size_does_not_change_the_result(spark):
+    rows = [(float(i), 2.0 * i + (i % 3), 5.0, None if i % 4 == 0 else -float(i * i), i % 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, c double, z double, k int")
+    results = [
+        sorted(correlation_long(df, pairs_per_block=m).collect(), key=lambda r: (r.feature1, r.feature2)) for m in (1, 4, 100)
+    ]
+    for other in results[1:]:
+        assert [(r.feature1, r.feature2) for r in other] == [(r.feature1, r.feature2) for r in results[0]]
+        for a, b in zip(results[0], other):
+            assert (a.corr_value is None and b.corr_value is None) or abs(a.corr_value - b.corr_value) < 1e-12

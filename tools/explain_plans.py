@@ -25,7 +25,7 @@ KEYS = [
     ("avg_duration_one_hour_sql (bound parameter)", catalog.QUERIES["avg_duration_one_hour_sql"]),
     ("payment_analysis_sql (CTE)", catalog.QUERIES["payment_analysis_sql"]),
     ("avg_duration_by_category (grouping sets)", catalog.QUERIES["avg_duration_by_category"]),
-    ("corr_matrix (long-format grouped moments)", catalog.QUERIES["corr_matrix"]),
+    ("corr_matrix (blocked long-format grouped moments)", catalog.QUERIES["corr_matrix"]),
     ("null_profile (one aggregate)", catalog.QUERIES["null_profile"]),
     ("duplicate_report (one shuffle per table)", catalog.QUERIES["duplicate_report"]),
     ("preview_trips (distributed top-k)", catalog.QUERIES["preview_trips"]),

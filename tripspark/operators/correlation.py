@@ -1,7 +1,7 @@
 """Pairwise Pearson correlation (A5) in ONE aggregate job, and long -> wide pivot.
 
-The reference ran one job per ordered pair (22^2 = 484). Here every unordered pair a<b is one
-set of moments inside a single global aggregate (partial per partition, one small final merge),
+The reference ran one job per ordered pair (22^2 = 484). Here every unordered pair a<=b is one
+set of moments inside a single grouped aggregate (partial per partition, one small final merge),
 mirrored to both orders afterwards. Pairwise-complete: each side is nulled where the other is
 null. corr = covar_pop / sqrt(var_pop(x) * var_pop(y)), null when either side is constant
 (``corr`` itself raises DIVIDE_BY_ZERO under ANSI there).
@@ -19,36 +19,75 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _lit(name: str) -> str:
-    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+# aggregate buffer fields per pair: covar_pop (n, x avg, y avg, co-moment) + 2 x var_pop (n, avg, m2)
+_FIELDS_PER_PAIR = 10
 
 
-def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def correlation_long(df: DataFrame, columns: list[str] | None = None, pairs_per_block: int | None = None) -> DataFrame:
     """feature1, feature2, corr_value for every ordered pair (diagonal included).
 
-    Long form: each row emits one (pair, x, y) entry per unordered pair, masked to the rows
-    where both sides are present; ``groupBy(pair)`` then keeps 3 moments per pair. The aggregate
-    has a handful of buffer fields, so it stays inside whole-stage codegen (one wide aggregate
-    with 3 x #pairs functions exceeds the codegen field limit and runs interpreted, ~100x slower
-    per row). Partial aggregation leaves #pairs rows per task, so the shuffle is tiny.
+    Blocked long form: each row emits one entry per *block* of unordered pairs, each pair's two
+    sides masked to the rows where both are present; ``groupBy(block)`` keeps covar_pop and two
+    var_pop per pair. A block holds as many pairs as keep the aggregate buffer under the
+    whole-stage-codegen field limit (9 at the default limit of 100), so 13 columns give 11
+    entries per row (not 91, and not one wide aggregate of 273 functions, which would fall out of
+    codegen and run interpreted). Partial aggregation leaves #blocks rows per task for the shuffle.
     """
+    from tripspark.operators.profile import codegen_field_budget
+
     cols = columns or numeric_columns(df)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    m = pairs_per_block or max(1, (codegen_field_budget(df) - 2) // _FIELDS_PER_PAIR)
+    blocks = [pairs[k : k + m] for k in range(0, len(pairs), m)]
     entries = []
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            a, b = _q(cols[i]), _q(cols[j])
-            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
-            entries.append(
-                f"named_struct('i', {i}, 'j', {j}, "
-                f"'x', CASE WHEN {both} THEN CAST({a} AS DOUBLE) END, "
-                f"'y', CASE WHEN {both} THEN CAST({b} AS DOUBLE) END)"
+    for b, block in enumerate(blocks):
+        fields = [f"'b', {b}"]
+        for q in range(m):
+            if q < len(block):
+                a, c = _q(cols[block[q][0]]), _q(cols[block[q][1]])
+                both = f"{a} IS NOT NULL AND {c} IS NOT NULL"
+                fields.append(f"'x{q}', CASE WHEN {both} THEN CAST({a} AS DOUBLE) END")
+                fields.append(f"'y{q}', CASE WHEN {both} THEN CAST({c} AS DOUBLE) END")
+            else:  # padding: every struct in the array has the same fields
+                fields.append(f"'x{q}', CAST(NULL AS DOUBLE)")
+                fields.append(f"'y{q}', CAST(NULL AS DOUBLE)")
+        entries.append(f"named_struct({', '.join(fields)})")
+    rows = df.selectExpr(f"inline(array({', '.join(entries)}))")
+    moments = rows.groupBy("b").agg(
+        *[
+            agg
+            for q in range(m)
+            for agg in (
+                F.covar_pop(f"x{q}", f"y{q}").alias(f"cov{q}"),
+                F.var_pop(f"x{q}").alias(f"vx{q}"),
+                F.var_pop(f"y{q}").alias(f"vy{q}"),
+            )
+        ]
+    )
+    per_pair = moments.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        (F.col("b") * m + q).alias("p"),
+                        F.col(f"cov{q}").alias("cov"),
+                        F.col(f"vx{q}").alias("vx"),
+                        F.col(f"vy{q}").alias("vy"),
+                    )
+                    for q in range(m)
+                ]
             )
-    pairs = df.selectExpr(f"inline(array({', '.join(entries)}))")
-    moments = pairs.groupBy("i", "j").agg(
-        F.covar_pop("x", "y").alias("cov"),
-        F.var_pop("x").alias("vx"),
-        F.var_pop("y").alias("vy"),
+        )
+    ).filter(F.col("p") < len(pairs))
+    i_of = F.array(*[F.lit(i) for i, _ in pairs])
+    j_of = F.array(*[F.lit(j) for _, j in pairs])
+    indexed = per_pair.select(
+        F.element_at(i_of, F.col("p") + 1).alias("i"), F.element_at(j_of, F.col("p") + 1).alias("j"), "cov", "vx", "vy"
     )
+    return _mirror(indexed, cols)
+
+
+def _mirror(moments: DataFrame, cols: list[str]) -> DataFrame:
     corr = F.try_divide(F.col("cov"), F.nullif(F.sqrt(F.col("vx") * F.col("vy")), F.lit(0.0)))
     one = F.struct(F.col("i").alias("a"), F.col("j").alias("b"), corr.alias("c"))
     mirror = F.struct(F.col("j").alias("a"), F.col("i").alias("b"), corr.alias("c"))
