@@ -129,6 +129,26 @@ def _mean_fill(mean: float, dt: T.DataType) -> object:
     return float(mean)
 
 
+def _decide(f: T.StructField, position: int, k: int, n: int, dropped: bool, numeric: bool, mean: float | None) -> ColumnDecision:
+    """One column's decision from its current null count ``k`` (of ``n`` input rows): none when
+    it has no nulls, drop, fill with the mean (numeric; unfillable without any value), or fill
+    with the mode (value resolved by :func:`column_modes`)."""
+    base = dict(column=f.name, position=position, data_type=f.dataType.simpleString(), null_count=k, null_pct=(k / n * 100.0) if n else 0.0)
+    if k == 0:
+        return ColumnDecision(action="none", **base)
+    if dropped:
+        return ColumnDecision(action="drop", **base)
+    if numeric:
+        if mean is None:
+            return ColumnDecision(action="unfillable", **base)
+        return ColumnDecision(action="fill_mean", fill_value=_mean_fill(mean, f.dataType), **base)
+    return ColumnDecision(action="fill_mode", **base)
+
+
+def _below(k: int, n: int, threshold_pct: float) -> bool:
+    return k > 0 and n > 0 and k / n * 100.0 < threshold_pct
+
+
 def _alive(drop_columns: list[str]) -> Column:
     if not drop_columns:
         return F.lit(True)
@@ -218,24 +238,18 @@ def plan_null_policy(
     mode_targets: list[tuple[str, list[str]]] = []
     for i, f in enumerate(fields):
         k = sum(p["_cnt"] for p in alive if p[f"_k{i}"])
-        pct = (k / n * 100.0) if n else 0.0
-        base = dict(column=f.name, position=i + 1, data_type=f.dataType.simpleString(), null_count=k, null_pct=pct)
-        if k == 0:
-            decisions.append(ColumnDecision(action="none", **base))
-        elif pct < threshold_pct:
-            decisions.append(ColumnDecision(action="drop", **base))
-            alive = [p for p in alive if not p[f"_k{i}"]]
-            drops_so_far.append(f.name)
-        elif i in numeric:
+        dropped = _below(k, n, threshold_pct)
+        mean = None
+        if k and not dropped and i in numeric:
             present = [p for p in alive if not p[f"_k{i}"]]
             cnt = sum(p["_cnt"] for p in present)
-            if cnt == 0:
-                decisions.append(ColumnDecision(action="unfillable", **base))
-            else:
-                mean = math.fsum(p[f"_s{i}"] for p in present) / cnt
-                decisions.append(ColumnDecision(action="fill_mean", fill_value=_mean_fill(mean, f.dataType), **base))
-        else:
-            decisions.append(ColumnDecision(action="fill_mode", **base))
+            mean = math.fsum(p[f"_s{i}"] for p in present) / cnt if cnt else None
+        d = _decide(f, i + 1, k, n, dropped, i in numeric, mean)
+        decisions.append(d)
+        if d.action == "drop":
+            alive = [p for p in alive if not p[f"_k{i}"]]
+            drops_so_far.append(f.name)
+        elif d.action == "fill_mode":
             mode_targets.append((f.name, list(drops_so_far)))
 
     decisions = _resolve_modes(prepared, decisions, mode_targets)
@@ -287,28 +301,18 @@ def plan_null_policy_fixed_point(
                 aggs.append(F.count(F.when(alive, F.col(f.name))).alias(f"_c{j}"))
         row = prepared.agg(*aggs).collect()[0]  # one row
         n = row["_n"]
-        grown = drops | {j for j in range(len(fields)) if row[f"_k{j}"] > 0 and n and row[f"_k{j}"] / n * 100.0 < threshold_pct}
+        grown = drops | {j for j in range(len(fields)) if _below(row[f"_k{j}"], n, threshold_pct)}
         if grown == drops:
             break
         drops = grown
     decisions: list[ColumnDecision] = []
     mode_targets: list[tuple[str, list[str]]] = []
     for j, f in enumerate(fields):
-        k = row[f"_k{j}"]
-        base = dict(column=f.name, position=j + 1, data_type=f.dataType.simpleString(), null_count=k, null_pct=(k / n * 100.0) if n else 0.0)
-        if k == 0:
-            decisions.append(ColumnDecision(action="none", **base))
-        elif j in drops:
-            decisions.append(ColumnDecision(action="drop", **base))
-        elif j in numeric:
-            cnt = row[f"_c{j}"]
-            if not cnt:
-                decisions.append(ColumnDecision(action="unfillable", **base))
-            else:
-                decisions.append(ColumnDecision(action="fill_mean", fill_value=_mean_fill(row[f"_s{j}"] / cnt, f.dataType), **base))
-        else:
-            decisions.append(ColumnDecision(action="fill_mode", **base))
-            mode_targets.append((f.name, [fields[d].name for d in sorted(drops) if d < j]))
+        mean = (row[f"_s{j}"] / row[f"_c{j}"] if row[f"_c{j}"] else None) if j in numeric else None
+        d = _decide(f, j + 1, row[f"_k{j}"], n, j in drops, j in numeric, mean)
+        decisions.append(d)
+        if d.action == "fill_mode":
+            mode_targets.append((f.name, [fields[x].name for x in sorted(drops) if x < j]))
     decisions = _resolve_modes(prepared, decisions, mode_targets)
     return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, method="fixed-point", extra={"passes": passes})
 
@@ -327,29 +331,20 @@ def plan_null_policy_sequential(df: DataFrame, threshold_pct: float = DEFAULT_TH
     drops: list[str] = []
     for i, f in enumerate(fields):
         if first[f"_k{i}"] == 0:  # a column without nulls never gains any
-            decisions.append(ColumnDecision(f.name, i + 1, f.dataType.simpleString(), 0, 0.0, "none"))
+            decisions.append(_decide(f, i + 1, 0, n, False, is_numeric(f.dataType), None))
             continue
         frame = current.filter(_alive(drops)) if drops else current
         stats = frame.agg(
             F.count_if(F.col(f.name).isNull()).alias("k"),
             (F.avg(F.col(f.name).cast("double")) if is_numeric(f.dataType) else F.lit(None)).alias("mean"),
         ).collect()[0]
-        k = stats["k"]
-        pct = (k / n * 100.0) if n else 0.0
-        base = dict(column=f.name, position=i + 1, data_type=f.dataType.simpleString(), null_count=k, null_pct=pct)
-        if k == 0:
-            decisions.append(ColumnDecision(action="none", **base))
-        elif pct < threshold_pct:
-            decisions.append(ColumnDecision(action="drop", **base))
+        d = _decide(f, i + 1, stats["k"], n, _below(stats["k"], n, threshold_pct), is_numeric(f.dataType), stats["mean"])
+        if d.action == "drop":
             drops.append(f.name)
-        elif is_numeric(f.dataType):
-            if stats["mean"] is None:
-                decisions.append(ColumnDecision(action="unfillable", **base))
-            else:
-                decisions.append(ColumnDecision(action="fill_mean", fill_value=_mean_fill(stats["mean"], f.dataType), **base))
-        else:
+        elif d.action == "fill_mode":
             value = column_modes(current, [(f.name, list(drops))])[f.name]
-            decisions.append(ColumnDecision(action="fill_mode" if value is not None else "unfillable", fill_value=value, **base))
+            d = ColumnDecision(**{**d.__dict__, "action": "fill_mode" if value is not None else "unfillable", "fill_value": value})
+        decisions.append(d)
     return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, method="sequential")
 
 
