@@ -171,20 +171,22 @@ def test_profiles_long_form_equals_wide_form(spark):
         "desc": sorted(profile.describe_numeric(df).collect()),
         "cols": sorted(profile.profile_columns(df).collect()),
     }
-    spark.conf.set("spark.sql.codegen.maxFields", "2")  # force the long form
-    try:
-        long = {
-            "null": sorted(profile.null_profile(df).collect()),
-            "desc": sorted(profile.describe_numeric(df).collect()),
-            "cols": sorted(profile.profile_columns(df).collect()),
-        }
-    finally:
-        spark.conf.unset("spark.sql.codegen.maxFields")
-    assert wide["null"] == long["null"] and wide["cols"] == long["cols"]
-    for x, y in zip(wide["desc"], long["desc"]):
-        assert x.column_name == y.column_name and x.n == y.n
-        for k in ("mean", "stddev", "min", "max"):
-            assert (x[k] is None and y[k] is None) or math.isclose(x[k], y[k], rel_tol=1e-12) or (math.isnan(x[k]) and math.isnan(y[k]))
+    for limit in ("2", "20"):  # force the long form: blocks of one column, then of two
+        spark.conf.set("spark.sql.codegen.maxFields", limit)
+        try:
+            long = {
+                "null": sorted(profile.null_profile(df).collect()),
+                "desc": sorted(profile.describe_numeric(df).collect()),
+                "cols": sorted(profile.profile_columns(df).collect()),
+            }
+        finally:
+            spark.conf.unset("spark.sql.codegen.maxFields")
+        assert wide["null"] == long["null"] and wide["cols"] == long["cols"]
+        assert len(wide["desc"]) == len(long["desc"]) == 3
+        for x, y in zip(wide["desc"], long["desc"]):
+            assert x.column_name == y.column_name and x.n == y.n
+            for k in ("mean", "stddev", "min", "max"):
+                assert (x[k] is None and y[k] is None) or math.isclose(x[k], y[k], rel_tol=1e-12) or (math.isnan(x[k]) and math.isnan(y[k]))
 
 
 def test_pattern_plan_with_several_mask_words(spark, monkeypatch):

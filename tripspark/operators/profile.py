@@ -128,17 +128,51 @@ _DESCRIBE_FIELDS = 8
 def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed ``describe()``: column_name, n, mean, stddev (sample), min, max as doubles."""
     cols = columns or [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    if _DESCRIBE_FIELDS * len(cols) <= codegen_field_budget(df):
+    budget = codegen_field_budget(df)
+    if _DESCRIBE_FIELDS * len(cols) <= budget:
         return _describe_wide(df, cols)
-    entries = [F.struct(F.lit(i).alias("pos"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)]
-    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
-        F.count("x").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("stddev"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
+    # blocked long form: each row emits one entry per block of m columns (m as large as the
+    # codegen field limit allows: 12 at the default), grouped by block
+    m = max(1, (budget - 2) // _DESCRIBE_FIELDS)
+    blocks = [cols[k : k + m] for k in range(0, len(cols), m)]
+    entries = [
+        F.struct(
+            F.lit(b).alias("b"),
+            *[(F.col(block[q]).cast("double") if q < len(block) else F.lit(None).cast("double")).alias(f"x{q}") for q in range(m)],
+        )
+        for b, block in enumerate(blocks)
+    ]
+    stats = df.select(F.inline(F.array(*entries))).groupBy("b").agg(
+        *[
+            agg
+            for q in range(m)
+            for agg in (
+                F.count(f"x{q}").alias(f"n{q}"),
+                F.avg(f"x{q}").alias(f"mean{q}"),
+                F.stddev_samp(f"x{q}").alias(f"sd{q}"),
+                F.min(f"x{q}").alias(f"lo{q}"),
+                F.max(f"x{q}").alias(f"hi{q}"),
+            )
+        ]
     )
-    return stats.select(
+    per_column = stats.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        (F.col("b") * m + q).alias("pos"),
+                        F.col(f"n{q}").alias("n"),
+                        F.col(f"mean{q}").alias("mean"),
+                        F.col(f"sd{q}").alias("stddev"),
+                        F.col(f"lo{q}").alias("min"),
+                        F.col(f"hi{q}").alias("max"),
+                    )
+                    for q in range(m)
+                ]
+            )
+        )
+    ).filter(F.col("pos") < len(cols))
+    return per_column.select(
         F.element_at(_names(cols), F.col("pos") + 1).alias("column_name"), "n", "mean", "stddev", "min", "max"
     )
 
