@@ -201,3 +201,17 @@ def test_pattern_plan_with_several_mask_words(spark, monkeypatch):
     assert [(d.column, d.action, d.null_count, d.fill_value) for d in got.decisions] == [
         (d.column, d.action, d.null_count, d.fill_value) for d in expected.decisions
     ]
+
+
+def test_null_profile_blocks_with_padding(spark):
+    cols = ", ".join(f"c{i} {'double' if i % 2 else 'int'}" for i in range(10))
+    rows = [tuple((None if (r + i) % (i + 2) == 0 else (float(r) if i % 2 else r)) for i in range(10)) for r in range(25)]
+    rows[3] = tuple(float("nan") if i % 2 else v for i, v in enumerate(rows[3]))
+    df = spark.createDataFrame(rows, cols)
+    wide = sorted(profile.null_profile(df).collect())
+    spark.conf.set("spark.sql.codegen.maxFields", "12")  # 1 + 10 + 5 > 12: blocks of 4 columns, last one padded
+    try:
+        blocked = sorted(profile.null_profile(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.codegen.maxFields")
+    assert blocked == wide and len(wide) == 10

@@ -41,22 +41,36 @@ def null_profile(df: DataFrame) -> DataFrame:
     """column_name, position, null_count, nan_count, null_pct (null share of the row count)."""
     fields = df.schema.fields
     floating = [isinstance(f.dataType, FLOATING_TYPES) for f in fields]
-    if 1 + len(fields) + sum(floating) <= codegen_field_budget(df):
+    budget = codegen_field_budget(df)
+    if 1 + len(fields) + sum(floating) <= budget:
         return _null_profile_wide(df)
-    entries = [
-        F.struct(
-            F.lit(i).alias("pos"),
-            F.col(f.name).isNull().alias("is_null"),
-            (F.isnan(f.name) if fl else F.lit(False)).alias("is_nan"),
-        )
-        for i, (f, fl) in enumerate(zip(fields, floating))
-    ]
-    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
+    # blocked long form: one entry per block of m columns, two counters per column
+    m = max(1, (budget - 3) // 2)
+    blocks = [list(range(k, min(k + m, len(fields)))) for k in range(0, len(fields), m)]
+
+    def flags(q: int, block: list[int]) -> list[Column]:
+        if q >= len(block):
+            return [F.lit(False).alias(f"null{q}"), F.lit(False).alias(f"nan{q}")]
+        f, fl = fields[block[q]], floating[block[q]]
+        return [F.col(f.name).isNull().alias(f"null{q}"), (F.isnan(f.name) if fl else F.lit(False)).alias(f"nan{q}")]
+
+    entries = [F.struct(F.lit(b).alias("b"), *[c for q in range(m) for c in flags(q, block)]) for b, block in enumerate(blocks)]
+    stats = df.select(F.inline(F.array(*entries))).groupBy("b").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count_if("is_null").alias("null_count"),
-        F.count_if("is_nan").alias("nan_count"),
+        *[a for q in range(m) for a in (F.count_if(f"null{q}").alias(f"n{q}"), F.count_if(f"nan{q}").alias(f"x{q}"))],
     )
-    return stats.select(
+    per_column = stats.select(
+        "_rows",
+        F.inline(
+            F.array(
+                *[
+                    F.struct((F.col("b") * m + q).alias("pos"), F.col(f"n{q}").alias("null_count"), F.col(f"x{q}").alias("nan_count"))
+                    for q in range(m)
+                ]
+            )
+        ),
+    ).filter(F.col("pos") < len(fields))
+    return per_column.select(
         F.element_at(_names([f.name for f in fields]), F.col("pos") + 1).alias("column_name"),
         (F.col("pos") + 1).alias("position"),
         "null_count",
