@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripspark.fixed import FEATURE_ORDER, RAW_TRIP_COLUMNS
+from tripspark.fixed import FEATURE_ORDER, RAW_TRIP_COLUMNS  # noqa: F401 - FEATURE_ORDER re-exported
 
 _TYPES = {
     "int": T.IntegerType(),
