@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import chat_format
+from tripspark.llm import chat_format, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_counts(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 #: The contract's additional conversation: control strings inside texts.
 ESCAPE_CASE = r"\### Assistant: </turn> ok"
 
@@ -30,6 +34,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_mix_sources": op4_mix_sources,
     "op8_chat_format": op8_chat_format,
 }
 
