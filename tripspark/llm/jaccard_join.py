@@ -304,7 +304,7 @@ def t_occurrence_links(sets: list[np.ndarray], together: list[int], threshold: t
             count = count + (run[spot] == found)
         for j, c in zip(found.tolist(), count.tolist(), strict=True):
             if den * c >= num * (n + int(size[j]) - c) and forest.join(j, k):
-                links.append((order[j], i))
+                links.append((order[j], order[k]))
     return links
 
 
