@@ -20,31 +20,28 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     minima are gathered by node (combined before the shuffle), so a node may have any number of links. Each
     round is written to the shared folder.
     """
-    links = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
-    links, state = _settled(links)
-    while True:
+    links = materialize(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links")
+    while not _only_stars(links):
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         near = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(near, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        links, now = _settled(small.unionByName(near.withColumnRenamed("m", "b")).distinct())
-        if now == state:
-            break
-        state = now
+        links = materialize(small.unionByName(near.withColumnRenamed("m", "b")).distinct(), "links")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def _settled(links: DataFrame) -> tuple[DataFrame, tuple]:
-    """The links, written; their number and a checksum, by which two rounds are compared."""
-    written = materialize(links, "links")
-    row = written.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 31)))).first()
-    return written, tuple(row)
+def _only_stars(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, or none and only larger ones: then the smaller ones are the components."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
-def block_pairs(members: DataFrame, group: str, weight: str, block_weight: int, member: str, crossing: bool) -> DataFrame:
+def block_pairs(members: DataFrame, group: str, weight: str, block_weight: int, member: str, crossing: bool, keep_block: bool = False) -> DataFrame:
     """Deal the members of each group into blocks of about ``block_weight`` and add the columns ``bi, bj``: for each
     pair of blocks (``crossing``) or each block by itself, the members of both. A group below the weight is one block."""
     totals = members.groupBy(group).agg(F.ceil(F.sum(weight) / block_weight).alias("blocks"))
@@ -52,7 +49,9 @@ def block_pairs(members: DataFrame, group: str, weight: str, block_weight: int,
     if not crossing:
         return dealt.withColumns({"bi": F.col("_block"), "bj": F.col("_block")}).drop("blocks", "_block")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1))
-    return dealt.withColumn("_other", other).withColumns({"bi": F.least("_block", "_other"), "bj": F.greatest("_block", "_other")}).drop("blocks", "_other", "_block")
+    return dealt.withColumn("_other", other).withColumns({"bi": F.least("_block", "_other"), "bj": F.greatest("_block", "_other"), "block": F.col("_block")}).drop(
+        "blocks", "_other", "_block", *([] if keep_block else ["block"])
+    )
 
 
 def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -80,8 +79,20 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
+def star_links(names: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch | None:
+    """Pairs of positions, some joined with others -> links of each position to the first of those it is joined with."""
+    if not pairs:
+        return None
+    forest = Forest(len(names))
+    for i, j in pairs:
+        forest.join(i, j)
+    root = np.array([forest.root(i) for i in range(len(names))])
+    far = np.flatnonzero(root != np.arange(len(names)))
+    return pa.record_batch([pa.array(names[far]), pa.array(names[root[far]])], ["a", "b"])
+
+
 class Forest:
-    """Union-find over 0..n-1."""
+    """Union-find over 0..n-1; the smallest member is the root."""
 
     def __init__(self, n: int) -> None:
         self.up = list(range(n))
