@@ -15,7 +15,7 @@
    search, and those that reach the required overlap link. Merging is one sort of the concatenated sorted
    lists in numpy (what a heap does element by element, without an interpreted step for each).
    Groups of several blocks are searched block by block first, then among the remaining representatives, and
-   last in all pairs of blocks, with only those sets that still share a kept list with another component.
+   last in all pairs of blocks of similar sizes, with only those sets that still share a kept list with another component.
 5. Links (a spanning forest of them from each block) give components.
 
 Inside tasks a shingle of very many documents is sent as a bounded run of entries, with a count; the entries beyond
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.graph import Forest, block_pairs, connected_components, groups_of
+from tripspark.llm.graph import Forest, connected_components, groups_of, star_links
 from tripspark.llm.storage import materialize
 
 SHINGLE_WORDS = 5
@@ -47,7 +47,7 @@ CODE_BITS = 48
 CUT = int(LISTED * 2**CODE_BITS)
 RUN = 32  # entries of one shingle that one task sends to its list
 FLUSH_ENTRIES = 4_000_000
-BLOCK_SHINGLES = 1 << 18
+BLOCK_SHINGLES = 1 << 17
 LONG_LIST_WEIGHT = 0.05  # DivideSkip's mu: the number of long lists is T / (mu * log2(longest) + 1)
 
 
@@ -315,18 +315,38 @@ def _linker(threshold: tuple[int, int]):
                 continue
             cls = table.column("cls").to_numpy()
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
-            pairs = t_occurrence_links(sets, table.column("label").to_pylist(), threshold)
-            if pairs:
-                a, b = np.array(pairs).T
-                yield pa.record_batch([pa.array(cls[a]), pa.array(cls[b])], ["a", "b"])
+            links = star_links(cls, t_occurrence_links(sets, table.column("label").to_pylist(), threshold))
+            if links is not None:
+                yield links
 
     return link
 
 
+def blocks_by_size(members: DataFrame, crossing: bool, threshold: tuple[int, int]) -> DataFrame:
+    """``members`` with the columns ``bi, bj``. A group of no more than ``BLOCK_SHINGLES`` is one block. In a larger one, linked
+    sets differ in size by a factor of den / num at most, so sets fall into classes of (a little more than) that width, these into blocks,
+    and a block meets those of its own class and of the two next to it (``crossing``), or itself alone."""
+    num, den = threshold
+    size = F.floor(F.log("n") / F.log(F.lit(den / num * 1.0001)))
+    per_class = members.groupBy("grp", size.alias("size")).agg(F.sum("n").alias("w"))
+    blocks = F.ceil(F.col("w") / BLOCK_SHINGLES)
+    per_group = per_class.groupBy("grp").agg(F.sum("w").alias("w"), F.map_from_entries(F.collect_list(F.struct("size", blocks.alias("n")))).alias("blocks"))
+    large = F.col("w") > BLOCK_SHINGLES
+    known = members.join(per_group, "grp").withColumn("size", F.when(large, size).otherwise(F.lit(0).cast("long")))
+    many = lambda s: F.when(large, F.coalesce(F.try_element_at("blocks", s), F.lit(0).cast("long"))).otherwise((s == 0).cast("long"))
+    block_id = lambda s, p: s * F.lit(1 << 32) + p
+    dealt = known.withColumn("own", block_id(F.col("size"), F.pmod(F.xxhash64(F.lit(7), "cls"), many(F.col("size")))))
+    if not crossing:
+        return dealt.withColumns({"bi": F.col("own"), "bj": F.col("own")})
+    numbers = lambda s: F.when(many(s) > 0, F.transform(F.sequence(F.lit(0).cast("long"), many(s) - 1), lambda p: block_id(s, p))).otherwise(F.array().cast("array<bigint>"))
+    others = F.concat(numbers(F.col("size")), numbers(F.col("size") + 1), numbers(F.col("size") - 1))
+    return dealt.withColumn("other", F.explode(others)).withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")})
+
+
 def link_groups(members: DataFrame, sets: DataFrame, crossing: bool, threshold: tuple[int, int]) -> DataFrame:
     """``(cls, grp, label)`` and ``(cls, n, hashes)`` -> links ``(a, b)`` found in the blocks (or pairs of blocks) of each group."""
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = block_pairs(members.join(sets, "cls"), "grp", "n", BLOCK_SHINGLES, "cls", crossing)
+    dealt = blocks_by_size(members.join(sets, "cls"), crossing, threshold)
     return dealt.repartition(parts, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "cls").select("grp", "bi", "bj", "cls", "label", "hashes").mapInArrow(_linker(threshold), "a long, b long")
 
 
