@@ -69,3 +69,32 @@ TRAIN_FRACTION = 0.7
 
 # Gradient-boosted trees (the Spark defaults the reference relied on, seed 42).
 GBT_PARAMS = dict(maxIter=20, maxDepth=5, maxBins=32, stepSize=0.1, subsamplingRate=1.0, lossType="squared", seed=42)
+
+# Relational silver table, in order (the duration under our ASCII name).
+SILVER_TABLE_COLUMNS = (
+    ("VendorID", "smallint"),
+    ("passenger_count", "smallint"),
+    ("trip_distance", "numeric(6,2)"),
+    ("RatecodeID", "smallint"),
+    ("store_and_fwd_flag", "text"),
+    ("PULocationID", "integer"),
+    ("DOLocationID", "integer"),
+    ("payment_type", "smallint"),
+    ("fare_amount", "numeric(10,2)"),
+    ("extra", "numeric(10,2)"),
+    ("mta_tax", "numeric(10,2)"),
+    ("tip_amount", "numeric(10,2)"),
+    ("tolls_amount", "numeric(10,2)"),
+    ("improvement_surcharge", "numeric(10,2)"),
+    ("total_amount", "numeric(10,2)"),
+    ("congestion_surcharge", "numeric(10,2)"),
+    ("Airport_fee", "numeric(10,2)"),
+    ("cbd_congestion_fee", "numeric(10,2)"),
+    ("duration_minutes", "numeric(10,2)"),
+    ("pickup_hour", "integer"),
+    ("pickup_day_week", "integer"),
+    ("pickup_month", "integer"),
+)
+
+# Column names of the relational table that differ from ours.
+SILVER_TABLE_NAMES = {"duration_minutes": "Durée_minutes"}

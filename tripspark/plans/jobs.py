@@ -28,10 +28,14 @@ from tripspark.sources import jdbc
 from tripspark.sources.parquet import land_bronze, read_table, table_counts
 
 
-def bronze_job(spark: SparkSession, source: str, bronze: str, validate_raw: bool = True) -> DataFrame:
-    """Land the raw file(s) as-is; returns (table_name, n_rows, n_columns), observed during the write."""
-    raw = read_table(spark, source, RAW_TRIP_SCHEMA if validate_raw else None)
-    return land_bronze(raw, bronze).frame(spark, "bronze")
+def bronze_job(spark: SparkSession, source: str, bronze: str, validate_raw: bool = True, extra: list | None = None) -> DataFrame:
+    """Land the raw file(s) as-is, with every column they hold; returns (table_name, n_rows, n_columns), observed
+    during the write. Columns beyond the declaration are landed too, and appended to ``extra`` when a list is given."""
+    raw = read_table(spark, source, RAW_TRIP_SCHEMA if validate_raw else None, keep_extra=True)
+    report = land_bronze(raw, bronze, RAW_TRIP_SCHEMA)
+    if extra is not None:
+        extra.extend(report.extra_columns)
+    return report.frame(spark, "bronze")
 
 
 def silver_job(
@@ -108,7 +112,10 @@ def main(argv: list[str] | None = None) -> int:
         for key, value in scale_conf(int(args.expected_shuffle_gb * 1024**3)).items():
             spark.conf.set(key, value)
     if args.job == "bronze":
-        out = bronze_job(spark, args.source, args.bronze)
+        extra: list = []
+        out = bronze_job(spark, args.source, args.bronze, extra=extra)
+        if extra:
+            print(json.dumps({"columns_beyond_the_declaration": extra}))
     elif args.job == "silver":
         decisions: list = []
         out = table_counts(silver_job(spark, args.bronze, args.silver, sink, args.partition_by, decisions), "silver")

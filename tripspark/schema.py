@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tripspark.fixed import FEATURE_ORDER, RAW_TRIP_COLUMNS  # noqa: F401 - FEATURE_ORDER re-exported
+from tripspark.fixed import FEATURE_ORDER, RAW_TRIP_COLUMNS, SILVER_TABLE_COLUMNS  # noqa: F401 - FEATURE_ORDER re-exported
 
 _TYPES = {
     "int": T.IntegerType(),
@@ -57,7 +57,8 @@ EVENTS_SCHEMA = T.StructType(
 PICKUP_COL = "tpep_pickup_datetime"
 DROPOFF_COL = "tpep_dropoff_datetime"
 DURATION_COL = "duration_minutes"
-TIME_FEATURE_COLS = (DURATION_COL, "pickup_hour", "pickup_day_week", "pickup_month")
+SPLIT_COL = "split_bucket"  # 0-99, from the trip's times: which side of the train / test split it is on
+TIME_FEATURE_COLS = (DURATION_COL, "pickup_hour", "pickup_day_week", "pickup_month", SPLIT_COL)
 
 # Scoring request: the seven model inputs.
 REQUEST_SCHEMA = T.StructType(
@@ -73,30 +74,17 @@ REQUEST_SCHEMA = T.StructType(
 )
 
 # Relational declaration of silver, used only at a typed sink.
-SILVER_SINK_TYPES: dict[str, T.DataType] = {
-    "VendorID": T.ShortType(),
-    "passenger_count": T.ShortType(),
-    "trip_distance": T.DecimalType(6, 2),
-    "RatecodeID": T.ShortType(),
-    "store_and_fwd_flag": T.StringType(),
-    "PULocationID": T.ShortType(),
-    "DOLocationID": T.ShortType(),
-    "payment_type": T.ShortType(),
-    "fare_amount": T.DecimalType(10, 2),
-    "extra": T.DecimalType(10, 2),
-    "mta_tax": T.DecimalType(10, 2),
-    "tip_amount": T.DecimalType(10, 2),
-    "tolls_amount": T.DecimalType(10, 2),
-    "improvement_surcharge": T.DecimalType(10, 2),
-    "total_amount": T.DecimalType(10, 2),
-    "congestion_surcharge": T.DecimalType(10, 2),
-    "Airport_fee": T.DecimalType(10, 2),
-    "cbd_congestion_fee": T.DecimalType(10, 2),
-    "duration_minutes": T.IntegerType(),
-    "pickup_hour": T.IntegerType(),
-    "pickup_day_week": T.IntegerType(),
-    "pickup_month": T.IntegerType(),
-}
+_SINK_TYPES = {"smallint": T.ShortType(), "integer": T.IntegerType(), "text": T.StringType()}
+
+
+def _sink_type(declared: str) -> T.DataType:
+    if declared.startswith("numeric"):
+        precision, scale = declared[len("numeric(") : -1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _SINK_TYPES[declared]
+
+
+SILVER_SINK_TYPES: dict[str, T.DataType] = {name: _sink_type(declared) for name, declared in SILVER_TABLE_COLUMNS}
 
 
 class SchemaMismatch(ValueError):

@@ -14,7 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.schema import SILVER_SINK_TYPES, is_numeric
+from tripspark.fixed import SILVER_TABLE_NAMES
+from tripspark.schema import SILVER_SINK_TYPES, SPLIT_COL, is_numeric
 
 
 class SinkConfigError(ValueError):
@@ -72,8 +73,8 @@ def jdbc_sink_from_env(table: str, prefix: str = "TRIPSPARK_DB_") -> JdbcSink:
 
 
 def relational_view(df: DataFrame, types: dict | None = None) -> DataFrame:
-    """Cast columns to the relational declaration of the table (smallint ids, decimal(6,2)
-    distance, decimal(10,2) money). A value that does not fit raises (ANSI cast) instead of
+    """Cast columns to the relational declaration of the table (smallint codes, decimal(6,2)
+    distance, decimal(10,2) money and duration). A value that does not fit raises (ANSI cast) instead of
     being silently nulled, so a bad batch never reaches the table."""
     declared = types or SILVER_SINK_TYPES
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -84,8 +85,16 @@ def relational_view(df: DataFrame, types: dict | None = None) -> DataFrame:
     return df.select(*[F.col(c).cast(declared[c]).alias(c) if applies(c) else F.col(c) for c in df.columns])
 
 
-def write_jdbc(df: DataFrame, sink: JdbcSink, mode: str = "overwrite", declared_types: bool = True) -> None:
-    out = relational_view(df) if declared_types else df
+def sink_frame(df: DataFrame, declared_types: bool = False, table_names: bool = False) -> DataFrame:
+    """The frame a relational sink gets: Spark's own types unless ``declared_types``, which rounds to the declared
+    scales; our names unless ``table_names`` asks for those of the table. The split bucket stays out."""
+    out = df.drop(SPLIT_COL)
+    out = relational_view(out) if declared_types else out
+    return out.withColumnsRenamed(SILVER_TABLE_NAMES) if table_names else out
+
+
+def write_jdbc(df: DataFrame, sink: JdbcSink, mode: str = "overwrite", declared_types: bool = False, table_names: bool = False) -> None:
+    out = sink_frame(df, declared_types, table_names)
     out.write.format("jdbc").options(**sink.options()).mode(mode).save()
 
 

@@ -1,12 +1,13 @@
-"""Parquet scan and sinks (bronze landing, overwrite, idempotent partition append).
+"""Parquet scan and sinks (bronze landing, overwrite).
 
-A scan is validated once against its declared schema (footer metadata, one listing) and then
-projects the declared columns; Catalyst prunes columns and pushes filters into the scan.
+A scan's files are validated once against the declared schema (every footer, metadata only) and then
+the declared columns are projected; Catalyst prunes columns and pushes filters into the scan.
 Landing observes its counts while writing, so nothing is read back to be counted.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +18,7 @@ from tripspark.config import app_key
 from tripspark.schema import SchemaMismatch, compare_schema, validate
 
 _VALIDATED: set = set()
+FOOTER_THREADS = 16
 
 
 def read_table(
@@ -24,28 +26,45 @@ def read_table(
     path: str | list[str],
     schema: T.StructType | None = None,
     validate_footer: bool = True,
+    keep_extra: bool = False,
 ) -> DataFrame:
     """Scan a parquet file or directory.
 
-    With ``schema``: the dataset is listed once, its footer schema is checked against the
-    declaration (metadata only), and the declared columns are projected in declared order and
-    spelling. A drifted file fails here with one clear message rather than deep inside a job.
+    With ``schema``: every file's footer is checked against the declaration (metadata only), and the
+    declared columns are projected in declared order and spelling. A file that lacks a column or holds another type
+    fails here with one clear message that names it, rather than deep inside a job. ``keep_extra``: all columns of
+    the files stay, in file order, columns of later files last (only the names are normalised).
     Without footer validation the declared schema is imposed on the scan directly.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None:
         return spark.read.parquet(*paths)
-    key = (app_key(spark), tuple(paths), schema.json())
-    if not validate_footer or key in _VALIDATED:
+    if not validate_footer:
         return validate(spark.read.schema(schema).parquet(*paths), schema)
     found = spark.read.parquet(*paths)
-    report = compare_schema(found.schema, schema)
-    if not report.ok:
-        raise SchemaMismatch(f"{paths}: missing {list(report.missing)}, mistyped {list(report.mistyped)}")
-    _VALIDATED.add(key)  # checked once per session; later opens skip the footer read
+    files = sorted(found.inputFiles())
+    key = (app_key(spark), hash(tuple(files)), schema.json())
+    if key not in _VALIDATED:
+        check_files(spark, files, schema)
+        _VALIDATED.add(key)  # the same files are checked once per session
+    if keep_extra:
+        return validate(spark.read.option("mergeSchema", "true").parquet(*paths), schema)
     return validate(found, schema).select(*[f.name for f in schema.fields])
 
 
+def check_files(spark: SparkSession, files: list[str], schema: T.StructType) -> None:
+    """Raise SchemaMismatch if any of the files lacks a declared column or holds it in another type."""
+
+    def problem(file: str) -> str | None:
+        report = compare_schema(spark.read.parquet(file).schema, schema)
+        return None if report.ok else f"{file}: missing {list(report.missing)}, mistyped {list(report.mistyped)}"
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        problems = [p for p in pool.map(problem, files) if p]
+    if problems:
+        raise SchemaMismatch("; ".join(problems[:5]) + (f"; and {len(problems) - 5} more files" if len(problems) > 5 else ""))
+
+
 def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace the whole directory (the reference's SaveData)."""
     writer = df.write.mode("overwrite")
@@ -54,47 +73,30 @@ def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = N
     writer.parquet(path)
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Idempotent append: replace only the partitions present in ``df``.
-
-    A re-run of the same batch rewrites its own partitions instead of duplicating rows.
-    """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
 @dataclass(frozen=True)
 class LandingReport:
     path: str
     n_rows: int
     n_columns: int
-    null_counts: dict
+    extra_columns: tuple[str, ...] = ()  # not in the declaration the frame was compared with
 
     def frame(self, spark: SparkSession, name: str) -> DataFrame:
         """One row: table_name, n_rows, n_columns."""
         return spark.createDataFrame([(name, self.n_rows, self.n_columns)], "table_name string, n_rows long, n_columns int")
 
 
-def land_bronze(df: DataFrame, path: str) -> LandingReport:
-    """Copy a raw frame as-is to the bronze folder (columns and order preserved, nothing cleaned).
+def land_bronze(df: DataFrame, path: str, declared: T.StructType | None = None) -> LandingReport:
+    """Copy a raw frame as-is to the bronze folder (columns and order preserved, nothing cleaned), and report which
+    columns ``declared`` does not know.
 
-    The row count and per-column null counts are observed while the files are written (Spark
-    ``Observation``): one pass over the data, no re-read of what was just landed. Metrics come
-    from the successful task attempts only, so retried tasks do not double count.
+    The row count is observed while the files are written (Spark ``Observation``): one pass over the
+    data, no re-read of what was just landed. It comes from the successful task attempts only, so
+    retried tasks do not double count.
     """
     obs = Observation("bronze_landing")
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)],
-    )
-    write_overwrite(observed, path)
-    m = obs.get
-    return LandingReport(path, int(m["_rows"]), len(df.columns), {c: int(m[f"_n{i}"]) for i, c in enumerate(df.columns)})
+    write_overwrite(df.observe(obs, F.count(F.lit(1)).alias("_rows")), path)
+    extra = compare_schema(df.schema, declared).extra if declared is not None else ()
+    return LandingReport(path, int(obs.get["_rows"]), len(df.columns), extra)
 
 
 def table_counts(df: DataFrame, name: str) -> DataFrame:

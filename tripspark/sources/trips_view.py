@@ -18,7 +18,7 @@ def _null_if(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def trips_from_events(events: DataFrame) -> DataFrame:
+def trips_from_events(events: DataFrame, keep_id: bool = False) -> DataFrame:
     eid = F.col("event_id")
     value = F.col("value")
     shared_null = eid % 7 == 0  # passenger_count, RatecodeID, flag and Airport_fee are null together
@@ -45,8 +45,9 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.lit(0.0))
         .alias("Airport_fee"),
         _null_if(eid % 40 == 3, F.lit(0.75)).cast("double").alias("cbd_congestion_fee"),
+        *(["event_id"] if keep_id else []),
     )
-    return validate(trips, TRIP_VIEW_SCHEMA, allow_extra=False)
+    return validate(trips, TRIP_VIEW_SCHEMA, allow_extra=keep_id)
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
