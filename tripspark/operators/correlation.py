@@ -1,90 +1,83 @@
-"""Pairwise Pearson correlation (A5) in ONE aggregate job, and long -> wide pivot.
-
-The reference ran one job per ordered pair (22^2 = 484). Here every unordered pair a<=b is one
-set of moments inside a single grouped aggregate (partial per partition, one small final merge),
-mirrored to both orders afterwards. Pairwise-complete: each side is nulled where the other is
-null. corr = covar_pop / sqrt(var_pop(x) * var_pop(y)), null when either side is constant
-(``corr`` itself raises DIVIDE_BY_ZERO under ANSI there).
+"""Pairwise Pearson correlation (A5) and long -> wide pivot.
+
+The reference ran one job per ordered pair (22^2 = 484). Here one aggregate finds each column's
+count, mean and variance, and a second one sums the centred products of the unordered pairs, over
+the same scan and without generating rows: as many pairs per aggregate as whole-stage codegen takes,
+the aggregates side by side in a union (column pruning gives each its own columns only).
+Pairwise-complete: a pair with nulls on either side takes the moments of the rows where both are
+present. corr = cov / sqrt(var_x * var_y), null when either side is constant or no row is complete.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.schema import numeric_columns
 
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-# aggregate buffer fields per pair: covar_pop (n, x avg, y avg, co-moment) + 2 x var_pop (n, avg, m2)
-_FIELDS_PER_PAIR = 10
+# aggregate buffer fields of a pair with nulls: covar_pop (n, x avg, y avg, co-moment) + 2 x var_pop (n, avg, m2)
+_FIELDS_WITH_NULLS = 10
 
 
 def correlation_long(df: DataFrame, columns: list[str] | None = None, pairs_per_block: int | None = None) -> DataFrame:
-    """feature1, feature2, corr_value for every ordered pair (diagonal included).
-
-    Blocked long form: each row emits one entry per *block* of unordered pairs, each pair's two
-    sides masked to the rows where both are present; ``groupBy(block)`` keeps covar_pop and two
-    var_pop per pair. A block holds as many pairs as keep the aggregate buffer under the
-    whole-stage-codegen field limit (9 at the default limit of 100), so 13 columns give 11
-    entries per row (not 91, and not one wide aggregate of 273 functions, which would fall out of
-    codegen and run interpreted). Partial aggregation leaves #blocks rows per task for the shuffle.
-    """
+    """feature1, feature2, corr_value for every ordered pair (diagonal included), also for an empty frame."""
     from tripspark.operators.profile import codegen_field_budget
 
     cols = columns or numeric_columns(df)
+    budget = codegen_field_budget(df) - 2
+    stats = {}
+    per = max(1, budget // 7)  # count, mean, var_pop
+    for k in range(0, len(cols), per):
+        part = cols[k : k + per]
+        row = df.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[e for q, c in enumerate(part) for x in [F.col(c).cast("double")] for e in (F.count(x).alias(f"c{q}"), F.avg(x).alias(f"m{q}"), F.var_pop(x).alias(f"v{q}"))],
+        ).first()  # one row
+        stats |= {c: (row["n"], row[f"c{q}"], row[f"m{q}"], row[f"v{q}"]) for q, c in enumerate(part)}
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    m = pairs_per_block or max(1, (codegen_field_budget(df) - 2) // _FIELDS_PER_PAIR)
-    blocks = [pairs[k : k + m] for k in range(0, len(pairs), m)]
+    full = [(i, j) for i, j in pairs if all(stats[cols[x]][0] == stats[cols[x]][1] for x in (i, j))]
+    gaps = [p for p in pairs if p not in set(full)]
+    size_full, size_gaps = pairs_per_block or budget, pairs_per_block or max(1, budget // _FIELDS_WITH_NULLS)
+    blocks = [_full_block(df, cols, stats, full[k : k + size_full]) for k in range(0, len(full), size_full)]
+    blocks += [_gaps_block(df, cols, gaps[k : k + size_gaps]) for k in range(0, len(gaps), size_gaps)]
+    return _mirror(reduce(DataFrame.unionByName, blocks), cols)
+
+
+def _pair_rows(totals: DataFrame, pairs: list[tuple[int, int]], moments) -> DataFrame:
     entries = []
-    for b, block in enumerate(blocks):
-        fields = [f"'b', {b}"]
-        for q in range(m):
-            if q < len(block):
-                a, c = _q(cols[block[q][0]]), _q(cols[block[q][1]])
-                both = f"{a} IS NOT NULL AND {c} IS NOT NULL"
-                fields.append(f"'x{q}', CASE WHEN {both} THEN CAST({a} AS DOUBLE) END")
-                fields.append(f"'y{q}', CASE WHEN {both} THEN CAST({c} AS DOUBLE) END")
-            else:  # padding: every struct in the array has the same fields
-                fields.append(f"'x{q}', CAST(NULL AS DOUBLE)")
-                fields.append(f"'y{q}', CAST(NULL AS DOUBLE)")
-        entries.append(f"named_struct({', '.join(fields)})")
-    rows = df.selectExpr(f"inline(array({', '.join(entries)}))")
-    moments = rows.groupBy("b").agg(
-        *[
-            agg
-            for q in range(m)
-            for agg in (
-                F.covar_pop(f"x{q}", f"y{q}").alias(f"cov{q}"),
-                F.var_pop(f"x{q}").alias(f"vx{q}"),
-                F.var_pop(f"y{q}").alias(f"vy{q}"),
-            )
-        ]
-    )
-    per_pair = moments.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        (F.col("b") * m + q).alias("p"),
-                        F.col(f"cov{q}").alias("cov"),
-                        F.col(f"vx{q}").alias("vx"),
-                        F.col(f"vy{q}").alias("vy"),
-                    )
-                    for q in range(m)
-                ]
-            )
-        )
-    ).filter(F.col("p") < len(pairs))
-    i_of = F.array(*[F.lit(i) for i, _ in pairs])
-    j_of = F.array(*[F.lit(j) for _, j in pairs])
-    indexed = per_pair.select(
-        F.element_at(i_of, F.col("p") + 1).alias("i"), F.element_at(j_of, F.col("p") + 1).alias("j"), "cov", "vx", "vy"
-    )
-    return _mirror(indexed, cols)
+    for q, (i, j) in enumerate(pairs):
+        cov, vx, vy = moments(q, i, j)
+        entries.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), cov.alias("cov"), vx.alias("vx"), vy.alias("vy")))
+    return totals.select(F.inline(F.array(*entries)))
+
+
+def _full_block(df: DataFrame, cols: list[str], stats: dict, pairs: list[tuple[int, int]]) -> DataFrame:
+    """Pairs of columns without nulls: the sum of (x - mean x) * (y - mean y); the variances are known."""
+
+    def centred(i: int) -> Column:
+        return F.col(cols[i]).cast("double") - F.lit(stats[cols[i]][2])
+
+    def moments(q: int, i: int, j: int) -> tuple[Column, Column, Column]:
+        n, _, _, vx = stats[cols[i]]
+        vy = stats[cols[j]][3]
+        cov = F.lit(vx) if i == j else F.try_divide(F.col(f"s{q}"), F.lit(float(n)))
+        return cov.cast("double"), F.lit(vx).cast("double"), F.lit(vy).cast("double")
+
+    totals = df.agg(*[F.sum(centred(i) * centred(j)).alias(f"s{q}") for q, (i, j) in enumerate(pairs)])
+    return _pair_rows(totals, pairs, moments)
+
+
+def _gaps_block(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """Pairs with nulls: the moments over the rows where both sides are present."""
+    aggs = []
+    for q, (i, j) in enumerate(pairs):
+        x, y = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        aggs += [F.covar_pop(x, y).alias(f"c{q}"), F.var_pop(x).alias(f"x{q}"), F.var_pop(y).alias(f"y{q}")]
+    return _pair_rows(df.agg(*aggs), pairs, lambda q, i, j: (F.col(f"c{q}"), F.col(f"x{q}"), F.col(f"y{q}")))
 
 
 def _mirror(moments: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Null policy (N2-N4, F5): sequential impute-or-drop, planned from one aggregate job.
+"""Null policy (N2-N4, F5): sequential impute-or-drop, planned from one or two aggregate jobs.
 
 The rule (per column, in column order): let n be the row count of the input, k the nulls of
 the column in the *current* frame (earlier drops applied). k = 0: nothing. k/n*100 below the
@@ -7,16 +7,11 @@ frame (cast to the column type, so integer columns truncate), other columns with
 (most frequent non-null value, ties to the smallest).
 
 Plan, instead of 1 + m counts and one job per fill:
-  1. one aggregate grouped by the null pattern (isNull of every column) with the row count and
-     the per-column sums: one small row per pattern. Partial aggregation keeps the shuffle at
-     (#patterns x #map tasks) rows whatever the data size.
-  2. replay the sequential rule on the driver over those pattern rows (a drop removes the
-     patterns where that column is null; a mean is sum/count over the surviving patterns).
-  3. one more job, only if some non-numeric column needs a mode (all such columns together,
+  1. one aggregate of every column's null count, sum, non-null count and NaN count over the rows alive under the
+     drops found so far, repeated until it finds no further drop (one row per pass; typically one or two passes).
+  2. one more job, only if some non-numeric column needs a mode (all such columns together,
      via GROUPING SETS, each counting only rows alive at its step).
-  4. apply as one filter + one projection: a narrow stage, no shuffle.
-If the pattern count exceeds a cap, the plan falls back to a fixed-point form (one aggregate
-pass per round of drop discoveries, typically one or two; see ``plan_null_policy_fixed_point``).
+  3. apply as one filter + one projection: a narrow stage, no shuffle.
 The column-by-column loop (``plan_null_policy_sequential``) is the reference semantics for tests.
 """
 
@@ -35,7 +30,6 @@ from tripspark.fixed import NULL_DROP_THRESHOLD_PCT
 from tripspark.schema import FLOATING_TYPES, INTEGRAL_TYPES, is_numeric
 
 DEFAULT_THRESHOLD_PCT = NULL_DROP_THRESHOLD_PCT
-DEFAULT_MAX_PATTERNS = 4096
 
 
 @dataclass(frozen=True)
@@ -54,10 +48,12 @@ class NullPlan:
     n_rows: int
     decisions: list[ColumnDecision]
     nan_as_null: bool = True
-    method: str = "pattern-histogram"
+    method: str = "fixed-point"
     extra: dict = field(default_factory=dict)
     # floating columns seen holding NaN when planned; None = unknown, map every floating column
     nan_columns: frozenset | None = None
+    # the mean of every numeric column that has one, at its step: fills for columns without nulls when planned
+    means: dict[str, object] = field(default_factory=dict)
 
     @property
     def drop_columns(self) -> list[str]:
@@ -67,20 +63,23 @@ class NullPlan:
     def fills(self) -> dict[str, object]:
         return {d.column: d.fill_value for d in self.decisions if d.action in ("fill_mean", "fill_mode")}
 
-    def apply(self, df: DataFrame, all_floating: bool = False) -> DataFrame:
+    def apply(self, df: DataFrame, planned_on: bool = True) -> DataFrame:
         """One filter and one projection; usable on a batch or on a stream with the same schema.
 
         NaN -> null is applied only to the floating columns that held NaN when the plan was made,
         so the others reach the filter as plain columns and their predicates push down to the
-        scan. ``all_floating=True`` maps every floating column (for a stream, whose future
-        files may hold NaN anywhere).
+        scan. ``planned_on=False``: ``df`` is not the frame the plan was made on (another batch, a
+        stream), so NaN may stand in any floating column, and a numeric column that had no null then is filled
+        with its mean.
         """
-        only = None if (all_floating or self.nan_columns is None) else self.nan_columns
+        only = self.nan_columns if planned_on else None
         out = nan_to_null(df, only) if self.nan_as_null else df
         drops = self.drop_columns
         if drops:
             out = out.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops]))
         fills = self.fills
+        if not planned_on:
+            fills = {c: v for c, v in self.means.items() if c not in drops} | fills
         if not fills:
             return out
         types = {f.name: f.dataType for f in out.schema.fields}
@@ -186,78 +185,6 @@ def column_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[st
     return {c: row[f"_m{i}"] for i, c in enumerate(cols)}
 
 
-MASK_BITS = 62
-
-
-def _decode(row, chunks: list[range], m: int) -> dict:
-    """Pattern row -> {'_cnt', '_s<i>', '_k<i>' (is column i null)}."""
-    out = row.asDict()
-    masks = [out.pop(f"_k{j}") for j in range(len(chunks))]  # read every mask before decoding
-    for mask, c in zip(masks, chunks):
-        for i in c:
-            out[f"_k{i}"] = bool((mask >> (i - c.start)) & 1)
-    return out
-
-
-def plan_null_policy(
-    df: DataFrame,
-    threshold_pct: float = DEFAULT_THRESHOLD_PCT,
-    nan_as_null: bool = True,
-    max_patterns: int = DEFAULT_MAX_PATTERNS,
-) -> NullPlan:
-    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES)] if nan_as_null else []
-    flagged = df.withColumns({f"_isnan_{i}": F.isnan(c) for i, c in enumerate(floating)}) if floating else df
-    prepared = nan_to_null(flagged) if nan_as_null else flagged
-    fields = [f for f in prepared.schema.fields if not f.name.startswith("_isnan_")]
-    numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
-    # The null pattern travels as bit masks (62 columns per bigint key): few key fields, so the
-    # aggregate stays under the codegen field limit and the shuffle key stays small.
-    chunks = [range(s, min(s + MASK_BITS, len(fields))) for s in range(0, len(fields), MASK_BITS)]
-    keys = [
-        reduce(
-            lambda a, b: a + b,
-            [F.when(F.col(fields[i].name).isNull(), F.lit(1 << (i - c.start)).cast("long")).otherwise(F.lit(0).cast("long")) for i in c],
-        ).alias(f"_k{j}")
-        for j, c in enumerate(chunks)
-    ]
-    hist = prepared.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        *[F.sum(F.col(fields[i].name).cast("double")).alias(f"_s{i}") for i in sorted(numeric)],
-        *[F.count_if(F.col(f"_isnan_{i}")).alias(f"_nan{i}") for i in range(len(floating))],
-    )
-    rows = hist.limit(max_patterns + 1).collect()  # bounded: at most max_patterns + 1 small rows
-    if len(rows) > max_patterns:
-        return plan_null_policy_fixed_point(df, threshold_pct, nan_as_null)
-    patterns = [_decode(r, chunks, len(fields)) for r in rows]
-    nan_columns = frozenset(c for i, c in enumerate(floating) if sum(p[f"_nan{i}"] for p in patterns) > 0)
-
-    n = sum(p["_cnt"] for p in patterns)
-    alive = list(patterns)
-    decisions: list[ColumnDecision] = []
-    drops_so_far: list[str] = []
-    mode_targets: list[tuple[str, list[str]]] = []
-    for i, f in enumerate(fields):
-        k = sum(p["_cnt"] for p in alive if p[f"_k{i}"])
-        dropped = _below(k, n, threshold_pct)
-        mean = None
-        if k and not dropped and i in numeric:
-            present = [p for p in alive if not p[f"_k{i}"]]
-            cnt = sum(p["_cnt"] for p in present)
-            mean = math.fsum(p[f"_s{i}"] for p in present) / cnt if cnt else None
-        d = _decide(f, i + 1, k, n, dropped, i in numeric, mean)
-        decisions.append(d)
-        if d.action == "drop":
-            alive = [p for p in alive if not p[f"_k{i}"]]
-            drops_so_far.append(f.name)
-        elif d.action == "fill_mode":
-            mode_targets.append((f.name, list(drops_so_far)))
-
-    decisions = _resolve_modes(prepared, decisions, mode_targets)
-    return NullPlan(
-        n_rows=n, decisions=decisions, nan_as_null=nan_as_null, extra={"patterns": len(patterns)}, nan_columns=nan_columns
-    )
-
-
 def _resolve_modes(df: DataFrame, decisions: list[ColumnDecision], targets: list[tuple[str, list[str]]]) -> list[ColumnDecision]:
     if not targets:
         return decisions
@@ -271,12 +198,12 @@ def _resolve_modes(df: DataFrame, decisions: list[ColumnDecision], targets: list
     return out
 
 
-def plan_null_policy_fixed_point(
+def plan_null_policy(
     df: DataFrame,
     threshold_pct: float = DEFAULT_THRESHOLD_PCT,
     nan_as_null: bool = True,
 ) -> NullPlan:
-    """The same decisions without the pattern histogram, for frames with too many null patterns.
+    """The rule's decisions as a fixed point.
 
     Drops only remove rows, so a column's current null count can only fall as more earlier
     columns are dropped. Start with no drops; in one aggregate pass compute, for every column,
@@ -285,14 +212,18 @@ def plan_null_policy_fixed_point(
     set is stable. The set never exceeds the true one and its fixed point is exactly the
     sequential rule's (each pass is one scan; typically one or two).
     """
-    prepared = nan_to_null(df) if nan_as_null else df
-    fields = prepared.schema.fields
+    floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES)] if nan_as_null else []
+    flagged = df.withColumns({f"_isnan_{i}": F.isnan(c) for i, c in enumerate(floating)}) if floating else df
+    prepared = nan_to_null(flagged) if nan_as_null else flagged
+    fields = df.schema.fields
     numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
     drops: set[int] = set()
-    passes = 0
+    passes, nan_columns = 0, None
     while True:
         passes += 1
         aggs = [F.count(F.lit(1)).alias("_n")]
+        if nan_columns is None:
+            aggs += [F.count_if(f"_isnan_{i}").alias(f"_nan{i}") for i in range(len(floating))]
         for j, f in enumerate(fields):
             alive = _alive([fields[d].name for d in sorted(drops) if d < j])
             aggs.append(F.count_if(F.col(f.name).isNull() & alive).alias(f"_k{j}"))
@@ -301,27 +232,31 @@ def plan_null_policy_fixed_point(
                 aggs.append(F.count(F.when(alive, F.col(f.name))).alias(f"_c{j}"))
         row = prepared.agg(*aggs).collect()[0]  # one row
         n = row["_n"]
+        if nan_columns is None:
+            nan_columns = frozenset(c for i, c in enumerate(floating) if row[f"_nan{i}"] > 0)
         grown = drops | {j for j in range(len(fields)) if _below(row[f"_k{j}"], n, threshold_pct)}
         if grown == drops:
             break
         drops = grown
     decisions: list[ColumnDecision] = []
     mode_targets: list[tuple[str, list[str]]] = []
+    means: dict[str, object] = {}
     for j, f in enumerate(fields):
         mean = (row[f"_s{j}"] / row[f"_c{j}"] if row[f"_c{j}"] else None) if j in numeric else None
+        if mean is not None and math.isfinite(mean):
+            means[f.name] = _mean_fill(mean, f.dataType)
         d = _decide(f, j + 1, row[f"_k{j}"], n, j in drops, j in numeric, mean)
         decisions.append(d)
         if d.action == "fill_mode":
             mode_targets.append((f.name, [fields[x].name for x in sorted(drops) if x < j]))
     decisions = _resolve_modes(prepared, decisions, mode_targets)
-    return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, method="fixed-point", extra={"passes": passes})
+    return NullPlan(n_rows=n, decisions=decisions, nan_as_null=nan_as_null, extra={"passes": passes}, nan_columns=nan_columns, means=means)
 
 
 def plan_null_policy_sequential(df: DataFrame, threshold_pct: float = DEFAULT_THRESHOLD_PCT, nan_as_null: bool = True) -> NullPlan:
     """The column-by-column form of the rule: one aggregate per column with nulls.
 
-    Used when the null patterns are too many for the histogram plan, and as the reference
-    semantics in property tests.
+    The reference semantics in property tests.
     """
     current = nan_to_null(df) if nan_as_null else df
     fields = current.schema.fields

@@ -1,19 +1,20 @@
-"""Column profiles (P7, N1, A8): one aggregate job each, reshaped to one row per column.
-
-Shape is chosen from the session's whole-stage-codegen field limit
-(``spark.sql.codegen.maxFields``, 100 by default):
-  * wide: one global aggregate with the per-column functions side by side, then ``inline`` of
-    an array of structs turns the single row into one row per column;
-  * long: when the aggregate buffer would exceed the limit (which silently drops the stage to
-    interpreted evaluation, measured ~5x slower per row), each row emits one (column, value)
-    entry per column and a ``groupBy(column)`` keeps a handful of buffer fields.
-Either way: one scan, partial aggregation, no per-column jobs, nothing large on the driver.
+"""Column profiles (P7, N1, A8): global aggregates, reshaped to one row per column.
+
+The per-column functions stand side by side in one aggregate, and ``inline`` of an array of structs turns
+its single row into one row per column. A frame with more columns than whole-stage codegen takes in one
+aggregate (``spark.sql.codegen.maxFields``, 100 by default; beyond it a stage is interpreted, ~5x slower a row) is
+profiled in blocks of columns, each scan pruned to its own columns. Every block is a global aggregate, so the
+result has one row per column for any width, and for a frame without rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripspark.schema import FLOATING_TYPES, is_numeric
 
@@ -25,193 +26,108 @@ def codegen_field_budget(df: DataFrame) -> int:
         return 100
 
 
-def _rows(totals: DataFrame, entries: list[Column]) -> DataFrame:
-    return totals.select(F.inline(F.array(*entries)))
-
-
-def _names(columns: list[str]) -> Column:
-    return F.array(*[F.lit(c) for c in columns])
-
-
 def _pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part * F.lit(100.0), whole)
 
 
+def _in_blocks(
+    df: DataFrame,
+    fields: list[T.StructField],
+    buffer_fields: int,
+    aggregates: Callable[[int, T.StructField], list[Column]],
+    entry: Callable[[int, T.StructField], Column],
+) -> DataFrame:
+    """One row per field: ``entry`` of the aggregates of its block, which also counts the rows as ``_rows``."""
+    per_block = max(1, (codegen_field_budget(df) - 2) // buffer_fields)
+    numbered = list(enumerate(fields))
+    parts = []
+    for k in range(0, len(numbered), per_block):
+        block = numbered[k : k + per_block]
+        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *[a for i, f in block for a in aggregates(i, f)])
+        parts.append(totals.select(F.inline(F.array(*[entry(i, f) for i, f in block]))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """column_name, position, null_count, nan_count, null_pct (null share of the row count)."""
-    fields = df.schema.fields
-    floating = [isinstance(f.dataType, FLOATING_TYPES) for f in fields]
-    budget = codegen_field_budget(df)
-    if 1 + len(fields) + sum(floating) <= budget:
-        return _null_profile_wide(df)
-    # blocked long form: one entry per block of m columns, two counters per column
-    m = max(1, (budget - 3) // 2)
-    blocks = [list(range(k, min(k + m, len(fields)))) for k in range(0, len(fields), m)]
-
-    def flags(q: int, block: list[int]) -> list[Column]:
-        if q >= len(block):
-            return [F.lit(False).alias(f"null{q}"), F.lit(False).alias(f"nan{q}")]
-        f, fl = fields[block[q]], floating[block[q]]
-        return [F.col(f.name).isNull().alias(f"null{q}"), (F.isnan(f.name) if fl else F.lit(False)).alias(f"nan{q}")]
-
-    entries = [F.struct(F.lit(b).alias("b"), *[c for q in range(m) for c in flags(q, block)]) for b, block in enumerate(blocks)]
-    stats = df.select(F.inline(F.array(*entries))).groupBy("b").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[a for q in range(m) for a in (F.count_if(f"null{q}").alias(f"n{q}"), F.count_if(f"nan{q}").alias(f"x{q}"))],
-    )
-    per_column = stats.select(
-        "_rows",
-        F.inline(
-            F.array(
-                *[
-                    F.struct((F.col("b") * m + q).alias("pos"), F.col(f"n{q}").alias("null_count"), F.col(f"x{q}").alias("nan_count"))
-                    for q in range(m)
-                ]
-            )
-        ),
-    ).filter(F.col("pos") < len(fields))
-    return per_column.select(
-        F.element_at(_names([f.name for f in fields]), F.col("pos") + 1).alias("column_name"),
-        (F.col("pos") + 1).alias("position"),
-        "null_count",
-        "nan_count",
-        _pct(F.col("null_count"), F.col("_rows")).alias("null_pct"),
-    )
 
-
-def _null_profile_wide(df: DataFrame) -> DataFrame:
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        aggs.append(F.count_if(F.col(f.name).isNull()).alias(f"_n{i}"))
-        if isinstance(f.dataType, FLOATING_TYPES):
-            aggs.append(F.count_if(F.isnan(f.name)).alias(f"_x{i}"))
-    totals = df.agg(*aggs)
-    entries = []
-    for i, f in enumerate(fields):
-        nan = F.col(f"_x{i}") if isinstance(f.dataType, FLOATING_TYPES) else F.lit(0).cast("long")
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(i + 1).alias("position"),
-                F.col(f"_n{i}").alias("null_count"),
-                nan.alias("nan_count"),
-                _pct(F.col(f"_n{i}"), F.col("_rows")).alias("null_pct"),
-            )
+    def aggregates(i: int, f: T.StructField) -> list[Column]:
+        nan = F.isnan(f.name) if isinstance(f.dataType, FLOATING_TYPES) else F.lit(False)
+        return [F.count_if(F.col(f.name).isNull()).alias(f"_n{i}"), F.count_if(nan).alias(f"_x{i}")]
+
+    def entry(i: int, f: T.StructField) -> Column:
+        return F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(i + 1).alias("position"),
+            F.col(f"_n{i}").alias("null_count"),
+            F.col(f"_x{i}").alias("nan_count"),
+            _pct(F.col(f"_n{i}"), F.col("_rows")).alias("null_pct"),
         )
-    return _rows(totals, entries)
+
+    return _in_blocks(df, df.schema.fields, 2, aggregates, entry)
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Schema and shape: column_name, position, data_type, n_rows, n_columns, n_non_null."""
-    fields = df.schema.fields
-    n = len(fields)
-    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
-    if 1 + n <= codegen_field_budget(df):
-        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(f.name).alias(f"_v{i}") for i, f in enumerate(fields)])
-        entries = [
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(i + 1).alias("position"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col("_rows").alias("n_rows"),
-                F.lit(n).alias("n_columns"),
-                F.col(f"_v{i}").alias("n_non_null"),
-            )
-            for i, f in enumerate(fields)
-        ]
-        return _rows(totals, entries)
-    entries = [F.struct(F.lit(i).alias("pos"), F.col(f.name).isNotNull().alias("present")) for i, f in enumerate(fields)]
-    stats = df.select(F.inline(F.array(*entries))).groupBy("pos").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("present").alias("n_non_null")
-    )
-    return stats.select(
-        F.element_at(_names([f.name for f in fields]), F.col("pos") + 1).alias("column_name"),
-        (F.col("pos") + 1).alias("position"),
-        F.element_at(types, F.col("pos") + 1).alias("data_type"),
-        "n_rows",
-        F.lit(n).alias("n_columns"),
-        "n_non_null",
-    )
+    n = len(df.schema.fields)
+
+    def entry(i: int, f: T.StructField) -> Column:
+        return F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(i + 1).alias("position"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col("_rows").alias("n_rows"),
+            F.lit(n).alias("n_columns"),
+            F.col(f"_v{i}").alias("n_non_null"),
+        )
+
+    return _in_blocks(df, df.schema.fields, 1, lambda i, f: [F.count(f.name).alias(f"_v{i}")], entry)
 
 
 # buffer fields per described column: count 1, avg 2, stddev 3, min 1, max 1
 _DESCRIBE_FIELDS = 8
 
 
-def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Typed ``describe()``: column_name, n, mean, stddev (sample), min, max as doubles."""
-    cols = columns or [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    budget = codegen_field_budget(df)
-    if _DESCRIBE_FIELDS * len(cols) <= budget:
-        return _describe_wide(df, cols)
-    # blocked long form: each row emits one entry per block of m columns (m as large as the
-    # codegen field limit allows: 12 at the default), grouped by block
-    m = max(1, (budget - 2) // _DESCRIBE_FIELDS)
-    blocks = [cols[k : k + m] for k in range(0, len(cols), m)]
-    entries = [
-        F.struct(
-            F.lit(b).alias("b"),
-            *[(F.col(block[q]).cast("double") if q < len(block) else F.lit(None).cast("double")).alias(f"x{q}") for q in range(m)],
-        )
-        for b, block in enumerate(blocks)
+def _numbers(i: int, f: T.StructField) -> list[Column]:
+    x = F.col(f.name).cast("double") if is_numeric(f.dataType) else F.lit(None).cast("double")
+    return [
+        F.count(f.name).alias(f"_n{i}"),
+        F.avg(x).alias(f"_a{i}"),
+        F.stddev_samp(x).alias(f"_s{i}"),
+        F.min(x).alias(f"_lo{i}"),
+        F.max(x).alias(f"_hi{i}"),
     ]
-    stats = df.select(F.inline(F.array(*entries))).groupBy("b").agg(
-        *[
-            agg
-            for q in range(m)
-            for agg in (
-                F.count(f"x{q}").alias(f"n{q}"),
-                F.avg(f"x{q}").alias(f"mean{q}"),
-                F.stddev_samp(f"x{q}").alias(f"sd{q}"),
-                F.min(f"x{q}").alias(f"lo{q}"),
-                F.max(f"x{q}").alias(f"hi{q}"),
-            )
-        ]
-    )
-    per_column = stats.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        (F.col("b") * m + q).alias("pos"),
-                        F.col(f"n{q}").alias("n"),
-                        F.col(f"mean{q}").alias("mean"),
-                        F.col(f"sd{q}").alias("stddev"),
-                        F.col(f"lo{q}").alias("min"),
-                        F.col(f"hi{q}").alias("max"),
-                    )
-                    for q in range(m)
-                ]
-            )
-        )
-    ).filter(F.col("pos") < len(cols))
-    return per_column.select(
-        F.element_at(_names(cols), F.col("pos") + 1).alias("column_name"), "n", "mean", "stddev", "min", "max"
-    )
 
 
-def _describe_wide(df: DataFrame, cols: list[str]) -> DataFrame:
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(c).alias(f"_n{i}"),
-            F.avg(x).alias(f"_a{i}"),
-            F.stddev_samp(x).alias(f"_s{i}"),
-            F.min(x).alias(f"_lo{i}"),
-            F.max(x).alias(f"_hi{i}"),
-        ]
-    totals = df.agg(*aggs)
-    entries = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"_n{i}").alias("n"),
-            F.col(f"_a{i}").alias("mean"),
-            F.col(f"_s{i}").alias("stddev"),
-            F.col(f"_lo{i}").alias("min"),
-            F.col(f"_hi{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
+def _number_columns(i: int, f: T.StructField) -> list[Column]:
+    return [
+        F.lit(f.name).alias("column_name"),
+        F.col(f"_n{i}").alias("n"),
+        F.col(f"_a{i}").alias("mean"),
+        F.col(f"_s{i}").alias("stddev"),
+        F.col(f"_lo{i}").alias("min"),
+        F.col(f"_hi{i}").alias("max"),
     ]
-    return _rows(totals, entries)
+
+
+def describe_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Typed ``describe()`` of the numeric columns: column_name, n, mean, stddev (sample), min, max as doubles."""
+    fields = [df.schema[c] for c in columns] if columns else [f for f in df.schema.fields if is_numeric(f.dataType)]
+    return _in_blocks(df, fields, _DESCRIBE_FIELDS, _numbers, lambda i, f: F.struct(*_number_columns(i, f)))
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """Typed ``describe()`` of the numeric and the text columns: as :func:`describe_numeric`, and min_text, max_text
+    (null for numbers, as mean, stddev, min and max are for text)."""
+    fields = [f for f in df.schema.fields if is_numeric(f.dataType) or isinstance(f.dataType, T.StringType)]
+
+    def text(f: T.StructField) -> Column:
+        return F.col(f.name) if isinstance(f.dataType, T.StringType) else F.lit(None).cast("string")
+
+    return _in_blocks(
+        df,
+        fields,
+        _DESCRIBE_FIELDS + 2,
+        lambda i, f: [*_numbers(i, f), F.min(text(f)).alias(f"_lt{i}"), F.max(text(f)).alias(f"_ht{i}")],
+        lambda i, f: F.struct(*_number_columns(i, f), F.col(f"_lt{i}").alias("min_text"), F.col(f"_ht{i}").alias("max_text")),
+    )
