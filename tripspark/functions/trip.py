@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripspark.fixed import FLAG_NO, FLAG_YES
-from tripspark.schema import DROPOFF_COL, DURATION_COL, PICKUP_COL
+from tripspark.schema import DROPOFF_COL, DURATION_COL, PICKUP_COL, SPLIT_COL
 
 
 def _c(c: str | Column) -> Column:
@@ -35,9 +35,32 @@ def time_feature_columns(pickup: str | Column = PICKUP_COL, dropoff: str | Colum
         "pickup_hour": F.hour(p),
         "pickup_day_week": F.dayofweek(p),
         "pickup_month": F.month(p),
+        SPLIT_COL: key_bucket(_seconds(p) * 7919 + _seconds(_c(dropoff))),
     }
 
 
+def _seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 of a timestamp without zone."""
+    return (ts.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("long")
+
+
+# Constants of 32-bit Fibonacci hashing (2^32 / golden ratio, 2^32, 2^31 - 1).
+FIB_MULTIPLIER = 2654435761
+TWO_POW_32 = 4294967296
+MERSENNE_31 = 2147483647
+
+
+def key_bucket(key: str | Column, buckets: int = 100) -> Column:
+    """Bucket 0..buckets-1 of an integer key by Fibonacci hashing (high bits of k * 2654435761 mod 2^32).
+
+    Integer arithmetic only (no overflow: k < 2^31, so k * multiplier < 2^63), so any SQL engine
+    can reproduce it exactly. A null key gives null.
+    """
+    k = F.pmod(_c(key), F.lit(MERSENNE_31))
+    h = F.pmod(k * F.lit(FIB_MULTIPLIER), F.lit(TWO_POW_32))
+    return F.floor(h * F.lit(buckets) / F.lit(TWO_POW_32)).cast("int")
+
+
 def encode_flag(c: str | Column, no: str = FLAG_NO, yes: str = FLAG_YES) -> Column:
     """N -> 0, Y -> 1, anything else (including null) -> null."""
     col = _c(c)

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.fixed import FEATURE_ORDER, GBT_PARAMS, TRAIN_FRACTION
+from tripspark.functions.trip import key_bucket
 
 FEATURES_COL = "features"
 
@@ -45,6 +48,20 @@ def assemble_features(
     return VectorAssembler(inputCols=list(input_cols), outputCol=output_col, handleInvalid=handle_invalid).transform(df)
 
 
+def inputs_present(input_cols: tuple[str, ...] | list[str] = FEATURE_ORDER) -> Column:
+    """Whether every model input holds a number (neither null nor NaN)."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in input_cols])
+
+
+def predict_present(df: DataFrame, model, input_cols: tuple[str, ...] | list[str] = FEATURE_ORDER) -> DataFrame:
+    """``df`` with ``inputs_present`` and ``prediction``: every row stays, and one with a missing input has a null
+    prediction instead of failing the job."""
+    safe = {f"_in{i}": F.when(F.col("inputs_present"), F.col(c).cast("double")).otherwise(F.lit(0.0)) for i, c in enumerate(input_cols)}
+    ready = df.withColumn("inputs_present", inputs_present(input_cols)).withColumns(safe)
+    scored = model.transform(assemble_features(ready, list(safe)))
+    return scored.drop(*safe, FEATURES_COL).withColumn("prediction", F.when(F.col("inputs_present"), F.col("prediction")))
+
+
 def vector_as_array(col: str = FEATURES_COL) -> Column:
     return vector_to_array(F.col(col), "float64")
 
@@ -55,25 +72,13 @@ def hash_split_flag(columns: list[str], train_fraction: float = TRAIN_FRACTION,
     return h < F.lit(int(round(train_fraction * resolution)))
 
 
-# Constants of 32-bit Fibonacci hashing (2^32 / golden ratio, 2^32, 2^31 - 1).
-FIB_MULTIPLIER = 2654435761
-TWO_POW_32 = 4294967296
-MERSENNE_31 = 2147483647
-
-
-def key_split_bucket(key: str | Column, buckets: int = 100) -> Column:
-    """Bucket 0..buckets-1 of an integer key by Fibonacci hashing (high bits of k * 2654435761 mod 2^32).
-
-    Integer arithmetic only (no overflow: k < 2^31, so k * multiplier < 2^63), so any SQL engine
-    can reproduce the split exactly.
-    """
-    k = F.pmod(F.col(key) if isinstance(key, str) else key, F.lit(MERSENNE_31))
-    h = F.pmod(k * F.lit(FIB_MULTIPLIER), F.lit(TWO_POW_32))
-    return F.floor(h * F.lit(buckets) / F.lit(TWO_POW_32)).cast("int")
+def is_train_bucket(bucket: str | Column, train_fraction: float = TRAIN_FRACTION, buckets: int = 100) -> Column:
+    """R1 on a bucket 0..buckets-1: True for the train side."""
+    return (F.col(bucket) if isinstance(bucket, str) else bucket) < int(round(train_fraction * buckets))
 
 
 def key_split_label(key: str | Column, train_fraction: float = TRAIN_FRACTION, buckets: int = 100) -> Column:
-    return F.when(key_split_bucket(key, buckets) < int(round(train_fraction * buckets)), F.lit("train")).otherwise(F.lit("test"))
+    return F.when(is_train_bucket(key_bucket(key, buckets), train_fraction, buckets), F.lit("train")).otherwise(F.lit("test"))
 
 
 def train_test_split(
@@ -92,24 +97,40 @@ def train_test_split(
     return df.filter(flag), df.filter(~flag)
 
 
-def regression_metrics(df: DataFrame, label_col: str, prediction_col: str) -> DataFrame:
-    """One row: n, r2, mae, rmse (pairs with a null side are skipped)."""
-    both = F.col(label_col).isNotNull() & F.col(prediction_col).isNotNull()
-    y = F.when(both, F.col(label_col).cast("double"))
-    p = F.when(both, F.col(prediction_col).cast("double"))
+def regression_metrics(
+    df: DataFrame,
+    label_col: str,
+    prediction_col: str,
+    where: Column | None = None,
+    also: list[Column] | None = None,
+    mae_of: tuple[str, str] | None = None,
+) -> DataFrame:
+    """One row: n, r2, mae, rmse of the rows ``where`` (pairs with a null side are skipped), and the aggregates ``also`` of
+    all rows. ``mae_of``: another (label, prediction) whose mean absolute error is wanted, e.g. on another scale."""
+    where = F.lit(True) if where is None else where
+
+    def pair(label: str, prediction: str) -> tuple[Column, Column]:
+        both = where & F.col(label).isNotNull() & F.col(prediction).isNotNull()
+        return F.when(both, F.col(label).cast("double")), F.when(both, F.col(prediction).cast("double"))
+
+    y, p = pair(label_col, prediction_col)
+    y2, p2 = pair(*mae_of) if mae_of else (y, p)
     err = y - p
+    also = also or []
     m = df.agg(
         F.count(err).alias("n"),
         F.sum(err * err).alias("_ss_res"),
         F.var_pop(y).alias("_var"),
-        F.avg(F.abs(err)).alias("mae"),
+        F.avg(F.abs(y2 - p2)).alias("mae"),
+        *also,
     )
-    return m.select(
-        "n",
-        (F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_var") * F.col("n"))).alias("r2"),
-        "mae",
-        F.sqrt(F.try_divide(F.col("_ss_res"), F.col("n").cast("double"))).alias("rmse"),
+    done = m.withColumns(
+        {
+            "r2": F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_var") * F.col("n")),
+            "rmse": F.sqrt(F.try_divide(F.col("_ss_res"), F.col("n").cast("double"))),
+        }
     )
+    return done.drop("_ss_res", "_var")
 
 
 def gbt_regressor(label_col: str, features_col: str = FEATURES_COL, **overrides) -> GBTRegressor:

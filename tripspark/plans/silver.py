@@ -21,7 +21,8 @@ from tripspark.sources.parquet import read_table, write_overwrite
 
 
 def add_time_features(df: DataFrame, pickup: str = PICKUP_COL, dropoff: str = DROPOFF_COL, drop_timestamps: bool = True) -> DataFrame:
-    """duration_minutes, pickup_hour, pickup_day_week, pickup_month; drop the two timestamps."""
+    """duration_minutes, pickup_hour, pickup_day_week, pickup_month, and the trip's split bucket, computed from
+    its times before the two timestamps are dropped."""
     out = df.withColumns(time_feature_columns(pickup, dropoff))
     return out.drop(pickup, dropoff) if drop_timestamps else out
 
@@ -39,7 +40,7 @@ def build_silver(
     null_plan: NullPlan | None = None,
 ) -> SilverResult:
     plan = null_plan or plan_null_policy(raw, threshold_pct)
-    cleaned = plan.apply(raw)
+    cleaned = plan.apply(raw, planned_on=null_plan is None)
     deduped = distinct_rows(cleaned)  # before the timestamps go: equal trips at other times stay
     featured = add_time_features(deduped)
     return SilverResult(filter_outliers(featured, rules), plan)

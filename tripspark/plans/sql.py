@@ -10,30 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 AVG_DURATION_BY_HOUR_SQL = """
-WITH avg_hour AS (
-    SELECT pickup_hour, AVG(duration_minutes) AS avgduration
-    FROM {silver}
-    GROUP BY pickup_hour
+WITH minutes_of_hour AS (
+    SELECT s.pickup_hour AS hour_of_day, s.duration_minutes AS minutes FROM {silver} AS s
 )
-SELECT * FROM avg_hour
+SELECT hour_of_day AS pickup_hour, avg(minutes) AS avgduration FROM minutes_of_hour GROUP BY hour_of_day
 """
 
 AVG_DURATION_ONE_HOUR_SQL = """
-WITH avg_hour AS (
-    SELECT pickup_hour, AVG(duration_minutes) AS avgduration
-    FROM {silver}
-    GROUP BY pickup_hour
+WITH mean_by_hour AS (
+    SELECT s.pickup_hour, avg(s.duration_minutes) AS mean_minutes FROM {silver} AS s GROUP BY s.pickup_hour
 )
-SELECT * FROM avg_hour WHERE pickup_hour = :pickup_hour
+SELECT m.pickup_hour, m.mean_minutes AS avgduration FROM mean_by_hour AS m WHERE m.pickup_hour = :pickup_hour
 """
 
 PAYMENT_ANALYSIS_SQL = """
-WITH payment_analysis AS (
-    SELECT payment_type, COUNT(*) AS total_trips, AVG(duration_minutes) AS avg_duration
-    FROM {silver}
-    GROUP BY payment_type
+WITH by_payment AS (
+    SELECT s.payment_type AS paid_with, count(1) AS n, avg(s.duration_minutes) AS mean_minutes FROM {silver} AS s GROUP BY s.payment_type
 )
-SELECT * FROM payment_analysis
+SELECT paid_with AS payment_type, n AS total_trips, mean_minutes AS avg_duration FROM by_payment
 """
 
 

@@ -1,9 +1,9 @@
 """Train and evaluate a duration model on silver trips.
 
 silver -> 7 features (fixed order) -> vector -> label (log1p minutes for GBT, minutes for the
-linear and forest models) -> hash split -> fit on the train side -> score every row -> metrics on
+linear and forest models) -> split by the trip's bucket -> fit on the train side -> score every row -> metrics on
 the test side.
-The training frame is persisted MEMORY_AND_DISK (tree learners scan it once per level), and
+The train side is persisted MEMORY_AND_DISK for the fit (tree learners scan it once per level), and
 the boosting lineage is checkpointed to the shared checkpoint dir every 10 iterations.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tripspark.config import ensure_checkpoint_dir
 from tripspark.functions.trip import from_log_target, to_log_target
 from tripspark.operators import ml
-from tripspark.schema import DURATION_COL, FEATURE_ORDER
+from tripspark.schema import DURATION_COL, FEATURE_ORDER, SPLIT_COL
 
 LOG_LABEL = "duration_log"
 
@@ -27,9 +27,9 @@ MODEL_KINDS = {"gbt": (LOG_LABEL, True), "lr": (DURATION_COL, False), "rf": (DUR
 
 
 def model_frame(silver: DataFrame) -> DataFrame:
-    """Features vector + labels (P2, M1, X7), the split flag computed from the row's inputs."""
-    base = silver.select(*FEATURE_ORDER, DURATION_COL)
-    flagged = base.withColumn("is_train", ml.hash_split_flag([*FEATURE_ORDER, DURATION_COL]))
+    """Features vector + labels (P2, M1, X7), the split flag from the trip's bucket (its times), so that equal rows of
+    different trips fall on both sides."""
+    flagged = silver.select(*FEATURE_ORDER, DURATION_COL, ml.is_train_bucket(SPLIT_COL).alias("is_train"))
     assembled = ml.assemble_features(flagged)
     return assembled.select(ml.FEATURES_COL, to_log_target(DURATION_COL).alias(LOG_LABEL), DURATION_COL, "is_train")
 
@@ -39,10 +39,10 @@ class TrainedModel:
     kind: str
     model: object
     scored: DataFrame  # every row: features, labels, is_train, prediction, predicted_minutes
-    frame: DataFrame | None = None  # the persisted model frame
+    frame: DataFrame | None = None  # the persisted train side
 
     def release(self) -> None:
-        """Drop the persisted model frame (after the last use of ``scored``)."""
+        """Drop the persisted train side (``scored`` does not read it)."""
         if self.frame is not None:
             self.frame.unpersist()
 
@@ -59,25 +59,21 @@ class TrainedModel:
         """Model, version, metric, value, n_train, n_test. R2 on the training label's scale
         (log for GBT), MAE in minutes; one aggregate job over the scored frame."""
         label, _ = MODEL_KINDS[self.kind]
-        test = ~F.col("is_train")
-        y = F.when(test, F.col(label).cast("double"))
-        err = y - F.when(test, F.col("prediction"))
-        err_minutes = F.when(test, F.col(DURATION_COL).cast("double")) - F.when(test, F.col("predicted_minutes"))
-        m = self.scored.agg(
-            F.count_if(F.col("is_train")).alias("n_train"),
-            F.count_if(test).alias("n_test"),
-            F.sum(err * err).alias("_ss_res"),
-            F.var_pop(y).alias("_var"),
-            F.avg(F.abs(err_minutes)).alias("_mae"),
+        m = ml.regression_metrics(
+            self.scored,
+            label,
+            "prediction",
+            where=~F.col("is_train"),
+            also=[F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test")],
+            mae_of=(DURATION_COL, "predicted_minutes"),
         )
-        r2 = F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_var") * F.col("n_test"))
         return m.select(
             F.lit(self.kind).alias("model"),
             F.lit(version).alias("version"),
             F.inline(
                 F.array(
-                    F.struct(F.lit("r2").alias("metric"), r2.alias("value")),
-                    F.struct(F.lit("mae_minutes").alias("metric"), F.col("_mae").alias("value")),
+                    F.struct(F.lit("r2").alias("metric"), F.col("r2").alias("value")),
+                    F.struct(F.lit("mae_minutes").alias("metric"), F.col("mae").alias("value")),
                 )
             ),
             "n_train",
@@ -85,20 +81,17 @@ class TrainedModel:
         )
 
 
-def train_duration_model(silver: DataFrame, kind: str = "gbt", **params) -> TrainedModel:
-    ensure_checkpoint_dir(silver.sparkSession)
-    label, is_log = MODEL_KINDS[kind]
-    frame = model_frame(silver).persist(StorageLevel.MEMORY_AND_DISK)
-    train = frame.filter("is_train")
-    if kind == "gbt":
-        estimator = ml.gbt_regressor(label, **params)
-    elif kind == "lr":
-        estimator = ml.linear_regression(label, **params)
-    elif kind == "rf":
-        estimator = ml.random_forest(label, **params)
-    else:
+def train_duration_model(silver: DataFrame | None, kind: str = "gbt", frame: DataFrame | None = None, **params) -> TrainedModel:
+    """Fit on the train side of ``silver``'s model frame, or of a ``frame`` made before (to fit several kinds on one). Only the train
+    side is persisted, for the fit."""
+    if kind not in MODEL_KINDS:
         raise ValueError(f"unknown model kind {kind!r}")
-    model = estimator.fit(train)
+    frame = model_frame(silver) if frame is None else frame
+    ensure_checkpoint_dir(frame.sparkSession)
+    label, is_log = MODEL_KINDS[kind]
+    train = frame.filter("is_train").persist(StorageLevel.MEMORY_AND_DISK)
+    estimators = {"gbt": ml.gbt_regressor, "lr": ml.linear_regression, "rf": ml.random_forest}
+    model = estimators[kind](label, **params).fit(train)
     scored = model.transform(frame)
     minutes = from_log_target("prediction") if is_log else F.col("prediction")
-    return TrainedModel(kind, model, scored.withColumn("predicted_minutes", minutes), frame)
+    return TrainedModel(kind, model, scored.withColumn("predicted_minutes", minutes), train)

@@ -1,6 +1,6 @@
 """Streaming scoring of landed trip files.
 
-file source (declared schema) -> frozen null plan (fill values and drop columns decided on a
+file source (declared schema) -> frozen null plan (drop columns, modes and a mean for every numeric column, decided on a
 batch: the policy is a whole-table operator and cannot be computed on an unbounded stream) ->
 optional dedup within a watermark -> time features -> outlier rules -> model -> parquet sink.
 The checkpoint makes the sink exactly-once across restarts and lost executors: a restarted
@@ -49,7 +49,7 @@ def scored_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(source_dir)
-    cleaned = null_plan.apply(raw, all_floating=True)  # future files may hold NaN in any column
+    cleaned = null_plan.apply(raw, planned_on=False)  # later files may hold a null or NaN in any column
     if dedup_within:
         # watermarks need TIMESTAMP; a timestamp copy of the pickup time drives state eviction only
         key = list(cleaned.columns)
@@ -60,12 +60,12 @@ def scored_stream(
             .drop(EVENT_TIME)
         )
     silver = filter_outliers(add_time_features(cleaned), rules)
-    assembled = ml.assemble_features(silver.select(*FEATURE_ORDER, DURATION_COL, "payment_type"))
-    scored = model.transform(assembled)
+    scored = ml.predict_present(silver.select(*FEATURE_ORDER, DURATION_COL, "payment_type"), model)
     return scored.select(
         *FEATURE_ORDER,
         DURATION_COL,
         "payment_type",
+        "inputs_present",
         from_log_target("prediction").alias("predicted_duration"),
         F.current_timestamp().alias("scored_at"),
     )
@@ -104,4 +104,5 @@ def run_until_drained(stream: DataFrame, sink_dir: str, checkpoint_dir: str, sta
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
-    return stream.sparkSession.read.parquet(sink_dir)
+    # the schema is known: a sink without files yet is an empty table
+    return stream.sparkSession.read.schema(stream.schema).parquet(sink_dir)
