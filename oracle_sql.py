@@ -66,13 +66,18 @@ ORDERS_COLUMNS = [
 NUMERIC = {"int", "bigint", "double"}
 
 
+def bucket(key: str) -> str:
+    return f"CAST((({key}) % 2147483647 * 2654435761) % 4294967296 * 100 // 4294967296 AS INTEGER)"
+
+
 def features(src: str) -> str:
     return f"""SELECT VendorID, passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, payment_type,
            fare_amount, total_amount, Airport_fee, cbd_congestion_fee,
            CAST(trunc(epoch(tpep_dropoff_datetime - tpep_pickup_datetime) / 60) AS INTEGER) AS duration_minutes,
            CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour,
            CAST(dayofweek(tpep_pickup_datetime) + 1 AS INTEGER) AS pickup_day_week,
-           CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month
+           CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
+           {bucket("CAST(floor(epoch(tpep_pickup_datetime)) AS BIGINT) * 7919 + CAST(floor(epoch(tpep_dropoff_datetime)) AS BIGINT)")} AS split_bucket
     FROM {src}"""
 
 
@@ -155,6 +160,33 @@ def _describe(table: str, cols: list[tuple[str, str]], prefix: str = "") -> str:
     return prefix + "\nUNION ALL\n".join(parts)
 
 
+def _describe_all(table: str, cols: list[tuple[str, str]], prefix: str = "") -> str:
+    parts = []
+    for c, t in cols:
+        if t in NUMERIC:
+            x, text = f"CAST({c} AS DOUBLE)", "CAST(NULL AS VARCHAR)"
+        elif t == "string":
+            x, text = "CAST(NULL AS DOUBLE)", c
+        else:
+            continue
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({x}), 8) AS mean, round(stddev_samp({x}), 8) AS stddev, "
+            f"round(min({x}), 8) AS \"min\", round(max({x}), 8) AS \"max\", min({text}) AS min_text, max({text}) AS max_text FROM {table}"
+        )
+    return prefix + "\nUNION ALL\n".join(parts)
+
+
+def _policy_steps(columns: list[tuple[str, str]]) -> str:
+    """The sequential rule as a chain of steps over ``v``, each deciding from the frame that the one before left."""
+    steps, before = [], "v"
+    for i, (c, t) in enumerate(columns):
+        mean = f"SELECT avg({c}) FROM {before}" if t == "DOUBLE" else f"SELECT CAST(trunc(avg({c})) AS {t}) FROM {before}"
+        below = f"(SELECT count(*) FILTER ({c} IS NULL) * 100.0 FROM {before}) < 5 * (SELECT count(*) FROM v)"
+        steps.append(f"s{i} AS (SELECT * REPLACE (coalesce({c}, ({mean})) AS {c}) FROM {before} WHERE {c} IS NOT NULL OR NOT {below})")
+        before = f"s{i}"
+    return ",\n".join(steps) + f"\nSELECT * REPLACE (round(fare_amount, 8) AS fare_amount, round(total_amount, 8) AS total_amount) FROM {before}"
+
+
 def _profile_columns() -> str:
     parts = [
         f"SELECT '{c}' AS column_name, CAST({i + 1} AS INTEGER) AS position, '{t}' AS data_type, count(*) AS n_rows, "
@@ -205,6 +237,13 @@ def queries_sql() -> dict[str, str]:
     out: dict[str, str] = {
         "scan_trips": t + "SELECT * FROM trips",
         "bronze_counts": "SELECT 'trips' AS table_name, count(*) AS n_rows, CAST(12 AS INTEGER) AS n_columns FROM events",
+        "bronze_extra_columns": t
+        + ", extra AS (SELECT *, total_amount - fare_amount AS new_fee FROM trips)\n"
+        + "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, CAST({i + 1} AS INTEGER) AS position, '{typ}' AS data_type, count(*) AS n_rows, "
+            f"count({c}) AS n_non_null, {'false' if c == 'new_fee' else 'true'} AS declared FROM extra"
+            for i, (c, typ) in enumerate([*TRIP_COLUMNS, ("new_fee", "double")])
+        ),
         "roundtrip_parquet": t + "SELECT * FROM trips",
         "silver_trips": s + "SELECT * FROM silver",
         "null_profile": _null_profile("trips", TRIP_COLUMNS, t),
@@ -213,6 +252,8 @@ def queries_sql() -> dict[str, str]:
         "describe_orders": _describe("orders", ORDERS_COLUMNS),
         "profile_columns": _profile_columns(),
         "describe_numeric": _describe("trips", TRIP_COLUMNS, t),
+        "describe_columns": _describe_all("trips", TRIP_COLUMNS, t),
+        "describe_orders_columns": _describe_all("orders", ORDERS_COLUMNS),
         "describe_lineitem": _describe("lineitem", LINEITEM_COLUMNS),
         "duplicate_report": t
         + ", twice AS (SELECT * FROM trips UNION ALL SELECT * FROM trips)\n"
@@ -238,6 +279,12 @@ def queries_sql() -> dict[str, str]:
            coalesce(cbd_congestion_fee, {_mode('cbd_congestion_fee')}) AS cbd_congestion_fee
     FROM trips""",
         "impute_policy": f"WITH {TRIPS},\n{IMPUTED}\nSELECT * FROM imputed",
+        "impute_policy_order": """WITH v AS (
+            SELECT CASE WHEN event_id % 30 <> 0 THEN CAST(event_id % 2 + 1 AS INTEGER) END AS VendorID, ts AS tpep_pickup_datetime,
+                   CASE WHEN event_id % 15 <> 0 THEN CAST(event_id % 2 + 3 AS BIGINT) END AS passenger_count,
+                   CASE WHEN event_id % 7 <> 3 THEN value * 1.5 - 1.0 END AS fare_amount, value * 1.5 AS total_amount FROM events),
+        """
+        + _policy_steps([("VendorID", "INTEGER"), ("passenger_count", "BIGINT"), ("fare_amount", "DOUBLE"), ("total_amount", "DOUBLE")]),
         "dedup_rows": t + "SELECT DISTINCT * FROM (SELECT * FROM trips UNION ALL SELECT * FROM trips)",
         "distinct_months": t + "SELECT DISTINCT CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month FROM trips",
         "time_features": t + features("trips"),
@@ -307,7 +354,29 @@ def queries_sql() -> dict[str, str]:
         "SELECT CAST(VendorID AS SMALLINT) AS VendorID, CAST(passenger_count AS SMALLINT) AS passenger_count, "
         f"{money('trip_distance', 6)}, CAST(RatecodeID AS SMALLINT) AS RatecodeID, store_and_fwd_flag, payment_type, "
         f"{money('fare_amount', 10)}, {money('total_amount', 10)}, {money('Airport_fee', 10)}, "
-        f"{money('cbd_congestion_fee', 10)}, duration_minutes, pickup_hour, pickup_day_week, pickup_month FROM silver"
+        f"{money('cbd_congestion_fee', 10)}, CAST(duration_minutes AS DECIMAL(10,2)) AS duration_minutes, pickup_hour, pickup_day_week, pickup_month FROM silver"
+    )
+    inputs = "trip_distance, pickup_hour, pickup_month, Airport_fee, pickup_day_week, RatecodeID, fare_amount"
+    present = " AND ".join(f"{c} IS NOT NULL" for c in inputs.split(", "))
+    valid = (
+        f"{present} AND pickup_hour BETWEEN 0 AND 23 AND pickup_month BETWEEN 1 AND 12 AND pickup_day_week BETWEEN 1 AND 7 "
+        "AND RatecodeID >= 1 AND trip_distance >= 0 AND Airport_fee >= 0 AND fare_amount >= 0"
+    )
+    out["train_split_counts"] = s + "SELECT CASE WHEN split_bucket < 70 THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows FROM silver GROUP BY 1"
+    out["linear_fit_distance"] = s + (
+        "SELECT count(*) AS n, round(regr_slope(duration_minutes, trip_distance), 6) AS slope, "
+        "round(regr_intercept(duration_minutes, trip_distance), 6) AS intercept, round(regr_r2(duration_minutes, trip_distance), 6) AS r2 FROM silver"
+    )
+    out["model_roundtrip_equal"] = s + "SELECT count(*) AS n, count(*) AS n_equal FROM silver WHERE split_bucket >= 70"
+    out["score_requests_flags"] = t + (
+        f"SELECT {inputs}, duration_minutes, coalesce({valid}, false) AS payload_valid, {present} AS has_prediction FROM ({features('trips')})"
+    )
+    out["prediction_log_entries"] = s + f"SELECT {inputs}, 'gbt_duration_minutes_v1' AS model_version, CAST(NULL AS INTEGER) AS user_id FROM silver"
+    out["stream_score_inputs"] = f"WITH {TRIPS},\n{IMPUTED}\nSELECT {inputs}, duration_minutes, payment_type, true AS inputs_present FROM ({features('imputed')}) WHERE {OUTLIER_WHERE}"
+    out["path_segments"] = "SELECT page_id, list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1) AS segment FROM pages"
+    quantiles = "[0.01, 0.25, 0.5, 0.75, 0.99]"
+    out["duration_quantiles_exact"] = s + (
+        f"SELECT unnest(CAST({quantiles} AS DOUBLE[])) AS quantile, unnest(quantile_disc(duration_minutes, {quantiles})) AS duration_minutes FROM silver"
     )
     out["preview_trips"] = t + (
         "SELECT * FROM trips ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, trip_distance LIMIT 20"

@@ -12,12 +12,12 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripspark.config import app_key, run_path
-from tripspark.functions.trip import encode_flag, from_log_target, to_log_target
+from tripspark.functions.trip import encode_flag, from_log_target, last_path_segment, to_log_target
 from tripspark.operators import aggregates, dedup, ml, nulls, profile
 from tripspark.operators.correlation import correlation_long, correlation_wide
 from tripspark.operators.filters import filter_outliers, reject_reasons
@@ -26,29 +26,18 @@ from tripspark.plans import scoring
 from tripspark.plans import sql as sqlforms
 from tripspark.plans.silver import add_time_features, build_silver, write_silver
 from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model
-from tripspark.schema import DURATION_COL, TRIP_VIEW_SCHEMA
-from tripspark.sources.jdbc import relational_view
+from tripspark.schema import DURATION_COL, FEATURE_ORDER, SPLIT_COL, TIME_FEATURE_COLS, TRIP_VIEW_SCHEMA, is_numeric
+from tripspark.sources.jdbc import sink_frame
 from tripspark.sources.parquet import land_bronze, read_table, write_overwrite
-from tripspark.sources.trips_view import load_trips
+from tripspark.sources.trips_view import load_events, load_trips, trips_from_events
 from tripspark.streaming.scoring import run_until_drained, scored_stream
 
 REPORT_DECIMALS = 8
 
-# Silver columns that are numeric once the flag is encoded (correlation input).
+# Silver columns that are numeric once the flag is encoded (correlation input): those of the view that stay, and the time features.
 SILVER_NUMERIC = [
-    "VendorID",
-    "passenger_count",
-    "trip_distance",
-    "RatecodeID",
-    "store_and_fwd_flag",
-    "fare_amount",
-    "total_amount",
-    "Airport_fee",
-    "cbd_congestion_fee",
-    "duration_minutes",
-    "pickup_hour",
-    "pickup_day_week",
-    "pickup_month",
+    *[f.name for f in TRIP_VIEW_SCHEMA.fields if is_numeric(f.dataType) or f.name == "store_and_fwd_flag"],
+    *[c for c in TIME_FEATURE_COLS if c != SPLIT_COL],
 ]
 
 
@@ -69,6 +58,7 @@ def _sf_name(sf_dir: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given test table."""
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -121,6 +111,16 @@ def q_bronze_counts(spark, sf_dir):
     return report.frame(spark, "trips")
 
 
+def q_bronze_extra_columns(spark, sf_dir):
+    """A raw file with a column beyond the declaration: bronze keeps it, in file order, and the report names it."""
+    raw = run_path(spark, "raw_extra", _sf_name(sf_dir), "trips")
+    write_overwrite(trips(spark, sf_dir).withColumn("new_fee", F.col("total_amount") - F.col("fare_amount")), raw)
+    landed = land_bronze(read_table(spark, raw, TRIP_VIEW_SCHEMA, keep_extra=True), run_path(spark, "bronze_extra", _sf_name(sf_dir), "trips"), TRIP_VIEW_SCHEMA)
+    bronze = profile.profile_columns(read_table(spark, landed.path))
+    declared = ~F.col("column_name").isin(*landed.extra_columns)
+    return bronze.select("column_name", "position", "data_type", "n_rows", "n_non_null", declared.alias("declared"))
+
+
 def q_roundtrip_parquet(spark, sf_dir):
     path = run_path(spark, "roundtrip", _sf_name(sf_dir), "trips")
     write_overwrite(trips(spark, sf_dir), path)
@@ -141,9 +141,9 @@ def q_silver_trips(spark, sf_dir):
 
 
 def q_silver_relational(spark, sf_dir):
-    """The silver rows as the relational sink would receive them (declared smallint /
-    decimal types); the JDBC write itself needs a database, which this environment has not."""
-    return relational_view(silver(spark, sf_dir))
+    """The silver rows as the relational sink would receive them with declared types (smallint, integer,
+    decimal); the JDBC write itself needs a database, which this environment has not."""
+    return sink_frame(silver(spark, sf_dir), declared_types=True)
 
 
 # ---------------------------------------------------------------- profiles
@@ -175,6 +175,15 @@ def q_describe_lineitem(spark, sf_dir):
     return report(profile.describe_numeric(_table(spark, sf_dir, "lineitem")))
 
 
+def q_describe_columns(spark, sf_dir):
+    """A8 with the text columns: count, min and max of ``store_and_fwd_flag`` and ``payment_type``."""
+    return report(profile.describe(trips(spark, sf_dir)))
+
+
+def q_describe_orders_columns(spark, sf_dir):
+    return report(profile.describe(_table(spark, sf_dir, "orders")))
+
+
 def q_duplicate_report(spark, sf_dir):
     t = trips(spark, sf_dir)
     return (
@@ -202,6 +211,24 @@ def q_impute_policy(spark, sf_dir):
     return nulls.apply_null_policy(trips(spark, sf_dir))
 
 
+def trips_with_early_nulls(spark, sf_dir):
+    """Trips whose first column has a few nulls, which drop their rows: a third of the rows without a passenger count go with them,
+    so that count falls below the threshold and drops rows as well, and the mean that fills fare_amount moves."""
+    eid, t = F.col("event_id"), trips_from_events(load_events(spark, sf_dir), keep_id=True)
+    return t.select(
+        F.when(eid % 30 != 0, F.col("VendorID")).alias("VendorID"),
+        "tpep_pickup_datetime",
+        F.when(eid % 15 != 0, F.lit(2).cast("long") + F.col("VendorID")).alias("passenger_count"),
+        F.when(eid % 7 != 3, F.col("fare_amount")).alias("fare_amount"),
+        "total_amount",
+    )
+
+
+def q_impute_policy_order(spark, sf_dir):
+    """N2 where the order of columns decides: an early drop turns a later fill into a drop and moves a mean."""
+    return report(nulls.apply_null_policy(trips_with_early_nulls(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- dedup
 def q_dedup_rows(spark, sf_dir):
     t = trips(spark, sf_dir)
@@ -299,6 +326,7 @@ def q_histogram_lineitem_quantity(spark, sf_dir):
 
 
 _MODELS: dict[tuple[str, str, str], TrainedModel] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
 _MODELS_LOCK = threading.Lock()
 
 # Our own baseline predictor for the metric queries (not a reference value): minutes per distance unit.
@@ -306,11 +334,19 @@ BASELINE_MINUTES_PER_UNIT = 2.2
 
 
 def trained(spark: SparkSession, sf_dir: str, kind: str = "gbt") -> TrainedModel:
-    """One fit per (session, scale, model kind); the ML queries share it."""
+    """One fit per (session, scale, model kind); the ML queries share it, and the kinds share one written model frame
+    (nothing stays persisted)."""
     key = (app_key(spark), os.path.abspath(sf_dir), kind)
     with _MODELS_LOCK:
         if key not in _MODELS:
-            _MODELS[key] = train_duration_model(silver(spark, sf_dir), kind)
+            if key[:2] not in _FRAMES:
+                path = run_path(spark, "model_frame", _sf_name(sf_dir), uuid.uuid4().hex[:12])
+                frame = model_frame(silver(spark, sf_dir))
+                frame.write.parquet(path)
+                _FRAMES[key[:2]] = spark.read.schema(frame.schema).parquet(path)
+            tm = train_duration_model(None, kind, frame=_FRAMES[key[:2]])
+            tm.release()
+            _MODELS[key] = tm
         return _MODELS[key]
 
 
@@ -374,6 +410,27 @@ def q_train_rf_metrics(spark, sf_dir):
     return trained(spark, sf_dir, "rf").metrics()
 
 
+def q_train_split_counts(spark, sf_dir):
+    """R1 as training uses it: rows on either side."""
+    side = F.when(F.col("is_train"), "train").otherwise("test")
+    return model_frame(silver(spark, sf_dir)).groupBy(side.alias("split")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_linear_fit_distance(spark, sf_dir):
+    """M3 on one feature, all rows: slope, intercept and R2 of minutes by distance."""
+    frame = ml.assemble_features(silver(spark, sf_dir).select("trip_distance", DURATION_COL), ["trip_distance"])
+    model = ml.linear_regression(DURATION_COL).fit(frame)
+    scored = ml.regression_metrics(model.transform(frame), DURATION_COL, "prediction")
+    fit = scored.select("n", F.lit(float(model.coefficients[0])).alias("slope"), F.lit(float(model.intercept)).alias("intercept"), "r2")
+    return report(fit, 6)
+
+
+def q_model_roundtrip_equal(spark, sf_dir):
+    """Test rows scored by the fitted and by the saved and loaded model, and how many predictions are equal."""
+    both = q_model_roundtrip(spark, sf_dir)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if("same_prediction").alias("n_equal"))
+
+
 def q_model_roundtrip(spark, sf_dir):
     tm = trained(spark, sf_dir, "gbt")
     loaded, _ = saved_model(spark, sf_dir, "gbt")
@@ -391,6 +448,7 @@ def q_prediction_sample(spark, sf_dir):
     return p.select(
         F.col(DURATION_COL).alias("actual_minutes"),
         F.col("predicted_minutes"),
+        F.col("predicted_minutes").cast("int").alias("predicted_whole_minutes"),
         F.col(LOG_LABEL).alias("actual_log"),
         F.col("prediction").alias("predicted_log"),
     )
@@ -401,6 +459,34 @@ def q_score_batch(spark, sf_dir):
     return scoring.score_requests(scoring.requests_from_silver(silver(spark, sf_dir)), model)
 
 
+def scoring_requests(spark, sf_dir):
+    """Requests from raw trips, with the nulls that these have: incomplete ones must come out flagged."""
+    t = add_time_features(trips(spark, sf_dir))
+    return scoring.requests_from_silver(t)
+
+
+def q_score_requests_flags(spark, sf_dir):
+    """Every request comes out once, with its inputs, whether it is valid, and whether it has a prediction."""
+    model, _ = saved_model(spark, sf_dir, "gbt")
+    scored = scoring.score_requests(scoring_requests(spark, sf_dir), model)
+    return scored.select(*FEATURE_ORDER, DURATION_COL, "payload_valid", F.col("prediction").isNotNull().alias("has_prediction"))
+
+
+def q_prediction_log_entries(spark, sf_dir):
+    """The deterministic columns of a logged batch, read back from its folder."""
+    return q_prediction_log(spark, sf_dir).select(*FEATURE_ORDER, "model_version", "user_id")
+
+
+def q_stream_score_inputs(spark, sf_dir):
+    """The deterministic columns of the scored stream."""
+    return q_stream_score(spark, sf_dir).select(*FEATURE_ORDER, DURATION_COL, "payment_type", "inputs_present")
+
+
+def q_path_segments(spark, sf_dir):
+    """X12 over a column of paths: the last segment of every page's url."""
+    return _table(spark, sf_dir, "pages").select("page_id", last_path_segment("url").alias("segment"))
+
+
 def q_prediction_log(spark, sf_dir):
     model, path = saved_model(spark, sf_dir, "gbt")
     scored = scoring.score_requests(scoring.requests_from_silver(silver(spark, sf_dir)), model)
@@ -438,6 +524,16 @@ def q_duration_quantiles(spark, sf_dir):
     return approx_quantiles(silver(spark, sf_dir), "duration_minutes", [0.01, 0.25, 0.5, 0.75, 0.99])
 
 
+def q_duration_quantiles_exact(spark, sf_dir):
+    """E4, exact: the smallest duration whose cumulated share reaches the quantile, from the counts of whole minutes."""
+    counts = silver(spark, sf_dir).groupBy(DURATION_COL).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy(DURATION_COL))  # a row per minute, 240 at most
+    ranked = counts.withColumns({"upto": upto, "total": F.sum("n").over(Window.partitionBy())})
+    wanted = F.explode(F.array(*[F.lit(q) for q in (0.01, 0.25, 0.5, 0.75, 0.99)])).alias("quantile")
+    reached = ranked.select(DURATION_COL, "upto", "total", wanted).filter(F.col("upto") >= F.ceil(F.col("quantile") * F.col("total")))
+    return reached.groupBy("quantile").agg(F.min(DURATION_COL).alias("duration_minutes"))
+
+
 def q_null_policy_plan(spark, sf_dir):
     """N2 decisions as a frame: per column null count, share, action and fill value."""
     plan = nulls.plan_null_policy(trips(spark, sf_dir))
@@ -447,6 +543,7 @@ def q_null_policy_plan(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_trips": q_scan_trips,
     "bronze_counts": q_bronze_counts,
+    "bronze_extra_columns": q_bronze_extra_columns,
     "roundtrip_parquet": q_roundtrip_parquet,
     "silver_trips": q_silver_trips,
     "silver_relational": q_silver_relational,
@@ -457,11 +554,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "describe_numeric": q_describe_numeric,
     "describe_lineitem": q_describe_lineitem,
     "describe_orders": q_describe_orders,
+    "describe_columns": q_describe_columns,
+    "describe_orders_columns": q_describe_orders_columns,
     "duplicate_report": q_duplicate_report,
     "drop_sparse_nulls": q_drop_sparse_nulls,
     "impute_mean": q_impute_mean,
     "impute_mode": q_impute_mode,
     "impute_policy": q_impute_policy,
+    "impute_policy_order": q_impute_policy_order,
     "dedup_rows": q_dedup_rows,
     "distinct_months": q_distinct_months,
     "time_features": q_time_features,
@@ -489,11 +589,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_lr_metrics": q_train_lr_metrics,
     "train_rf_metrics": q_train_rf_metrics,
     "model_roundtrip": q_model_roundtrip,
+    "train_split_counts": q_train_split_counts,
+    "linear_fit_distance": q_linear_fit_distance,
+    "model_roundtrip_equal": q_model_roundtrip_equal,
     "prediction_sample": q_prediction_sample,
     "score_batch": q_score_batch,
     "prediction_log": q_prediction_log,
+    "score_requests_flags": q_score_requests_flags,
+    "prediction_log_entries": q_prediction_log_entries,
+    "path_segments": q_path_segments,
     "stream_score": q_stream_score,
+    "stream_score_inputs": q_stream_score_inputs,
     "preview_trips": q_preview_trips,
     "duration_quantiles": q_duration_quantiles,
+    "duration_quantiles_exact": q_duration_quantiles_exact,
     "null_policy_plan": q_null_policy_plan,
 }

@@ -81,8 +81,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = _session_setting(spark, "spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    master = _session_setting(spark, "spark.master") or "local"
-    if not master.startswith("local"):
+    master = _session_setting(spark, "spark.master") or "unknown"
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: on a cluster, written tables and checkpoints need a "
             "shared folder every executor can reach (a machine-local temp dir would split them)"
