@@ -1,39 +1,54 @@
-"""Null policy, dedup, profiles: the reference's fixture frame plus the edges it misses."""
+"""Null policy, dedup, profiles on a small frame, and their edges."""
 
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripspark.operators import dedup, nulls, profile
+from tripspark.operators.correlation import correlation_long
 
 
 def test_distinct_removes_repeats(fixture_frame):
-    assert fixture_frame.count() == 8
-    assert dedup.distinct_rows(fixture_frame).count() == 6
+    assert fixture_frame.count() == 24
+    assert dedup.distinct_rows(fixture_frame).count() == 22
 
 
 def test_duplicate_report(fixture_frame):
     r = dedup.duplicate_report(fixture_frame, "fx").collect()[0]
-    assert (r.table_name, r.n_rows, r.n_distinct, r.n_duplicates) == ("fx", 8, 6, 2)
+    assert (r.table_name, r.n_rows, r.n_distinct, r.n_duplicates) == ("fx", 24, 22, 2)
+    once = dedup.duplicate_report(fixture_frame.distinct()).collect()[0]  # decided from the hashes alone
+    assert (once.n_rows, once.n_distinct, once.n_duplicates) == (22, 22, 0)
+    none = dedup.duplicate_report(fixture_frame.limit(0)).collect()[0]
+    assert (none.n_rows, none.n_distinct, none.n_duplicates) == (0, 0, 0)
 
 
-def test_null_policy_fills_means(fixture_frame):
+def test_null_policy_on_the_fixture(fixture_frame):
+    rows = fixture_frame.collect()
     plan = nulls.plan_null_policy(fixture_frame)
-    assert plan.n_rows == 8
+    assert plan.n_rows == 24
     by_col = {d.column: d for d in plan.decisions}
-    assert by_col["id"].action == "none"
-    for c in ("feature1", "feature2", "feature3"):
-        assert by_col[c].action == "fill_mean"
-        assert by_col[c].null_count == 2 and by_col[c].null_pct == 25.0
-    assert by_col["feature1"].fill_value == 2.0
-    assert by_col["feature2"].fill_value == 3.0
-    assert by_col["feature3"].fill_value == 4.5
+    tolls = [r.toll for r in rows if r.toll is not None]
+    assert by_col["trip"].action == "none"
+    assert (by_col["toll"].action, by_col["toll"].null_count, by_col["toll"].null_pct) == ("fill_mean", 6, 25.0)
+    assert by_col["toll"].fill_value == sum(tolls) / len(tolls)
+    assert (by_col["zone"].action, by_col["zone"].fill_value) == ("fill_mode", "south")
+    assert (by_col["weight"].action, by_col["weight"].null_count) == ("drop", 1)
     out = plan.apply(fixture_frame)
-    assert out.count() == 8
+    assert out.count() == 23
     assert all(out.filter(F.col(c).isNull()).count() == 0 for c in out.columns)
 
 
+def test_frozen_plan_on_another_batch(spark):
+    """NaN and nulls in columns that had none when planned are filled."""
+    first = spark.createDataFrame([(1.0, 2, "a"), (3.0, 5, "b")], "x double, k long, s string")
+    plan = nulls.plan_null_policy(first)
+    later = spark.createDataFrame([(float("nan"), 1, "a"), (None, None, "b"), (7.0, 4, None)], "x double, k long, s string")
+    out = plan.apply(later, planned_on=False).collect()
+    assert [(r.x, r.k, r.s) for r in out] == [(2.0, 1, "a"), (2.0, 3, "b"), (7.0, 4, None)]
+
+
 def test_drop_changes_later_counts(spark):
     # 100 rows: a is null in 3 rows (<5 %: drop), b null in 10 rows of which 2 overlap a's.
     rows = []
@@ -90,7 +105,7 @@ def test_timestamp_column_filled_by_mode(spark):
     assert out.count(t2) == 3
 
 
-def test_pattern_plan_equals_sequential_loop(spark):
+def test_plan_equals_sequential_loop(spark):
     import random
 
     rnd = random.Random(7)
@@ -117,12 +132,13 @@ def test_pattern_plan_equals_sequential_loop(spark):
     assert sorted(fast.apply(df).collect()) == sorted(slow.apply(df).collect())
 
 
-def test_pattern_cap_falls_back_to_fixed_point(spark):
-    rows = [(None if i % 2 else 1, None if i % 3 else 2, None if i % 5 else 3) for i in range(60)]
-    df = spark.createDataFrame(rows, "a int, b int, c int")
-    plan = nulls.plan_null_policy(df, max_patterns=2)
-    assert plan.method == "fixed-point"
-    assert plan.apply(df).filter("a is null or b is null or c is null").count() == 0
+def test_many_null_patterns_are_one_plan(spark):
+    """5000 rows with as many null patterns as 13 columns give: the same planner, and predicates stay plain columns."""
+    names = [f"c{i}" for i in range(13)]
+    df = spark.range(5000).selectExpr(*[f"if((shiftright(id, {i}) & 1) = 1, null, cast(id % 7 as double)) as {n}" for i, n in enumerate(names)])
+    plan = nulls.plan_null_policy(df)
+    assert plan.method == "fixed-point" and plan.nan_columns == frozenset()
+    assert [(d.action, d.null_count) for d in plan.decisions] == [(d.action, d.null_count) for d in nulls.plan_null_policy_sequential(df).decisions]
 
 
 def test_fixed_point_equals_sequential_with_cascading_drops(spark):
@@ -137,7 +153,7 @@ def test_fixed_point_equals_sequential_with_cascading_drops(spark):
         s = None if i % 9 == 0 else ("x" if i % 2 else "y")
         rows.append((a, b, c, d, s))
     df = spark.createDataFrame(rows, "a double, b double, c long, d long, s string")
-    fixed = nulls.plan_null_policy_fixed_point(df)
+    fixed = nulls.plan_null_policy(df)
     seq = nulls.plan_null_policy_sequential(df)
     assert fixed.extra["passes"] >= 3
     assert [(d.column, d.action, d.null_count, d.fill_value) for d in fixed.decisions] == [
@@ -155,15 +171,27 @@ def test_drop_sparse_nulls(spark):
 
 def test_profiles(fixture_frame):
     p = {r.column_name: r for r in profile.null_profile(fixture_frame).collect()}
-    assert p["feature1"].null_count == 2 and p["feature1"].null_pct == 25.0 and p["id"].null_count == 0
+    assert p["toll"].null_count == 6 and p["toll"].null_pct == 25.0 and p["trip"].null_count == 0
     d = {r.column_name: r for r in profile.describe_numeric(fixture_frame).collect()}
-    assert d["feature3"].n == 6 and d["feature3"].mean == 4.5 and d["feature3"].max == 5.0
+    assert set(d) == {"trip", "toll", "weight"} and d["weight"].n == 23 and d["weight"].min == 10.0 and d["weight"].max == 220.0
+    t = {r.column_name: r for r in profile.describe(fixture_frame).collect()}["zone"]
+    assert (t.n, t.mean, t.max, t.min_text, t.max_text) == (20, None, None, "north", "south")
     c = profile.profile_columns(fixture_frame).collect()
-    assert [r.column_name for r in c] == ["id", "feature1", "feature2", "feature3"]
-    assert c[0].data_type == "bigint" and c[0].n_rows == 8 and c[1].n_non_null == 6
+    assert [r.column_name for r in c] == ["trip", "toll", "zone", "weight"]
+    assert c[0].data_type == "bigint" and c[0].n_rows == 24 and c[1].n_non_null == 18
+
+
+@pytest.mark.parametrize("width", [3, 12, 13, 17, 60])
+def test_profiles_have_a_row_per_column_for_any_width_and_without_rows(spark, width):
+    df = spark.range(0).selectExpr(*[f"cast(id as double) as c{i}" for i in range(width)])
+    for rows, frame in ((0, df), (1, spark.range(1).selectExpr(*[f"cast(id as double) as c{i}" for i in range(width)]))):
+        for out in (profile.null_profile(frame), profile.profile_columns(frame), profile.describe_numeric(frame), profile.describe(frame)):
+            assert out.count() == width
+        assert {r.n_rows for r in profile.profile_columns(frame).collect()} == {rows}
+    assert [tuple(r) for r in correlation_long(df.select("c0", "c1")).collect()] == [(a, b, None) for a, b in (("c0", "c0"), ("c0", "c1"), ("c1", "c0"), ("c1", "c1"))]
 
 
-def test_profiles_long_form_equals_wide_form(spark):
+def test_profiles_in_blocks_equal_one_block(spark):
     rows = [(i, None if i % 3 == 0 else float(i), float("nan") if i == 4 else i * 0.5, "s" if i % 2 else None) for i in range(30)]
     df = spark.createDataFrame(rows, "a long, b double, c double, d string")
     wide = {
@@ -171,7 +199,7 @@ def test_profiles_long_form_equals_wide_form(spark):
         "desc": sorted(profile.describe_numeric(df).collect()),
         "cols": sorted(profile.profile_columns(df).collect()),
     }
-    for limit in ("2", "20"):  # force the long form: blocks of one column, then of two
+    for limit in ("2", "20"):  # blocks of one column, then of two
         spark.conf.set("spark.sql.codegen.maxFields", limit)
         try:
             long = {
@@ -189,27 +217,13 @@ def test_profiles_long_form_equals_wide_form(spark):
                 assert (x[k] is None and y[k] is None) or math.isclose(x[k], y[k], rel_tol=1e-12) or (math.isnan(x[k]) and math.isnan(y[k]))
 
 
-def test_pattern_plan_with_several_mask_words(spark, monkeypatch):
-    import random
-
-    rnd = random.Random(11)
-    rows = [tuple(None if rnd.random() < p else rnd.randint(0, 5) for p in (0.02, 0.3, 0.01, 0.2, 0.04)) for _ in range(300)]
-    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
-    expected = nulls.plan_null_policy_sequential(df)
-    monkeypatch.setattr(nulls, "MASK_BITS", 2)  # three mask words for five columns
-    got = nulls.plan_null_policy(df)
-    assert [(d.column, d.action, d.null_count, d.fill_value) for d in got.decisions] == [
-        (d.column, d.action, d.null_count, d.fill_value) for d in expected.decisions
-    ]
-
-
-def test_null_profile_blocks_with_padding(spark):
+def test_null_profile_blocks(spark):
     cols = ", ".join(f"c{i} {'double' if i % 2 else 'int'}" for i in range(10))
     rows = [tuple((None if (r + i) % (i + 2) == 0 else (float(r) if i % 2 else r)) for i in range(10)) for r in range(25)]
     rows[3] = tuple(float("nan") if i % 2 else v for i, v in enumerate(rows[3]))
     df = spark.createDataFrame(rows, cols)
     wide = sorted(profile.null_profile(df).collect())
-    spark.conf.set("spark.sql.codegen.maxFields", "12")  # 1 + 10 + 5 > 12: blocks of 4 columns, last one padded
+    spark.conf.set("spark.sql.codegen.maxFields", "12")  # blocks of 5 columns
     try:
         blocked = sorted(profile.null_profile(df).collect())
     finally:

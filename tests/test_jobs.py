@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from tripspark.plans import jobs
-from tripspark.schema import RAW_TRIP_SCHEMA
+from tripspark.schema import FEATURE_ORDER, RAW_TRIP_SCHEMA
 from tripspark.sources import jdbc
 from tripspark.sources.trips_view import load_trips
 
@@ -36,7 +36,7 @@ def test_pipeline_jobs(spark, tmp_path):
 
     s = jobs.silver_job(spark, bronze, silver)
     assert "duration_minutes" in s.columns and "tpep_pickup_datetime" not in s.columns
-    assert len(s.columns) == 22
+    assert len(s.columns) == 23
     assert s.filter(F.col("duration_minutes") <= 0).count() == 0
     assert s.filter(F.col("congestion_surcharge").isNull()).count() == 0  # filled by its mean
 
@@ -45,7 +45,7 @@ def test_pipeline_jobs(spark, tmp_path):
     assert metrics["r2"].version == "gbt_duration_minutes_v1" and metrics["r2"].n_test > 0
 
     req_path = str(tmp_path / "requests")
-    spark.read.parquet(silver).select("trip_distance", "pickup_hour", "pickup_month", "Airport_fee", "pickup_day_week", "RatecodeID", "fare_amount").write.parquet(req_path)
+    spark.read.parquet(silver).select(*FEATURE_ORDER).write.parquet(req_path)
     logged = jobs.score_job(spark, req_path, model_path, str(tmp_path / "log"), "b-1")
     assert logged.count() == s.count()
 
@@ -75,9 +75,7 @@ def test_jobs_cli_end_to_end(spark, tmp_path, capsys):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert jobs.main(["silver", "--bronze", paths["bronze"], "--silver", paths["silver"], "--partition-by", "pickup_month"]) == 0
     assert jobs.main(["train", "--silver", paths["silver"], "--model-dir", model, "--kind", "rf"]) == 0
-    spark.read.parquet(paths["silver"]).select(
-        "trip_distance", "pickup_hour", "pickup_month", "Airport_fee", "pickup_day_week", "RatecodeID", "fare_amount"
-    ).write.parquet(paths["requests"])
+    spark.read.parquet(paths["silver"]).select(*FEATURE_ORDER).write.parquet(paths["requests"])
     assert jobs.main(["score", "--requests", paths["requests"], "--model", model, "--log", paths["log"], "--batch-id", "7", "--kind", "rf"]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     by_name = {d.get("table_name"): d for d in lines if "table_name" in d}

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from tripspark.catalog import saved_model, silver, trained
+from tripspark.functions.trip import key_bucket
 from tripspark.operators import ml
 from tripspark.plans import scoring
-from tripspark.plans.training import train_duration_model
+from tripspark.plans.training import model_frame, train_duration_model
+from tripspark.schema import FEATURE_ORDER
 
 
 @pytest.fixture(scope="module")
@@ -60,12 +62,13 @@ def test_model_roundtrip_same_predictions(spark):
 def test_score_requests_and_payload_flag(spark):
     model, _ = saved_model(spark, SF001, "gbt")
     reqs = spark.createDataFrame(
-        [(2.85, 17, 1, 0.0, 5, 1, 15.6), (0.0, 0, 0, 0.0, 0, 0, 0.0)],
+        [(6.4, 9, 11, 1.75, 3, 2, 31.2), (0.0, 0, 0, 0.0, 0, 0, 0.0), (6.4, 9, 11, None, 3, 2, 31.2), (float("nan"), 9, 11, 1.75, 3, 2, 31.2), (None,) * 7],
         "trip_distance double, pickup_hour int, pickup_month int, Airport_fee double, pickup_day_week int, RateCodeID long, fare_amount double",
     )
     out = scoring.score_requests(reqs, model).collect()
-    assert [r.payload_valid for r in out] == [True, False]  # all-zero payload flagged, still scored
-    assert all(r.predicted_duration is not None for r in out)
+    assert [r.payload_valid for r in out] == [True, False, False, False, False]  # all-zero payload flagged, still scored
+    assert [r.predicted_duration is not None for r in out] == [True, True, False, False, False]
+    assert out[2].Airport_fee is None and out[2].trip_distance == 6.4  # inputs as given
     assert out[0].predicted_duration == pytest.approx(2.718281828459045 ** out[0].prediction - 1)
 
 
@@ -82,6 +85,53 @@ def test_prediction_log_is_idempotent(spark, tmp_path):
     assert total.select("model_version").distinct().collect()[0][0] == "gbt_duration_minutes_v1"
 
 
+def test_prediction_log_keeps_batches_apart(spark, tmp_path):
+    model, path = saved_model(spark, SF001, "gbt")
+    scored = scoring.score_requests(scoring.requests_from_silver(silver(spark, SF001)), model)
+    log = str(tmp_path / "log")
+    for n, batch in enumerate(("1", "01", "2026-01-01", "x"), 1):
+        got = scoring.append_prediction_log(scored.limit(n), log, path, batch)
+        assert got.count() == n and got.schema["batch_id"].dataType.simpleString() == "string"
+        assert {r.batch_id for r in got.collect()} == {batch}
+    assert scoring.read_batch(spark, log, "gbt_duration_minutes_v1", "1").count() == 1
+    assert {(r.batch_id, r["count"]) for r in scoring.read_prediction_log(spark, log).groupBy("batch_id").count().collect()} == {("1", 1), ("01", 2), ("2026-01-01", 3), ("x", 4)}
+    assert scoring.append_prediction_log(scored.limit(0), log, path, "x").count() == 0  # an empty re-run replaces too
+    with pytest.raises(ValueError, match="batch id"):
+        scoring.append_prediction_log(scored, log, path, "a/b")
+
+
+def test_equal_rows_fall_on_both_sides(spark):
+    from tripspark.plans.silver import add_time_features
+
+    trips = spark.range(1000).selectExpr(
+        "timestamp_ntz'2024-05-01 08:00:00' + make_dt_interval(0, 0, 0, id) as tpep_pickup_datetime",
+        "timestamp_ntz'2024-05-01 08:20:00' + make_dt_interval(0, 0, 0, id) as tpep_dropoff_datetime",
+        "2.5D as trip_distance", "0D as Airport_fee", "1L as RatecodeID", "12D as fare_amount",
+    )
+    sides = model_frame(add_time_features(trips)).agg(F.count_if("is_train").alias("train"), F.count(F.lit(1)).alias("n")).first()
+    assert sides.n == 1000 and 600 < sides.train < 800
+
+
+def test_stream_survives_a_null_and_an_empty_folder(spark, tmp_path):
+    from tripspark.catalog import trips
+    from tripspark.operators.nulls import plan_null_policy
+    from tripspark.schema import TRIP_VIEW_SCHEMA
+    from tripspark.streaming.scoring import run_until_drained, scored_stream
+
+    land, out, ck = (str(tmp_path / x) for x in ("land", "out", "ck"))
+    t = trips(spark, SF001).filter("Airport_fee IS NOT NULL AND cbd_congestion_fee IS NOT NULL")
+    plan = plan_null_policy(t)  # no null fee when planned
+    model, _ = saved_model(spark, SF001, "gbt")
+    (tmp_path / "land").mkdir()
+    stream = scored_stream(spark, land, TRIP_VIEW_SCHEMA, plan, model)
+    assert run_until_drained(stream, out, ck).count() == 0
+    some = t.limit(20)
+    some.withColumn("Airport_fee", F.lit(None).cast("double")).write.mode("append").parquet(land)
+    some.withColumn("fare_amount", F.lit(float("nan"))).write.mode("append").parquet(land)
+    got = run_until_drained(scored_stream(spark, land, TRIP_VIEW_SCHEMA, plan, model), out, ck)
+    assert got.count() > 20 and got.filter("predicted_duration IS NULL OR NOT inputs_present").count() == 0
+
+
 def test_stream_equals_batch(spark):
     from tripspark.catalog import q_stream_score, trips
     from tripspark.operators.filters import filter_outliers
@@ -101,7 +151,7 @@ def test_requests_frame_and_random_split(spark):
     reqs = scoring.requests_frame(
         spark,
         [
-            {"trip_distance": 2.85, "pickup_hour": 17, "pickup_month": 1, "Airport_fee": 0.0, "pickup_day_week": 5, "RatecodeID": 1, "fare_amount": 15.6},
+            dict(zip(FEATURE_ORDER, (6.4, 9, 11, 1.75, 3, 2, 31.2))),
             (0.0, 0, 0, 0.0, 0, 0, 0.0),
         ],
     )
@@ -173,7 +223,7 @@ def test_regression_metrics_by_hand(spark):
 def test_key_split_bucket_matches_integer_arithmetic(spark):
     ids = [0, 1, 2, 7, 12345, 2147483646, 2147483647, 9_000_000_000_000]
     df = spark.createDataFrame([(i,) for i in ids], "k long")
-    got = [r.b for r in df.select(ml.key_split_bucket("k").alias("b")).collect()]
+    got = [r.b for r in df.select(key_bucket("k").alias("b")).collect()]
     expected = [((i % 2147483647) * 2654435761 % 4294967296) * 100 // 4294967296 for i in ids]
     assert got == expected
 

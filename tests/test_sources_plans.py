@@ -1,6 +1,7 @@
 """Schema checks, sinks, JDBC option builder, and plan shapes (pushdown, one job, one shuffle)."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
@@ -40,11 +41,41 @@ def test_bronze_landing_preserves_rows_and_columns(spark):
     landed = read_table(spark, report.path, TRIP_VIEW_SCHEMA)
     assert landed.columns == t.columns and landed.count() == t.count()
     assert (report.n_rows, report.n_columns) == (t.count(), 12)
-    assert report.null_counts["passenger_count"] == t.filter("passenger_count IS NULL").count() > 0
     r = table_counts(landed, "trips").collect()[0]
     assert r.n_rows == report.n_rows
 
 
+def test_landing_keeps_columns_beyond_the_declaration(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    t = trips(spark, SF001).withColumn("new_fee", F.lit(1.5))
+    t.write.parquet(raw)
+    found = read_table(spark, raw, TRIP_VIEW_SCHEMA, keep_extra=True)
+    report = land_bronze(found, bronze, TRIP_VIEW_SCHEMA)
+    assert spark.read.parquet(bronze).columns == t.columns and report.extra_columns == ("new_fee",) and report.n_columns == 13
+    assert read_table(spark, raw, TRIP_VIEW_SCHEMA).columns == TRIP_VIEW_SCHEMA.fieldNames()
+
+
+def test_a_second_file_without_a_column_is_named(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    t = trips(spark, SF001)
+    t.coalesce(1).write.parquet(raw)
+    read_table(spark, raw, TRIP_VIEW_SCHEMA)
+    t.drop("Airport_fee").coalesce(1).write.mode("append").parquet(raw)  # after a first, valid check
+    for keep in (False, True):
+        with pytest.raises(SchemaMismatch, match="part-.*missing \\['Airport_fee'\\]"):
+            read_table(spark, raw, TRIP_VIEW_SCHEMA, keep_extra=keep)
+
+
+def test_sink_frame_types_and_names(spark):
+    s = silver(spark, SF001)
+    own = jdbc.sink_frame(s)
+    assert own.schema["duration_minutes"].dataType.simpleString() == "int" and "split_bucket" not in own.columns
+    table = jdbc.sink_frame(s, declared_types=True, table_names=True)
+    assert table.schema["Durée_minutes"].dataType.simpleString() == "decimal(10,2)"
+    big = spark.createDataFrame([(40000, 264)], "PULocationID int, DOLocationID int")
+    assert jdbc.sink_frame(big, declared_types=True).collect()[0].PULocationID == 40000
+
+
 def test_jdbc_options_validated_before_work():
     with pytest.raises(jdbc.SinkConfigError, match="password"):
         jdbc.jdbc_sink("jdbc:postgresql://db:5432/x", "silver_data", "u", None)
@@ -80,7 +111,8 @@ def test_silver_has_one_shuffle_and_pushed_scan(spark):
 def test_correlation_is_one_aggregate(spark):
     plan = _plan(correlation_long(silver_encoded(spark, SF001), SILVER_NUMERIC))
     # silver is a scanned table: the only exchange is the tiny one keyed by pair
-    assert plan.count("Exchange") == 1
+    # silver has no nulls: one global aggregate of the centred products (a row per task is shuffled), no generated rows
+    assert plan.count("Exchange") == 1 and "Generate" not in plan.split("HashAggregate")[-1]
     assert plan.count("SortAggregate") + plan.count("HashAggregate") + plan.count("ObjectHashAggregate") <= 4
 
 
@@ -100,7 +132,7 @@ def test_relational_view_casts_to_declared_types(spark):
     r = jdbc.relational_view(s)
     types = {f.name: f.dataType.simpleString() for f in r.schema.fields}
     assert types["trip_distance"] == "decimal(6,2)" and types["fare_amount"] == "decimal(10,2)"
-    assert types["VendorID"] == "smallint" and types["duration_minutes"] == "int"
+    assert types["VendorID"] == "smallint" and types["duration_minutes"] == "decimal(10,2)"
     assert types["payment_type"] == "string"  # text in the test data: not forced to the numeric declaration
     rows = r.collect()  # every cast evaluated: nothing overflows the declaration
     assert len(rows) == s.count() and isinstance(rows[0].trip_distance, Decimal)
