@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import __spark_entry__ as E
 
@@ -36,3 +38,24 @@ def test_coverage_map_names_only_registered_keys():
         "model_roundtrip", "score_batch", "prediction_sample", "prediction_log", "stream_score",
     }
     assert surveyed <= keys, sorted(surveyed - keys)
+
+
+def test_entry_works_without_the_training_data_subpackage():
+    """The subpackage and its pipeline may be absent; a missing module inside them is an error."""
+    code = """
+import sys
+
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name in {names!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as E
+print(len(E.queries()), len(E.oracle_sql()), any(k.startswith("op1_") or k == "pipeline" for k in E.queries()))
+"""
+    run = lambda *names: subprocess.run([sys.executable, "-c", code.format(names=set(names))], capture_output=True, text=True, cwd=ROOT)
+    out = run("tripspark.llm", "corpus_pipeline")
+    assert out.returncode == 0, out.stderr
+    queries, oracles, found = out.stdout.split()
+    assert int(queries) >= 57 and int(oracles) >= 48 and found == "False"
