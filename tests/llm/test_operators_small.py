@@ -517,6 +517,8 @@ def test_pieces_are_lossless_and_reproducible(spark, texts):
     assert Counter((r["doc_id"], r["decoded"]) for r in got) == Counter((d, t) for d, t, *_ in rows)
     again = piece_lattice.encode_pieces(frame.repartition(5), PIECES).collect()
     assert sorted((str(r["doc_id"]), str(r["piece_ids"])) for r in got) == sorted((str(r["doc_id"]), str(r["piece_ids"])) for r in again)
+    both = piece_lattice.encode_pieces(frame, PIECES, decoded=True).collect()
+    assert sorted((str(r["doc_id"]), str(r["piece_ids"]), str(r["decoded"])) for r in both) == sorted((str(r["doc_id"]), str(r["piece_ids"]), str(r["decoded"])) for r in got)
     prose = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     drawn = [{r["doc_id"]: r["piece_ids"] for r in piece_lattice.encode_pieces(prose, PIECES, seed=s).collect()} for s in (1, 2)]
     assert sum(drawn[0][d] != drawn[1][d] for d in drawn[0]) > 0.9 * len(drawn[0])

@@ -18,19 +18,24 @@ except that a column named like an output is replaced.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
+from tripspark.llm.hashing import mixed
+from tripspark.llm.storage import small_batches, worker_state
+
 MARK = "▁"
 SHARPNESS = 1.0
 SEED = 20240607
-MAX_UNITS = 150_000  # kept in a task
-MAX_ARCS = 4_000_000
-RUN_CHARS = 2_000_000  # of text sampled together
+MAX_UNITS = 250_000  # kept by a worker, over its tasks
+MAX_ARCS = 6_000_000
+RUN_CHARS = 1_000_000  # of text sampled together
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 UNIT = re.compile(r" *[^ \n]+| +|\n")
 
@@ -72,9 +77,15 @@ class Vocabulary:
                     piece_at.append(-1)
                 node = edges[node, ord(ch)]
             piece_at[node] = i
-        keys = np.array([(n << 21) | c for n, c in edges], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.nodes = keys[order], np.array(list(edges.values()), np.int64)[order]
+        self.bits = 64 - (4 * len(edges) + 1).bit_length()  # the table of edges is open-addressed, a quarter full at most
+        self.keys, self.nodes = np.full(1 << (64 - self.bits), -1, np.int64), np.zeros(1 << (64 - self.bits), np.int32)
+        keys, nodes = np.array([(n << 21) | c for n, c in edges], np.int64), np.array(list(edges.values()), np.int32)
+        slot = self._slot(keys)
+        while len(keys):  # those that find a free slot settle, the others look at the next one
+            free = self.keys[slot] < 0
+            self.keys[slot[free]], self.nodes[slot[free]] = keys[free], nodes[free]
+            left = self.keys[slot] != keys
+            keys, nodes, slot = keys[left], nodes[left], (slot[left] + 1) & (len(self.keys) - 1)
         self.first = np.full(0x110000, -1, np.int64)  # the steps from the root
         for (n, c), to in edges.items():
             if n == 0:
@@ -83,6 +94,24 @@ class Vocabulary:
         self.weight = -sharpness * np.log(np.arange(len(pieces)) + 2.0)
         self.size = len(pieces)
 
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.bits)).astype(np.int64)
+
+    def step(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The nodes behind the edges, -1 where there is none."""
+        keys = (nodes.astype(np.int64) << 21) | chars
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, self.nodes[slot], -1)
+        at = np.flatnonzero((seen != keys) & (seen >= 0))
+        while len(at):
+            slot[at] = (slot[at] + 1) & (len(self.keys) - 1)
+            seen = self.keys[slot[at]]
+            hit = seen == keys[at]
+            out[at[hit]] = self.nodes[slot[at[hit]]]
+            at = at[~hit & (seen >= 0)]
+        return out
+
     def arcs(self, points: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pieces inside units: ``(start, end, piece)``. ``room``: how many characters of its unit follow from each one. A piece
         id of ``size`` + code point means the character's bytes."""
@@ -94,10 +123,9 @@ class Vocabulary:
         live = np.flatnonzero((node >= 0) & (room > 1))
         node, length = node[live], 2
         while len(live):
-            key = (node << 21) | points[live + length - 1].astype(np.int64)
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            live, node = live[hit], self.nodes[at[hit]]
+            node = self.step(node, points[live + length - 1])
+            hit = node >= 0
+            live, node = live[hit], node[hit]
             piece = self.piece_at[node]
             some = piece >= 0
             found.append((live[some], live[some] + length, piece[some]))
@@ -106,15 +134,17 @@ class Vocabulary:
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def row_key(key: int | None, seed: int) -> int:
     start = np.array([(0x5851F42D4C957F2D if key is None else key & (2**64 - 1)), seed], np.uint64)
-    return int(_mix(_mix(start[:1] + np.uint64(0x9E3779B97F4A7C15)) ^ start[1:])[0])
+    return int(mixed(mixed(start[:1] + np.uint64(0x9E3779B97F4A7C15)) ^ start[1:])[0])
+
+
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
 
 
 class Sampler:
@@ -125,12 +155,12 @@ class Sampler:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.end_of = np.empty(0, np.int64)  # by unit: its last position
-        self.base_of = np.empty(0, np.int64)  # by unit: the position before its first character
-        self.arc_from = np.zeros(1, np.int64)  # by position: the arcs into it are [arc_from[p], arc_from[p + 1])
-        self.share = np.empty(0)  # by arc: position + the summed shares of the arcs into it, up to this one
-        self.arc_start, self.arc_piece = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.known = Numbers()
+        self.end_of = np.empty(0, np.int32)  # by unit: its last position
+        self.base_of = np.empty(0, np.int32)  # by unit: the position before its first character
+        self.arc_from = np.zeros(1, np.int32)  # by position: the arcs into it are [arc_from[p], arc_from[p + 1]), the likeliest first
+        self.share = np.empty(0, np.float32)  # by arc: the summed shares of the arcs into its position, up to this one
+        self.arc_start, self.arc_piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
     def add(self, units: list[str]) -> None:
         """Forward filtering of new units; every unit has its positions 0..length, one after the other."""
@@ -145,7 +175,7 @@ class Sampler:
         place = lambda char, at: base[unit[char]] + at - (stop - length)[unit[char]]
         into, out_of = place(start, end), place(start, start)
         depth = end - (stop - length)[unit[start]]
-        order = np.lexsort((into, depth))
+        order = np.argsort((depth << 40) | into)
         into, out_of, piece, depth = into[order], out_of[order], piece[order], depth[order]
         code = np.maximum(piece - self.v.size, 0)
         n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
@@ -164,40 +194,44 @@ class Sampler:
             each = np.exp(path - np.repeat(top, many))
             whole = np.add.reduceat(each, first)
             total[to[first] - origin] = top + np.log(whole)
-            run = np.cumsum(each / np.repeat(whole, many))
-            share[lo:hi] = run - np.repeat(np.concatenate(([0.0], run[first[1:] - 1])), many)
-        order = np.argsort(into, kind="stable")
+            share[lo:hi] = each / np.repeat(whole, many)
+        order = np.argsort(into - 0.5 * share)  # by position, the larger shares first
         n_into = np.bincount(into - origin, minlength=len(points) + len(units))
-        self.known.update(zip(units, range(len(self.known), len(self.known) + len(units)), strict=True))
-        self.end_of = np.concatenate((self.end_of, base + length))
-        self.base_of = np.concatenate((self.base_of, base))
-        self.arc_from = np.concatenate((self.arc_from, self.arc_from[-1] + np.cumsum(n_into)))
-        self.share = np.concatenate((self.share, share[order] + into[order]))
-        self.arc_start = np.concatenate((self.arc_start, out_of[order]))
-        self.arc_piece = np.concatenate((self.arc_piece, piece[order]))
+        last = np.cumsum(n_into)
+        run = np.cumsum(share[order])
+        run -= np.repeat(np.concatenate(([0.0], run))[last - n_into], n_into)
+        grown = lambda old, new: np.concatenate((old, new.astype(old.dtype)))
+        self.end_of, self.base_of = grown(self.end_of, base + length), grown(self.base_of, base)
+        self.arc_from = grown(self.arc_from, self.arc_from[-1] + last)
+        self.share = grown(self.share, run)
+        self.arc_start, self.arc_piece = grown(self.arc_start, out_of[order]), grown(self.arc_piece, piece[order])
 
     def sample(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all units one after the other, and how many each has. ``keys``: 64 random bits of each unit."""
         if len(self.known) > MAX_UNITS or len(self.share) > MAX_ARCS:
             self.clear()
-        if new := [u for u in dict.fromkeys(units) if u not in self.known]:
-            self.add(new)
+        before = len(self.known)
         at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        if len(self.known) > before:
+            self.add(list(itertools.islice(self.known, before, None)))
         position, base = self.end_of[at], self.base_of[at]
         live, steps, count = np.arange(len(units)), [], np.zeros(len(units), np.int64)
         draw = keys
         while len(live):
-            draw = _mix(draw + np.uint64(0x9E3779B97F4A7C15))
-            u = (draw >> np.uint64(11)).astype(np.float64) / 2.0**53
-            arc = np.searchsorted(self.share, position + u, side="right")
-            arc = np.clip(arc, self.arc_from[position], self.arc_from[position + 1] - 1)  # against rounding at the ends
+            draw = mixed(draw + np.uint64(0x9E3779B97F4A7C15))
+            u = ((draw >> np.uint64(40)).astype(np.float32)) / np.float32(2**24)
+            arc, last = self.arc_from[position], self.arc_from[position + 1] - 1
+            more = np.flatnonzero((self.share[arc] <= u) & (arc < last))
+            while len(more):
+                arc[more] += 1
+                more = more[(self.share[arc[more]] <= u[more]) & (arc[more] < last[more])]
             steps.append((live, self.arc_piece[arc]))
             count[live] += 1
             position = self.arc_start[arc]
             going = position != base
             live, position, base, draw = live[going], position[going], base[going], draw[going]
         last = np.cumsum(count)
-        out = np.empty(int(last[-1]) if len(last) else 0, np.int64)
+        out = np.empty(int(last[-1]) if len(last) else 0, np.int32)
         for k, (which, piece) in enumerate(steps):
             out[last[which] - 1 - k] = piece
         return self._bytes(out, last, count)
@@ -228,7 +262,7 @@ def encode_texts(sampler: Sampler, texts: list[str], keys: list[int]) -> list[np
         salt.append(np.uint64(key) + np.arange(len(own), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     if not units:
         return [np.empty(0, np.int32) for _ in texts]
-    ids, count = sampler.sample(units, _mix(np.concatenate(salt)))
+    ids, count = sampler.sample(units, mixed(np.concatenate(salt)))
     upto = np.concatenate(([0], np.cumsum(count)))[np.concatenate(([0], np.cumsum(owner)))]
     return np.split(ids.astype(np.int32), upto[1:-1])
 
@@ -240,16 +274,19 @@ def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> str:
 
 def _mapped(df: DataFrame, pieces: tuple[list[str], list[int]], outputs: str, run, sharpness: float) -> DataFrame:
     """``df`` with the columns ``outputs``, which ``run(vocabulary, sampler, batch slice)`` returns; the slices have about ``RUN_CHARS``."""
+    small_batches(df.sparkSession)
     names = [o.split()[0] for o in outputs.split(", ")]
     fields = [f for f in df.schema.fields if f.name not in names]
     shared = df.sparkSession.sparkContext.broadcast(pieces)  # the vocabulary, a fixed table
+    identity = (xxhash.xxh3_64_intdigest(repr(pieces).encode()), sharpness)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = sampler = None
+        state = worker_state("piece_lattice")
         for batch in batches:
-            if vocabulary is None:
+            if identity not in state:
                 vocabulary = Vocabulary(*shared.value, sharpness)
-                sampler = Sampler(vocabulary)
+                state[identity] = vocabulary, Sampler(vocabulary)
+            vocabulary, sampler = state[identity]
             for part in run.slices(batch):
                 columns = run(vocabulary, sampler, part)
                 yield pa.record_batch([*[part.column(f.name) for f in fields], *columns], [*[f.name for f in fields], *names])
@@ -259,8 +296,8 @@ def _mapped(df: DataFrame, pieces: tuple[list[str], list[int]], outputs: str, ru
 
 
 class _Encode:
-    def __init__(self, key: str, seed: int) -> None:
-        self.key, self.seed = key, seed
+    def __init__(self, key: str, seed: int, decoded: bool = False) -> None:
+        self.key, self.seed, self.decoded = key, seed, decoded
 
     def slices(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         column = batch.column("text")
@@ -279,7 +316,10 @@ class _Encode:
         found = encode_texts(sampler, [t or "" for t in texts], keys)
         offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
         mask = pa.array([t is None for t in texts])
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)), mask=mask)]
+        columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)), mask=mask)]
+        if self.decoded:
+            columns.append(pa.array([None if t is None else decode_ids(vocabulary, f) for t, f in zip(texts, found, strict=True)], pa.string()))
+        return columns
 
 
 class _Decode:
@@ -291,9 +331,11 @@ class _Decode:
         return [pa.array([decode_ids(vocabulary, x.values.to_numpy()) if x.is_valid else None for x in part.column("piece_ids")], pa.string())]
 
 
-def encode_pieces(docs: DataFrame, model_file: str, key: str = "doc_id", seed: int = SEED, sharpness: float = SHARPNESS) -> DataFrame:
-    """``docs`` with ``piece_ids``: a sampled segmentation of the whole ``text``, by the integer column ``key``."""
-    return _mapped(docs, load_pieces(model_file), "piece_ids array<int>", _Encode(key, seed), sharpness)
+def encode_pieces(docs: DataFrame, model_file: str, key: str = "doc_id", seed: int = SEED, sharpness: float = SHARPNESS, decoded: bool = False) -> DataFrame:
+    """``docs`` with ``piece_ids``: a sampled segmentation of the whole ``text``, by the integer column ``key``; and with
+    ``decoded``, the text that these ids write, in the same pass."""
+    outputs = "piece_ids array<int>" + ", decoded string" * decoded
+    return _mapped(docs, load_pieces(model_file), outputs, _Encode(key, seed, decoded), sharpness)
 
 
 def decode_pieces(encoded: DataFrame, model_file: str) -> DataFrame:

@@ -82,7 +82,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _tokenizer_file("piece_bpe_32k.model")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = piece_lattice.decode_pieces(piece_lattice.encode_pieces(docs, model), model)
+    decoded = piece_lattice.encode_pieces(docs, model, decoded=True)
     return decoded.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_pieces"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,3 +21,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send ``rows`` long texts at a time to Python, where the session has Spark's default of 10 000 rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
+def worker_state(owner: str) -> dict:
+    """A dictionary of ``owner`` that lives in the Python worker over its tasks, until a task of another owner runs there:
+    workers serve all operators of an application, and must not hold what earlier ones kept."""
+    held = sys.modules.setdefault("_tripspark_worker", types.ModuleType("_tripspark_worker")).__dict__
+    if held.get("owner") != owner:
+        held["owner"], held["state"] = owner, {}
+    return held["state"]
