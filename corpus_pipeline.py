@@ -48,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, and whether they decode to its text. Copies of a document get equal segmentations."""
-    encoded = piece_lattice.decode_pieces(piece_lattice.encode_pieces(docs.select("doc_id", "text", "lang", "source"), PIECES), PIECES)
+    encoded = piece_lattice.encode_pieces(docs.select("doc_id", "text", "lang", "source"), PIECES, decoded=True)
     return encoded.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
