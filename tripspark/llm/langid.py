@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripspark.llm.storage import small_batches, worker_state
+
 PROFILE = 400
 SAMPLE_DOCS = 2000
 UNDETERMINED = "und"
@@ -72,9 +74,11 @@ def _count_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def language_profiles(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, profile: int = PROFILE, seed: int = SEED) -> DataFrame:
     """``(doc_id, text, lang)`` -> ``(lang, gram, rank)``, ranks from 0."""
     rows = labelled.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 32)) / float(1 << 32)
-    sample = rows.withColumn("draw", draw).join(totals, "lang").filter(F.col("draw") * F.col("total") < sample_docs)
+    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row per language
+    if not totals:
+        return rows.sparkSession.range(0).selectExpr("cast(null as string) as lang", "id as gram", "cast(id as int) as rank")
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in totals.items() for x in (lang, min(1.0, sample_docs / n))]), F.col("lang"))
+    sample = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 32)) / float(1 << 32) < share)
     counted = sample.select("lang", "text").mapInArrow(_count_sample, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1)
     return ranked.filter(F.col("rank") < profile).select("lang", "gram", "rank")
@@ -106,10 +110,12 @@ class Ranker:
 
 def predict_languages(docs: DataFrame, profiles: DataFrame, profile: int = PROFILE) -> DataFrame:
     """The columns of ``docs`` with ``lang_pred`` and ``score`` (1 minus the distance as a share of the largest possible)."""
+    small_batches(docs.sparkSession)
     rows = [(r["lang"], r["gram"], r["rank"]) for r in profiles.collect()]  # languages x profile
     fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("langid")
         letters, ranker = Letters(), Ranker(rows, profile)
         for batch in batches:
             found = [ranker.predict(letters.codes(x.as_py() or "")) for x in batch.column("text")]
