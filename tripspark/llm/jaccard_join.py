@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.llm.graph import Forest, connected_components, groups_of, star_links
-from tripspark.llm.storage import materialize
+from tripspark.llm.hashing import mixed
+from tripspark.llm.storage import materialize, small_batches, worker_state
 
 SHINGLE_WORDS = 5
 NUM, DEN = 75, 100
@@ -46,27 +47,22 @@ LISTED = 5 / 16  # of the hash space comes first in the order; above 1 - num / d
 CODE_BITS = 48
 CUT = int(LISTED * 2**CODE_BITS)
 RUN = 32  # entries of one shingle that one task sends to its list
-FLUSH_ENTRIES = 4_000_000
+FLUSH_ENTRIES = 1_000_000
 BLOCK_SHINGLES = 1 << 17
+BROADCAST_CLASSES = 1_000_000  # ids and classes (16 bytes each) up to which the wanted documents are found without shuffling all texts
 LONG_LIST_WEIGHT = 0.05  # DivideSkip's mu: the number of long lists is T / (mu * log2(longest) + 1)
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept for a bounded number of them."""
+    """64-bit hashes of words, kept for a bounded number of them by a worker."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
-    return h ^ (h >> np.uint64(33))
-
-
 def shingle_set(text: str | None, hashes: WordHashes, width: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of A-Z lower-cased words; bytes.split() cuts at exactly 0x20 and 0x09-0x0D."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -78,7 +74,7 @@ def shingle_set(text: str | None, hashes: WordHashes, width: int = SHINGLE_WORDS
     out = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
         out = (out + h[i : n - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15 + 2 * i)
-    out = np.sort(_mixed(out))
+    out = np.sort(mixed(out))
     return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
@@ -92,8 +88,12 @@ def _digest(s: np.ndarray) -> tuple[int, bytes]:
     return int.from_bytes(d[:8], "little", signed=True), d
 
 
+def _word_hashes() -> WordHashes:
+    return worker_state("jaccard_join").setdefault("words", WordHashes())
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = _word_hashes()
     for batch in batches:
         n, cls, digest = [], [], []
         for text in _texts(batch):
@@ -160,7 +160,7 @@ def _lister(parts: int, threshold: tuple[int, int]):
         yield pa.record_batch([pa.array(v, pa.int64() if k == "part" else pa.binary()) for k, v in columns.items()], list(columns))
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        hashes, seen = _word_hashes(), set()
         codes, sizes, classes, needs, held = [], [], [], [], 0
         for batch in batches:
             for text in _texts(batch):
@@ -192,9 +192,11 @@ SHARED = "kind int, cls long, code long, df long, need int"
 def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All entries of some codes -> those of codes with two classes or more. Kind 0: an entry with its list's length;
     1: an entry from beyond a run, without it; 2: the length of a list some of whose entries are of kind 1."""
+    worker_state("jaccard_join")
     got: dict[str, list] = {k: [] for k in ("code", "cls", "near", "far", "more", "n_more", "over", "over_cls", "over_near", "over_far")}
     for batch in batches:
-        for row in batch.to_pylist():
+        for k in range(batch.num_rows):
+            row = {c: batch.column(c)[k].as_py() for c in batch.schema.names if c != "part"}
             doc = _unplaned(row["doc"], np.uint32)
             need = _unplaned(row["need"], np.int32).reshape(-1, 2)[doc]
             over_need = np.frombuffer(row["over_need"], np.int32).reshape(-1, 2)
@@ -310,6 +312,7 @@ def t_occurrence_links(sets: list[np.ndarray], together: list[int], threshold: t
 
 def _linker(threshold: tuple[int, int]):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("jaccard_join")
         for table in groups_of(batches, ["grp", "bi", "bj"]):
             if table.num_rows < 2:
                 continue
@@ -351,7 +354,7 @@ def link_groups(members: DataFrame, sets: DataFrame, crossing: bool, threshold:
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    hashes = _word_hashes()
     for batch in batches:
         for k, text in enumerate(_texts(batch)):
             s = shingle_set(text, hashes)
@@ -368,12 +371,15 @@ def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> DataFrame:
     """``(doc_id, text)`` -> a row per document: ``doc_id, n_shingles, component_id`` (the smallest doc_id reachable by links)."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     measured = materialize(docs.mapInArrow(_measure, "doc_id long, n_shingles long, cls long, digest binary"), "jaccard-sets")
     classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     lists = materialize(kept_lists(docs, threshold).withColumn("label", F.col("cls")), "jaccard-lists")
     members = materialize(groups_by_lists(lists).withColumn("label", F.col("cls")), "jaccard-groups")
     wanted = members.select("cls").join(classes, "cls")
+    if members.count() <= BROADCAST_CLASSES:
+        wanted = F.broadcast(wanted)
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("cls", "text")
     sets = materialize(texts.mapInArrow(_sets_of, "cls long, n long, hashes binary"), "jaccard-members").dropDuplicates(["cls"])
     links = materialize(link_groups(members, sets, False, threshold), "jaccard-links")
