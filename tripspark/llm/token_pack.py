@@ -14,7 +14,7 @@ unpacked by numpy at once. Documents are dealt out by ranges of doc_id and sorte
 files follow each other in that order; a task writes its file block by block.
 
 White space separates tokens in the tokenizers used here, and no token reaches over it, so a text's ids are the ids of
-its white-space-separated words; each task asks the tokenizer library for a word once, keeping a bounded number of them.
+its white-space-separated words; a worker asks the tokenizer library for a word once, keeping a bounded number of them.
 ``split_words=False`` encodes texts as they are, for other tokenizers.
 
 Defined cases: null or empty text has the end id alone; a null doc_id comes first; repeated rows are documents of their own,
@@ -23,24 +23,27 @@ next to each other; an empty table gives an empty result and no file; other colu
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.llm.files import opened, written
-from tripspark.llm.storage import fresh_path, materialize
+from tripspark.llm.storage import fresh_path, materialize, small_batches, worker_state
 
 MAGIC = b"PACKIDS1"
 HEAD, HEAD_BYTES = "<8sHHI", 16
 TAIL, TAIL_BYTES = "<QQQQ8s", 40
 BLOCK_IDS = 1 << 16
-MAX_WORDS = 400_000
+MAX_WORDS = 1_500_000  # words, and parts of words, that a worker keeps (about 25 bytes and their ids each)
+MAX_PARTS = 800_000
 END_ID = 2
 
 
@@ -136,64 +139,117 @@ class PackedFile:
             at = to
 
 
+class Lists:
+    """Lists of integers by number."""
+
+    def __init__(self) -> None:
+        self.first, self.count, self.flat = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def add(self, flat: np.ndarray, count: np.ndarray) -> None:
+        self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(count) - count))
+        self.count = np.concatenate((self.count, count.astype(np.int32)))
+        self.flat = np.concatenate((self.flat, flat.astype(np.int32)))
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of some numbers one after the other, and their lengths."""
+        n = self.count[rows].astype(np.int64)
+        upto = np.cumsum(n)
+        total = int(upto[-1]) if len(upto) else 0
+        kind = np.int32 if total + len(self.flat) < 1 << 31 else np.int64
+        at = np.repeat((self.first[rows] - (upto - n)).astype(kind), n)
+        at += np.arange(total, dtype=kind)
+        return self.flat[at], n
+
+
 class WordEncoder:
-    """Ids of texts; each word goes through the tokenizer once while it is kept."""
+    """Ids of texts. Words between white space are looked up; a word of letters (ASCII, Latin-1) and closing marks is two
+    parts, the lower-cased letters and the marks, as the tokenizer's own rule cuts it, any other is one; the
+    library encodes each part once while it is kept. Words and parts are kept up to a number, then both start anew."""
+
+    LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+    MARKS = ".,;:!?"
 
     def __init__(self, tokenizer, split_words: bool) -> None:
         self.tokenizer, self.split_words = tokenizer, split_words
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.first, self.count, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        self.words, self.parts_of_word = pa.array([], pa.string()), Lists()
+        self.parts, self.ids_of_part = pa.array([], pa.string()), Lists()
+
+    def _encode(self, texts: list[str], size: int = 20_000) -> Iterator[list[int]]:
+        for start in range(0, len(texts), size):
+            yield from (e.ids for e in self.tokenizer.encode_batch_fast(texts[start : start + size], add_special_tokens=False))
+
+    def _number_parts(self, parts: pa.StringArray) -> np.ndarray:
+        coded = parts.dictionary_encode()
+        number, new = _numbered(coded.dictionary, self.parts)
+        self.ids_of_part.add(*_flattened(self._encode(new.to_pylist()), len(new)))
+        self.parts = pa.concat_arrays([self.parts, new])
+        return number[coded.indices.to_numpy()]
+
+    def _learn(self, new: pa.StringArray) -> None:
+        plain = pc.match_substring_regex(new, f"^[{self.LETTERS}]+[{self.MARKS}]*$")
+        letters = pc.utf8_lower(pc.utf8_rtrim(new, self.MARKS))
+        marks = pc.if_else(plain, pc.utf8_ltrim(new, self.LETTERS), "")
+        second = pc.not_equal(marks, "").to_numpy(zero_copy_only=False)
+        number = self._number_parts(pa.concat_arrays([pc.if_else(plain, letters, new), marks.filter(pa.array(second))]))
+        count = 1 + second.astype(np.int64)
+        start = np.cumsum(count) - count
+        flat = np.empty(len(number), np.int64)
+        flat[start], flat[start[second] + 1] = number[: len(new)], number[len(new) :]
+        self.parts_of_word.add(flat, count)
+        self.words = pa.concat_arrays([self.words, new])
+
+    def __call__(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        texts = texts.fill_null("")
         if not self.split_words:
-            return [np.array(ids, np.uint32) for ids in self._encode(texts)]
-        words, counts = [], []
-        for text in texts:
-            own = text.replace("\n", " ").split(" ")
-            words += own
-            counts.append(len(own))
-        if len(self.known) > MAX_WORDS:
+            return _flattened(self._encode(texts.to_pylist()), len(texts))
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.values.dictionary_encode()
+        if len(self.words) > MAX_WORDS or len(self.parts) > MAX_PARTS:
             self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if new:
-            found = self._encode(new)
-            n = np.fromiter(map(len, found), np.int64, len(new))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(n) - n))
-            self.count = np.concatenate((self.count, n))
-            self.flat = np.concatenate((self.flat, np.array([i for ids in found for i in ids], np.uint32)))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        n = self.count[at]
-        upto = np.cumsum(n)
-        ids = self.flat[np.arange(int(upto[-1])) + np.repeat(self.first[at] - (upto - n), n)]
-        ends = upto[np.cumsum(counts) - 1]
-        return np.split(ids, ends[:-1])
+        number, new = _numbered(coded.dictionary, self.words)
+        self._learn(new)
+        parts, n_parts = self.parts_of_word.gather(number[coded.indices.to_numpy()])
+        ids, n_ids = self.ids_of_part.gather(parts)
+        upto = np.concatenate(([0], np.cumsum(n_ids)))[np.concatenate(([0], np.cumsum(n_parts)))][split.offsets.to_numpy()]
+        return ids, np.diff(upto)
+
+
+def _numbered(values: pa.StringArray, known: pa.StringArray) -> tuple[np.ndarray, pa.StringArray]:
+    """The places of distinct values among the known ones, the new ones' places behind them, and the new ones."""
+    found = pc.index_in(values, value_set=known)
+    number = found.fill_null(-1).to_numpy().copy()
+    new = np.flatnonzero(number < 0)
+    number[new] = len(known) + np.arange(len(new))
+    return number, values.take(pa.array(new))
+
+
+def _flattened(lists: Iterator[list[int]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as one array, and their lengths."""
+    count, flat = np.empty(n, np.int64), []
+    for i, x in enumerate(lists):
+        count[i] = len(x)
+        flat += x
+    return np.array(flat, np.int64), count
 
 
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 
 
-def _chunks(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[tuple[list, list[str]]]:
-    """Rows of a batch in runs of about ``size`` bytes of text."""
-    ids, texts, held = [], [], 0
-    for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-        ids.append(doc_id.as_py()), texts.append(text.as_py() or "")
-        held += len(texts[-1])
-        if held > size:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
+def _runs(batch: pa.RecordBatch, size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``size`` bytes of text."""
+    length = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(length) // size
+    cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
 
 def write_packed(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = END_ID, split_words: bool = True) -> DataFrame:
     """Encode ``(doc_id, text)`` and write one file for each range of doc_id; the manifest (``part, path, n_docs, n_ids``) in order."""
+    small_batches(docs.sparkSession, 5000)
     with open(tokenizer_file, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())  # the tokenizer, a fixed table
 
@@ -207,17 +263,21 @@ def write_packed(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int
         head = next(batches, None)
         if head is None:
             return
-        tokenizer = Tokenizer.from_str(definition.value)
-        encoder = WordEncoder(tokenizer, split_words)
+        key = (hash(definition.value), split_words)
+        state = worker_state("token_pack")
+        if key not in state:
+            state[key] = WordEncoder(Tokenizer.from_str(definition.value), split_words)
+        encoder = state[key]
         part = TaskContext.get().partitionId()
         path = f"{folder}/ids-{part:06d}.bin"
         end = np.array([end_id], np.uint32)
         with written(path) as out:
-            writer = PackedWriter(out, max(tokenizer.get_vocab_size(), end_id + 1))
+            writer = PackedWriter(out, max(encoder.tokenizer.get_vocab_size(), end_id + 1))
             while head is not None:
-                for doc_ids, texts in _chunks(head):
-                    for doc_id, ids in zip(doc_ids, encoder(texts), strict=True):
-                        writer.add(doc_id, np.concatenate((ids, end)))
+                for run in _runs(head):
+                    ids, n = encoder(run.column("text"))
+                    for doc_id, own in zip(run.column("doc_id").to_pylist(), np.split(ids, np.cumsum(n)[:-1]), strict=True):
+                        writer.add(doc_id, np.concatenate((own, end)))
                 head = next(batches, None)
             writer.close()
         yield pa.record_batch([pa.array([part], pa.int32()), pa.array([path]), pa.array([len(writer.doc_ids)]), pa.array([writer.n_ids])], ["part", "path", "n_docs", "n_ids"])
