@@ -1,9 +1,9 @@
 """Embedding near-duplicates by E8 lattice hashing.
 
-Each of ``TABLES`` tables projects a unit vector to eight dimensions (random orthonormal rows), scales it and
-decodes it to the nearest point of the E8 lattice, the best packing of its dimension: the cell is the bucket. Besides its own cell
-a vector is entered into the ``PROBES`` neighbouring cells (of the 240 around its own) whose points are
-nearest. Vectors of one label that share a cell are compared by cosine in double precision; links give
+Each of ``TABLES`` tables projects a unit vector twice to eight dimensions (random orthonormal rows), scales it and
+decodes it to the nearest points of the E8 lattice, the best packing of its dimension: the pair of points is the cell, the bucket.
+(One point alone has so few cells that unlike vectors share them.) Besides its own cell a vector is entered into those
+where one of the points is replaced by one of its ``PROBES`` nearest neighbours (of the 240 around it). Vectors of one label that share a cell are compared by cosine in double precision; links give
 components. Links are then counted exactly among all vectors of a component, in pairs of blocks, so
 a count does not depend on the cells in which two vectors met.
 
@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.llm.graph import block_pairs, connected_components, groups_of, star_links
+from tripspark.llm.hashing import mixed
 from tripspark.llm.storage import materialize
 
 COSINE = 0.98
 TABLES = 10
-PROBES = 6
-SCALE = 7.0  # projected vectors have the length sqrt(8 / dimensions) times this
+PROBES = 2
+SCALE = 6.0  # projected vectors have the length sqrt(8 / dimensions) times this
 BLOCK_ROWS = 1024
 SEED = 8
 
@@ -86,6 +87,16 @@ def cells(unit: np.ndarray, projection: np.ndarray, scale: float, probes: int, r
     return np.concatenate((own[:, None, :], own[:, None, :] + roots[best]), axis=1)
 
 
+def cell_keys(unit: np.ndarray, pair: np.ndarray, scale: float, probes: int, roots: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """``(rows, 1 + 2 * probes)``: hashes of a row's own pair of points, and of those with a neighbour on either side."""
+    points = np.concatenate([cells(unit, p, scale, probes, roots) for p in pair], axis=2).astype(np.uint64)
+    multipliers = np.random.default_rng(1).integers(1, 2**63, 16).astype(np.uint64) | np.uint64(1)
+    first, second = (points[:, :, h] * multipliers[h] for h in (slice(0, 8), slice(8, 16)))
+    first, second = first.sum(axis=2, dtype=np.uint64), second.sum(axis=2, dtype=np.uint64)
+    sums = np.concatenate((first + second[:, :1], first[:, :1] + second[:, 1:]), axis=1) + salt[:, None]
+    return mixed(sums).view(np.int64)
+
+
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vecs, digests = [], []
@@ -118,24 +129,18 @@ def _hasher(dtype: type, tables: int, probes: int, scale: float):
                     unit = _unit([vecs[i] for i in rows], dtype)
                     d = unit.shape[1]
                     if d not in known:
-                        known[d] = projections(d, tables)
-                    start = [xxhash.xxh3_64_intdigest(f"{d} {labels[i]}".encode()) for i in rows]
-                    keys = []
-                    for t in range(tables):
-                        points = cells(unit, known[d][t], scale, probes, roots)
-                        keys.append([[_signed(xxhash.xxh3_64_intdigest(p.tobytes(), s ^ t)) for p in own] for own, s in zip(points, start, strict=True)])
-                    key = np.array(keys, np.int64)  # tables, rows, 1 + probes
+                        known[d] = projections(d, 2 * tables)
+                    salt = np.array([xxhash.xxh3_64_intdigest(f"{d} {labels[i]}".encode()) for i in rows], np.uint64)
+                    key = np.stack(
+                        [cell_keys(unit, known[d][2 * t : 2 * t + 2], scale, probes, roots, mixed(salt + np.uint64(t))) for t in range(tables)]
+                    )  # tables, rows, cells
                     cid = np.broadcast_to(np.array([ids[i] for i in rows])[None, :, None], key.shape)
-                    home = np.broadcast_to(np.arange(1 + probes) == 0, key.shape)
+                    home = np.broadcast_to(np.arange(key.shape[2]) == 0, key.shape)
                     yield pa.record_batch([pa.array(x.ravel()) for x in (key, cid, home)], ["key", "cid", "home"])
 
     return hashed
 
 
-def _signed(x: int) -> int:
-    return x - 2**64 if x >= 2**63 else x
-
-
 def _linker(dtype: type, cosine: float):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups_of(batches, ["key", "bi", "bj"]):
