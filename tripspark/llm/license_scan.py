@@ -3,7 +3,7 @@
 1. Document frequencies of the templates' terms over all files (the terms are a fixed vocabulary; at most one row for each).
 2. A file with a distinctive term (a template term in at most ``COMMON`` of all files) is compared with every template, line by
    line (headers, notices) and as a whole (licence files): terms weigh tf * idf, a term outside the templates has the largest idf, and
-   the cosine is a join of the unit's terms with the templates' terms. The best template with a cosine of
+   the cosine is a join of the unit's terms with the templates' terms (for units that can reach the threshold, by an exact bound). The best template with a cosine of
    at least ``COSINE`` is the file's own licence.
 3. Licence files (``LICENSE``, ``COPYING``, ``NOTICE``) give their directory a licence. A file without its own inherits from the nearest
    ancestor directory that has one, by joining its ancestor paths with the directories.
@@ -72,6 +72,15 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     units = F.concat(F.array(F.col("text")), F.filter(F.split("text", "\n", -1), lambda x: x.rlike(near)))
     unit = likely.select("id", F.posexplode(units).alias("unit", "content")).select("id", "unit", terms(F.col("content")).alias("terms"))
     unit = unit.filter(F.size(F.array_intersect("terms", mark)) > 0)
+    # The cosine is at most the length of a unit's part in the templates' terms over its whole length, and each other term has
+    # the largest idf: most units, above all whole texts, cannot reach it and are not taken apart
+    part = F.aggregate(
+        F.array_intersect("terms", known),
+        F.lit(0.0),
+        lambda total, t: total + F.pow(F.size(F.filter("terms", lambda x: x == t)) * F.element_at(idf_of, t), F.lit(2.0)),
+    )
+    others = F.size(F.array_except("terms", known)) * F.pow(F.log(F.lit(1.0 + n_files)) + 1.0, F.lit(2.0))
+    unit = materialize(unit.filter(part >= others * (cosine**2 / (1 - cosine**2) * (1 - 1e-9))), "license-units")
     tf = unit.select("id", "unit", F.explode("terms").alias("term")).groupBy("id", "unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("w", F.col("tf") * idf)
     lengths = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
