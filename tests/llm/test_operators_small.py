@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -418,6 +419,36 @@ def test_licences_are_found_and_inherited(spark):
     assert license_scan.scan_licenses(frame.limit(0)).count() == 0
 
 
+def license_brute(rows):
+    """Every line and every whole text against every template."""
+    found = lambda text: Counter(re.findall(license_scan.TERM, (text or "").lower()))
+    df = Counter(t for _, text in rows for t in found(text))
+    notices = {k: found(t) for k, t in license_scan.TEMPLATES}
+    vocabulary = {t for tf in notices.values() for t in tf}
+    idf = lambda t: math.log((1 + len(rows)) / (1 + (df[t] if t in vocabulary else 0))) + 1
+    norm = lambda tf: math.sqrt(sum((n * idf(t)) ** 2 for t, n in tf.items()))
+    out = {}
+    for i, text in rows:
+        units = [tf for tf in map(found, [text or "", *(text or "").split("\n")]) if tf]
+        scores = [(-round(sum(n * tf[t] * idf(t) ** 2 for t, n in notice.items()) / norm(tf) / norm(notice), 6), k) for tf in units for k, notice in notices.items()]
+        score, name = min(scores, default=(0, None))
+        out[i] = name if -score >= license_scan.COSINE else None
+    return out
+
+
+def test_frequent_notices_are_found(spark):
+    rng = random.Random(14)
+    line = "Released under the MIT License."
+    stock = [w for _, t in license_scan.TEMPLATES for w in t.split()] + [f"w{i}" for i in range(12)]
+    third = [(i, f"{words(rng, 20)}\n{line}" if i % 3 == 0 else words(rng, 20)) for i in range(60)]
+    near = [(i, "\n".join(" ".join(rng.choice(stock) for _ in range(rng.randrange(2, 9))) for _ in range(6))) for i in range(200)]
+    near += [(200 + i, dict(license_scan.TEMPLATES)["CC0-1.0"].rsplit(" ", i % 9)[0]) for i in range(100)]
+    for rows in (third, [(1, line)], [(1, line), (2, "the first"), (3, None)], near):
+        got = dict(license_scan.own_licenses(spark.createDataFrame(rows, "id long, text string")).select("id", "own_license").collect())
+        assert {i: got.get(i) for i, _ in rows} == license_brute(rows)
+        assert got
+
+
 # --- language ID
 
 

@@ -1,10 +1,10 @@
 """Licence scans: sparse TF-IDF cosine to licence templates, then inheritance from directories. DataFrame expressions only.
 
 1. Document frequencies of the templates' terms over all files (the terms are a fixed vocabulary; at most one row for each).
-2. A file with a distinctive term (a template term in at most ``COMMON`` of all files) is compared with every template, line by
-   line (headers, notices) and as a whole (licence files): terms weigh tf * idf, a term outside the templates has the largest idf, and
-   the cosine is a join of the unit's terms with the templates' terms (for units that can reach the threshold, by an exact bound). The best template with a cosine of
-   at least ``COSINE`` is the file's own licence.
+2. Every file is compared with every template, line by line (headers, notices) and as a whole (licence files): terms weigh tf * idf,
+   a term outside the templates has the largest idf, and the cosine is a join of the unit's terms with the templates' terms. Only units that
+   two exact bounds show to stay below the threshold are left out, however frequent the terms. The best template with a cosine of at least
+   ``COSINE`` is the file's own licence.
 3. Licence files (``LICENSE``, ``COPYING``, ``NOTICE``) give their directory a licence. A file without its own inherits from the nearest
    ancestor directory that has one, by joining its ancestor paths with the directories.
 
@@ -15,6 +15,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from tripspark.llm.storage import materialize
 
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 COSINE = 0.6
-COMMON = 0.2
+SCORE_STEP = 1e-6  # scores are rounded to six places, so bounds stay this far below the threshold
 LICENSE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\..*)?$"
 
 # Notices by which works name their licence (fixed values).
@@ -49,16 +51,35 @@ def template_terms(spark: SparkSession, templates: tuple[tuple[str, str], ...])
     return listed.groupBy("license", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def needed_terms(tfs: dict[str, dict[str, int]], df: dict[str, int], n_files: int, least: float) -> list[str]:
+    """Template terms of which a unit must hold one to reach a cosine of ``least`` with any template. By Cauchy-Schwarz a unit
+    that holds only some terms of a template reaches at most their part of the template's length; the most frequent terms
+    whose part is below ``least`` are therefore not needed."""
+    needed: set[str] = set()
+    for tf in tfs.values():
+        squares = {t: (n * (math.log((1.0 + n_files) / (1.0 + df.get(t, 0))) + 1.0)) ** 2 for t, n in tf.items()}
+        left = least**2 * sum(squares.values())
+        for term in sorted(tf, key=lambda t: (-df.get(t, 0), t)):
+            left -= squares[term]
+            if left <= 0:
+                needed.add(term)
+    return sorted(needed)
+
+
 def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """``(id, text)`` -> ``(id, own_license, own_score)`` of the files that have one; ``id`` must name a row."""
     spark = files.sparkSession
-    vocabulary = sorted({r["term"] for r in template_terms(spark, templates).select("term").distinct().collect()})  # fixed by the templates
+    tfs: dict[str, dict[str, int]] = {}
+    for r in template_terms(spark, templates).collect():  # fixed by the templates
+        tfs.setdefault(r["license"], {})[r["term"]] = r["tf"]
+    vocabulary = sorted({t for tf in tfs.values() for t in tf})
     known = F.array(*[F.lit(t) for t in vocabulary])
     texts = files.select("id", F.coalesce("text", F.lit("")).alias("text"))
     held = texts.select(F.explode_outer(F.array_intersect(known, terms(F.col("text")))).alias("term"))
     counts = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a template term
     n_files = files.count()
-    distinctive = [t for t in vocabulary if counts.get(t, 0) <= COMMON * n_files]
+    least = cosine - SCORE_STEP
+    needed = needed_terms(tfs, counts, n_files, least)
     idf_of = F.create_map(*[x for t in vocabulary for x in (F.lit(t), F.log(F.lit((1.0 + n_files) / (1.0 + counts.get(t, 0)))) + 1.0)])
     idf = F.coalesce(F.element_at(idf_of, F.col("term")), F.log(F.lit(1.0 + n_files)) + 1.0)
 
@@ -66,9 +87,9 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     norms = weights.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     sides = weights.join(norms, "license").select("license", "term", (F.col("w") / F.col("norm")).alias("tw"))
 
-    mark = F.array(*[F.lit(t) for t in distinctive])
-    near = r"(?i)(?<![a-z0-9])(?:" + "|".join(t.replace(".", r"\.") for t in distinctive) + r")(?![a-z0-9])"
-    likely = texts.filter(F.col("text").rlike(near)) if distinctive else texts.limit(0)
+    mark = F.array(*[F.lit(t) for t in needed])
+    near = r"(?<![a-z0-9])(?:" + "|".join(t.replace(".", r"\.") for t in needed) + r")(?![a-z0-9])"
+    likely = texts.select("id", F.lower("text").alias("text")).filter(F.col("text").rlike(near))
     units = F.concat(F.array(F.col("text")), F.filter(F.split("text", "\n", -1), lambda x: x.rlike(near)))
     unit = likely.select("id", F.posexplode(units).alias("unit", "content")).select("id", "unit", terms(F.col("content")).alias("terms"))
     unit = unit.filter(F.size(F.array_intersect("terms", mark)) > 0)
@@ -80,7 +101,7 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
         lambda total, t: total + F.pow(F.size(F.filter("terms", lambda x: x == t)) * F.element_at(idf_of, t), F.lit(2.0)),
     )
     others = F.size(F.array_except("terms", known)) * F.pow(F.log(F.lit(1.0 + n_files)) + 1.0, F.lit(2.0))
-    unit = materialize(unit.filter(part >= others * (cosine**2 / (1 - cosine**2) * (1 - 1e-9))), "license-units")
+    unit = materialize(unit.filter(part >= others * (least**2 / (1 - least**2))), "license-units")
     tf = unit.select("id", "unit", F.explode("terms").alias("term")).groupBy("id", "unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("w", F.col("tf") * idf)
     lengths = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
