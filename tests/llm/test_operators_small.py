@@ -109,6 +109,22 @@ def test_jaccard_join_of_frequent_shingles(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == jaccard_brute(rows)
 
 
+def test_jaccard_join_of_a_frequent_shingle_over_many_parts(spark):
+    """100 sets share a shingle in one task, and most parts get none but entries from beyond its run."""
+    rows = [(i, f"a b c d e z{i}", "en", "s") for i in range(100)] + [(100, "A b c d e z7", "en", "s"), (101, None, "en", "s")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for threshold in ((jaccard_join.NUM, jaccard_join.DEN), (1, 3)):  # at 1/3 the common shingle alone links
+            got = jaccard_join.jaccard_join(docs_frame(spark, rows).coalesce(1), threshold).collect()
+            want = jaccard_brute(rows)
+            if threshold == (1, 3):
+                want = Counter((i, n, 0 if n else i) for i, n, _ in want.elements())
+            assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_jaccard_join_empty(spark):
     assert jaccard_join.jaccard_join(docs_frame(spark, [])).count() == 0
 

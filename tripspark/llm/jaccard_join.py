@@ -108,6 +108,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _planes(values: np.ndarray) -> bytes:
     """The bytes of an array by significance, so that the zero bytes of small numbers lie together for the shuffle's compression."""
+    if not len(values):  # a part with none but dealt-out entries
+        return b""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
 
 
