@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tripspark.llm import bsi_topk, chat_format, e8_dedup, jaccard_join, langid, license_scan, mixing, piece_lattice, token_pack, warc
 from tripspark.llm.files import opened
 from tripspark.llm.graph import connected_components
+from tripspark.llm.queries import QUERIES
 from tripspark.llm.storage import fresh_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node long, label string, component string"
@@ -345,6 +346,34 @@ def test_mixed_counts(spark, texts):
     assert [r["taken"] for r in mixing.mixed_counts(docs_frame(spark, [(1, None, "en", "s")])).collect()] == [0]
 
 
+def test_written_mix_holds_every_word_it_counts(spark, texts, tmp_path, monkeypatch):
+    """The query writes blocks of words; ``taken`` is what they hold, for repeated rows and ids, null ids and long texts too."""
+    rows = texts + [(7, "other words of seven", "en", "s2"), (7, "other words of eight", "en", "s2"), (None, "no id", "en", "s2"), (None, "no id", "en", None)]
+    docs_frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    written = {}
+    monkeypatch.setattr(mixing, "materialize", lambda df, name, f=mixing.materialize, **o: written.setdefault(name, f(df, name, **o)))
+    got = QUERIES["op4_mix_sources"](spark, str(tmp_path)).collect()
+    mix = written["mix-blocks"].collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, *_ in rows)
+    stream = defaultdict(Counter)  # of an id, the words the mix holds
+    for b in mix:
+        at = 0
+        for p in b["parts"]:
+            stream[p["doc_id"]].update(b["tokens"][at : at + p["words"]])
+            at += p["words"]
+        assert at == len(b["tokens"]) <= mixing.BLOCK_WORDS
+    own, taken = defaultdict(Counter), Counter()
+    for i, t, *_ in rows:
+        own[i].update((t or "").split())
+    for r in got:
+        taken[r["doc_id"]] += r["taken"]
+    assert all(taken[i] == sum(stream[i].values()) and stream[i].keys() <= own[i].keys() for i in own)
+    assert all(n <= mixing.MAX_REPEATS * own[i][w] for i in stream for w, n in stream[i].items())
+    monkeypatch.undo()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mixed_counts(docs_frame(spark, rows)).collect()))
+    assert mixing.mix_documents(docs_frame(spark, [])).count() == 0
+
+
 def test_mixed_blocks_hold_the_counted_words(spark):
     rng = random.Random(1)
     rows = [(i, " ".join(f"d{i}_{k}" for k in range(rng.randrange(1, 60)))[:], "en", f"s{i % 3}") for i in range(60)]

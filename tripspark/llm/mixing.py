@@ -142,16 +142,16 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     return each.select("shard", "sid", "q", block.alias("block"))
 
 
-def positions(sizes: DataFrame, targets: DataFrame, seed: int = SEED) -> DataFrame:
+def positions(sizes: DataFrame, targets: DataFrame, seed: int = SEED, ties: tuple[str, ...] = ()) -> DataFrame:
     """Each document's place in the stream of its source: ``sid, chunk, ord`` (its key), ``start`` and the columns of
-    ``sizes``, with ``source_size`` and ``target``."""
+    ``sizes``, with ``source_size`` and ``target``. Documents of equal id and size are in order of ``ties``."""
     known = targets.withColumnRenamed("source", "_source")
     chunk = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.col("n_docs") / CHUNK_DOCS))
     placed = sizes.join(known, sizes["source"].eqNullSafe(known["_source"])).drop("_source").withColumn("chunk", chunk)
     sums = placed.groupBy("sid", "chunk").agg(F.sum("size").alias("chunk_size"))
     up_to = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("sid", "chunk", F.coalesce(F.sum("chunk_size").over(up_to), F.lit(0).cast("long")).alias("base"))
-    in_chunk = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size")
+    in_chunk = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size", *ties)
     inner = placed.withColumn("ord", F.row_number().over(in_chunk)).withColumn(
         "inner", F.sum("size").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     )
@@ -181,17 +181,59 @@ def mixed_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: i
     return placed.join(taken, key, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """The mix itself: ``shard, sid, q, block`` and ``tokens`` (the words of that block, in stream order)."""
-    words = F.filter(F.split(F.coalesce("text", F.lit("")), SPACE, -1), lambda w: w != "")
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), words.alias("tokens")), "mix-words")
+def _row_keys() -> list[Column]:
+    """128 bits that tell rows of unlike id, source or text apart."""
+    columns = [c for name in ("doc_id", "source", "text") for c in (F.col(name), F.col(name).isNull())]
+    return [F.xxhash64(F.lit(i), *columns).alias(k) for i, k in enumerate(("k1", "k2"))]
+
+
+def _word_blocks(docs: DataFrame, placed: DataFrame, block_words: int) -> DataFrame:
+    """``(sid, block)`` -> ``parts``: of each document in the block its key, id, number of words and these words, in stream order. Texts
+    meet their places by row keys (equal rows have one text and several places), and leave as slices of a block's size, each one string."""
+    places = placed.filter("size > 0").groupBy("k1", "k2").agg(F.collect_list(F.struct("sid", "chunk", "ord", "doc_id", "start", "size")).alias("places"))
+    texts = docs.filter(word_count(F.col("text")) > 0).select(*_row_keys(), "text").dropDuplicates(["k1", "k2"])
+    found = texts.join(places, ["k1", "k2"]).select("text", F.explode("places").alias("p")).select("text", "p.*")
+    start, end = F.col("start"), F.col("start") + F.col("size")
+    words = F.filter(F.split("text", SPACE, -1), lambda w: w != "")
+
+    def part(tokens: Column, block: Column) -> Column:
+        at = F.greatest(block * block_words, start)
+        n = F.least((block + 1) * block_words, end) - at
+        return F.struct(
+            block.alias("block"),
+            F.struct(at.alias("at"), F.col("chunk"), F.col("ord"), F.col("doc_id"), n.alias("words"), F.array_join(F.slice(tokens, (at - start + 1).cast("int"), n.cast("int")), " ").alias("text")).alias("part"),
+        )
+
+    numbers = F.sequence(F.floor(start / block_words), F.floor((end - 1) / block_words))
+    # the outer array binds the words, which are split once for all slices
+    pieces = F.transform(F.array(words), lambda tokens: F.transform(numbers, lambda block: part(tokens, block)))[0]
+    return found.select("sid", F.inline(pieces)).groupBy("sid", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+
+
+def _mix(docs: DataFrame, block_words: int, shard_slots: int, weights: tuple[float, ...], max_repeats: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """``positions`` of all documents, and the mix: ``shard, sid, q, block, parts`` (key, id and number of words of each document), ``tokens``."""
+    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *_row_keys()), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets")
-    pieces = _pieces(positions(sizes, targets, seed), block_words)
-    part = F.struct((F.col("start") + F.col("from")).alias("at"), F.slice("tokens", (F.col("from") + 1).cast("int"), F.col("words").cast("int")).alias("tokens"))
-    blocks = pieces.groupBy("sid", "block").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-    return slots(targets, block_words, shard_slots, max_repeats, seed).join(blocks, ["sid", "block"]).select(
-        "shard", "sid", "q", "block", F.flatten(F.transform("parts", lambda p: p["tokens"])).alias("tokens")
-    )
+    placed = positions(sizes, targets, seed, ("k1", "k2"))
+    blocks = _word_blocks(docs, placed, block_words)
+    mix = slots(targets, block_words, shard_slots, max_repeats, seed).join(blocks, ["sid", "block"])
+    parts = F.transform("parts", lambda p: F.struct(p["chunk"].alias("chunk"), p["ord"].alias("ord"), p["doc_id"].alias("doc_id"), p["words"].alias("words")))
+    tokens = F.split(F.array_join(F.transform("parts", lambda p: p["text"]), " "), " ", -1)
+    return placed, mix.select("shard", "sid", "q", "block", parts.alias("parts"), tokens.alias("tokens"))
+
+
+def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
+    """The mix itself: ``shard, sid, q, block``, ``parts`` (the documents in the block) and ``tokens`` (the words of that block, in stream order)."""
+    return _mix(docs, block_words, shard_slots, weights, max_repeats, seed)[1]
+
+
+def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
+    """Write the mix to the shared folder and read it back -> a row per document as ``mixed_counts`` has it, ``taken`` from the mix's blocks."""
+    placed, mix = _mix(docs, block_words, shard_slots, weights, max_repeats, seed)
+    mix = materialize(mix, "mix-blocks", compression="zstd")
+    key = ["sid", "chunk", "ord"]
+    taken = mix.select("sid", F.inline("parts")).groupBy(key).agg(F.sum("words").alias("taken"))
+    return placed.join(taken, key, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

@@ -33,7 +33,7 @@ def op3_bsi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed_counts(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixing.mix_documents(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
 def op5_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

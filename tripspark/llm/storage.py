@@ -16,10 +16,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return run_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
