@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import bsi_topk, chat_format, e8_dedup, jaccard_join, langid, license_scan, mixing, piece_lattice, token_pack, warc
+from tripspark.llm import bsi_topk, chat_format, e8_dedup, jaccard_join, langid, lexical, license_scan, merkle, mixing, pii, piece_lattice, token_pack, twins, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,18 @@ def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "benchmark"), lexical.build_index(_table(spark, sf_dir, "documents")))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_e8_dedup": op1_e8_dedup,
     "op2_warc": op2_warc,
@@ -103,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_piece_lattice": op10_piece_lattice,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_personal_data": op12_personal_data,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _LICENSES = ", ".join(f"('{k}', '{t}')" for k, t in license_scan.TEMPLATES)
@@ -185,4 +200,6 @@ ORACLE: dict[str, str] = {
                sum(length(esc) + CASE WHEN before IS DISTINCT FROM role THEN 6 + length(role) ELSE 0 END
                    + CASE WHEN after IS DISTINCT FROM role THEN 8 ELSE 7 END)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_lexical_search": twins.LEXICAL_SQL,
+    "op13_merkle_manifest": twins.merkle_sql(),
 }
