@@ -373,6 +373,30 @@ def queries_sql() -> dict[str, str]:
     )
     out["prediction_log_entries"] = s + f"SELECT {inputs}, 'gbt_duration_minutes_v1' AS model_version, CAST(NULL AS INTEGER) AS user_id FROM silver"
     out["stream_score_inputs"] = f"WITH {TRIPS},\n{IMPUTED}\nSELECT {inputs}, duration_minutes, payment_type, true AS inputs_present FROM ({features('imputed')}) WHERE {OUTLIER_WHERE}"
+    scored = f"SELECT {{}} FROM ({features('imputed')}) WHERE {OUTLIER_WHERE}"
+    out["stream_prediction_log"] = f"WITH {TRIPS},\n{IMPUTED}\n" + scored.format(f"{inputs}, 'gbt_duration_minutes_v1' AS model_version, CAST(NULL AS INTEGER) AS user_id")
+    out["stream_dedup"] = f"WITH {TRIPS},\n{IMPUTED},\nonce AS (SELECT DISTINCT * FROM imputed)\n" + (
+        f"SELECT {inputs}, duration_minutes, payment_type, true AS inputs_present, (SELECT 2 * count(*) FROM trips) AS n_read, CAST(0 AS BIGINT) AS n_late "
+        f"FROM ({features('once')}) WHERE {OUTLIER_WHERE}"
+    )
+    out["dedup_by_hash"] = t + "SELECT DISTINCT * FROM (SELECT * FROM trips UNION ALL SELECT * FROM trips WHERE passenger_count >= 4)"
+    out["landing_waves"] = t + "\nUNION ALL\n".join(
+        f"SELECT {w} AS landed_batch, count(*) AS n_rows, count(passenger_count) AS n_passengers, {fees} AS n_new_fee FROM trips"
+        for w, fees in ((0, "CAST(0 AS BIGINT)"), (1, "count(total_amount - fare_amount)"))
+    )
+    out["silver_month_rewrite"] = s + (
+        "SELECT * REPLACE (" + ", ".join(f"round({c}, 8) AS {c}" for c in ("trip_distance", "fare_amount", "Airport_fee", "cbd_congestion_fee"))
+        + ", round(CASE WHEN pickup_month = (SELECT max(pickup_month) FROM silver) THEN total_amount + 1.0 ELSE total_amount END, 8) AS total_amount) FROM silver"
+    )
+    out["maintained_by_hour"] = out["avg_duration_by_hour"]
+    out["maintained_payment"] = out["payment_analysis"]
+    fares = "[0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]"
+    out["fare_quantiles_exact"] = s + f"SELECT unnest(CAST({fares} AS DOUBLE[])) AS quantile, unnest(quantile_disc(fare_amount, {fares})) AS fare_amount FROM silver"
+    out["prediction_log_versions"] = s + (
+        "SELECT 'lr_duration_minutes_v' || v AS model_version, b AS batch_id, CAST(v AS INTEGER) AS user_id, count(*) AS n_rows, count(*) AS n_predicted "
+        "FROM silver, (VALUES (1), (2)) AS versions(v), (VALUES ('morning'), ('evening')) AS batches(b) GROUP BY v, b"
+    )
+    out["prediction_log_one_batch"] = s + f"SELECT {inputs}, 'lr_duration_minutes_v2' AS model_version, 'evening' AS batch_id, 2 AS user_id FROM silver"
     out["path_segments"] = "SELECT page_id, list_extract(string_split(regexp_replace(url, '/+$', ''), '/'), -1) AS segment FROM pages"
     quantiles = "[0.01, 0.25, 0.5, 0.75, 0.99]"
     out["duration_quantiles_exact"] = s + (

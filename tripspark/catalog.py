@@ -22,15 +22,18 @@ from tripspark.operators import aggregates, dedup, ml, nulls, profile
 from tripspark.operators.correlation import correlation_long, correlation_wide
 from tripspark.operators.filters import filter_outliers, reject_reasons
 from tripspark.operators.histogram import approx_quantiles, histogram
-from tripspark.plans import scoring
+from tripspark.operators.quantiles import exact_quantiles
+from tripspark.plans import maintained, scoring
 from tripspark.plans import sql as sqlforms
 from tripspark.plans.silver import add_time_features, build_silver, write_silver
 from tripspark.plans.training import LOG_LABEL, TrainedModel, model_frame, train_duration_model
 from tripspark.schema import DURATION_COL, FEATURE_ORDER, SPLIT_COL, TIME_FEATURE_COLS, TRIP_VIEW_SCHEMA, is_numeric
 from tripspark.sources.jdbc import sink_frame
-from tripspark.sources.parquet import land_bronze, read_table, write_overwrite
+from tripspark.sources.parquet import land_bronze, read_table, write_overwrite, write_partitions
 from tripspark.sources.trips_view import load_events, load_trips, trips_from_events
-from tripspark.streaming.scoring import run_until_drained, scored_stream
+from tripspark.streaming.landing import BATCH_COLUMN, land_new_files, read_bronze
+from tripspark.streaming.prediction_log import log_until_drained
+from tripspark.streaming.scoring import drain, run_until_drained, scored_stream
 
 REPORT_DECIMALS = 8
 
@@ -68,6 +71,11 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as one plan from the raw trips (null policy -> distinct -> features -> rules)."""
+    return build_silver(load_trips(spark, sf_dir), hash_first=False).frame
+
+
+def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job's rows: duplicates found by their hashes first."""
     return build_silver(load_trips(spark, sf_dir)).frame
 
 
@@ -88,7 +96,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         entry = _SILVER.get(key)
         if entry is None:
             path = run_path(spark, "silver", _sf_name(sf_dir), "trips")
-            plan = silver_plan(spark, sf_dir)
+            plan = silver_rows(spark, sf_dir)
             write_silver(plan, path, sort_within=SILVER_SORT)
             entry = _SILVER[key] = (path, plan.schema)
     path, schema = entry
@@ -134,7 +142,7 @@ def q_silver_trips(spark, sf_dir):
     the silver that later consumers read (the hand-off of the medallion layout).
     """
     path = run_path(spark, "silver_job", _sf_name(sf_dir), uuid.uuid4().hex[:12])
-    out = write_silver(silver_plan(spark, sf_dir), path, sort_within=SILVER_SORT)
+    out = write_silver(silver_rows(spark, sf_dir), path, sort_within=SILVER_SORT)
     with _SILVER_LOCK:
         _SILVER.setdefault((app_key(spark), os.path.abspath(sf_dir)), (path, out.schema))
     return out
@@ -235,6 +243,17 @@ def q_dedup_rows(spark, sf_dir):
     return dedup.distinct_rows(t.unionAll(t))
 
 
+def trips_some_twice(spark, sf_dir):
+    """Every trip, and the busy ones (four or more passengers) a second time."""
+    t = trips(spark, sf_dir)
+    return t.unionAll(t.filter("passenger_count >= 4"))
+
+
+def q_dedup_by_hash(spark, sf_dir):
+    """D1, hash first: only the rows whose hash repeats are compared in full."""
+    return dedup.distinct_by_hash(trips_some_twice(spark, sf_dir))
+
+
 def q_distinct_months(spark, sf_dir):
     return dedup.distinct_values(add_time_features(trips(spark, sf_dir)), "pickup_month")
 
@@ -509,6 +528,112 @@ def q_stream_score(spark, sf_dir):
     )
 
 
+def _landing(spark, sf_dir, name: str) -> str:
+    """A landing folder that no other run uses."""
+    return run_path(spark, "landing", _sf_name(sf_dir), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_stream_prediction_log(spark, sf_dir):
+    """Every trip of a stream is scored and logged, one batch of the log per micro-batch; the deterministic columns, read back."""
+    landing = _landing(spark, sf_dir, "log")
+    trips(spark, sf_dir).repartition(4).write.parquet(f"{landing}/files")  # four files, one a micro-batch
+    plan = nulls.plan_null_policy(read_table(spark, f"{landing}/files", TRIP_VIEW_SCHEMA))
+    model, path = saved_model(spark, sf_dir, "gbt")
+    stream = scored_stream(spark, f"{landing}/files", TRIP_VIEW_SCHEMA, plan, model, max_files_per_trigger=1)
+    logged = log_until_drained(stream, f"{landing}/log", path, f"{landing}/checkpoint", "trips")
+    return logged.select(*FEATURE_ORDER, "model_version", "user_id")
+
+
+def q_stream_dedup(spark, sf_dir):
+    """E2, D1 on a stream: every trip is landed twice, in two files' batches, and scored once (bounded state within the watermark).
+    ``n_late`` counts what the watermark dropped: none, the window being as long as the data."""
+    landing = _landing(spark, sf_dir, "dedup")
+    t = trips(spark, sf_dir)
+    t.coalesce(1).write.parquet(f"{landing}/files/first")
+    t.coalesce(1).write.parquet(f"{landing}/files/again")
+    plan = nulls.plan_null_policy(read_table(spark, f"{landing}/files/first", TRIP_VIEW_SCHEMA))
+    model, _ = saved_model(spark, sf_dir, "gbt")
+    stream = scored_stream(spark, f"{landing}/files/*", TRIP_VIEW_SCHEMA, plan, model, dedup_within="100000 days", max_files_per_trigger=1)
+    run = drain(stream, f"{landing}/scored", f"{landing}/checkpoint", state_partitions=8)
+    counted = [F.lit(run.n_read).cast("long").alias("n_read"), F.lit(run.n_late).cast("long").alias("n_late")]
+    return run.table.select(*FEATURE_ORDER, DURATION_COL, "payment_type", "inputs_present", *counted)
+
+
+def q_landing_waves(spark, sf_dir):
+    """E5, S3 incremental: a wave of files, then one with a further column, then nothing new; each landed once, every column kept."""
+    landing = _landing(spark, sf_dir, "waves")
+    t = trips(spark, sf_dir)
+
+    def land() -> None:
+        land_new_files(spark, f"{landing}/files/*", f"{landing}/bronze", f"{landing}/checkpoint", TRIP_VIEW_SCHEMA)
+
+    t.write.parquet(f"{landing}/files/first")
+    land()
+    t.withColumn("new_fee", F.col("total_amount") - F.col("fare_amount")).write.parquet(f"{landing}/files/second")
+    land()
+    land()
+    waves = read_bronze(spark, f"{landing}/bronze").groupBy(F.col(BATCH_COLUMN).cast("int").alias(BATCH_COLUMN))
+    return waves.agg(F.count(F.lit(1)).alias("n_rows"), F.count("passenger_count").alias("n_passengers"), F.count("new_fee").alias("n_new_fee"))
+
+
+def q_silver_month_rewrite(spark, sf_dir):
+    """Silver by month, then the newest month written again with corrected totals; the other months' files stay."""
+    path = run_path(spark, "silver_months", _sf_name(sf_dir), uuid.uuid4().hex[:12])
+    s = silver(spark, sf_dir)
+    write_partitions(s, path, ["pickup_month"])
+    newest = s.agg(F.max("pickup_month")).first()[0]  # one number
+    fixed = s.filter(F.col("pickup_month") == newest).withColumn("total_amount", F.col("total_amount") + F.lit(1.0))
+    write_partitions(fixed, path, ["pickup_month"])
+    return report(spark.read.schema(s.schema).parquet(path).select(s.columns))
+
+
+def _maintained(spark, sf_dir) -> str:
+    """A store of partial aggregates, refreshed after each of three batches of silver (by weekday)."""
+    root = _landing(spark, sf_dir, "maintained")
+    s = silver(spark, sf_dir).withColumn(maintained.BATCH, (F.col("pickup_day_week") % 3).cast("int"))
+    for batch in range(3):
+        write_partitions(s.filter(F.col(maintained.BATCH) == batch), f"{root}/silver", [maintained.BATCH])
+        maintained.refresh(spark, f"{root}/silver", f"{root}/store")
+    return f"{root}/store"
+
+
+def q_maintained_by_hour(spark, sf_dir):
+    """A6 from partial aggregates that were refreshed from new batches only."""
+    return report(maintained.avg_duration_by_hour(spark, _maintained(spark, sf_dir)))
+
+
+def q_maintained_payment(spark, sf_dir):
+    """A7 from partial aggregates that were refreshed from new batches only."""
+    return report(maintained.payment_analysis(spark, _maintained(spark, sf_dir)))
+
+
+def _versioned_log(spark, sf_dir) -> str:
+    """Two fits saved as two versions, each logging two batches."""
+    root = _landing(spark, sf_dir, "versions")
+    model = trained(spark, sf_dir, "lr").model
+    requests = scoring.requests_from_silver(silver(spark, sf_dir))
+    for _ in range(2):
+        ml.save_next_version(spark, model, f"{root}/models", "lr_duration_minutes")
+    for version in ml.model_versions(spark, f"{root}/models", "lr_duration_minutes"):
+        loaded, path = ml.load_version(spark, f"{root}/models", "lr_duration_minutes", "lr", version)
+        scored = scoring.score_requests(requests, loaded, log_scale=False)
+        for batch in ("morning", "evening"):
+            scoring.append_prediction_log(scored, f"{root}/log", path, batch, user_id=version)
+    return f"{root}/log"
+
+
+def q_prediction_log_versions(spark, sf_dir):
+    """Versions are never overwritten, and the log holds both versions' batches."""
+    log = scoring.read_prediction_log(spark, _versioned_log(spark, sf_dir))
+    return log.groupBy("model_version", "batch_id", "user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("predicted_duration").alias("n_predicted"))
+
+
+def q_prediction_log_one_batch(spark, sf_dir):
+    """One version's batch, read by its partition."""
+    log = scoring.read_prediction_log(spark, _versioned_log(spark, sf_dir), "lr_duration_minutes_v2", "evening")
+    return log.select(*FEATURE_ORDER, "model_version", "batch_id", "user_id")
+
+
 # ---------------------------------------------------------------- previews, quantiles, plan report
 PREVIEW_ROWS = 20  # a preview is a top-k by pickup time: the limit is the feature
 
@@ -534,6 +659,12 @@ def q_duration_quantiles_exact(spark, sf_dir):
     return reached.groupBy("quantile").agg(F.min(DURATION_COL).alias("duration_minutes"))
 
 
+def q_fare_quantiles_exact(spark, sf_dir):
+    """E4, exact, of a continuous column: brackets around each rank, narrowed by sketches and exact counts."""
+    found = exact_quantiles(silver(spark, sf_dir), "fare_amount", [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0], few_rows=1000)
+    return found.select("quantile", F.col("value").alias("fare_amount"))
+
+
 def q_null_policy_plan(spark, sf_dir):
     """N2 decisions as a frame: per column null count, share, action and fill value."""
     plan = nulls.plan_null_policy(trips(spark, sf_dir))
@@ -604,4 +735,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duration_quantiles": q_duration_quantiles,
     "duration_quantiles_exact": q_duration_quantiles_exact,
     "null_policy_plan": q_null_policy_plan,
+    "stream_prediction_log": q_stream_prediction_log,
+    "dedup_by_hash": q_dedup_by_hash,
+    "landing_waves": q_landing_waves,
+    "silver_month_rewrite": q_silver_month_rewrite,
+    "stream_dedup": q_stream_dedup,
+    "maintained_by_hour": q_maintained_by_hour,
+    "maintained_payment": q_maintained_payment,
+    "fare_quantiles_exact": q_fare_quantiles_exact,
+    "prediction_log_versions": q_prediction_log_versions,
+    "prediction_log_one_batch": q_prediction_log_one_batch,
 }

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
@@ -23,11 +25,12 @@ from pyspark.ml.regression import (
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.fixed import FEATURE_ORDER, GBT_PARAMS, TRAIN_FRACTION
 from tripspark.functions.trip import key_bucket
+from tripspark.sources import files
 
 FEATURES_COL = "features"
 
@@ -160,6 +163,36 @@ def save_model(model, path: str) -> str:
     return path
 
 
+def model_versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    """The complete versions of a model under ``root``, ascending."""
+    found = (re.fullmatch(rf"{re.escape(name)}_v([0-9]+)", folder) for folder in files.folder_names(spark, root))
+    return sorted(int(m.group(1)) for m in found if m)
+
+
+def save_next_version(spark: SparkSession, model, root: str, name: str) -> str:
+    """S8 without overwriting: save under the next free version and return its path.
+
+    The model is saved under a draft name, a version number is claimed by creating its marker file (only one caller can), and the
+    draft is renamed to it, so no reader sees half a model and two concurrent fits get two versions. A caller that stops after the claim leaves a number unused."""
+    draft = f"{root.rstrip('/')}/.draft-{uuid.uuid4().hex}"
+    model.write().save(draft)
+    version = max(model_versions(spark, root, name), default=0) + 1
+    while not files.claim_file(spark, f"{root.rstrip('/')}/.claims/{name}_v{version}"):
+        version += 1
+    path = versioned_model_path(root, name, version)
+    files.rename_folder(spark, draft, path)
+    return path
+
+
+def load_version(spark: SparkSession, root: str, name: str, kind: str = "gbt", version: int | None = None):
+    """A model and its path, the newest version or the one named."""
+    versions = model_versions(spark, root, name)
+    if not versions or (version is not None and version not in versions):
+        raise FileNotFoundError(f"{name} under {root}: versions {versions}, wanted {version or 'the newest'}")
+    path = versioned_model_path(root, name, version or versions[-1])
+    return load_model(path, kind), path
+
+
 def load_model(path: str, kind: str = "gbt"):
     """Load a fitted regression model of the given kind."""
     return MODEL_CLASSES[kind].load(path)

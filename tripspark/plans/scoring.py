@@ -100,9 +100,14 @@ def read_batch(spark: SparkSession, log_path: str, version: str, batch_id: str)
     return rows.withColumns({"model_version": F.lit(version), "batch_id": F.lit(batch_id)}).select(LOG_SCHEMA.fieldNames())
 
 
-def read_prediction_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The whole log; version and batch id are strings, whatever they look like."""
-    return spark.read.schema(LOG_SCHEMA).parquet(log_path)
+def read_prediction_log(spark: SparkSession, log_path: str, model_version: str | None = None, batch_id: str | None = None) -> DataFrame:
+    """The log; version and batch id are strings, whatever they look like. With either given, only its folders are read (a
+    filter on the partition columns)."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(log_path)
+    for column, value in (("model_version", model_version), ("batch_id", batch_id)):
+        if value is not None:
+            log = log.filter(F.col(column) == value)
+    return log
 
 
 def requests_frame(spark, records: list[dict] | list[tuple]) -> DataFrame:

@@ -1,9 +1,10 @@
 """Bronze -> silver. Null policy -> full-row distinct -> time features -> outlier rules.
 
-Physical shape: the null policy is planned by one small aggregate (see operators.nulls);
-the rest is ONE shuffle (the distinct). The outlier predicate is row-wise and deterministic,
-so it commutes with distinct; Catalyst pushes it (and the drop filter) below the aggregate,
-and the terms on plain columns down to the parquet scan, so only surviving rows are shuffled.
+Physical shape: the null policy is planned by one small aggregate (see operators.nulls). The outlier
+predicate is row-wise and deterministic, so it commutes with the distinct and is applied first: its terms on plain
+columns, and the drop filter, reach the parquet scan. The distinct then shuffles one hash per surviving row
+(see operators.dedup); rows are shuffled only where hashes repeat, so a file without duplicates is written
+from the scan without any shuffle of its rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tripspark.functions.trip import time_feature_columns
-from tripspark.operators.dedup import distinct_rows
+from tripspark.operators.dedup import distinct_by_hash, distinct_rows, row_hash
 from tripspark.operators.filters import OutlierRules, filter_outliers
 from tripspark.operators.nulls import DEFAULT_THRESHOLD_PCT, NullPlan, plan_null_policy
 from tripspark.schema import DROPOFF_COL, PICKUP_COL
@@ -38,12 +39,17 @@ def build_silver(
     threshold_pct: float = DEFAULT_THRESHOLD_PCT,
     rules: OutlierRules | None = None,
     null_plan: NullPlan | None = None,
+    hash_first: bool = True,
 ) -> SilverResult:
+    """Raw trips -> silver. ``hash_first`` runs the pass over the row hashes now; without it the distinct is part of the plan."""
     plan = null_plan or plan_null_policy(raw, threshold_pct)
     cleaned = plan.apply(raw, planned_on=null_plan is None)
-    deduped = distinct_rows(cleaned)  # before the timestamps go: equal trips at other times stay
-    featured = add_time_features(deduped)
-    return SilverResult(filter_outliers(featured, rules), plan)
+    if not hash_first:
+        deduped = distinct_rows(cleaned)  # before the timestamps go: equal trips at other times stay
+        return SilverResult(filter_outliers(add_time_features(deduped), rules), plan)
+    kept = filter_outliers(add_time_features(cleaned, drop_timestamps=False), rules)
+    deduped = distinct_by_hash(kept, row_hash(cleaned.columns))  # the features are functions of the cleaned columns
+    return SilverResult(deduped.drop(PICKUP_COL, DROPOFF_COL), plan)
 
 
 SORTED_ROW_GROUP_BYTES = 32 * 1024 * 1024

@@ -73,6 +73,11 @@ def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = N
     writer.parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions that ``df`` holds rows of; the files of the others are not touched."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 @dataclass(frozen=True)
 class LandingReport:
     path: str

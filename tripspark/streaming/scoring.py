@@ -15,6 +15,9 @@ window; without it the stream is stateless and never discards a row.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,9 +103,27 @@ def start_stream_scoring(
 
 def run_until_drained(stream: DataFrame, sink_dir: str, checkpoint_dir: str, state_partitions: int | None = None) -> DataFrame:
     """availableNow: process every file present, stop, and return the sink as a batch table."""
+    return drain(stream, sink_dir, checkpoint_dir, state_partitions).table
+
+
+@dataclass(frozen=True)
+class DrainedStream:
+    """The sink after a run, and what the run's micro-batches counted: rows read, and rows that the watermark dropped as late."""
+
+    table: DataFrame
+    n_read: int
+    n_late: int
+
+
+def drain(stream: DataFrame, sink_dir: str, checkpoint_dir: str, state_partitions: int | None = None) -> DrainedStream:
+    """availableNow: process every file present and stop. A deduplicating stream drops rows later than its watermark; they are counted,
+    so a caller can tell that the window was too short."""
     q = start_stream_scoring(stream, sink_dir, checkpoint_dir, available_now=True, state_partitions=state_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
+    progress = [json.loads(p.json) for p in q.recentProgress]
+    late = sum(state.get("numRowsDroppedByWatermark", 0) for p in progress for state in p.get("stateOperators", []))
     # the schema is known: a sink without files yet is an empty table
-    return stream.sparkSession.read.schema(stream.schema).parquet(sink_dir)
+    table = stream.sparkSession.read.schema(stream.schema).parquet(sink_dir)
+    return DrainedStream(table, sum(p.get("numInputRows", 0) for p in progress), late)
