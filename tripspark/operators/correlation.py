@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.schema import numeric_columns
@@ -45,27 +45,30 @@ def correlation_long(df: DataFrame, columns: list[str] | None = None, pairs_per_
     return _mirror(reduce(DataFrame.unionByName, blocks), cols)
 
 
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _number(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
 def _pair_rows(totals: DataFrame, pairs: list[tuple[int, int]], moments) -> DataFrame:
-    entries = []
-    for q, (i, j) in enumerate(pairs):
-        cov, vx, vy = moments(q, i, j)
-        entries.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), cov.alias("cov"), vx.alias("vx"), vy.alias("vy")))
-    return totals.select(F.inline(F.array(*entries)))
+    """The one row of totals -> a row per pair. As SQL text: building thousands of column objects costs more than the query."""
+    entries = [f"struct({i} AS i, {j} AS j, {cov} AS cov, {vx} AS vx, {vy} AS vy)" for q, (i, j) in enumerate(pairs) for cov, vx, vy in [moments(q, i, j)]]
+    return totals.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def _full_block(df: DataFrame, cols: list[str], stats: dict, pairs: list[tuple[int, int]]) -> DataFrame:
     """Pairs of columns without nulls: the sum of (x - mean x) * (y - mean y); the variances are known."""
+    centred = [f"(CAST({_name(c)} AS DOUBLE) - {_number(stats[c][2])})" for c in cols]
 
-    def centred(i: int) -> Column:
-        return F.col(cols[i]).cast("double") - F.lit(stats[cols[i]][2])
-
-    def moments(q: int, i: int, j: int) -> tuple[Column, Column, Column]:
+    def moments(q: int, i: int, j: int) -> tuple[str, str, str]:
         n, _, _, vx = stats[cols[i]]
-        vy = stats[cols[j]][3]
-        cov = F.lit(vx) if i == j else F.try_divide(F.col(f"s{q}"), F.lit(float(n)))
-        return cov.cast("double"), F.lit(vx).cast("double"), F.lit(vy).cast("double")
+        cov = _number(vx) if i == j else f"try_divide(s{q}, {_number(n)})"
+        return cov, _number(vx), _number(stats[cols[j]][3])
 
-    totals = df.agg(*[F.sum(centred(i) * centred(j)).alias(f"s{q}") for q, (i, j) in enumerate(pairs)])
+    totals = df.agg(*[F.expr(f"sum({centred[i]} * {centred[j]}) AS s{q}") for q, (i, j) in enumerate(pairs)])
     return _pair_rows(totals, pairs, moments)
 
 
@@ -73,11 +76,10 @@ def _gaps_block(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]) ->
     """Pairs with nulls: the moments over the rows where both sides are present."""
     aggs = []
     for q, (i, j) in enumerate(pairs):
-        x, y = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        aggs += [F.covar_pop(x, y).alias(f"c{q}"), F.var_pop(x).alias(f"x{q}"), F.var_pop(y).alias(f"y{q}")]
-    return _pair_rows(df.agg(*aggs), pairs, lambda q, i, j: (F.col(f"c{q}"), F.col(f"x{q}"), F.col(f"y{q}")))
+        a, b = _name(cols[i]), _name(cols[j])
+        x, y = (f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN CAST({side} AS DOUBLE) END" for side in (a, b))
+        aggs += [F.expr(f"covar_pop({x}, {y}) AS c{q}"), F.expr(f"var_pop({x}) AS x{q}"), F.expr(f"var_pop({y}) AS y{q}")]
+    return _pair_rows(df.agg(*aggs), pairs, lambda q, i, j: (f"c{q}", f"x{q}", f"y{q}"))
 
 
 def _mirror(moments: DataFrame, cols: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ frame (cast to the column type, so integer columns truncate), other columns with
 
 Plan, instead of 1 + m counts and one job per fill:
   1. one aggregate of every column's null count, sum, non-null count and NaN count over the rows alive under the
-     drops found so far, repeated until it finds no further drop (one row per pass; typically one or two passes).
+     drops found so far, repeated for the columns behind a new drop (one row per pass; typically one or two passes).
   2. one more job, only if some non-numeric column needs a mode (all such columns together,
      via GROUPING SETS, each counting only rows alive at its step).
   3. apply as one filter + one projection: a narrow stage, no shuffle.
@@ -208,9 +208,9 @@ def plan_null_policy(
     Drops only remove rows, so a column's current null count can only fall as more earlier
     columns are dropped. Start with no drops; in one aggregate pass compute, for every column,
     its null count, sum and non-null count over the rows alive under the drops decided so far
-    (for earlier columns only); add every column now below the threshold; repeat until the drop
-    set is stable. The set never exceeds the true one and its fixed point is exactly the
-    sequential rule's (each pass is one scan; typically one or two).
+    (for earlier columns only); add every column now below the threshold; repeat for the columns behind a
+    new drop until there are none. The set never exceeds the true one and its fixed point is exactly the
+    sequential rule's (each pass is one scan, pruned to the columns that can still change; typically one or two).
     """
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, FLOATING_TYPES)] if nan_as_null else []
     flagged = df.withColumns({f"_isnan_{i}": F.isnan(c) for i, c in enumerate(floating)}) if floating else df
@@ -218,34 +218,42 @@ def plan_null_policy(
     fields = df.schema.fields
     numeric = {i for i, f in enumerate(fields) if is_numeric(f.dataType)}
     drops: set[int] = set()
-    passes, nan_columns = 0, None
-    while True:
+    passes, n, nan_columns = 0, 0, None
+    nulls: dict[int, int] = {}
+    sums: dict[int, tuple] = {}  # of numeric columns: sum, non-null count
+    pending = list(range(len(fields)))
+    while pending or not passes:
         passes += 1
-        aggs = [F.count(F.lit(1)).alias("_n")]
+        aggs = []
         if nan_columns is None:
-            aggs += [F.count_if(f"_isnan_{i}").alias(f"_nan{i}") for i in range(len(floating))]
-        for j, f in enumerate(fields):
-            alive = _alive([fields[d].name for d in sorted(drops) if d < j])
+            aggs = [F.count(F.lit(1)).alias("_n"), *[F.count_if(f"_isnan_{i}").alias(f"_nan{i}") for i in range(len(floating))]]
+        for j in pending:
+            f, alive = fields[j], _alive([fields[d].name for d in sorted(drops) if d < j])
             aggs.append(F.count_if(F.col(f.name).isNull() & alive).alias(f"_k{j}"))
             if j in numeric:
                 aggs.append(F.sum(F.when(alive, F.col(f.name).cast("double"))).alias(f"_s{j}"))
                 aggs.append(F.count(F.when(alive, F.col(f.name))).alias(f"_c{j}"))
         row = prepared.agg(*aggs).collect()[0]  # one row
-        n = row["_n"]
         if nan_columns is None:
+            n = row["_n"]
             nan_columns = frozenset(c for i, c in enumerate(floating) if row[f"_nan{i}"] > 0)
-        grown = drops | {j for j in range(len(fields)) if _below(row[f"_k{j}"], n, threshold_pct)}
-        if grown == drops:
-            break
-        drops = grown
+        for j in pending:
+            nulls[j] = row[f"_k{j}"]
+            if j in numeric:
+                sums[j] = (row[f"_s{j}"], row[f"_c{j}"])
+        new = {j for j in range(len(fields)) if _below(nulls[j], n, threshold_pct)} - drops
+        drops |= new
+        # a new drop changes only what stands behind it: null counts that are not 0, and sums
+        pending = [j for j in range(len(fields)) if any(d < j for d in new) and (nulls[j] or j in numeric)]
     decisions: list[ColumnDecision] = []
     mode_targets: list[tuple[str, list[str]]] = []
     means: dict[str, object] = {}
     for j, f in enumerate(fields):
-        mean = (row[f"_s{j}"] / row[f"_c{j}"] if row[f"_c{j}"] else None) if j in numeric else None
+        total, known = sums.get(j, (None, 0))
+        mean = total / known if known else None
         if mean is not None and math.isfinite(mean):
             means[f.name] = _mean_fill(mean, f.dataType)
-        d = _decide(f, j + 1, row[f"_k{j}"], n, j in drops, j in numeric, mean)
+        d = _decide(f, j + 1, nulls[j], n, j in drops, j in numeric, mean)
         decisions.append(d)
         if d.action == "fill_mode":
             mode_targets.append((f.name, [fields[x].name for x in sorted(drops) if x < j]))
