@@ -101,3 +101,35 @@ def test_random_texts_do_not_link(spark):
     rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(50)), "en", "s", 1) for i in range(300)]
     out = P.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), SF001)
     assert out.count() == 300 and out.filter(F.col("text").isNull()).count() == 0
+
+
+def test_unlike_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(1)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(50)) for _ in range(4)]
+    a, b, c, d = texts
+    rows = [(5, a), (5, b), (5, a), (6, b + " tail"), (7, c), (8, c), (9, d), (9, d), (9, None), (9, ""), (None, a), (None, a)]
+    out = P.drop_near_duplicates(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA), SF001)
+    want = Counter([(5, a), (5, b), (7, c), (9, d), (None, a), (None, a)])
+    got = Counter((r.doc_id, r.text) for r in out.collect() if r.text)
+    assert got == want and out.filter("doc_id = 9 AND coalesce(text, '') = ''").count() == 1  # null and empty are one text without words
+
+
+def test_large_components(spark):
+    from tripspark.llm import bsi_topk
+
+    def search(rows):
+        found = bsi_topk.search_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([-1, 1]) * 2.0 ** rng.uniform(0, 21) for _ in range(6)]) for i in range(120)] + [(150, [2.0**17] * 6), (200, [-(2.0**20)] * 6)]
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 50 == 0):
+        scores = sorted((-sum(x * y for x, y in zip(whole[q], whole[i], strict=True)), i) for i in whole if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    assert search(rows) == sorted(want)
+    assert search([(50, [2.0**29] * 2), (51, [2.0**16] * 2)]) == [(50, 1, 51, 2 * 2**37 * 2**24)]
+    for rows in ([(50, [2.0**60]), (51, [1.0])], [(50, [2.0**40]), (51, [2.0**40])]):
+        with pytest.raises(Exception, match="64 bits|too large|OverflowError"):
+            search(rows)

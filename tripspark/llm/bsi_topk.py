@@ -9,11 +9,12 @@ all scores at once. Selection goes from the most significant slice downward, kee
 among the best and those still on the boundary; what is left on the boundary at the end has equal scores, and the smallest ids
 are taken. Blocks give at most k rows a query, which are ranked over all blocks.
 
-The searches are stated queries against all rows: every chunk of queries meets every block of its dimension once,
-by a join on the block's number.
+The searches are stated queries against all rows: the queries are sent to the blocks of their dimension. A block goes to one task,
+or, where there are fewer blocks than tasks, to a few that share the queries, so the index is moved once whatever the number of queries.
 
-Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do those with a component
-beyond ``LARGEST`` in size (scores are 64-bit); vectors of different lengths don't meet; a row is never a result of a query with its
+Defined cases: vectors that are null, empty, or hold null or non-finite components take no part; sums have as many slices as they
+need, whatever the components, and a score that no 64-bit integer holds, or a component of 2**54 or more in size, is an error, not a
+missing row; vectors of different lengths don't meet; a row is never a result of a query with its
 own id; a repeated query is asked once, a repeated row is found as often as it occurs; ties go to the smaller id; an empty table gives
 an empty result; other columns are ignored.
 """
@@ -31,7 +32,7 @@ from tripspark.llm.graph import groups_of
 from tripspark.llm.storage import materialize
 
 QUANTUM = 256
-LARGEST = 2.0**17
+TOO_LARGE = 2.0**54
 TOP = 5
 BLOCK_ROWS = 32768
 CHUNK_QUERIES = 48
@@ -44,9 +45,11 @@ def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if vec_id is None or not x.is_valid or not len(x.values) or x.values.null_count:
                 continue
             v = x.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            if np.isfinite(v).all() and np.abs(v).max() < LARGEST:
+            if np.isfinite(v).all():
+                if np.abs(v).max() >= TOO_LARGE:
+                    raise ValueError(f"vector {vec_id} has a component of 2**54 or more in size: its scores are beyond 64 bits")
                 ids.append(vec_id)
-                vectors.append(np.floor(QUANTUM * v).astype(np.int32))
+                vectors.append(np.floor(QUANTUM * v).astype(np.int64))
         yield pa.record_batch(
             [pa.array(ids, pa.int64()), pa.array([len(v) for v in vectors], pa.int32()), pa.array([v.tobytes() for v in vectors], pa.binary())], ["vec_id", "dim", "vec"]
         )
@@ -142,10 +145,10 @@ class BlockIndex:
                 edge = edge & ~s
         rows, rest = _bits(sure), _bits(edge)
         rows = np.sort(np.concatenate((rows, rest[: k - len(rows)])))  # the boundary's scores are equal
-        total = np.full(len(rows), constant, np.int64)
+        total = np.full(len(rows), constant, object)  # k integers of any size
         for w, s in scores:
-            total += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << w
-        return self.ids[rows], total
+            total += ((s[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(object) << w
+        return self.ids[rows], total.astype(np.int64)  # an error where a score is beyond 64 bits
 
 
 def _bits(bitmap: np.ndarray) -> np.ndarray:
@@ -155,7 +158,7 @@ def _bits(bitmap: np.ndarray) -> np.ndarray:
 def _grouped_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in groups_of(batches, ["dim", "block"]):
         ids = table.column("vec_id").to_numpy()
-        values = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.int32).reshape(len(ids), -1).astype(np.int64)
+        values = np.frombuffer(b"".join(table.column("vec").to_pylist()), np.int64).reshape(len(ids), -1)
         base, bits, slices = slices_of(values)
         yield pa.record_batch(
             [pa.array([table.column("dim")[0].as_py()], pa.int32()), pa.array([table.column("block")[0].as_py()], pa.int64()), *[pa.array([x.tobytes()], pa.binary()) for x in (ids, base, bits, slices)]],
@@ -164,16 +167,21 @@ def _grouped_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _searcher(k: int):
+    """Rows by block: the block, then the queries sent to it."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = None
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i] for c in ("ids", "base", "bits", "slices")}
-                ids, base, bits = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("ids", "base", "bits"))
-                words = -(-len(ids) // 64)
-                index = BlockIndex(ids, base, bits, np.frombuffer(row["slices"].as_buffer(), np.uint64).reshape(-1, words))
+                if batch.column("kind")[i].as_py() == 0:
+                    row = {c: batch.column(c)[i] for c in ("ids", "base", "bits", "slices")}
+                    ids, base, bits = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("ids", "base", "bits"))
+                    words = -(-len(ids) // 64)
+                    index = BlockIndex(ids, base, bits, np.frombuffer(row["slices"].as_buffer(), np.uint64).reshape(-1, words))
+                    continue
                 out: list[tuple] = []
                 for q in batch.column("queries")[i].as_py():
-                    found, scores = index.search(q["vec_id"], np.frombuffer(q["vec"], np.int32).tolist(), k)
+                    found, scores = index.search(q["vec_id"], np.frombuffer(q["vec"], np.int64).tolist(), k)
                     out.append((np.full(len(found), q["vec_id"]), found, scores))
                 yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
@@ -199,12 +207,15 @@ def top_k(queries: DataFrame, index: DataFrame, n_queries: int, k: int = TOP) ->
     """Quantised queries against an index: ``query_id, rank, vec_id, score``."""
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(1, -(-n_queries // CHUNK_QUERIES))
+    places = index.groupBy("dim").agg(F.collect_set("block").alias("blocks"))  # as many numbers as blocks
+    sharing = max(1, min(chunks, parts // max(1, index.count())))  # tasks that share a block's queries
     asked = queries.withColumn("chunk", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(chunks))).groupBy("dim", "chunk")
     asked = asked.agg(F.collect_list(F.struct("vec_id", "vec")).alias("queries"))
-    places = index.groupBy("dim").agg(F.collect_set("block").alias("blocks"))  # as many numbers as blocks
-    met = asked.join(places, "dim").select("dim", F.explode("blocks").alias("block"), "chunk", "queries").join(index, ["dim", "block"])
-    met = met.repartition(parts, "block", "chunk").select("queries", "ids", "base", "bits", "slices")
-    found = met.mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
+    sent = asked.join(places, "dim").select("dim", F.explode("blocks").alias("block"), F.pmod("chunk", F.lit(sharing)).alias("share"), F.lit(1).alias("kind"), "queries")
+    shares = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(sharing - 1).cast("long"))).alias("share")
+    blocks = index.select("dim", "block", shares, F.lit(0).alias("kind"), "ids", "base", "bits", "slices")
+    met = blocks.unionByName(sent, allowMissingColumns=True).repartition(parts, "dim", "block", "share").sortWithinPartitions("dim", "block", "share", "kind")
+    found = met.select("kind", "queries", "ids", "base", "bits", "slices").mapInArrow(_searcher(k), "query_id long, vec_id long, score long")
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
