@@ -166,7 +166,7 @@ ORACLE: dict[str, str] = {
         idf AS (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM df, n),
         sides AS (
           SELECT license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS tw FROM tpl JOIN idf USING (term)
-        ), likely AS (SELECT DISTINCT id, unit FROM tf JOIN idf USING (term), n WHERE df <= 0.2 * n),
+        ), likely AS (SELECT DISTINCT id, unit FROM tf JOIN idf USING (term)),
         weighed AS (
           SELECT id, unit, term, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS w FROM tf JOIN likely USING (id, unit) LEFT JOIN idf USING (term), n
         ), lengths AS (SELECT id, unit, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
