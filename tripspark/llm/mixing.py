@@ -1,7 +1,7 @@
 """Mixing sources to target weights, with DataFrame expressions only.
 
-The words of every source form one stream (documents in a pseudorandom order), cut into blocks of
-``block_words`` words. The mix is a sequence of slots in output shards of ``shard_slots`` slots. A shard
+The words of every source form one stream (documents in a pseudorandom order, in chunks), cut into blocks of
+``block_words`` words; the last block of a chunk may be shorter, so that no block spans two chunks. The mix is a sequence of slots in output shards of ``shard_slots`` slots. A shard
 gives each source the whole part of its expected slots and draws the remaining ones from a multinomial
 over the fractional parts, so the draws are random while every source stays near its target. The slots
 of a source are numbered over all shards; pass ``q div n`` and position ``q mod n`` of slot q go through a
@@ -9,8 +9,9 @@ pseudorandom permutation of the source's n blocks (swap-or-not rounds, another o
 the resulting index is joined with the blocks. A block is used at most once in a pass and at most
 ``max_repeats`` times, so no document exceeds ``max_repeats`` times its size.
 
-Positions in a stream are prefix sums in two levels (chunks of about ``CHUNK_DOCS`` documents, then sums
-of chunks), so a hot source is never ordered in one task. Randomness comes from hashes of
+Positions in a stream are prefix sums in two levels (chunks of about ``CHUNK_DOCS`` documents, then the blocks
+of chunks), so a hot source is never ordered in one task. Texts are shuffled once, by chunk: they are ordered, cut into blocks and
+joined with the slots where they are, and the slots are sent to the chunks. Randomness comes from hashes of
 ``(seed, shard, draw)`` and ``(seed, source, pass, round)``: reruns and recomputed tasks agree.
 
 Defined cases: null or blank text has size 0 and is taken 0 times; a null source is a source of its own,
@@ -20,7 +21,10 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripspark.llm.storage import materialize
@@ -32,6 +36,7 @@ MAX_REPEATS = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 CHUNK_DOCS = 2048
+BROADCAST_SOURCES = 100_000
 ROUNDS = 12
 GRID = 1024  # cells in which a uniform draw looks up its source
 SEED = 20240601
@@ -90,13 +95,12 @@ def _each_shard(rows: DataFrame, partitions: int) -> DataFrame:
     return runs.repartition(partitions, "_run", "kind").withColumn("shard", F.explode(F.sequence(F.col("_run"), ends)))
 
 
-def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """``source_targets`` -> the mix: ``(shard, sid, q, block)``, one row per slot."""
+def slots(targets: DataFrame, shard_slots: int = SHARD_SLOTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
+    """``with_blocks`` -> the mix: ``(shard, sid, q, block)``, one row per slot."""
     one = Window.partitionBy()
-    blocks = F.ceil(F.col("source_size") / block_words)
     plan = (
         targets.filter("source_size > 0")
-        .select("sid", blocks.alias("n_blocks"), (blocks * F.col("target") / F.col("source_size")).alias("draws"))
+        .select("sid", "n_blocks", (F.col("n_blocks") * F.col("target") / F.col("source_size")).alias("draws"))
         .withColumn("n_slots", F.round(F.sum("draws").over(one)).cast("long"))
         .withColumn("share", F.col("draws") / F.sum("draws").over(one))
         .withColumn("n_shards", F.ceil(F.col("n_slots") / shard_slots))
@@ -142,20 +146,38 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     return each.select("shard", "sid", "q", block.alias("block"))
 
 
-def positions(sizes: DataFrame, targets: DataFrame, seed: int = SEED, ties: tuple[str, ...] = ()) -> DataFrame:
-    """Each document's place in the stream of its source: ``sid, chunk, ord`` (its key), ``start`` and the columns of
-    ``sizes``, with ``source_size`` and ``target``. Documents of equal id and size are in order of ``ties``."""
+def _with_chunk(rows: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """``(doc_id, source, ...)`` with what is known of its source, and its chunk."""
     known = targets.withColumnRenamed("source", "_source")
+    if known.count() <= BROADCAST_SOURCES:  # beyond, rows meet their source by a shuffle
+        known = F.broadcast(known)
     chunk = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.ceil(F.col("n_docs") / CHUNK_DOCS))
-    placed = sizes.join(known, sizes["source"].eqNullSafe(known["_source"])).drop("_source").withColumn("chunk", chunk)
-    sums = placed.groupBy("sid", "chunk").agg(F.sum("size").alias("chunk_size"))
+    return rows.join(known, rows["source"].eqNullSafe(known["_source"])).drop("_source").withColumn("chunk", chunk).drop("n_docs")
+
+
+def chunk_blocks(sizes: DataFrame, targets: DataFrame, block_words: int, seed: int) -> DataFrame:
+    """A row per chunk: ``sid, chunk, first`` (its first block in the source) and ``blocks`` (their number)."""
+    sums = _with_chunk(sizes, targets, seed).groupBy("sid", "chunk").agg(F.ceil(F.sum("size") / block_words).alias("blocks"))
     up_to = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("sid", "chunk", F.coalesce(F.sum("chunk_size").over(up_to), F.lit(0).cast("long")).alias("base"))
+    return materialize(sums.select("sid", "chunk", "blocks", F.coalesce(F.sum("blocks").over(up_to), F.lit(0).cast("long")).alias("first")), "mix-chunks")
+
+
+def with_blocks(targets: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``source_targets`` with ``n_blocks``."""
+    return targets.join(chunks.groupBy("sid").agg(F.sum("blocks").alias("n_blocks")), "sid")
+
+
+def positions(rows: DataFrame, targets: DataFrame, chunks: DataFrame, block_words: int, seed: int = SEED, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Each document's place in the stream of its source: ``sid, chunk, ord`` (its key), ``start`` and the columns of
+    ``rows`` (doc_id, source, size and more), with ``source_size`` and ``target``. Documents of equal id and size are in order of ``ties``."""
     in_chunk = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size", *ties)
-    inner = placed.withColumn("ord", F.row_number().over(in_chunk)).withColumn(
-        "inner", F.sum("size").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inner = (
+        _with_chunk(rows, targets, seed)
+        .withColumn("ord", F.row_number().over(in_chunk))
+        .withColumn("inner", F.sum("size").over(in_chunk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     )
-    return inner.join(bases, ["sid", "chunk"]).withColumn("start", F.col("base") + F.col("inner")).drop("base", "inner", "n_docs")
+    bases = chunks.select("sid", "chunk", (F.col("first") * block_words).alias("base"))
+    return inner.join(bases, ["sid", "chunk"]).withColumn("start", F.col("base") + F.col("inner")).drop("base", "inner")
 
 
 def _pieces(placed: DataFrame, block_words: int) -> DataFrame:
@@ -174,8 +196,9 @@ def mixed_counts(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: i
     """``(doc_id, text, source)`` -> a row per document: ``doc_id, size, source_size, target, taken``."""
     sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets")
-    placed = positions(sizes, targets, seed)
-    uses = slots(targets, block_words, shard_slots, max_repeats, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
+    chunks = chunk_blocks(sizes, targets, block_words, seed)
+    placed = positions(sizes, targets, chunks, block_words, seed)
+    uses = slots(with_blocks(targets, chunks), shard_slots, max_repeats, seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("uses"))
     key = ["sid", "chunk", "ord"]
     taken = _pieces(placed.select(*key, "start", "size"), block_words).join(uses, ["sid", "block"]).groupBy(key).agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
     return placed.join(taken, key, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -187,12 +210,9 @@ def _row_keys() -> list[Column]:
     return [F.xxhash64(F.lit(i), *columns).alias(k) for i, k in enumerate(("k1", "k2"))]
 
 
-def _word_blocks(docs: DataFrame, placed: DataFrame, block_words: int) -> DataFrame:
-    """``(sid, block)`` -> ``parts``: of each document in the block its key, id, number of words and these words, in stream order. Texts
-    meet their places by row keys (equal rows have one text and several places), and leave as slices of a block's size, each one string."""
-    places = placed.filter("size > 0").groupBy("k1", "k2").agg(F.collect_list(F.struct("sid", "chunk", "ord", "doc_id", "start", "size")).alias("places"))
-    texts = docs.filter(word_count(F.col("text")) > 0).select(*_row_keys(), "text").dropDuplicates(["k1", "k2"])
-    found = texts.join(places, ["k1", "k2"]).select("text", F.explode("places").alias("p")).select("text", "p.*")
+def _word_blocks(placed: DataFrame, block_words: int) -> DataFrame:
+    """``positions`` with texts -> ``(sid, chunk, block)`` and ``parts``: of each document in the block its key, id, number of words and these
+    words, in stream order. Texts leave as slices of a block's size, each one string, and stay in the task of their chunk."""
     start, end = F.col("start"), F.col("start") + F.col("size")
     words = F.filter(F.split("text", SPACE, -1), lambda w: w != "")
 
@@ -201,25 +221,45 @@ def _word_blocks(docs: DataFrame, placed: DataFrame, block_words: int) -> DataFr
         n = F.least((block + 1) * block_words, end) - at
         return F.struct(
             block.alias("block"),
-            F.struct(at.alias("at"), F.col("chunk"), F.col("ord"), F.col("doc_id"), n.alias("words"), F.array_join(F.slice(tokens, (at - start + 1).cast("int"), n.cast("int")), " ").alias("text")).alias("part"),
+            F.struct(at.alias("at"), F.col("ord"), F.col("doc_id"), n.alias("words"), F.array_join(F.slice(tokens, (at - start + 1).cast("int"), n.cast("int")), " ").alias("text")).alias("part"),
         )
 
     numbers = F.sequence(F.floor(start / block_words), F.floor((end - 1) / block_words))
     # the outer array binds the words, which are split once for all slices
     pieces = F.transform(F.array(words), lambda tokens: F.transform(numbers, lambda block: part(tokens, block)))[0]
-    return found.select("sid", F.inline(pieces)).groupBy("sid", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    cut = placed.filter("size > 0").select("sid", "chunk", F.inline(pieces))
+    return cut.groupBy("sid", "chunk", "block").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+
+
+@contextmanager
+def _partitioned_by_some_keys(spark: SparkSession) -> Iterator[None]:
+    """Joins may keep a side where it is when it is partitioned by some of the join's keys."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _mix(docs: DataFrame, block_words: int, shard_slots: int, weights: tuple[float, ...], max_repeats: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """``positions`` of all documents, and the mix: ``shard, sid, q, block, parts`` (key, id and number of words of each document), ``tokens``."""
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *_row_keys()), "mix-sizes")
+    """``positions`` of all documents, and the mix, written: ``shard, sid, q, block, parts`` (key, id and number of words of each document), ``tokens``."""
+    size, ties = word_count(F.col("text")).alias("size"), ("k1", "k2")
+    sizes = materialize(docs.select("doc_id", "source", size, *_row_keys()), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets")
-    placed = positions(sizes, targets, seed, ("k1", "k2"))
-    blocks = _word_blocks(docs, placed, block_words)
-    mix = slots(targets, block_words, shard_slots, max_repeats, seed).join(blocks, ["sid", "block"])
-    parts = F.transform("parts", lambda p: F.struct(p["chunk"].alias("chunk"), p["ord"].alias("ord"), p["doc_id"].alias("doc_id"), p["words"].alias("words")))
+    chunks = chunk_blocks(sizes, targets, block_words, seed)
+    placed = positions(sizes, targets, chunks, block_words, seed, ties)
+    texts = docs.select("doc_id", "source", size, *_row_keys(), "text").withColumn("text", F.when(F.col("size") > 0, F.col("text")))
+    blocks = _word_blocks(positions(texts, targets, chunks, block_words, seed, ties), block_words)
+    numbers = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("block")
+    chunk_of = chunks.filter("blocks > 0").select("sid", "chunk", numbers)
+    sent = slots(with_blocks(targets, chunks), shard_slots, max_repeats, seed).join(chunk_of, ["sid", "block"]).repartition("sid", "chunk")
+    mix = sent.join(blocks, ["sid", "chunk", "block"])
+    parts = F.transform("parts", lambda p: F.struct(F.col("chunk").alias("chunk"), p["ord"].alias("ord"), p["doc_id"].alias("doc_id"), p["words"].alias("words")))
     tokens = F.split(F.array_join(F.transform("parts", lambda p: p["text"]), " "), " ", -1)
-    return placed, mix.select("shard", "sid", "q", "block", parts.alias("parts"), tokens.alias("tokens"))
+    with _partitioned_by_some_keys(docs.sparkSession):
+        return placed, materialize(mix.select("shard", "sid", "q", "block", parts.alias("parts"), tokens.alias("tokens")), "mix-blocks", compression="zstd")
 
 
 def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
@@ -230,7 +270,6 @@ def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: i
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
     """Write the mix to the shared folder and read it back -> a row per document as ``mixed_counts`` has it, ``taken`` from the mix's blocks."""
     placed, mix = _mix(docs, block_words, shard_slots, weights, max_repeats, seed)
-    mix = materialize(mix, "mix-blocks", compression="zstd")
     key = ["sid", "chunk", "ord"]
     taken = mix.select("sid", F.inline("parts")).groupBy(key).agg(F.sum("words").alias("taken"))
     return placed.join(taken, key, "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
