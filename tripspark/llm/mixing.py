@@ -254,7 +254,8 @@ def _mix(docs: DataFrame, block_words: int, shard_slots: int, weights: tuple[flo
     blocks = _word_blocks(positions(texts, targets, chunks, block_words, seed, ties), block_words)
     numbers = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("block")
     chunk_of = chunks.filter("blocks > 0").select("sid", "chunk", numbers)
-    sent = slots(with_blocks(targets, chunks), shard_slots, max_repeats, seed).join(chunk_of, ["sid", "block"]).repartition("sid", "chunk")
+    # merge: a row per block comes from a small table, whose size says nothing of them
+    sent = slots(with_blocks(targets, chunks), shard_slots, max_repeats, seed).join(chunk_of.hint("merge"), ["sid", "block"]).repartition("sid", "chunk")
     mix = sent.join(blocks, ["sid", "chunk", "block"])
     parts = F.transform("parts", lambda p: F.struct(F.col("chunk").alias("chunk"), p["ord"].alias("ord"), p["doc_id"].alias("doc_id"), p["words"].alias("words")))
     tokens = F.split(F.array_join(F.transform("parts", lambda p: p["text"]), " "), " ", -1)
