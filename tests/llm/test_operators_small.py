@@ -624,3 +624,34 @@ def test_samples_follow_the_lattice():
         assert abs(seen[path] / n - share) < 4 * math.sqrt(share / n) + 1e-3
     (ids,) = piece_lattice.encode_texts(sampler, ["b"], [1])
     assert ids.tolist() == [6, 1]
+
+
+def test_very_long_texts_and_units(monkeypatch):
+    """Runs of units give the draws of the whole; a unit in windows has the shares of its lattice; 16 MB, and 4 MB without a space, stay small."""
+    import resource
+    import time
+
+    vocabulary = piece_lattice.Vocabulary(*piece_lattice.load_pieces(PIECES))
+    sampler = piece_lattice.Sampler(vocabulary)
+    rng = random.Random(4)
+    text = "".join(rng.choice(["the ", "  a", "\n", " é世", "ing", " re", "x"]) for _ in range(4000))
+    whole = piece_lattice.encode_texts(sampler, [text], [77])[0]
+    monkeypatch.setattr(piece_lattice, "RUN_CHARS", 500)
+    assert (piece_lattice.encode_texts(piece_lattice.Sampler(vocabulary), [text, text[:40]], [77, 5])[0] == whole).all()
+    monkeypatch.undo()
+    unit = " thererethinging"
+    monkeypatch.setattr(piece_lattice, "WINDOW", 5)
+    n = 4000
+    keys = piece_lattice.mixed(np.arange(n, dtype=np.uint64))
+    windows = Counter(tuple(sampler.sample_long(unit, k).tolist()) for k in keys)
+    ids, count = sampler.sample([unit] * n, keys)
+    direct = Counter(tuple(x.tolist()) for x in np.split(ids, np.cumsum(count)[:-1]))
+    for path, m in direct.most_common(5):
+        assert abs(windows[path] - m) < 5 * math.sqrt(2 * m) + 5
+    monkeypatch.undo()
+    for t in (" ".join(f"w{rng.randrange(10**6)}" for _ in range(2_000_000)), "".join(rng.choice("abcdeé") for _ in range(4_000_000))):
+        before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+        found = piece_lattice.encode_texts(piece_lattice.Sampler(vocabulary), [t, "short"], [3, 4])
+        assert piece_lattice.decode_ids(vocabulary, found[0]) == t and piece_lattice.decode_ids(vocabulary, found[1]) == "short"
+        print(len(t), round(time.time() - start, 1), "s", (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10, "MB more")
+        assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20

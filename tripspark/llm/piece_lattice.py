@@ -12,13 +12,15 @@ No piece crosses the start of a run of spaces or a line break, so the lattice fa
 which are all sampled together, a step at a time, in numpy.
 
 Defined cases: null text has null ids, and empty text none; a null key is a key of its own; repeated rows get equal
-segmentations; long texts are sampled whole, in runs of units; an empty table gives an empty result; all columns of the input are kept,
+segmentations; long texts are sampled whole, in runs of units of about ``RUN_CHARS`` characters, and units longer than ``LONG_UNIT`` in windows
+(the weights into all positions are kept, the pieces of one window at a time are laid out again for the way back); an empty table gives an empty result; all columns of the input are kept,
 except that a column named like an output is replaced.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections.abc import Iterator
 
@@ -36,8 +38,12 @@ SEED = 20240607
 MAX_UNITS = 250_000  # kept by a worker, over its tasks
 MAX_ARCS = 6_000_000
 RUN_CHARS = 1_000_000  # of text sampled together
+LONG_UNIT = 10_000  # characters; beyond, a unit is filtered and sampled in windows
+WINDOW = 1 << 15
+SMALL = 1e-100
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 UNIT = re.compile(r" *[^ \n]+| +|\n")
+BORDER = re.compile(r"(?<! ) |\n")  # a unit starts here
 
 
 def load_pieces(model_file: str) -> tuple[list[str], list[int]]:
@@ -90,6 +96,7 @@ class Vocabulary:
         for (n, c), to in edges.items():
             if n == 0:
                 self.first[c] = to
+        self.longest = max(map(len, words), default=1)
         self.piece_at = np.array(piece_at)
         self.weight = -sharpness * np.log(np.arange(len(pieces)) + 2.0)
         self.size = len(pieces)
@@ -236,6 +243,66 @@ class Sampler:
             out[last[which] - 1 - k] = piece
         return self._bytes(out, last, count)
 
+    def _window(self, points: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The arcs that end in (a, b] of one long unit: start, end, piece and log weight, by end."""
+        origin = max(0, a - self.v.longest)
+        part = points[origin:b]
+        start, end, piece = self.v.arcs(part, len(part) - np.arange(len(part)))
+        start, end = start + origin, end + origin
+        inside = end > a
+        start, end, piece = start[inside], end[inside], piece[inside]
+        order = np.argsort(end, kind="stable")
+        start, end, piece = start[order], end[order], piece[order]
+        code = np.maximum(piece - self.v.size, 0)
+        n_bytes = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        weight = np.where(piece < self.v.size, self.v.weight[np.minimum(piece, self.v.size - 1)], n_bytes * self.v.weight[-1])
+        return start, end, piece, weight
+
+    def sample_long(self, unit: str, key: np.uint64) -> np.ndarray:
+        """Piece ids of one long unit. The draw of a step is a hash of the unit's key and the step's number."""
+        points = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = len(points)
+        total = np.zeros(n + 1)  # log of the summed weight of the paths into a position
+        for a in range(0, n, WINDOW):
+            b = min(a + WINDOW, n)
+            start, end, _, weight = self._window(points, a, b)
+            origin, offset = max(0, a - self.v.longest), total[a]
+            into = np.exp(total[origin : a + 1] - offset).tolist()
+            arcs = zip((start - origin).tolist(), np.exp(weight).tolist(), strict=True)
+            logs = []
+            for many in np.bincount(end - a - 1, minlength=b - a).tolist():
+                whole = sum(into[s] * w for s, w in itertools.islice(arcs, many))
+                into.append(whole)
+                logs.append(math.log(whole) + offset)
+                if whole < SMALL:  # keep the recent ones in range
+                    into[-self.v.longest :] = [x / SMALL for x in into[-self.v.longest :]]
+                    offset += math.log(SMALL)
+            total[a + 1 : b + 1] = logs
+        out: list[int] = []
+        draws, drawn = [], 0
+        at = n
+        for a in range((n - 1) // WINDOW * WINDOW, -1, -WINDOW):
+            start, end, piece, weight = self._window(points, a, min(a + WINDOW, n))
+            share = np.exp(total[start] + weight - total[end])
+            order = np.lexsort((-share, end))  # the larger shares first
+            first = np.concatenate(([0], np.cumsum(np.bincount(end - a - 1, minlength=min(a + WINDOW, n) - a)))).tolist()
+            starts, pieces, shares = start[order].tolist(), piece[order].tolist(), share[order].tolist()
+            while at > a:
+                if not draws:
+                    steps = np.arange(drawn, drawn + WINDOW, dtype=np.uint64)
+                    draws = ((mixed(key + steps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) / 2.0**53).tolist()[::-1]
+                    drawn += WINDOW
+                u = draws.pop()
+                arc, last = first[at - a - 1], first[at - a] - 1
+                u -= shares[arc]
+                while u >= 0 and arc < last:
+                    arc += 1
+                    u -= shares[arc]
+                out.append(pieces[arc])
+                at = starts[arc]
+        ids = np.array(out[::-1], np.int32)
+        return self._bytes(ids, np.array([len(ids)]), np.array([len(ids)]))[0]
+
     def _bytes(self, out: np.ndarray, last: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte pieces in place of the characters that have no piece."""
         raw = np.flatnonzero(out >= self.v.size)
@@ -252,24 +319,50 @@ class Sampler:
         return wide, upto[last] - upto[last - count]
 
 
+def _salts(key: int, first: int, n: int) -> np.ndarray:
+    """A number for each of a row's units from ``first`` on."""
+    return np.uint64(key) + np.arange(first, first + n, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+
+
+def _encode_long(sampler: Sampler, text: str, key: int) -> np.ndarray:
+    """The ids of one text with the draws that ``encode_texts`` makes, in runs of units, long units by themselves."""
+    text, number, out = " " + text, 0, []
+    at = 0
+    while at < len(text):
+        border = BORDER.search(text, at + RUN_CHARS) if len(text) - at > RUN_CHARS else None
+        stop = border.start() if border else len(text)
+        units = UNIT.findall(text, at, stop)
+        at = stop
+        for is_long, run in itertools.groupby(units, lambda u: len(u) > LONG_UNIT):
+            run = list(run)
+            keys = mixed(_salts(key, number, len(run)))
+            number += len(run)
+            out += [sampler.sample_long(u, k) for u, k in zip(run, keys, strict=True)] if is_long else [sampler.sample(run, keys)[0]]
+    return np.concatenate(out).astype(np.int32)
+
+
 def encode_texts(sampler: Sampler, texts: list[str], keys: list[int]) -> list[np.ndarray]:
     """The sampled ids of each text."""
-    units, owner, salt = [], [], []
-    for text, key in zip(texts, keys, strict=True):
-        own = UNIT.findall(" " + text) if text else []
+    units, owner, salt, alone = [], [], [], {}
+    for i, (text, key) in enumerate(zip(texts, keys, strict=True)):
+        own = UNIT.findall(" " + text) if text and len(text) <= RUN_CHARS else []
+        if text and (not own or (len(text) > LONG_UNIT and max(map(len, own)) > LONG_UNIT)):
+            own, alone[i] = [], _encode_long(sampler, text, key)
         units += own
         owner.append(len(own))
-        salt.append(np.uint64(key) + np.arange(len(own), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+        salt.append(_salts(key, 0, len(own)))
     if not units:
-        return [np.empty(0, np.int32) for _ in texts]
+        return [alone.get(i, np.empty(0, np.int32)) for i in range(len(texts))]
     ids, count = sampler.sample(units, mixed(np.concatenate(salt)))
     upto = np.concatenate(([0], np.cumsum(count)))[np.concatenate(([0], np.cumsum(owner)))]
-    return np.split(ids.astype(np.int32), upto[1:-1])
+    found = np.split(ids.astype(np.int32), upto[1:-1])
+    return [alone.get(i, ids) for i, ids in enumerate(found)] if alone else found
 
 
 def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> str:
     """The text of which ``ids`` are any segmentation."""
-    return b"".join(map(vocabulary.bytes_of.__getitem__, ids.tolist()))[1:].decode("utf-8")
+    runs = (ids[i : i + RUN_CHARS].tolist() for i in range(0, len(ids), RUN_CHARS))
+    return b"".join(b"".join(map(vocabulary.bytes_of.__getitem__, run)) for run in runs)[1:].decode("utf-8")
 
 
 def _mapped(df: DataFrame, pieces: tuple[list[str], list[int]], outputs: str, run, sharpness: float) -> DataFrame:
