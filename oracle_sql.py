@@ -94,6 +94,9 @@ OUTLIER_RULES = [
 OUTLIER_WHERE = " AND ".join(p for _, p in OUTLIER_RULES)
 
 
+MODE_GAPS = ("tpep_dropoff_datetime", "fare_amount", "payment_type")
+
+
 def _mode(col: str, src: str = "trips") -> str:
     return f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
 
@@ -278,6 +281,10 @@ def queries_sql() -> dict[str, str]:
            coalesce(Airport_fee, {_mode('Airport_fee')}) AS Airport_fee,
            coalesce(cbd_congestion_fee, {_mode('cbd_congestion_fee')}) AS cbd_congestion_fee
     FROM trips""",
+        "impute_mode_unique": t
+        + f""", gaps AS (
+            SELECT tpep_pickup_datetime, {", ".join(f"CASE WHEN day(tpep_pickup_datetime) % 3 <> 0 THEN {c} END AS {c}" for c in MODE_GAPS)} FROM trips)
+           SELECT tpep_pickup_datetime, {", ".join(f"coalesce({c}, {_mode(c, 'gaps')}) AS {c}" for c in MODE_GAPS)} FROM gaps""",
         "impute_policy": f"WITH {TRIPS},\n{IMPUTED}\nSELECT * FROM imputed",
         "impute_policy_order": """WITH v AS (
             SELECT CASE WHEN event_id % 30 <> 0 THEN CAST(event_id % 2 + 1 AS INTEGER) END AS VendorID, ts AS tpep_pickup_datetime,
@@ -368,6 +375,10 @@ def queries_sql() -> dict[str, str]:
         "round(regr_intercept(duration_minutes, trip_distance), 6) AS intercept, round(regr_r2(duration_minutes, trip_distance), 6) AS r2 FROM silver"
     )
     out["model_roundtrip_equal"] = s + "SELECT count(*) AS n, count(*) AS n_equal FROM silver WHERE split_bucket >= 70"
+    out["tree_routes_equal"] = s + (
+        "SELECT model, count(*) AS n, count(*) AS n_equal FROM silver, (VALUES ('gbt'), ('rf')) AS m(model) WHERE split_bucket >= 70 GROUP BY model"
+    )
+    out["first_tree_leaves"] = s + "SELECT count(*) AS n_rows, count(*) AS n_counted, true AS all_equal FROM silver WHERE split_bucket < 70"
     out["score_requests_flags"] = t + (
         f"SELECT {inputs}, duration_minutes, coalesce({valid}, false) AS payload_valid, {present} AS has_prediction FROM ({features('trips')})"
     )

@@ -11,7 +11,7 @@ from tripspark.operators.aggregates import avg_duration_for_hour
 from tripspark.operators.correlation import correlation_long
 from tripspark.schema import TRIP_VIEW_SCHEMA, SchemaMismatch, normalize_names, validate
 from tripspark.sources import jdbc
-from tripspark.sources.parquet import land_bronze, read_table, table_counts
+from tripspark.sources.parquet import check_files, land_bronze, read_table, table_counts
 
 
 def _plan(df):
@@ -158,3 +158,31 @@ def test_every_shuffle_is_fed_by_a_map_side_aggregate(spark):
     ):
         children = _exchange_children(df._jdf.queryExecution().executedPlan().toString())
         assert children and all("HashAggregate" in c for c in children), children
+
+
+def test_footers_of_2000_files_are_read_in_one_job(spark, tmp_path):
+    import shutil
+
+    one, raw = str(tmp_path / "one"), tmp_path / "raw dir"
+    t = trips(spark, SF001).limit(5)
+    t.coalesce(1).write.parquet(one)
+    (part,) = (tmp_path / "one").glob("part-*.parquet")
+    raw.mkdir()
+    for i in range(2000):
+        shutil.copyfile(part, raw / f"file-{i:04}.parquet")
+    files = spark.read.schema(TRIP_VIEW_SCHEMA).parquet(str(raw)).inputFiles()
+    assert len(files) == 2000
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        check_files(spark, files, TRIP_VIEW_SCHEMA)
+        assert len(tracker.getJobIdsForGroup("footers")) <= 3  # the footers (a stage to group them is a job under AQE)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    drifted = str(tmp_path / "drifted")
+    t.withColumn("VendorID", F.col("VendorID").cast("string")).coalesce(1).write.parquet(drifted)
+    (odd,) = (tmp_path / "drifted").glob("part-*.parquet")
+    for name in ("odd-1.parquet", "odd-2.parquet"):
+        shutil.copyfile(odd, raw / name)
+    with pytest.raises(SchemaMismatch, match="odd-1.parquet \\(and 1 files like it\\): missing \\[\\], mistyped.*VendorID"):
+        read_table(spark, str(raw), TRIP_VIEW_SCHEMA)

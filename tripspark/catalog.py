@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tripspark.config import app_key, run_path
 from tripspark.functions.trip import encode_flag, from_log_target, last_path_segment, to_log_target
-from tripspark.operators import aggregates, dedup, ml, nulls, profile
+from tripspark.operators import aggregates, dedup, ml, nulls, profile, tree_check
 from tripspark.operators.correlation import correlation_long, correlation_wide
 from tripspark.operators.filters import filter_outliers, reject_reasons
 from tripspark.operators.histogram import approx_quantiles, histogram
@@ -215,6 +215,14 @@ def q_impute_mode(spark, sf_dir):
     return nulls.fill_mode(trips(spark, sf_dir))
 
 
+def q_impute_mode_unique(spark, sf_dir):
+    """N4, O1 on nearly unique columns: trips whose dropoff time, fare and payment type lack on every third day of the month; the gaps
+    take each column's mode."""
+    known = F.dayofmonth("tpep_pickup_datetime") % 3 != 0
+    gaps = {c: F.when(known, F.col(c)) for c in ("tpep_dropoff_datetime", "fare_amount", "payment_type")}
+    return nulls.fill_mode(trips(spark, sf_dir).withColumns(gaps).select("tpep_pickup_datetime", *gaps))
+
+
 def q_impute_policy(spark, sf_dir):
     return nulls.apply_null_policy(trips(spark, sf_dir))
 
@@ -462,6 +470,24 @@ def q_model_roundtrip(spark, sf_dir):
     )
 
 
+def q_tree_routes_equal(spark, sf_dir):
+    """M2, M4, M5: test rows routed through the saved node tables of the boosted trees and of the forest, and how many get the model's prediction."""
+    out = []
+    for kind in ("gbt", "rf"):
+        _, path = saved_model(spark, sf_dir, kind)
+        trees = tree_check.read_trees(spark, path)
+        out.append(tree_check.compare_routes(trained(spark, sf_dir, kind).predictions, trees, mean=kind == "rf").withColumn("model", F.lit(kind)))
+    return out[0].unionByName(out[1])
+
+
+def q_first_tree_leaves(spark, sf_dir):
+    """M2: the first boosted tree's leaves: training rows by their routes and by the model's count, and whether each value is its rows' mean label."""
+    _, path = saved_model(spark, sf_dir, "gbt")
+    leaves = tree_check.first_tree_leaves(trained(spark, sf_dir, "gbt").train, tree_check.read_trees(spark, path), LOG_LABEL)
+    ok = tree_check.same("value", "mean_label") & (F.col("n") == F.col("counted"))
+    return leaves.agg(F.sum("n").alias("n_rows"), F.sum("counted").alias("n_counted"), F.every(F.coalesce(ok, F.lit(False))).alias("all_equal"))
+
+
 def q_prediction_sample(spark, sf_dir):
     p = trained(spark, sf_dir, "gbt").predictions
     return p.select(
@@ -691,6 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_sparse_nulls": q_drop_sparse_nulls,
     "impute_mean": q_impute_mean,
     "impute_mode": q_impute_mode,
+    "impute_mode_unique": q_impute_mode_unique,
     "impute_policy": q_impute_policy,
     "impute_policy_order": q_impute_policy_order,
     "dedup_rows": q_dedup_rows,
@@ -724,6 +751,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linear_fit_distance": q_linear_fit_distance,
     "model_roundtrip_equal": q_model_roundtrip_equal,
     "prediction_sample": q_prediction_sample,
+    "tree_routes_equal": q_tree_routes_equal,
+    "first_tree_leaves": q_first_tree_leaves,
     "score_batch": q_score_batch,
     "prediction_log": q_prediction_log,
     "score_requests_flags": q_score_requests_flags,

@@ -9,8 +9,8 @@ frame (cast to the column type, so integer columns truncate), other columns with
 Plan, instead of 1 + m counts and one job per fill:
   1. one aggregate of every column's null count, sum, non-null count and NaN count over the rows alive under the
      drops found so far, repeated for the columns behind a new drop (one row per pass; typically one or two passes).
-  2. one more job, only if some non-numeric column needs a mode (all such columns together,
-     via GROUPING SETS, each counting only rows alive at its step).
+  2. only if some non-numeric column needs a mode: a summary of every such column's frequent values, then the exact counts of
+     the values that can be the mode (all columns together, each counting only rows alive at its step).
   3. apply as one filter + one projection: a narrow stage, no shuffle.
 The column-by-column loop (``plan_null_policy_sequential``) is the reference semantics for tests.
 """
@@ -154,20 +154,13 @@ def _alive(drop_columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drop_columns])
 
 
-def column_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[str, str | None]:
-    """Mode of each target column over the rows alive at its step, in one job.
-
-    ``targets``: (column, drop columns applied before it). Nulls are not a candidate; ties go
-    to the smallest value. Returns the value in Spark's string form (None if no value).
-    Implementation: GROUPING SETS over the target columns -> per (column, value) counts of
-    alive rows -> a global min over struct(-count, value): every step is a bounded aggregate.
-    """
-    if not targets:
-        return {}
+def _exact_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[str, tuple[str | None, int]]:
+    """Mode of each target column and its count, from the counts of all values of ``df``'s columns: GROUPING SETS over the
+    target columns, then a global min over struct(-count, value)."""
     cols = [c for c, _ in targets]
     grouped = df.groupingSets([[c] for c in cols], *cols).agg(
         *[F.grouping(c).alias(f"_g{i}") for i, c in enumerate(cols)],
-        *[F.count_if(_alive(drops)).alias(f"_c{i}") for i, (_, drops) in enumerate(targets)],
+        *[F.sum(f"_a{i}").alias(f"_c{i}") for i in range(len(cols))],
     )
     best = grouped.agg(
         *[
@@ -180,9 +173,64 @@ def column_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[st
             for i, c in enumerate(cols)
         ]
     )
-    best = best.select(*[F.col(f"_m{i}.value").cast("string").alias(f"_m{i}") for i in range(len(cols))])
+    best = best.select(*[F.struct(F.col(f"_m{i}.value").cast("string").alias("v"), (-F.col(f"_m{i}.neg_count")).alias("n")).alias(f"_m{i}") for i in range(len(cols))])
     row = best.collect()[0]  # exactly one row
-    return {c: row[f"_m{i}"] for i, c in enumerate(cols)}
+    return {c: (row[f"_m{i}"]["v"], row[f"_m{i}"]["n"] or 0) for i, c in enumerate(cols)}
+
+
+SUMMARY_ITEMS = 4096  # values that the summary of a column follows
+SUMMARY_TYPES = (T.StringType, T.BooleanType, T.DateType, T.DecimalType, *INTEGRAL_TYPES)  # followed as they are, others as text
+
+
+def _summary_key(df: DataFrame, c: str) -> Column:
+    kind = df.schema[c].dataType
+    if isinstance(kind, SUMMARY_TYPES):
+        return F.col(c)
+    return (F.col(c) + F.lit(0.0) if isinstance(kind, FLOATING_TYPES) else F.col(c)).cast("string")  # -0.0 is 0.0
+
+
+def column_modes(df: DataFrame, targets: list[tuple[str, list[str]]]) -> dict[str, str | None]:
+    """Mode of each target column over the rows alive at its step.
+
+    ``targets``: (column, drop columns applied before it). Nulls are not a candidate; ties go
+    to the smallest value. Returns the value in Spark's string form (None if no value).
+
+    1. One aggregate: a mergeable summary of each column's frequent values (``approx_top_k``), of bounded size however many
+       values a column has. A value it does not list occurs at most ``7 * n / SUMMARY_ITEMS`` times (n: rows of the column;
+       twice the summary's own error of at most 3.5 n over its size).
+    2. One job of exact counts, only of the values whose estimate is within that bound of the best: a few groups per column and task.
+    3. If the best exact count exceeds the bound, no unlisted value can reach it. Otherwise (nearly unique columns, whose mode
+       is a matter of a few rows) all the values of that column are counted, by a scan pruned to it.
+    """
+    if not targets:
+        return {}
+    named = [f"_v{i}" for i in range(len(targets))]
+    taken = df.select(
+        *[F.when(_alive(drops), F.col(c)).alias(v) for v, (c, drops) in zip(named, targets, strict=True)],
+        *[F.when(_alive(drops), _summary_key(df, c)).alias(f"_k{i}") for i, (c, drops) in enumerate(targets)],
+    )
+    summary = taken.agg(
+        *[F.count(v).alias(f"_n{i}") for i, v in enumerate(named)],
+        *[F.expr(f"approx_top_k(_k{i}, {SUMMARY_ITEMS}, {SUMMARY_ITEMS}) FILTER (WHERE _k{i} IS NOT NULL)").alias(f"_t{i}") for i in range(len(named))],
+    ).collect()[0]  # one row, at most SUMMARY_ITEMS values a column
+    bounds: dict[int, int] = {}
+    masked: dict[str, Column] = {}
+    for i, v in enumerate(named):
+        listed = sorted(((r["count"], r["item"]) for r in summary[f"_t{i}"] or []), key=lambda r: -r[0])
+        bound = 7 * summary[f"_n{i}"] // SUMMARY_ITEMS
+        near = [item for n, item in listed if n >= listed[0][0] - bound]
+        # a full list may leave out values as frequent as its last one
+        bounds[i] = max(bound, listed[-1][0] + bound if len(listed) >= SUMMARY_ITEMS else 0)
+        masked[v] = F.when(F.col(f"_k{i}").isin(near), F.col(v)) if near else F.lit(None).cast(taken.schema[v].dataType)
+    ones = {f"_a{i}": F.col(v).isNotNull().cast("long") for i, v in enumerate(named)}
+    counted = _exact_modes(taken.withColumns(masked).withColumns(ones), [(v, []) for v in named])
+    modes: dict[str, str | None] = {}
+    for i, (v, (c, _)) in enumerate(zip(named, targets, strict=True)):
+        if counted[v][1] <= bounds[i] and summary[f"_n{i}"]:
+            alone = taken.select(v, F.col(v).isNotNull().cast("long").alias("_a0"))
+            counted[v] = _exact_modes(alone, [(v, [])])[v]
+        modes[c] = counted[v][0]
+    return modes
 
 
 def _resolve_modes(df: DataFrame, decisions: list[ColumnDecision], targets: list[tuple[str, list[str]]]) -> list[ColumnDecision]:
@@ -314,7 +362,7 @@ def fill_mean(df: DataFrame, columns: list[str] | None = None, nan_as_null: bool
 
 
 def fill_mode(df: DataFrame, columns: list[str] | None = None, nan_as_null: bool = True) -> DataFrame:
-    """Fill columns by their mode (non-null, ties to the smallest). Two small jobs at most."""
+    """Fill columns by their mode (non-null, ties to the smallest)."""
     prepared = nan_to_null(df) if nan_as_null else df
     types = {f.name: f.dataType for f in prepared.schema.fields}
     cols = columns or list(types)

@@ -7,9 +7,12 @@ Landing observes its counts while writing, so nothing is read back to be counted
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,7 @@ from tripspark.schema import SchemaMismatch, compare_schema, validate
 
 _VALIDATED: set = set()
 FOOTER_THREADS = 16
+FOOTERS_PER_TASK = 50
 
 
 def read_table(
@@ -52,17 +56,52 @@ def read_table(
     return validate(found, schema).select(*[f.name for f in schema.fields])
 
 
+def _footer_digest(uri: str) -> str:
+    """What a Parquet file's footer says about its columns; the file's own name where its file system cannot be opened here."""
+    import hashlib
+
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    try:
+        fs, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+        with fs.open_input_file(path) as f:
+            footer = pq.ParquetFile(f).metadata
+    except Exception:  # the reader of the session opens it, or reports what is wrong with it
+        return uri
+    columns = [footer.schema.column(i) for i in range(footer.num_columns)]
+    parts = [f"{c.path}|{c.physical_type}|{c.logical_type}|{c.converted_type}|{c.max_definition_level}|{c.max_repetition_level}" for c in columns]
+    declared = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+    return hashlib.sha256("\n".join(parts).encode() + b"\n" + declared).hexdigest()
+
+
 def check_files(spark: SparkSession, files: list[str], schema: T.StructType) -> None:
-    """Raise SchemaMismatch if any of the files lacks a declared column or holds it in another type."""
+    """Raise SchemaMismatch if any of the files lacks a declared column or holds it in another type.
+
+    One distributed job reads all footers and groups equal ones. The session's reader then opens one file of each group, so the
+    schema compared is exactly the one that Spark sees; the driver's work grows with the number of unlike footers. A file on a
+    file system that tasks cannot open by themselves is a group of its own.
+    """
+
+    def digests(batches):
+        for batch in batches:
+            yield pa.record_batch([batch.column(0), pa.array([_footer_digest(f) for f in batch.column(0).to_pylist()])], ["file", "footer"])
+
+    paths = spark.createDataFrame([(f,) for f in files], "file string")
+    tasks = max(1, min(len(files) // FOOTERS_PER_TASK, 10 * spark.sparkContext.defaultParallelism))
+    footers = paths.repartition(tasks).mapInArrow(digests, "file string, footer string")
+    kinds = footers.groupBy("footer").agg(F.min("file").alias("first"), F.count(F.lit(1)).alias("n_files")).collect()  # unlike footers
 
-    def problem(file: str) -> str | None:
-        report = compare_schema(spark.read.parquet(file).schema, schema)
-        return None if report.ok else f"{file}: missing {list(report.missing)}, mistyped {list(report.mistyped)}"
+    def problem(kind) -> str | None:
+        plain = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(kind["first"]))  # a listed name is a URI, a read one a pattern
+        report = compare_schema(spark.read.parquet(plain).schema, schema)
+        alike = f" (and {kind['n_files'] - 1} files like it)" if kind["n_files"] > 1 else ""
+        return None if report.ok else f"{kind['first']}{alike}: missing {list(report.missing)}, mistyped {list(report.mistyped)}"
 
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        problems = [p for p in pool.map(problem, files) if p]
+        problems = sorted(p for p in pool.map(problem, kinds) if p)
     if problems:
-        raise SchemaMismatch("; ".join(problems[:5]) + (f"; and {len(problems) - 5} more files" if len(problems) > 5 else ""))
+        raise SchemaMismatch("; ".join(problems[:5]) + (f"; and {len(problems) - 5} more kinds of files" if len(problems) > 5 else ""))
 
 
 def write_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
