@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -464,23 +465,76 @@ def test_licences_are_found_and_inherited(spark):
     assert license_scan.scan_licenses(frame.limit(0)).count() == 0
 
 
+def license_units(text, vocabulary):
+    """The text, its lines, its paragraphs and its runs of licence-like lines, as term counts."""
+    lines = [re.findall(license_scan.TERM, x) for x in text.lower().split("\n")]
+    units = [[t for x in lines for t in x], *lines]
+    for kept in ([(x, bool(x)) for x in lines], [(x, 2 * sum(t in vocabulary for t in x) >= len(x)) for x in lines if x]):
+        run = []
+        for terms, stays in [*kept, ([], False)]:
+            if stays:
+                run = run + terms
+            elif run:
+                units.append(run)
+                run = []
+    return [Counter(u) for u in units if u]
+
+
 def license_brute(rows):
-    """Every line and every whole text against every template."""
+    """Every unit against every template."""
     found = lambda text: Counter(re.findall(license_scan.TERM, (text or "").lower()))
     df = Counter(t for _, text in rows for t in found(text))
-    notices = {k: found(t) for k, t in license_scan.TEMPLATES}
-    vocabulary = {t for tf in notices.values() for t in tf}
+    notices = [(k, found(t)) for k, t in license_scan.TEMPLATES]
+    vocabulary = {t for _, tf in notices for t in tf}
     idf = lambda t: math.log((1 + len(rows)) / (1 + (df[t] if t in vocabulary else 0))) + 1
     norm = lambda tf: math.sqrt(sum((n * idf(t)) ** 2 for t, n in tf.items()))
+    norms = [norm(notice) for _, notice in notices]
     out = {}
     for i, text in rows:
-        units = [tf for tf in map(found, [text or "", *(text or "").split("\n")]) if tf]
-        scores = [(-round(sum(n * tf[t] * idf(t) ** 2 for t, n in notice.items()) / norm(tf) / norm(notice), 6), k) for tf in units for k, notice in notices.items()]
+        scores = [
+            (-round(sum(n * tf[t] * idf(t) ** 2 for t, n in notice.items()) / norm(tf) / long, 6), k)
+            for tf in license_units(text or "", vocabulary)
+            for (k, notice), long in zip(notices, norms, strict=True)
+        ]
         score, name = min(scores, default=(0, None))
         out[i] = name if -score >= license_scan.COSINE else None
     return out
 
 
+def wrapped(text, prefix, width=60):
+    return "\n".join(f"{prefix} {x}" for x in textwrap.wrap(text, width))
+
+
+def test_texts_and_headers_of_the_common_licences(spark):
+    """Each template wrapped in comments above code, in a file of its own, and cut into paragraphs: the licence named, no other."""
+    rng = random.Random(8)
+    code = "\n".join(f"x{i} = call_{rng.randrange(90)}(y{i}, 'z{i}')" for i in range(40))
+    rows, want = [], {}
+    for k, t in license_scan.TEMPLATES:
+        sentences = t.replace(". ", ".\n\n")
+        for text in (wrapped(t, " *") + "\n" + code, "Copyright (c) 2019 Some One\n\n" + t, code + "\n\n" + wrapped(t, "#") + "\n#\n" + code, code + "\n" + sentences):
+            want[len(rows)] = (k, t)
+            rows.append((len(rows), text))
+    plain = [(1000 + i, words(rng, 300)) for i in range(100)] + [(2000, code), (2001, "the terms of use\nare for any purpose\nand without fee")]
+    got = dict(license_scan.own_licenses(spark.createDataFrame(rows + plain, "id long, text string")).select("id", "own_license").collect())
+    assert got == {i: k for i, k in license_brute(rows + plain).items() if k}
+    missed = [(k, t[:40], i % 4) for i, (k, t) in want.items() if got.get(i) != k]
+    assert not missed and not set(got) - set(want)
+
+
+def test_scans_of_long_texts_ties_and_repeated_rows(spark):
+    mit = dict(license_scan.TEMPLATES)["MIT"]
+    blank = "\n" * 200_000  # many empty lines
+    rng = random.Random(3)
+    long = "\n".join(words(rng, 12) for _ in range(30_000)) + blank + wrapped(mit, "//")
+    twice = (("B-1", "alpha beta gamma delta"), ("A-1", "alpha beta gamma delta"))  # equal templates: the first by name
+    frame = spark.createDataFrame([(1, long), (2, mit), (3, None), (4, "")], "id long, text string")
+    got = dict(license_scan.own_licenses(frame).select("id", "own_license").collect())
+    assert got == {1: "MIT", 2: "MIT"}
+    tied = spark.createDataFrame([(1, "x\nAlpha beta gamma delta"), (2, "none")], "id long, text string")
+    assert dict(license_scan.own_licenses(tied, twice).select("id", "own_license").collect()) == {1: "A-1"}
+
+
 def test_frequent_notices_are_found(spark):
     rng = random.Random(14)
     line = "Released under the MIT License."

@@ -1,7 +1,9 @@
 """Licence scans: sparse TF-IDF cosine to licence templates, then inheritance from directories. DataFrame expressions only.
 
 1. Document frequencies of the templates' terms over all files (the terms are a fixed vocabulary; at most one row for each).
-2. Every file is compared with every template, line by line (headers, notices) and as a whole (licence files): terms weigh tf * idf,
+2. Every file is compared with every template in units: as a whole (licence files), line by line (notices), paragraph by paragraph
+   (wrapped headers, titles: neighbouring lines that hold a term), and in blocks of neighbouring lines of which at least half the
+   terms are templates' terms, lines without a term left out (licence texts of several paragraphs beside code). Terms weigh tf * idf,
    a term outside the templates has the largest idf, and the cosine is a join of the unit's terms with the templates' terms. Only units that
    two exact bounds show to stay below the threshold are left out, however frequent the terms. The best template with a cosine of at least
    ``COSINE`` is the file's own licence.
@@ -20,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripspark.llm.license_texts import TEMPLATES
 from tripspark.llm.storage import materialize
 
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -27,31 +30,44 @@ COSINE = 0.6
 SCORE_STEP = 1e-6  # scores are rounded to six places, so bounds stay this far below the threshold
 LICENSE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\..*)?$"
 
-# Notices by which works name their licence (fixed values).
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
-    ("CC-BY-4.0", "Licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
-
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def template_terms(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
-    """``(license, term, tf)``."""
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("license"), F.lit(t).alias("notice")) for k, t in templates]))
-    listed = spark.range(1).select(rows.alias("t")).select("t.license", F.explode(terms(F.col("t.notice"))).alias("term"))
-    return listed.groupBy("license", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(template, license, term, tf)``; a licence may have several templates, which are numbered."""
+    each = [F.struct(F.lit(i).alias("template"), F.lit(k).alias("license"), F.lit(t).alias("notice")) for i, (k, t) in enumerate(templates)]
+    listed = spark.range(1).select(F.explode(F.array(*each)).alias("t"))
+    listed = listed.select("t.template", "t.license", F.explode(terms(F.col("t.notice"))).alias("term"))
+    return listed.groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def any_of(words: list[str]) -> str:
+    """A pattern of any of the words as a whole term, by first character, so that few branches are tried at a position."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(words, reverse=True):  # a longer word before its beginning
+        by_first.setdefault(w[0], []).append(w[1:].replace(".", r"\."))
+    return r"(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in sorted(by_first.items())) + r")(?![a-z0-9])"
+
+
+def parts_of(text: Column, near: str, vocabulary: list[str]) -> Column:
+    """The units of a lower-cased text that can hold a notice: the text, its lines, its paragraphs and its blocks of several lines."""
+    lines = F.split(text, "\n", -1)
+
+    def known_half(line: Column) -> Column:
+        found = terms(line)
+        return F.size(F.filter(found, lambda t: t.isin(vocabulary))) * 2 >= F.size(found)
+
+    def runs(kept: Column) -> Column:  # of lines that are not empty
+        several = F.split(F.array_join(kept, "\n"), "\n{2,}", -1)
+        return F.filter(several, lambda x: x.rlike("[^\n]\n[^\n]") & x.rlike(near))
+
+    paragraphs = runs(F.transform(lines, lambda x: F.when(x.rlike("[a-z0-9]"), x).otherwise("")))
+    blocks = runs(F.transform(F.filter(lines, lambda x: x.rlike("[a-z0-9]")), lambda x: F.when(known_half(x), x).otherwise("")))
+    return F.concat(F.array(text), F.filter(lines, lambda x: x.rlike(near)), paragraphs, blocks)
 
 
-def needed_terms(tfs: dict[str, dict[str, int]], df: dict[str, int], n_files: int, least: float) -> list[str]:
+def needed_terms(tfs: dict[int, dict[str, int]], df: dict[str, int], n_files: int, least: float) -> list[str]:
     """Template terms of which a unit must hold one to reach a cosine of ``least`` with any template. By Cauchy-Schwarz a unit
     that holds only some terms of a template reaches at most their part of the template's length; the most frequent terms
     whose part is below ``least`` are therefore not needed."""
@@ -69,9 +85,9 @@ def needed_terms(tfs: dict[str, dict[str, int]], df: dict[str, int], n_files: in
 def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """``(id, text)`` -> ``(id, own_license, own_score)`` of the files that have one; ``id`` must name a row."""
     spark = files.sparkSession
-    tfs: dict[str, dict[str, int]] = {}
+    tfs: dict[int, dict[str, int]] = {}
     for r in template_terms(spark, templates).collect():  # fixed by the templates
-        tfs.setdefault(r["license"], {})[r["term"]] = r["tf"]
+        tfs.setdefault(r["template"], {})[r["term"]] = r["tf"]
     vocabulary = sorted({t for tf in tfs.values() for t in tf})
     known = F.array(*[F.lit(t) for t in vocabulary])
     texts = files.select("id", F.coalesce("text", F.lit("")).alias("text"))
@@ -84,14 +100,13 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     idf = F.coalesce(F.element_at(idf_of, F.col("term")), F.log(F.lit(1.0 + n_files)) + 1.0)
 
     weights = template_terms(spark, templates).withColumn("w", F.col("tf") * idf)
-    norms = weights.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    sides = weights.join(norms, "license").select("license", "term", (F.col("w") / F.col("norm")).alias("tw"))
+    norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    sides = weights.join(norms, "template").select("template", "license", "term", (F.col("w") / F.col("norm")).alias("tw"))
 
     mark = F.array(*[F.lit(t) for t in needed])
-    near = r"(?<![a-z0-9])(?:" + "|".join(t.replace(".", r"\.") for t in needed) + r")(?![a-z0-9])"
+    near = any_of(needed)
     likely = texts.select("id", F.lower("text").alias("text")).filter(F.col("text").rlike(near))
-    units = F.concat(F.array(F.col("text")), F.filter(F.split("text", "\n", -1), lambda x: x.rlike(near)))
-    unit = likely.select("id", F.posexplode(units).alias("unit", "content")).select("id", "unit", terms(F.col("content")).alias("terms"))
+    unit = likely.select("id", F.posexplode(parts_of(F.col("text"), near, vocabulary)).alias("unit", "content")).select("id", "unit", terms(F.col("content")).alias("terms"))
     unit = unit.filter(F.size(F.array_intersect("terms", mark)) > 0)
     # The cosine is at most the length of a unit's part in the templates' terms over its whole length, and each other term has
     # the largest idf: most units, above all whole texts, cannot reach it and are not taken apart
@@ -105,7 +120,7 @@ def own_licenses(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     tf = unit.select("id", "unit", F.explode("terms").alias("term")).groupBy("id", "unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("w", F.col("tf") * idf)
     lengths = tf.groupBy("id", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = tf.join(sides, "term").groupBy("id", "unit", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    dots = tf.join(sides, "term").groupBy("id", "unit", "template", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     score = F.round(F.col("dot") / F.col("norm"), 6)
     best = dots.join(lengths, ["id", "unit"]).select("id", "license", score.alias("score")).filter(F.col("score") >= cosine)
     first = F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l")))

@@ -120,7 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-_LICENSES = ", ".join(f"('{k}', '{t}')" for k, t in license_scan.TEMPLATES)
+_LICENSES = ", ".join(f"({i}, '{k}', '{t}')" for i, (k, t) in enumerate(license_scan.TEMPLATES))
 
 ORACLE: dict[str, str] = {
     "op2_warc": """
@@ -151,26 +151,36 @@ ORACLE: dict[str, str] = {
                                 WHEN (id // 10) % 3 = 0 THEN concat(source, '/', k, '/', c, '/LICENSE.', id)
                                 WHEN (id // 10) % 3 = 1 THEN concat(source, '/', k, '/LICENSE.', id)
                                 ELSE concat(source, '/LICENSE.', id) END AS path FROM files
-        ), notices(license, notice) AS (VALUES @LICENSES@),
+        ), notices(template, license, notice) AS (VALUES @LICENSES@),
         tpl AS (
-          SELECT license, term, count(*) AS tf
-          FROM (SELECT license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM notices) GROUP BY ALL
+          SELECT template, license, term, count(*) AS tf
+          FROM (SELECT template, license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM notices) GROUP BY ALL
         ), vocabulary AS (SELECT DISTINCT term FROM tpl),
         n AS (SELECT count(*)::DOUBLE AS n FROM files),
-        units AS (
-          SELECT id, 0 AS unit, text AS content FROM files
-          UNION ALL SELECT id, unnest(range(1, len(string_split(text, chr(10))) + 1)), unnest(string_split(text, chr(10))) FROM files
-        ), words AS (SELECT id, unit, unnest(regexp_extract_all(lower(content), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM units),
-        tf AS (SELECT id, unit, term, count(*) AS tf FROM words GROUP BY ALL),
-        df AS (SELECT v.term, count(t.id) AS df FROM vocabulary v LEFT JOIN tf t ON t.term = v.term AND t.unit = 0 GROUP BY v.term),
+        lines AS (
+          SELECT id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line, unnest(string_split(text, chr(10))) AS content FROM files
+        ), listed AS (SELECT id, line, regexp_extract_all(lower(content), '[a-z0-9]+(?:\.[0-9]+)*') AS terms FROM lines),
+        words AS (SELECT id, line, unnest(terms) AS term FROM listed),
+        shares AS (SELECT id, line, count(*) AS n, count(v.term) AS known FROM words LEFT JOIN vocabulary v USING (term) GROUP BY ALL),
+        paragraphs AS (
+          SELECT id, line, sum(CASE WHEN len(terms) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY line) AS part FROM listed
+        ), blocks AS (
+          SELECT id, line, 2 * known >= n AS hot, sum(CASE WHEN 2 * known >= n THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY line) AS part FROM shares
+        ), placed AS (
+          SELECT id, line, 'text' AS kind, 0 AS part FROM shares UNION ALL SELECT id, line, 'line', line FROM shares
+          UNION ALL SELECT id, line, 'paragraph', part FROM paragraphs UNION ALL SELECT id, line, 'block', part FROM blocks WHERE hot
+        ), tf AS (
+          SELECT id, concat(kind, part) AS unit, term, count(*) AS tf FROM words JOIN placed USING (id, line) GROUP BY ALL
+        ),
+        df AS (SELECT v.term, count(t.id) AS df FROM vocabulary v LEFT JOIN tf t ON t.term = v.term AND t.unit = 'text0' GROUP BY v.term),
         idf AS (SELECT term, df, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM df, n),
         sides AS (
-          SELECT license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS tw FROM tpl JOIN idf USING (term)
+          SELECT template, license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS tw FROM tpl JOIN idf USING (term)
         ), likely AS (SELECT DISTINCT id, unit FROM tf JOIN idf USING (term)),
         weighed AS (
           SELECT id, unit, term, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS w FROM tf JOIN likely USING (id, unit) LEFT JOIN idf USING (term), n
         ), lengths AS (SELECT id, unit, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
-        dots AS (SELECT id, unit, license, sum(w * tw) AS dot FROM weighed JOIN sides USING (term) GROUP BY ALL),
+        dots AS (SELECT id, unit, template, license, sum(w * tw) AS dot FROM weighed JOIN sides USING (term) GROUP BY ALL),
         scored AS (SELECT id, license, round(dot / norm, 6) AS score FROM dots JOIN lengths USING (id, unit)),
         own AS (SELECT id, license, score FROM scored WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, license) = 1),
         folders AS (
