@@ -16,9 +16,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """``(a, b)`` links -> ``(node, component)`` for every linked node; the component is its smallest node.
 
     Alternating star steps: every node links its larger neighbours to its smallest neighbour, then every node
-    links its smaller neighbours to the smallest of them; a logarithmic number of rounds ends in stars. Only
-    minima are gathered by node (combined before the shuffle), so a node may have any number of links. Each
-    round is written to the shared folder.
+    links its smaller neighbours to the smallest of them; a logarithmic number of rounds ends in stars. Minima are
+    combined before their shuffle; the two joins that hand them back to the links go by node, so all links (16 bytes each)
+    of one node pass through one task there, sorted and spilled, never held at once. Each round is written to the shared folder.
     """
     links = materialize(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links")
     while not _only_stars(links):
