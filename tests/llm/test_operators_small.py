@@ -693,6 +693,9 @@ def test_very_long_texts_and_units(monkeypatch):
     monkeypatch.setattr(piece_lattice, "RUN_CHARS", 500)
     assert (piece_lattice.encode_texts(piece_lattice.Sampler(vocabulary), [text, text[:40]], [77, 5])[0] == whole).all()
     monkeypatch.undo()
+    monkeypatch.setattr(piece_lattice, "ADD_CHARS", 50)  # new units, a few at a time
+    assert (piece_lattice.encode_texts(piece_lattice.Sampler(vocabulary), [text, text[:40]], [77, 5])[0] == whole).all()
+    monkeypatch.undo()
     unit = " thererethinging"
     monkeypatch.setattr(piece_lattice, "WINDOW", 5)
     n = 4000

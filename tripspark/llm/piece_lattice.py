@@ -38,6 +38,7 @@ SEED = 20240607
 MAX_UNITS = 250_000  # kept by a worker, over its tasks
 MAX_ARCS = 6_000_000
 RUN_CHARS = 1_000_000  # of text sampled together
+ADD_CHARS = 100_000  # of new units filtered together: a lattice takes many times its final size while it is made
 LONG_UNIT = 10_000  # characters; beyond, a unit is filtered and sampled in windows
 WINDOW = 1 << 15
 SMALL = 1e-100
@@ -220,7 +221,10 @@ class Sampler:
         before = len(self.known)
         at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
         if len(self.known) > before:
-            self.add(list(itertools.islice(self.known, before, None)))
+            new = list(itertools.islice(self.known, before, None))
+            part = np.cumsum([len(u) for u in new]) // ADD_CHARS  # units are independent: a few at a time give the same lattices
+            for some in np.split(np.arange(len(new)), np.flatnonzero(np.diff(part)) + 1):
+                self.add(new[some[0] : some[-1] + 1])
         position, base = self.end_of[at], self.base_of[at]
         live, steps, count = np.arange(len(units)), [], np.zeros(len(units), np.int64)
         draw = keys
