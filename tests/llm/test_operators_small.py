@@ -15,7 +15,7 @@ import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tripspark.llm import bsi_topk, chat_format, e8_dedup, jaccard_join, langid, license_scan, mixing, piece_lattice, token_pack, warc
+from tripspark.llm import bsi_topk, chat_format, e8_dedup, graph, jaccard_join, langid, license_scan, mixing, piece_lattice, token_pack, warc
 from tripspark.llm.files import opened
 from tripspark.llm.graph import connected_components
 from tripspark.llm.queries import QUERIES
@@ -70,6 +70,35 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_links_of_a_hub_spread_over_tasks(spark, monkeypatch):
+    """A star of 100 000 links around a node that is not its smallest, with further nodes: right, and no task of a shuffle by node gets the star."""
+    n, rounds = 100_000, []
+    each = graph._round
+    monkeypatch.setattr(graph, "_round", lambda links, bound: rounds.append((links, bound)) or each(links, bound))
+    star = spark.range(1, n + 1).selectExpr("CASE WHEN id % 2 = 0 THEN id ELSE id + 1000000 END AS a", "500000L AS b")
+    tail = spark.createDataFrame([(500000, -3), (-3, -9), (7000000, 7000001)], "a long, b long")
+    got = connected_components(star.unionByName(tail))
+    assert got.groupBy("component").count().orderBy("component").collect() == [(-9, n + 3), (7000000, 2)]
+    links, bound = rounds[0]
+    assert bound is not None
+    both = links.unionByName(links.selectExpr("b AS a", "a AS b"))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_rows"))
+    shuffled = both.join(F.broadcast(least.filter(F.col("_rows") > graph.hot_rows(bound)).select("a")), "a", "left_anti")
+    assert shuffled.groupBy("a").count().agg(F.max("count")).first()[0] <= graph.HOT_ROWS  # rows that go by node
+    plan = each(links, bound)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 4 and "LeftAnti" in plan
+
+
+def test_join_totals_equals_a_join(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HOT_ROWS", 5)
+    rng = random.Random(4)
+    keys = [rng.choice([1, 1, 1, 2, None, *range(3, 40)]) for _ in range(300)]
+    rows = spark.createDataFrame(list(zip(keys, range(300), strict=True)), "k long, v long")
+    totals = rows.filter("k <> 7").groupBy("k").agg(F.count(F.lit(1)).alias("_rows"), F.max("v").alias("top"))
+    got = Counter(tuple(r) for r in graph.join_totals(rows, totals, "k", 300).select("k", "v", "top").collect())
+    assert got == Counter((k, v, max(w for j, w in zip(keys, range(300), strict=True) if j == k)) for k, v in zip(keys, range(300), strict=True) if k not in (None, 7))
+
+
 # --- N-gram Jaccard join
 
 

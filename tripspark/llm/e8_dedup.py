@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.graph import block_pairs, connected_components, groups_of, star_links
+from tripspark.llm.graph import block_pairs, connected_components, groups_of, join_totals, star_links
 from tripspark.llm.hashing import mixed
 from tripspark.llm.storage import materialize
 
@@ -175,9 +175,8 @@ def lattice_links(classes: DataFrame, dtype: type, cosine: float, tables: int, p
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = classes.select("cid", "label", "vec").mapInArrow(_hasher(dtype, tables, probes, scale), "key long, cid long, home boolean")
     entries = materialize(entries, "e8-cells")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home")).filter("n > 1 AND home").select("key")
-    members = entries.select("key", "cid").join(shared, "key").join(classes.select("cid", "vec"), "cid").withColumn("one", F.lit(1))
-    dealt = block_pairs(members, "key", "one", BLOCK_ROWS, "cid", True)
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_rows"), F.max("home").alias("home")).filter("_rows > 1 AND home").select("key", "_rows")
+    dealt = block_pairs(entries.select("key", "cid"), shared, "key", BLOCK_ROWS, "cid", entries.count()).join(classes.select("cid", "vec"), "cid")
     dealt = dealt.select("key", "bi", "bj", "cid", "vec").repartition(parts, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "cid")
     return dealt.mapInArrow(_linker(dtype, cosine), "a long, b long")
 
@@ -192,15 +191,15 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, tables: int =
     classes = materialize(classes.withColumn("cid", F.xxhash64("digest")), "e8-classes")
     links = materialize(lattice_links(classes, dtype, cosine, tables, probes, scale), "e8-links")
     found = connected_components(links).select(F.col("node").alias("cid"), "component")
-    inside = found.join(classes.select("cid", "rep", "w", "vec"), "cid")
-    names = inside.groupBy("component").agg(F.min("rep").alias("component_id"))
+    inside = found.join(classes.select("cid", "rep"), "cid")
+    names = inside.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = block_pairs(inside.withColumn("one", F.lit(1)), "component", "one", BLOCK_ROWS, "cid", True, keep_block=True)
+    dealt = block_pairs(found, names.select("component", "_rows"), "component", BLOCK_ROWS, "cid", rows.count()).join(classes.select("cid", "w", "vec"), "cid")
     dealt = dealt.select("component", "bi", "bj", "block", "cid", "w", "vec").repartition(parts, "component", "bi", "bj").sortWithinPartitions("component", "bi", "bj")
     counts = dealt.mapInArrow(_counter(dtype, cosine), "cid long, n long").groupBy("cid").agg(F.sum("n").alias("n"))
     known = (
         classes.select("digest", "cid", "rep", "w")
-        .join(found.join(names, "component").select("cid", "component_id"), "cid", "left")
+        .join(join_totals(found, names, "component", rows.count()).select("cid", "component_id"), "cid", "left")
         .join(counts, "cid", "left")
         .select("digest", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component_id", "rep").alias("component_id"))
     )

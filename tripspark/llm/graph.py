@@ -12,46 +12,82 @@ from pyspark.sql import functions as F
 from tripspark.llm.storage import materialize
 
 
+HOT_ROWS = 1000  # rows of a key from which it may be broadcast
+HOT_KEYS = 100_000  # keys that are broadcast at most
+
+
+def hot_rows(bound: int) -> int:
+    """A key of more rows than this, among ``bound`` rows, is hot; there are fewer than ``HOT_KEYS`` of them, whatever the rows."""
+    return max(HOT_ROWS, -(-bound // HOT_KEYS))
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, key: str, bound: int) -> DataFrame:
+    """``rows`` joined with ``totals``, which has one row per ``key`` and in ``_rows`` how many of ``rows`` hold it (or more).
+
+    Rows of a hot key stay where they are and meet its total by a broadcast of fewer than ``HOT_KEYS`` totals; all others are
+    shuffled by key, so none gathers more than ``hot_rows(bound)`` rows in a task. ``bound``: ``rows`` has no more rows than this,
+    nor the sum of ``_rows``.
+    """
+    many = hot_rows(bound)
+    hot = totals.filter(F.col("_rows") > many).drop("_rows")
+    known = totals.filter(F.col("_rows") <= many).drop("_rows")
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(known, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(a, b)`` links -> ``(node, component)`` for every linked node; the component is its smallest node.
 
     Alternating star steps: every node links its larger neighbours to its smallest neighbour, then every node
     links its smaller neighbours to the smallest of them; a logarithmic number of rounds ends in stars. Minima are
-    combined before their shuffle; the two joins that hand them back to the links go by node, so all links (16 bytes each)
-    of one node pass through one task there, sorted and spilled, never held at once. Each round is written to the shared folder.
+    combined before their shuffle and handed back to the links by node; while a node has more than ``hot_rows`` links, the minima
+    of such nodes are broadcast (``join_totals``) and their links stay where they are. Each round is written to the shared folder.
     """
     links = materialize(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links")
-    while not _only_stars(links):
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        near = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(near, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        links = materialize(small.unionByName(near.withColumnRenamed("m", "b")).distinct(), "links")
+    while True:
+        apart, largest, n = _shape(links)
+        if not apart:
+            break
+        links = materialize(_round(links, 2 * n if largest > hot_rows(2 * n) else None), "links")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def _only_stars(links: DataFrame) -> bool:
-    """Whether every node has one smaller neighbour, or none and only larger ones: then the smaller ones are the components."""
+def _round(links: DataFrame, bound: int | None) -> DataFrame:
+    """The links after both star steps; with ``bound`` (a bound of the links from both ends) nodes of many links take the other way."""
+
+    def handed(rows: DataFrame, least: DataFrame) -> DataFrame:
+        return rows.join(least.drop("_rows"), "a") if bound is None else join_totals(rows, least, "a", bound)
+
+    minimum = [F.min("b").alias("m"), F.count(F.lit(1)).alias("_rows")]
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(*minimum).withColumn("m", F.least("a", "m"))
+    large = handed(both.filter("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    near = large.groupBy("a").agg(*minimum)
+    small = handed(large, near).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+    return small.unionByName(near.select("a", F.col("m").alias("b"))).distinct()
+
+
+def _shape(links: DataFrame) -> tuple[bool, int, int]:
+    """Whether a node has several smaller neighbours, or one and larger ones too (else all are stars around the components);
+    the most links of a node; the number of links."""
     ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
         links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
     )
-    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
-
-
-def block_pairs(members: DataFrame, group: str, weight: str, block_weight: int, member: str, crossing: bool, keep_block: bool = False) -> DataFrame:
-    """Deal the members of each group into blocks of about ``block_weight`` and add the columns ``bi, bj``: for each
-    pair of blocks (``crossing``) or each block by itself, the members of both. A group below the weight is one block."""
-    totals = members.groupBy(group).agg(F.ceil(F.sum(weight) / block_weight).alias("blocks"))
-    dealt = members.join(totals, group).withColumn("_block", F.pmod(F.xxhash64(F.lit(7), member), F.greatest("blocks", F.lit(1))))
-    if not crossing:
-        return dealt.withColumns({"bi": F.col("_block"), "bj": F.col("_block")}).drop("blocks", "_block")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest("blocks", F.lit(1)) - 1))
-    return dealt.withColumn("_other", other).withColumns({"bi": F.least("_block", "_other"), "bj": F.greatest("_block", "_other"), "block": F.col("_block")}).drop(
-        "blocks", "_other", "_block", *([] if keep_block else ["block"])
-    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    apart = F.max(F.expr("up > 1 OR (up = 1 AND down > 0)"))
+    row = nodes.agg(apart.alias("apart"), F.max(F.col("up") + F.col("down")).alias("largest"), F.sum("up").alias("n")).first()
+    return bool(row["apart"]), row["largest"] or 0, row["n"] or 0
+
+
+def block_pairs(members: DataFrame, totals: DataFrame, group: str, block_rows: int, member: str, bound: int) -> DataFrame:
+    """Deal the members of the groups in ``totals`` (``group, _rows``: its members) into blocks of about ``block_rows`` (``block``) and
+    add ``bi, bj``: a row for each pair of blocks that a member's own block is in. A smaller group is one block. ``bound``: at most so many ``members``."""
+    dealt = join_totals(members, totals.withColumn("blocks", F.ceil(F.col("_rows") / block_rows)), group, bound)
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(7), member), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return dealt.withColumn("_other", other).withColumns({"bi": F.least("block", "_other"), "bj": F.greatest("block", "_other")}).drop("blocks", "_other")
 
 
 def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
