@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.graph import Forest, connected_components, groups_of, star_links
+from tripspark.llm.graph import Forest, connected_components, groups_of, join_totals, star_links
 from tripspark.llm.hashing import mixed
 from tripspark.llm.storage import materialize, small_batches, worker_state
 
@@ -49,7 +49,7 @@ CUT = int(LISTED * 2**CODE_BITS)
 RUN = 32  # entries of one shingle that one task sends to its list
 FLUSH_ENTRIES = 1_000_000
 BLOCK_SHINGLES = 1 << 17
-BROADCAST_CLASSES = 1_000_000  # ids and classes (16 bytes each) up to which the wanted documents are found without shuffling all texts
+BROADCAST_CLASSES = 500_000  # ids, classes, groups and blocks (32 bytes each) up to which the wanted documents are found without shuffling all texts
 LONG_LIST_WEIGHT = 0.05  # DivideSkip's mu: the number of long lists is T / (mu * log2(longest) + 1)
 
 
@@ -255,10 +255,10 @@ def kept_lists(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Data
     return ranked.filter("rank <= quota").select("cls", "code")
 
 
-def groups_by_lists(lists: DataFrame) -> DataFrame:
-    """``(cls, code, label)`` -> ``(cls, grp)``: classes connected by lists that hold two labels or more."""
-    firsts = lists.groupBy("code").agg(F.min("cls").alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    edges = lists.select("cls", "code").join(firsts.select("code", "hub"), "code").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+def groups_by_lists(lists: DataFrame, bound: int) -> DataFrame:
+    """``(cls, code, label)``, at most ``bound`` rows -> ``(cls, grp)``: classes connected by lists that hold two labels or more."""
+    firsts = lists.groupBy("code").agg(F.min("cls").alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("_rows"))
+    edges = join_totals(lists.select("cls", "code"), firsts.filter("lo < hi").select("code", "hub", "_rows"), "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     return connected_components(edges).select(F.col("node").alias("cls"), F.col("component").alias("grp"))
 
 
@@ -327,17 +327,17 @@ def _linker(threshold: tuple[int, int]):
     return link
 
 
-def blocks_by_size(members: DataFrame, crossing: bool, threshold: tuple[int, int]) -> DataFrame:
-    """``members`` with the columns ``bi, bj``. A group of no more than ``BLOCK_SHINGLES`` is one block. In a larger one, linked
+def blocks_by_size(members: DataFrame, crossing: bool, threshold: tuple[int, int], bound: int) -> DataFrame:
+    """``members`` (``cls, grp, n`` and more, at most ``bound`` rows, no shingles) with the columns ``bi, bj``. A group of no more than ``BLOCK_SHINGLES`` is one block. In a larger one, linked
     sets differ in size by a factor of den / num at most, so sets fall into classes of (a little more than) that width, these into blocks,
     and a block meets those of its own class and of the two next to it (``crossing``), or itself alone."""
     num, den = threshold
     size = F.floor(F.log("n") / F.log(F.lit(den / num * 1.0001)))
-    per_class = members.groupBy("grp", size.alias("size")).agg(F.sum("n").alias("w"))
+    per_class = members.groupBy("grp", size.alias("size")).agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("rows"))
     blocks = F.ceil(F.col("w") / BLOCK_SHINGLES)
-    per_group = per_class.groupBy("grp").agg(F.sum("w").alias("w"), F.map_from_entries(F.collect_list(F.struct("size", blocks.alias("n")))).alias("blocks"))
+    per_group = per_class.groupBy("grp").agg(F.sum("w").alias("w"), F.sum("rows").alias("_rows"), F.map_from_entries(F.collect_list(F.struct("size", blocks.alias("n")))).alias("blocks"))
     large = F.col("w") > BLOCK_SHINGLES
-    known = members.join(per_group, "grp").withColumn("size", F.when(large, size).otherwise(F.lit(0).cast("long")))
+    known = join_totals(members, per_group, "grp", bound).withColumn("size", F.when(large, size).otherwise(F.lit(0).cast("long")))
     many = lambda s: F.when(large, F.coalesce(F.try_element_at("blocks", s), F.lit(0).cast("long"))).otherwise((s == 0).cast("long"))
     block_id = lambda s, p: s * F.lit(1 << 32) + p
     dealt = known.withColumn("own", block_id(F.col("size"), F.pmod(F.xxhash64(F.lit(7), "cls"), many(F.col("size")))))
@@ -348,11 +348,11 @@ def blocks_by_size(members: DataFrame, crossing: bool, threshold: tuple[int, int
     return dealt.withColumn("other", F.explode(others)).withColumns({"bi": F.least("own", "other"), "bj": F.greatest("own", "other")})
 
 
-def link_groups(members: DataFrame, sets: DataFrame, crossing: bool, threshold: tuple[int, int]) -> DataFrame:
-    """``(cls, grp, label)`` and ``(cls, n, hashes)`` -> links ``(a, b)`` found in the blocks (or pairs of blocks) of each group."""
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = blocks_by_size(members.join(sets, "cls"), crossing, threshold)
-    return dealt.repartition(parts, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "cls").select("grp", "bi", "bj", "cls", "label", "hashes").mapInArrow(_linker(threshold), "a long, b long")
+def link_groups(dealt: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """``(grp, bi, bj, cls, label, hashes)`` -> links ``(a, b)`` found in the blocks (or pairs of blocks) of each group."""
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["grp", "bi", "bj", "cls", "label", "hashes"]
+    return dealt.select(*columns).repartition(parts, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "cls").mapInArrow(_linker(threshold), "a long, b long")
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,7 +362,8 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = shingle_set(text, hashes)
             cls = batch.column("cls")[k].as_py()
             if len(s) and _digest(s)[0] == cls:
-                yield pa.record_batch([pa.array([cls]), pa.array([len(s)]), pa.array([s.tobytes()], pa.binary())], ["cls", "n", "hashes"])
+                place = [batch.column(c).slice(k, 1) for c in ("cls", "grp", "bi")]
+                yield pa.record_batch([*place, pa.array([s.tobytes()], pa.binary())], ["cls", "grp", "bi", "hashes"])
 
 
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -376,28 +377,37 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     measured = materialize(docs.mapInArrow(_measure, "doc_id long, n_shingles long, cls long, digest binary"), "jaccard-sets")
-    classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    n_docs = measured.count()
+    classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("_rows"))
     lists = materialize(kept_lists(docs, threshold).withColumn("label", F.col("cls")), "jaccard-lists")
-    members = materialize(groups_by_lists(lists).withColumn("label", F.col("cls")), "jaccard-groups")
-    wanted = members.select("cls").join(classes, "cls")
+    n_lists = lists.count()
+    grouped = groups_by_lists(lists, n_lists).join(classes.select("cls", "rep", "n"), "cls")
+    members = materialize(blocks_by_size(grouped, False, threshold, n_docs).select("cls", "rep", "n", "grp", "bi"), "jaccard-groups")
+    wanted = members.select("cls", "rep", "grp", "bi")
     if members.count() <= BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("cls", "text")
-    sets = materialize(texts.mapInArrow(_sets_of, "cls long, n long, hashes binary"), "jaccard-members").dropDuplicates(["cls"])
-    links = materialize(link_groups(members, sets, False, threshold), "jaccard-links")
-    several = members.join(sets.select("cls", "n"), "cls").groupBy("grp").agg(F.sum("n").alias("n")).filter(F.col("n") > BLOCK_SHINGLES).select("grp")
-    members = materialize(members.join(several, "grp", "left_semi"), "jaccard-several")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("cls", "grp", "bi", "text")
+    sets = materialize(texts.mapInArrow(_sets_of, "cls long, grp long, bi long, hashes binary"), "jaccard-members")
+    if sets.count() > members.count():  # rows that repeat a doc_id and its text
+        sets = materialize(sets.dropDuplicates(["cls"]), "jaccard-members")
+    links = materialize(link_groups(sets.withColumn("bj", F.col("bi")).withColumn("label", F.col("cls")), threshold), "jaccard-links")
+    several = members.groupBy("grp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("_rows")).filter(F.col("w") > BLOCK_SHINGLES).select("grp", "_rows")
+    members = materialize(join_totals(members.select("cls", "grp", "n"), several, "grp", n_docs), "jaccard-several")
     if not members.isEmpty():
-        labelled = _labelled(members.drop("label"), links)
-        leaders = labelled.filter("label = cls")
-        links = materialize(links.unionByName(link_groups(leaders, sets, False, threshold)), "jaccard-links")
-        labelled = materialize(_labelled(members.drop("label"), links), "jaccard-labels")
+
+        def linked(dealt: DataFrame) -> DataFrame:
+            return materialize(links.unionByName(link_groups(dealt.join(sets.select("cls", "hashes"), "cls"), threshold)), "jaccard-links")
+
+        leaders = _labelled(members, links).filter("label = cls")
+        links = linked(blocks_by_size(leaders, False, threshold, n_docs))
+        labelled = materialize(_labelled(members, links), "jaccard-labels")
         open_lists = lists.drop("label").join(labelled.select("cls", "label"), "cls")
-        rest = groups_by_lists(open_lists).join(labelled.select("cls", "label"), "cls")
-        links = materialize(links.unionByName(link_groups(rest, sets, True, threshold)), "jaccard-links")
+        rest = groups_by_lists(open_lists, n_lists).join(labelled.select("cls", "label", "n"), "cls")
+        links = linked(blocks_by_size(rest, True, threshold, n_docs))
     found = connected_components(links)
     joined = classes.join(found, classes["cls"] == found["node"]).select("cls", "rep", "component")
-    names = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = joined.join(names, "component").select("cls", "component_id")
-    final = classes.join(named, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"))
-    return measured.join(final, "cls", "left").select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    names = joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows"))
+    named = join_totals(joined.select("cls", "component"), names, "component", n_docs).select("cls", "component_id")
+    final = classes.join(named, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), "_rows")
+    known = join_totals(measured.select("doc_id", "n_shingles", "cls"), final, "cls", n_docs).select("doc_id", "n_shingles", "component_id")
+    return known.unionByName(measured.filter("cls IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
