@@ -176,6 +176,7 @@ def lattice_links(classes: DataFrame, dtype: type, cosine: float, tables: int, p
     entries = classes.select("cid", "label", "vec").mapInArrow(_hasher(dtype, tables, probes, scale), "key long, cid long, home boolean")
     entries = materialize(entries, "e8-cells")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("_rows"), F.max("home").alias("home")).filter("_rows > 1 AND home").select("key", "_rows")
+    shared = materialize(shared, "e8-shared")
     dealt = block_pairs(entries.select("key", "cid"), shared, "key", BLOCK_ROWS, "cid", entries.count()).join(classes.select("cid", "vec"), "cid")
     dealt = dealt.select("key", "bi", "bj", "cid", "vec").repartition(parts, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "cid")
     return dealt.mapInArrow(_linker(dtype, cosine), "a long, b long")
@@ -192,7 +193,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, tables: int =
     links = materialize(lattice_links(classes, dtype, cosine, tables, probes, scale), "e8-links")
     found = connected_components(links).select(F.col("node").alias("cid"), "component")
     inside = found.join(classes.select("cid", "rep"), "cid")
-    names = inside.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows"))
+    names = materialize(inside.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows")), "e8-names")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = block_pairs(found, names.select("component", "_rows"), "component", BLOCK_ROWS, "cid", rows.count()).join(classes.select("cid", "w", "vec"), "cid")
     dealt = dealt.select("component", "bi", "bj", "block", "cid", "w", "vec").repartition(parts, "component", "bi", "bj").sortWithinPartitions("component", "bi", "bj")

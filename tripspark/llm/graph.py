@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripspark.llm.storage import materialize
 
 
-HOT_ROWS = 1000  # rows of a key from which it may be broadcast
+HOT_ROWS = 8192  # rows of a key (some 100 KB) up to which it is not hot
 HOT_KEYS = 100_000  # keys that are broadcast at most
 
 
@@ -22,12 +22,15 @@ def hot_rows(bound: int) -> int:
 
 
 def join_totals(rows: DataFrame, totals: DataFrame, key: str, bound: int) -> DataFrame:
-    """``rows`` joined with ``totals``, which has one row per ``key`` and in ``_rows`` how many of ``rows`` hold it (or more).
+    """``rows`` joined with ``totals``, a written table with one row per ``key`` and in ``_rows`` how many of ``rows`` hold it (or more).
+    Where a key is hot, the rows of hot keys do not move (``_join_hot``). ``bound``: ``rows`` has no more rows, nor the sum of ``_rows``."""
+    largest = totals.agg(F.max("_rows")).first()[0]
+    return _join_hot(rows, totals, key, bound) if largest and largest > hot_rows(bound) else rows.join(totals.drop("_rows"), key)
 
-    Rows of a hot key stay where they are and meet its total by a broadcast of fewer than ``HOT_KEYS`` totals; all others are
-    shuffled by key, so none gathers more than ``hot_rows(bound)`` rows in a task. ``bound``: ``rows`` has no more rows than this,
-    nor the sum of ``_rows``.
-    """
+
+def _join_hot(rows: DataFrame, totals: DataFrame, key: str, bound: int) -> DataFrame:
+    """Rows of a hot key stay where they are and meet its total by a broadcast of fewer than ``HOT_KEYS`` totals; all others
+    are shuffled by key, so none gathers more than ``hot_rows(bound)`` rows in a task."""
     many = hot_rows(bound)
     hot = totals.filter(F.col("_rows") > many).drop("_rows")
     known = totals.filter(F.col("_rows") <= many).drop("_rows")
@@ -41,7 +44,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternating star steps: every node links its larger neighbours to its smallest neighbour, then every node
     links its smaller neighbours to the smallest of them; a logarithmic number of rounds ends in stars. Minima are
     combined before their shuffle and handed back to the links by node; while a node has more than ``hot_rows`` links, the minima
-    of such nodes are broadcast (``join_totals``) and their links stay where they are. Each round is written to the shared folder.
+    of such nodes are broadcast (``_join_hot``) and their links stay where they are. Each round is written to the shared folder.
     """
     links = materialize(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links")
     while True:
@@ -58,7 +61,7 @@ def _round(links: DataFrame, bound: int | None) -> DataFrame:
     """The links after both star steps; with ``bound`` (a bound of the links from both ends) nodes of many links take the other way."""
 
     def handed(rows: DataFrame, least: DataFrame) -> DataFrame:
-        return rows.join(least.drop("_rows"), "a") if bound is None else join_totals(rows, least, "a", bound)
+        return rows.join(least.drop("_rows"), "a") if bound is None else _join_hot(rows, least, "a", bound)
 
     minimum = [F.min("b").alias("m"), F.count(F.lit(1)).alias("_rows")]
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -258,7 +258,8 @@ def kept_lists(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Data
 def groups_by_lists(lists: DataFrame, bound: int) -> DataFrame:
     """``(cls, code, label)``, at most ``bound`` rows -> ``(cls, grp)``: classes connected by lists that hold two labels or more."""
     firsts = lists.groupBy("code").agg(F.min("cls").alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("_rows"))
-    edges = join_totals(lists.select("cls", "code"), firsts.filter("lo < hi").select("code", "hub", "_rows"), "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    firsts = materialize(firsts.filter("lo < hi").select("code", "hub", "_rows"), "jaccard-firsts")
+    edges = join_totals(lists.select("cls", "code"), firsts, "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     return connected_components(edges).select(F.col("node").alias("cls"), F.col("component").alias("grp"))
 
 
@@ -337,7 +338,7 @@ def blocks_by_size(members: DataFrame, crossing: bool, threshold: tuple[int, int
     blocks = F.ceil(F.col("w") / BLOCK_SHINGLES)
     per_group = per_class.groupBy("grp").agg(F.sum("w").alias("w"), F.sum("rows").alias("_rows"), F.map_from_entries(F.collect_list(F.struct("size", blocks.alias("n")))).alias("blocks"))
     large = F.col("w") > BLOCK_SHINGLES
-    known = join_totals(members, per_group, "grp", bound).withColumn("size", F.when(large, size).otherwise(F.lit(0).cast("long")))
+    known = join_totals(members, materialize(per_group, "jaccard-blocks"), "grp", bound).withColumn("size", F.when(large, size).otherwise(F.lit(0).cast("long")))
     many = lambda s: F.when(large, F.coalesce(F.try_element_at("blocks", s), F.lit(0).cast("long"))).otherwise((s == 0).cast("long"))
     block_id = lambda s, p: s * F.lit(1 << 32) + p
     dealt = known.withColumn("own", block_id(F.col("size"), F.pmod(F.xxhash64(F.lit(7), "cls"), many(F.col("size")))))
@@ -379,6 +380,7 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     measured = materialize(docs.mapInArrow(_measure, "doc_id long, n_shingles long, cls long, digest binary"), "jaccard-sets")
     n_docs = measured.count()
     classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("_rows"))
+    classes = materialize(classes, "jaccard-classes")
     lists = materialize(kept_lists(docs, threshold).withColumn("label", F.col("cls")), "jaccard-lists")
     n_lists = lists.count()
     grouped = groups_by_lists(lists, n_lists).join(classes.select("cls", "rep", "n"), "cls")
@@ -392,6 +394,7 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
         sets = materialize(sets.dropDuplicates(["cls"]), "jaccard-members")
     links = materialize(link_groups(sets.withColumn("bj", F.col("bi")).withColumn("label", F.col("cls")), threshold), "jaccard-links")
     several = members.groupBy("grp").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("_rows")).filter(F.col("w") > BLOCK_SHINGLES).select("grp", "_rows")
+    several = materialize(several, "jaccard-large")
     members = materialize(join_totals(members.select("cls", "grp", "n"), several, "grp", n_docs), "jaccard-several")
     if not members.isEmpty():
 
@@ -401,13 +404,15 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
         leaders = _labelled(members, links).filter("label = cls")
         links = linked(blocks_by_size(leaders, False, threshold, n_docs))
         labelled = materialize(_labelled(members, links), "jaccard-labels")
-        open_lists = lists.drop("label").join(labelled.select("cls", "label"), "cls")
+        open_lists = materialize(lists.drop("label").join(labelled.select("cls", "label"), "cls"), "jaccard-open")
         rest = groups_by_lists(open_lists, n_lists).join(labelled.select("cls", "label", "n"), "cls")
         links = linked(blocks_by_size(rest, True, threshold, n_docs))
     found = connected_components(links)
     joined = classes.join(found, classes["cls"] == found["node"]).select("cls", "rep", "component")
     names = joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows"))
+    names = materialize(names, "jaccard-names")
     named = join_totals(joined.select("cls", "component"), names, "component", n_docs).select("cls", "component_id")
     final = classes.join(named, "cls", "left").select("cls", F.coalesce("component_id", "rep").alias("component_id"), "_rows")
+    final = materialize(final, "jaccard-final")
     known = join_totals(measured.select("doc_id", "n_shingles", "cls"), final, "cls", n_docs).select("doc_id", "n_shingles", "component_id")
     return known.unionByName(measured.filter("cls IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
