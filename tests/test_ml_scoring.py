@@ -8,9 +8,9 @@ from conftest import SF001
 from tripspark.catalog import saved_model, silver, trained
 from tripspark.functions.trip import key_bucket
 from tripspark.operators import ml
-from tripspark.plans import scoring
+from tripspark.plans import scoring, training
 from tripspark.plans.training import model_frame, train_duration_model
-from tripspark.schema import FEATURE_ORDER
+from tripspark.schema import FEATURE_ORDER, SPLIT_COL
 
 
 @pytest.fixture(scope="module")
@@ -246,3 +246,31 @@ def test_stream_drains_a_backlog_in_bounded_batches(spark, tmp_path):
     cols = ["trip_distance", "duration_minutes", "predicted_duration"]
     assert sorted(small.select(*cols).collect()) == sorted(one.select(*cols).collect())
     assert len(spark.read.text(str(tmp_path / "ca" / "offsets")).inputFiles()) >= 3  # three or more micro-batches
+
+
+def test_fit_rows_per_task_are_bounded(spark, monkeypatch):
+    """The partitions that a fit keeps and reads hold a bounded number of rows, however the rows came, and all of them."""
+    rows = spark.range(0, 6000, 1, 2).select(
+        *[(F.col("id") % (k + 2)).cast("double").alias(c) for k, c in enumerate(FEATURE_ORDER)],
+        (F.col("id") % 40).cast("int").alias("duration_minutes"),
+        (F.col("id") % 100).cast("int").alias(SPLIT_COL),
+    )
+    rows = rows.unionAll(rows.filter("duration_minutes = 7")).coalesce(1)  # one partition, equal rows
+    monkeypatch.setattr(training, "FIT_ROWS_PER_TASK", 500)
+    tm = train_duration_model(rows, "lr")
+    sizes = [r["n"] for r in tm.frame.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) <= 500
+    counted = tm.frame.groupBy("features", "duration_minutes").count()
+    wanted = model_frame(rows).filter("is_train").groupBy("features", "duration_minutes").count()
+    assert sum(sizes) == model_frame(rows).filter("is_train").count()
+    assert counted.exceptAll(wanted).count() == 0 and wanted.exceptAll(counted).count() == 0
+    tm.release()
+
+
+def test_spread_rows_are_in_the_same_places_each_time(spark):
+    """Rows within the bound stay as they lie; dealt rows take the same partitions and places when they are computed again."""
+    df = spark.range(0, 3000, 1, 3).select((F.col("id") % 700).alias("a"), (F.col("id") % 11).cast("double").alias("b"))
+    assert training.spread_rows(df, 1000) is df
+    assert training.spread_rows(df.filter("a < 0"), 0).count() == 0
+    first, again = (training.spread_rows(df.coalesce(k), 250).rdd.glom().collect() for k in (1, 1))
+    assert first == again and max(map(len, first)) <= 250 and sum(map(len, first)) == 3000

@@ -3,7 +3,8 @@
 silver -> 7 features (fixed order) -> vector -> label (log1p minutes for GBT, minutes for the
 linear and forest models) -> split by the trip's bucket -> fit on the train side -> score every row -> metrics on
 the test side.
-The train side is persisted MEMORY_AND_DISK for the fit (tree learners scan it once per level), and
+The train side is persisted MEMORY_AND_DISK for the fit (tree learners scan it once per level), in partitions of a bounded
+number of rows (a learner keeps some 300 bytes a row and reads a partition's share in one task), and
 the boosting lineage is checkpointed to the shared checkpoint dir every 10 iterations.
 """
 
@@ -22,6 +23,9 @@ from tripspark.schema import DURATION_COL, FEATURE_ORDER, SPLIT_COL
 
 LOG_LABEL = "duration_log"
 
+#: most train rows in a task of the fit
+FIT_ROWS_PER_TASK = 250_000
+
 # model kind -> (label column, label is log scale)
 MODEL_KINDS = {"gbt": (LOG_LABEL, True), "lr": (DURATION_COL, False), "rf": (DURATION_COL, False)}
 
@@ -81,6 +85,21 @@ class TrainedModel:
         )
 
 
+def spread_rows(df: DataFrame, most: int) -> DataFrame:
+    """All rows of ``df``: as they lie where no partition holds more than ``most`` rows, else dealt evenly over as many partitions as
+    that takes. A scan's partitions follow the bytes of its files, so their rows are not bounded by themselves.
+
+    Dealt rows are ordered by their hash in each partition: a partition computed again, after a lost executor, has its rows in
+    the same places, as the learners that zip frames need, whichever order the shuffle's blocks arrive in."""
+    parts = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    found = parts.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
+    if (found["largest"] or 0) <= most:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    dealt = df.repartition(max(-(-found["rows"] // most) + 1, cores))  # one more: each task that deals starts anywhere
+    return dealt.sortWithinPartitions(F.xxhash64(*df.columns), F.hash(*df.columns))
+
+
 def train_duration_model(silver: DataFrame | None, kind: str = "gbt", frame: DataFrame | None = None, **params) -> TrainedModel:
     """Fit on the train side of ``silver``'s model frame, or of a ``frame`` made before (to fit several kinds on one). Only the train
     side is persisted, for the fit."""
@@ -89,7 +108,7 @@ def train_duration_model(silver: DataFrame | None, kind: str = "gbt", frame: Dat
     frame = model_frame(silver) if frame is None else frame
     ensure_checkpoint_dir(frame.sparkSession)
     label, is_log = MODEL_KINDS[kind]
-    train = frame.filter("is_train").persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread_rows(frame.filter("is_train"), FIT_ROWS_PER_TASK).persist(StorageLevel.MEMORY_AND_DISK)
     estimators = {"gbt": ml.gbt_regressor, "lr": ml.linear_regression, "rf": ml.random_forest}
     model = estimators[kind](label, **params).fit(train)
     scored = model.transform(frame)
