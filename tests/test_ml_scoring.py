@@ -274,3 +274,14 @@ def test_spread_rows_are_in_the_same_places_each_time(spark):
     assert training.spread_rows(df.filter("a < 0"), 0).count() == 0
     first, again = (training.spread_rows(df.coalesce(k), 250).rdd.glom().collect() for k in (1, 1))
     assert first == again and max(map(len, first)) <= 250 and sum(map(len, first)) == 3000
+
+
+def test_scored_batch_is_whole_where_the_fit_is_spread(spark, monkeypatch):
+    """score_batch over a model fitted on dealt rows: every silver row once, each with the prediction of the model."""
+    monkeypatch.setattr(training, "FIT_ROWS_PER_TASK", 50)
+    s = silver(spark, SF001)
+    tm = train_duration_model(s, "gbt", maxIter=2)
+    assert tm.frame.rdd.getNumPartitions() > tm.frame.count() // 50
+    scored = scoring.score_requests(scoring.requests_from_silver(s), tm.model)
+    assert scored.count() == s.count() and scored.filter("prediction is null").count() == 0
+    tm.release()
