@@ -156,6 +156,50 @@ def test_jaccard_join_of_a_frequent_shingle_over_many_parts(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_jaccard_join_shingles_shared_by_chance_connect_no_groups(spark, monkeypatch):
+    """Pairs of near copies, of which one also shares a few rare shingles with some of other pairs: as one group, every text would meet all blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 2000)
+    rng = random.Random(12)
+    pairs = 60
+    phrases = {(i, j): words(rng, 9, 10**6) for i in range(pairs) for j in ((i + 1) % pairs, (7 * i + 3) % pairs)}
+    rows = []
+    for i in range(pairs):
+        body = [words(rng, 45, 10**6) for _ in range(10)]
+        shared = [p for key, p in phrases.items() if i in key]
+        rows.append((2 * i, " ".join(f"{b} {p}" for b, p in itertools.zip_longest(body, shared, fillvalue="")), "en", "s"))
+        rows.append((2 * i + 1, " ".join(body), "en", "s"))
+    moved, link = [], jaccard_join.link_groups
+
+    def counted(dealt, threshold):
+        moved.append(dealt.count())
+        return link(dealt, threshold)
+
+    monkeypatch.setattr(jaccard_join, "link_groups", counted)
+    got = jaccard_join.jaccard_join(docs_frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == jaccard_brute(rows)
+    assert sum(moved) <= 2 * len(rows)
+
+
+def test_jaccard_join_with_long_lists_and_rounds(spark, monkeypatch):
+    """Sets on both sides of SHORT, lists with more classes than are paired, and several rounds of blocks."""
+    for name, value in (("BLOCK_SHINGLES", 400), ("PAIRED", 3), ("ROUND_SHINGLES", 1)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(21)
+    passage = words(rng, 12, 10**6)
+    rows = []
+    for n in (9, 30, 100, 130, 150, 175, 230, 400):
+        for _ in range(2):
+            base = words(rng, n, 10**6).split()
+            for _ in range(6):
+                w = list(base)
+                for _ in range(rng.randrange(0, max(2, n // 25))):
+                    w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+                cut = rng.choice([0, 0, n // 5])
+                rows.append((len(rows), " ".join(w[cut:] + rng.choice([[], [passage]])), "en", "s"))
+    got = jaccard_join.jaccard_join(docs_frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == jaccard_brute(rows)
+
+
 def test_jaccard_join_empty(spark):
     assert jaccard_join.jaccard_join(docs_frame(spark, [])).count() == 0
 

@@ -7,15 +7,22 @@
    both sets. The order puts a fixed fraction ``LISTED`` of the hash space first, so a set sends only that part
    to the inverted lists (or all of it, when the part is shorter than p). Lists with one class are dropped;
    within the part, rare shingles come before frequent ones, and of each set the first p keep their lists. A
-   set whose unshared shingles already exceed n - T has none left, and can link with nothing.
-3. *Groups.* Sets connected by kept lists form groups. A pair that links is always inside one.
+   set whose unshared shingles already exceed n - T has none left, and can link with nothing. Of any n - T + k
+   shingles at least k are shared, so the first n - T + k are kept (``pair_lists``), and a pair has to meet in k lists.
+   The part of a small set is too small for that: pairs with a set below ``SHORT`` have lists of their own, with
+   all shingles, rare ones first; sets that can be in both kinds of pairs send to both.
+3. *Groups.* Pairs that meet in k kept lists form groups, so a few shingles that unlike sets share by chance connect nothing,
+   however many documents there are. Of a list with more than ``PAIRED`` classes the pairs are not counted: it connects those
+   of its classes that have as many such lists as a partner could ask for, and the others' pairs need fewer lists by as
+   many as they have. A pair that links is always inside a group.
 4. *T-occurrence search* (DivideSkip) inside a group, in blocks of about ``BLOCK_SHINGLES`` shingles: of the
    inverted lists of a set the longest are set aside, the short ones are merged and sets that occur fewer than
    T minus the number of long lists times are dropped; the others are looked up in the long lists by binary
    search, and those that reach the required overlap link. Merging is one sort of the concatenated sorted
    lists in numpy (what a heap does element by element, without an interpreted step for each).
    Groups of several blocks are searched block by block first, then among the remaining representatives, and
-   last in all pairs of blocks of similar sizes, with only those sets that still share a kept list with another component.
+   last in all pairs of blocks of similar sizes, with only those sets that still meet a set of another component in k
+   lists (of all shingles of these groups' sets, rare ones first), in rounds that each shuffle about ``ROUND_COPIES`` times the shingles.
 5. Links (a spanning forest of them from each block) give components.
 
 Inside tasks a shingle of very many documents is sent as a bounded run of entries, with a count; the entries beyond
@@ -46,6 +53,12 @@ NUM, DEN = 75, 100
 LISTED = 5 / 16  # of the hash space comes first in the order; above 1 - num / den, so that most sets need no more
 CODE_BITS = 48
 CUT = int(LISTED * 2**CODE_BITS)
+WHOLE = 1 << CODE_BITS  # added to the codes of the lists for pairs with a small set
+SHORT = 128  # shingles of a set that is not small
+PAIR_LISTS = 8  # listed shingles that a pair is to share at most
+PAIRED = 16  # classes of a list up to which its pairs are counted
+ROUND_COPIES = 2  # times that the shingles of the large groups are shuffled in a round
+ROUND_SHINGLES = 1 << 24  # or so many of them, if that is more
 RUN = 32  # entries of one shingle that one task sends to its list
 FLUSH_ENTRIES = 1_000_000
 BLOCK_SHINGLES = 1 << 17
@@ -83,6 +96,10 @@ def _texts(batch: pa.RecordBatch) -> Iterator[str | None]:
     return (x.as_py() for x in batch.column("text"))
 
 
+def _kept_sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    return (np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("hashes"))
+
+
 def _digest(s: np.ndarray) -> tuple[int, bytes]:
     d = xxhash.xxh3_128_digest(s.tobytes())
     return int.from_bytes(d[:8], "little", signed=True), d
@@ -92,20 +109,29 @@ def _word_hashes() -> WordHashes:
     return worker_state("jaccard_join").setdefault("words", WordHashes())
 
 
+MEASURED = "doc_id long, n_shingles long, cls long, digest binary, codes int, listed int"
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _word_hashes()
     for batch in batches:
-        n, cls, digest = [], [], []
+        n, cls, digest, codes, listed = [], [], [], [], []
         for text in _texts(batch):
             s = shingle_set(text, hashes)
             short, whole = _digest(s) if len(s) else (None, None)
-            n.append(len(s)), cls.append(short), digest.append(whole)
+            code = _codes(s)
+            n.append(len(s)), cls.append(short), digest.append(whole), codes.append(len(code)), listed.append(np.count_nonzero(code < np.uint64(CUT)))
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(digest, pa.binary())],
-            ["doc_id", "n_shingles", "cls", "digest"],
+            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(digest, pa.binary()), pa.array(codes, pa.int32()), pa.array(listed, pa.int32())],
+            ["doc_id", "n_shingles", "cls", "digest", "codes", "listed"],
         )
 
 
+def _codes(s: np.ndarray) -> np.ndarray:
+    code = s >> np.uint64(64 - CODE_BITS)
+    return code[np.concatenate(([True], code[1:] != code[:-1]))] if len(code) else code
+
+
 def _planes(values: np.ndarray) -> bytes:
     """The bytes of an array by significance, so that the zero bytes of small numbers lie together for the shuffle's compression."""
     if not len(values):  # a part with none but dealt-out entries
@@ -118,31 +144,43 @@ def _unplaned(data: bytes, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
 
 
-def _needs(n: int, codes: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, int, int]:
-    """The codes a set sends, and what to add to the number of its shared ones to get how many lists it keeps: in the
-    listed part of the space, and beyond."""
-    num, den = threshold
-    prefix = n - -(-n * num // den) + 1 + (n - len(codes))
-    listed = codes[codes < np.uint64(CUT)]
-    if len(listed) >= prefix:
-        return listed, prefix - len(listed), 0
-    return codes, prefix - len(listed), prefix - len(codes)
+def pair_lists(overlap, whole: bool):
+    """How many lists a pair is to share, of sets that need this overlap (the smaller one's counts); never more than the overlap.
+    A number, or a column of them."""
+    most, part = (2**31, 6) if whole else (PAIR_LISTS, 36)
+    if isinstance(overlap, int):
+        return max(1, min(most, overlap // part))
+    return F.greatest(F.lit(1), F.least(F.lit(most), F.floor(overlap / part)))
 
 
-def _lister(parts: int, threshold: tuple[int, int]):
-    def flush(codes: list, sizes: list, classes: list, needs: list) -> Iterator[pa.RecordBatch]:
+def _sent(n: int, codes: np.ndarray, threshold: tuple[int, int], short: int | None) -> np.ndarray:
+    """The codes that a set of ``n`` sends: those of the listed part, all if these are too few, and (with ``WHOLE``) all
+    where it may link with a set below ``short``; for None these alone."""
+    num, den = threshold
+    sent = [codes[:0]]
+    if short is None or n * num < short * den:
+        sent.append(codes | np.uint64(WHOLE))
+    if short is not None and n >= short:
+        overlap = -(-n * num // den)
+        listed = codes[codes < np.uint64(CUT)]
+        sent.append(listed if len(listed) >= n - overlap + (n - len(codes)) + pair_lists(overlap, False) else codes)
+    return np.concatenate(sent)
+
+
+def _lister(parts: int, threshold: tuple[int, int], short: int | None):
+    def flush(codes: list, sizes: list, classes: list) -> Iterator[pa.RecordBatch]:
         code = np.concatenate(codes)
         doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes)
-        cls, need = np.array(classes, np.int64), np.array(needs, np.int32)
+        cls = np.array(classes, np.int64)
         part = code % np.uint64(parts)
-        order = np.argsort((part << np.uint64(CODE_BITS)) | code, kind="stable") if parts < 1 << 16 else np.lexsort((code, part))
+        order = np.argsort((part << np.uint64(CODE_BITS + 1)) | code, kind="stable") if parts < 1 << 15 else np.lexsort((code, part))
         code, doc, part = code[order], doc[order], part[order].astype(np.int64)
         first = np.concatenate(([True], code[1:] != code[:-1]))
         start = np.flatnonzero(first)
         nth = np.arange(len(code)) - np.repeat(start, np.diff(np.append(start, len(code))))
         beyond = nth >= RUN
         salted = np.where(beyond, (cls[doc].astype(np.uint64) ^ code) % np.uint64(parts), np.uint64(parts)).astype(np.int64)
-        columns: dict[str, list] = {k: [] for k in ("part", "code", "doc", "cls", "need", "more", "n_more", "over", "over_cls", "over_need")}
+        columns: dict[str, list] = {k: [] for k in ("part", "code", "doc", "cls", "more", "n_more", "over", "over_cls")}
         for p in range(parts):
             lo, hi = np.searchsorted(part, [p, p + 1])
             own = slice(lo, hi)
@@ -154,8 +192,8 @@ def _lister(parts: int, threshold: tuple[int, int]):
             ids, local = np.unique(d, return_inverse=True)
             more, n_more = np.unique(code[own][~inside], return_counts=True)
             for k, v in (
-                ("code", _planes(np.diff(c, prepend=np.uint64(0)))), ("doc", _planes(local.astype(np.uint32))), ("cls", cls[ids].tobytes()), ("need", _planes(need[ids].ravel())),
-                ("more", more.tobytes()), ("n_more", n_more.tobytes()), ("over", code[far].tobytes()), ("over_cls", cls[doc[far]].tobytes()), ("over_need", need[doc[far]].tobytes()),
+                ("code", _planes(np.diff(c, prepend=np.uint64(0)))), ("doc", _planes(local.astype(np.uint32))), ("cls", cls[ids].tobytes()),
+                ("more", more.tobytes()), ("n_more", n_more.tobytes()), ("over", code[far].tobytes()), ("over_cls", cls[doc[far]].tobytes()),
             ):
                 columns[k].append(v)
             columns["part"].append(p)
@@ -163,59 +201,52 @@ def _lister(parts: int, threshold: tuple[int, int]):
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = _word_hashes(), set()
-        codes, sizes, classes, needs, held = [], [], [], [], 0
+        codes, sizes, classes, held = [], [], [], 0
         for batch in batches:
-            for text in _texts(batch):
-                s = shingle_set(text, hashes)
+            for s in (shingle_set(x, hashes) for x in _texts(batch)) if "text" in batch.schema.names else _kept_sets(batch):
                 if not len(s):
                     continue
                 cls, digest = _digest(s)
                 if digest in seen:  # this task has sent an equal set
                     continue
                 seen.add(digest)
-                code = s >> np.uint64(64 - CODE_BITS)
-                code = code[np.concatenate(([True], code[1:] != code[:-1]))]
-                sent, near, far = _needs(len(s), code, threshold)
-                codes.append(sent), sizes.append(len(sent)), classes.append(cls), needs.append((near, far))
+                sent = _sent(len(s), _codes(s), threshold, short)
+                codes.append(sent), sizes.append(len(sent)), classes.append(cls)
                 held += len(sent)
                 if held >= FLUSH_ENTRIES:
-                    yield from flush(codes, sizes, classes, needs)
-                    codes, sizes, classes, needs, held = [], [], [], [], 0
+                    yield from flush(codes, sizes, classes)
+                    codes, sizes, classes, held = [], [], [], 0
         if held:
-            yield from flush(codes, sizes, classes, needs)
+            yield from flush(codes, sizes, classes)
 
     return lists
 
 
-LISTS = "part long, code binary, doc binary, cls binary, need binary, more binary, n_more binary, over binary, over_cls binary, over_need binary"
-SHARED = "kind int, cls long, code long, df long, need int"
+LISTS = "part long, code binary, doc binary, cls binary, more binary, n_more binary, over binary, over_cls binary"
+SHARED = "kind int, cls long, code long, df long"
 
 
 def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All entries of some codes -> those of codes with two classes or more. Kind 0: an entry with its list's length;
     1: an entry from beyond a run, without it; 2: the length of a list some of whose entries are of kind 1."""
     worker_state("jaccard_join")
-    got: dict[str, list] = {k: [] for k in ("code", "cls", "near", "far", "more", "n_more", "over", "over_cls", "over_near", "over_far")}
+    got: dict[str, list] = {k: [] for k in ("code", "cls", "more", "n_more", "over", "over_cls")}
     for batch in batches:
         for k in range(batch.num_rows):
             row = {c: batch.column(c)[k].as_py() for c in batch.schema.names if c != "part"}
             doc = _unplaned(row["doc"], np.uint32)
-            need = _unplaned(row["need"], np.int32).reshape(-1, 2)[doc]
-            over_need = np.frombuffer(row["over_need"], np.int32).reshape(-1, 2)
             got["code"].append(np.cumsum(_unplaned(row["code"], np.uint64), dtype=np.uint64))
             got["cls"].append(np.frombuffer(row["cls"], np.int64)[doc])
-            got["near"].append(need[:, 0]), got["far"].append(need[:, 1])
-            got["over_near"].append(over_need[:, 0]), got["over_far"].append(over_need[:, 1])
             for k, dtype in (("more", np.uint64), ("n_more", np.int64), ("over", np.uint64), ("over_cls", np.int64)):
                 got[k].append(np.frombuffer(row[k], dtype))
     if not got["code"]:
         return
     a = {k: np.concatenate(v) for k, v in got.items()}
     order = np.lexsort((a["cls"], a["code"]))
-    code, cls, near, far = (a[k][order] for k in ("code", "cls", "near", "far"))
+    code, cls = a["code"][order], a["cls"][order]
     if len(code):
         new = np.concatenate(([True], (code[1:] != code[:-1]) | (cls[1:] != cls[:-1])))
-        code, cls, near, far = (x[new] for x in (code, cls, near, far))
+        code, cls = code[new], cls[new]
     values, length = np.unique(code, return_counts=True)
     more, at = np.unique(a["more"], return_inverse=True)
     extra = np.bincount(at, weights=a["n_more"], minlength=len(more)).astype(np.int64)
@@ -224,42 +255,78 @@ def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df[np.searchsorted(values, more)] += extra  # a code with entries beyond a run has a run before them
     each = np.repeat(df, length)
     kept = each >= 2
-    need = np.where(code < np.uint64(CUT), near, far)
-    yield _shared(0, cls[kept], code[kept], each[kept], need[kept])
+    yield _shared(0, cls[kept], code[kept], each[kept])
     if len(a["over"]):
-        yield _shared(1, a["over_cls"], a["over"], None, np.where(a["over"] < np.uint64(CUT), a["over_near"], a["over_far"]))
+        yield _shared(1, a["over_cls"], a["over"], None)
     if len(more):
-        yield _shared(2, None, more, df[np.searchsorted(values, more)], None)
+        yield _shared(2, None, more, df[np.searchsorted(values, more)])
 
 
-def _shared(kind: int, cls, code, df, need) -> pa.RecordBatch:
+def _shared(kind: int, cls, code, df) -> pa.RecordBatch:
     n = len(code)
     column = lambda v, t: pa.nulls(n, t) if v is None else pa.array(v).cast(t)
     return pa.record_batch(
-        [pa.array(np.full(n, kind, np.int32)), column(cls, pa.int64()), pa.array(code.astype(np.int64)), column(df, pa.int64()), column(need, pa.int32())],
-        ["kind", "cls", "code", "df", "need"],
+        [pa.array(np.full(n, kind, np.int32)), column(cls, pa.int64()), pa.array(code.astype(np.int64)), column(df, pa.int64())],
+        ["kind", "cls", "code", "df"],
     )
 
 
-def kept_lists(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> DataFrame:
-    """``(doc_id, text)`` -> ``(cls, code)``: the lists by which a class can meet a partner."""
+def kept_lists(docs: DataFrame, classes: DataFrame, threshold: tuple[int, int] = (NUM, DEN), short: int | None = SHORT) -> DataFrame:
+    """``(text)`` or ``(hashes)`` and their ``(cls, n, codes, listed)`` -> ``(cls, code, k, least)``: the lists by which a class can meet a
+    partner, in how many of them it has to meet one, and the smallest such number of a partner. ``short``: None for lists of all shingles."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = docs.select("text").mapInArrow(_lister(parts, threshold), LISTS).repartition(parts, "part")
+    sent = docs.mapInArrow(_lister(parts, threshold, short), LISTS).repartition(parts, "part")
     shared = materialize(sent.mapInArrow(_share, SHARED), "jaccard-shared")
-    near = shared.filter("kind = 0").select("cls", "code", "df", "need")
+    near = shared.filter("kind = 0").select("cls", "code", "df")
     lengths = shared.filter("kind = 2").select("code", "df")
-    far = shared.filter("kind = 1").select("cls", "code", "need").join(lengths, "code").select("cls", "code", "df", "need")
-    by_class = Window.partitionBy("cls", F.col("code") < CUT)
+    far = shared.filter("kind = 1").select("cls", "code").join(lengths, "code").select("cls", "code", "df")
     entries = near.unionByName(far).repartition(parts, "cls").dropDuplicates(["cls", "code"])
-    ranked = entries.withColumn("rank", F.row_number().over(by_class.orderBy("df", "code"))).withColumn("quota", F.col("need") + F.count(F.lit(1)).over(by_class))
-    return ranked.filter("rank <= quota").select("cls", "code")
+    num, den = threshold
+    needed = lambda n: F.expr(f"({n} * {num}L + {den - 1}L) DIV {den}L")
+    whole, listed = F.col("code") >= WHOLE, F.col("code") < CUT
+    known = entries.join(classes.select("cls", "n", "codes", "listed"), "cls").withColumn("overlap", needed("n")).withColumn("fewest", needed("overlap"))
+    count = lambda overlap: F.when(whole, pair_lists(F.col(overlap), True)).otherwise(pair_lists(F.col(overlap), False)).cast("int")
+    prefix = F.col("n") - F.col("overlap") + (F.col("n") - F.col("codes")) + F.col("k")
+    known = known.withColumns({"space": F.when(whole, 2).when(listed, 0).otherwise(1), "k": count("overlap"), "least": count("fewest")})
+    known = known.select("cls", "code", "df", "space", "k", "least", (prefix - F.when(listed, F.col("listed")).otherwise(F.col("codes"))).alias("need"))
+    by_class = Window.partitionBy("cls", "space")  # need: what to add to the shared codes of the space to get how many are kept
+    ranked = known.withColumn("rank", F.row_number().over(by_class.orderBy("df", "code"))).withColumn("quota", F.col("need") + F.count(F.lit(1)).over(by_class))
+    return ranked.filter("rank <= quota").select("cls", "code", "k", "least")
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists (``code, run``: structs of ``cls, label, k, wide``) -> a row for each two classes of a list with different labels, with the number of such rows that they need."""
+    for batch in batches:
+        run = batch.column("run")
+        length = np.diff(run.offsets.to_numpy())
+        cls, label, k, wide = (run.flatten().field(c).to_numpy() for c in range(4))
+        of = np.repeat(np.arange(len(length)), length)
+        first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for step in range(1, int(length.max(initial=0))):
+            i = np.flatnonzero((of[step:] == of[:-step]) & (label[step:] != label[:-step]))
+            first.append(i), second.append(i + step)
+        i, j = np.concatenate(first), np.concatenate(second)
+        need = np.maximum(np.minimum(k[i], k[j]) - np.minimum(wide[i], wide[j]), 1)
+        yield pa.record_batch(
+            [pa.array(np.minimum(cls[i], cls[j])), pa.array(np.maximum(cls[i], cls[j])), pa.array(batch.column("code").to_numpy()[of[i]] >= WHOLE), pa.array(need, pa.int64())],
+            ["a", "b", "whole", "need"],
+        )
 
 
 def groups_by_lists(lists: DataFrame, bound: int) -> DataFrame:
-    """``(cls, code, label)``, at most ``bound`` rows -> ``(cls, grp)``: classes connected by lists that hold two labels or more."""
-    firsts = lists.groupBy("code").agg(F.min("cls").alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("_rows"))
-    firsts = materialize(firsts.filter("lo < hi").select("code", "hub", "_rows"), "jaccard-firsts")
-    edges = join_totals(lists.select("cls", "code"), firsts, "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    """``(cls, code, k, least, label)``, at most ``bound`` rows -> ``(cls, grp)``: groups in which any two classes with different labels are
+    that share ``k`` lists (the smaller ``k`` of the two; lists for pairs with a small set count apart)."""
+    firsts = lists.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("_rows"))
+    firsts = materialize(firsts.filter("lo < hi").select("code", "_rows", (F.col("_rows") > PAIRED).alias("is_wide")), "jaccard-firsts")
+    own = Window.partitionBy("cls", F.col("code") >= WHOLE)
+    entries = join_totals(lists, firsts, "code", bound).withColumn("wide", F.count(F.when(F.col("is_wide"), 1)).over(own))
+    entries = materialize(entries.filter("NOT is_wide OR wide >= least").select("cls", "code", "label", "k", "wide", "is_wide"), "jaccard-entries")
+    runs = entries.filter("NOT is_wide").groupBy("code").agg(F.collect_list(F.struct("cls", "label", "k", "wide")).alias("run"))
+    pairs = runs.mapInArrow(_pairs, "a long, b long, whole boolean, need long").groupBy("a", "b", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
+    wide = entries.filter("is_wide").select("cls", "code")
+    hubs = materialize(wide.groupBy("code").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("_rows")), "jaccard-hubs")
+    edges = join_totals(wide, hubs, "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+    edges = edges.unionByName(pairs.filter("n >= need").select("a", "b"))
     return connected_components(edges).select(F.col("node").alias("cls"), F.col("component").alias("grp"))
 
 
@@ -320,7 +387,7 @@ def _linker(threshold: tuple[int, int]):
             if table.num_rows < 2:
                 continue
             cls = table.column("cls").to_numpy()
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
+            sets = list(_kept_sets(table))
             links = star_links(cls, t_occurrence_links(sets, table.column("label").to_pylist(), threshold))
             if links is not None:
                 yield links
@@ -377,11 +444,11 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     """``(doc_id, text)`` -> a row per document: ``doc_id, n_shingles, component_id`` (the smallest doc_id reachable by links)."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    measured = materialize(docs.mapInArrow(_measure, "doc_id long, n_shingles long, cls long, digest binary"), "jaccard-sets")
+    measured = materialize(docs.mapInArrow(_measure, MEASURED), "jaccard-sets")
     n_docs = measured.count()
-    classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("_rows"))
+    classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("codes").alias("codes"), F.max("listed").alias("listed"), F.count(F.lit(1)).alias("_rows"))
     classes = materialize(classes, "jaccard-classes")
-    lists = materialize(kept_lists(docs, threshold).withColumn("label", F.col("cls")), "jaccard-lists")
+    lists = materialize(kept_lists(docs.select("text"), classes, threshold).withColumn("label", F.col("cls")), "jaccard-lists")
     n_lists = lists.count()
     grouped = groups_by_lists(lists, n_lists).join(classes.select("cls", "rep", "n"), "cls")
     members = materialize(blocks_by_size(grouped, False, threshold, n_docs).select("cls", "rep", "n", "grp", "bi"), "jaccard-groups")
@@ -397,16 +464,22 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     several = materialize(several, "jaccard-large")
     members = materialize(join_totals(members.select("cls", "grp", "n"), several, "grp", n_docs), "jaccard-several")
     if not members.isEmpty():
+        sets = materialize(sets.join(members, "cls", "left_semi").select("cls", "hashes"), "jaccard-large-sets")
 
         def linked(dealt: DataFrame) -> DataFrame:
-            return materialize(links.unionByName(link_groups(dealt.join(sets.select("cls", "hashes"), "cls"), threshold)), "jaccard-links")
+            return materialize(links.unionByName(link_groups(dealt.join(sets, "cls"), threshold)), "jaccard-links")
 
         leaders = _labelled(members, links).filter("label = cls")
         links = linked(blocks_by_size(leaders, False, threshold, n_docs))
         labelled = materialize(_labelled(members, links), "jaccard-labels")
-        open_lists = materialize(lists.drop("label").join(labelled.select("cls", "label"), "cls"), "jaccard-open")
-        rest = groups_by_lists(open_lists, n_lists).join(labelled.select("cls", "label", "n"), "cls")
-        links = linked(blocks_by_size(rest, True, threshold, n_docs))
+        lists = kept_lists(sets.select("hashes"), classes, threshold, None).join(labelled.select("cls", "label"), "cls")
+        open_lists = materialize(lists, "jaccard-open")
+        rest = groups_by_lists(open_lists, open_lists.count()).join(labelled.select("cls", "label", "n"), "cls")
+        rest = materialize(blocks_by_size(rest, True, threshold, n_docs).select("grp", "bi", "bj", "cls", "label", "n"), "jaccard-crossing")
+        own, crossing = labelled.agg(F.sum("n")).first()[0], rest.agg(F.sum("n")).first()[0] or 0
+        rounds = -(-crossing // max(ROUND_COPIES * own, ROUND_SHINGLES))
+        for k in range(rounds):
+            links = linked(rest.filter(F.pmod(F.xxhash64(F.lit(11), "grp", "bi", "bj"), F.lit(rounds)) == k))
     found = connected_components(links)
     joined = classes.join(found, classes["cls"] == found["node"]).select("cls", "rep", "component")
     names = joined.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_rows"))
