@@ -133,3 +133,26 @@ def test_large_components(spark):
     for rows in ([(50, [2.0**60]), (51, [1.0])], [(50, [2.0**40]), (51, [2.0**40])]):
         with pytest.raises(Exception, match="64 bits|too large|OverflowError"):
             search(rows)
+
+
+def test_near_duplicates_meet_few_blocks(spark, monkeypatch):
+    """Near copies in pairs; the first of each also shares nine rare words with the next pair's, which must not make one group of all."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 1500)
+    rng = random.Random(31)
+    stock = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    pairs = 40
+    bodies, phrases = [stock(400) for _ in range(pairs)], [[stock(9) for _ in range(2)] for _ in range(pairs)]
+    rows = []
+    for i, body in enumerate(bodies):
+        rows.append((2 * i, " ".join([body, *phrases[i], *phrases[i - 1]]), "en", "s", 1))
+        rows.append((2 * i + 1, body, "en", "s", 1))
+    moved, link = [], jaccard_join.link_groups
+
+    def counted(dealt, threshold):
+        moved.append(dealt.count())
+        return link(dealt, threshold)
+
+    monkeypatch.setattr(jaccard_join, "link_groups", counted)
+    got = P.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(r.doc_id for r in got) == [2 * i for i in range(pairs)]
+    assert sum(moved) <= 2 * len(rows)

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from tripspark.llm.graph import Forest, connected_components, groups_of, join_totals, star_links
 from tripspark.llm.hashing import mixed
-from tripspark.llm.storage import materialize, small_batches, worker_state
+from tripspark.llm.storage import lean, materialize, small_batches, worker_state
 
 SHINGLE_WORDS = 5
 NUM, DEN = 75, 100
@@ -275,8 +275,8 @@ def kept_lists(docs: DataFrame, classes: DataFrame, threshold: tuple[int, int] =
     """``(text)`` or ``(hashes)`` and their ``(cls, n, codes, listed)`` -> ``(cls, code, k, least)``: the lists by which a class can meet a
     partner, in how many of them it has to meet one, and the smallest such number of a partner. ``short``: None for lists of all shingles."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = docs.mapInArrow(_lister(parts, threshold, short), LISTS).repartition(parts, "part")
-    shared = materialize(sent.mapInArrow(_share, SHARED), "jaccard-shared")
+    sent = docs.mapInArrow(lean(_lister(parts, threshold, short)), LISTS).repartition(parts, "part")
+    shared = materialize(sent.mapInArrow(lean(_share), SHARED), "jaccard-shared")
     near = shared.filter("kind = 0").select("cls", "code", "df")
     lengths = shared.filter("kind = 2").select("code", "df")
     far = shared.filter("kind = 1").select("cls", "code").join(lengths, "code").select("cls", "code", "df")
@@ -322,7 +322,7 @@ def groups_by_lists(lists: DataFrame, bound: int) -> DataFrame:
     entries = join_totals(lists, firsts, "code", bound).withColumn("wide", F.count(F.when(F.col("is_wide"), 1)).over(own))
     entries = materialize(entries.filter("NOT is_wide OR wide >= least").select("cls", "code", "label", "k", "wide", "is_wide"), "jaccard-entries")
     runs = entries.filter("NOT is_wide").groupBy("code").agg(F.collect_list(F.struct("cls", "label", "k", "wide")).alias("run"))
-    pairs = runs.mapInArrow(_pairs, "a long, b long, whole boolean, need long").groupBy("a", "b", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
+    pairs = runs.mapInArrow(lean(_pairs), "a long, b long, whole boolean, need long").groupBy("a", "b", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("need").alias("need"))
     wide = entries.filter("is_wide").select("cls", "code")
     hubs = materialize(wide.groupBy("code").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("_rows")), "jaccard-hubs")
     edges = join_totals(wide, hubs, "code", bound).select(F.col("cls").alias("a"), F.col("hub").alias("b"))
@@ -420,7 +420,7 @@ def link_groups(dealt: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """``(grp, bi, bj, cls, label, hashes)`` -> links ``(a, b)`` found in the blocks (or pairs of blocks) of each group."""
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = ["grp", "bi", "bj", "cls", "label", "hashes"]
-    return dealt.select(*columns).repartition(parts, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "cls").mapInArrow(_linker(threshold), "a long, b long")
+    return dealt.select(*columns).repartition(parts, "grp", "bi", "bj").sortWithinPartitions("grp", "bi", "bj", "cls").mapInArrow(lean(_linker(threshold)), "a long, b long")
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,7 +444,7 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     """``(doc_id, text)`` -> a row per document: ``doc_id, n_shingles, component_id`` (the smallest doc_id reachable by links)."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    measured = materialize(docs.mapInArrow(_measure, MEASURED), "jaccard-sets")
+    measured = materialize(docs.mapInArrow(lean(_measure), MEASURED), "jaccard-sets")
     n_docs = measured.count()
     classes = measured.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("codes").alias("codes"), F.max("listed").alias("listed"), F.count(F.lit(1)).alias("_rows"))
     classes = materialize(classes, "jaccard-classes")
@@ -456,7 +456,7 @@ def jaccard_join(docs: DataFrame, threshold: tuple[int, int] = (NUM, DEN)) -> Da
     if members.count() <= BROADCAST_CLASSES:
         wanted = F.broadcast(wanted)
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("cls", "grp", "bi", "text")
-    sets = materialize(texts.mapInArrow(_sets_of, "cls long, grp long, bi long, hashes binary"), "jaccard-members")
+    sets = materialize(texts.mapInArrow(lean(_sets_of), "cls long, grp long, bi long, hashes binary"), "jaccard-members")
     if sets.count() > members.count():  # rows that repeat a doc_id and its text
         sets = materialize(sets.dropDuplicates(["cls"]), "jaccard-members")
     links = materialize(link_groups(sets.withColumn("bj", F.col("bi")).withColumn("label", F.col("cls")), threshold), "jaccard-links")
